@@ -133,3 +133,76 @@ g AS (SELECT symbol, "timestamp", {_BASIC},
       FROM f)
 SELECT symbol, "timestamp", {_rounded(_BASIC_NAMES + ['future_return_1d'])}
 FROM g WHERE {' AND '.join(n + ' IS NOT NULL' for n in _BASIC_NAMES + ['future_return_1d'])}"""
+
+# ---- data quality ---------------------------------------------------------
+_GAP_US = 600_000_000
+
+
+def _gaps_sql(by: str = "") -> str:
+    part = f"PARTITION BY {by} " if by else ""
+    sel = f"{by}, " if by else ""
+    return f"""WITH d AS (SELECT DISTINCT {sel}ts FROM events WHERE ts IS NOT NULL),
+p AS (SELECT {sel}ts AS start_timestamp, lead(ts) OVER ({part}ORDER BY ts) AS end_timestamp FROM d),
+q AS (SELECT *, epoch_us(end_timestamp) - epoch_us(start_timestamp) AS gap_us FROM p
+      WHERE end_timestamp IS NOT NULL)
+SELECT {sel}start_timestamp, end_timestamp, gap_us,
+       greatest(gap_us // {_GAP_US} - 1, 0) AS missing_intervals
+FROM q WHERE gap_us > {_GAP_US}"""
+
+
+SQL["time_gaps"] = _gaps_sql()
+SQL["time_gaps_by_symbol"] = _gaps_sql("user_id")
+SQL["gap_sample"] = f"""SELECT * FROM ({_gaps_sql()}) ORDER BY start_timestamp LIMIT 10"""
+
+SQL["key_counts"] = """SELECT l_orderkey, l_linenumber, count(*) AS count
+FROM lineitem GROUP BY l_orderkey, l_linenumber"""
+
+SQL["duplicate_rows"] = """SELECT l.* FROM lineitem l JOIN (
+  SELECT l_orderkey, l_linenumber FROM lineitem
+  WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+  GROUP BY 1, 2 HAVING count(*) > 1) d USING (l_orderkey, l_linenumber)"""
+
+SQL["duplicate_summary"] = """SELECT count(*) AS duplicate_keys,
+  CAST(coalesce(sum(c), 0) AS BIGINT) AS collapsed_count,
+  CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS removed_count
+FROM (SELECT count(*) AS c FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+      GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)"""
+
+SQL["collapse_duplicates"] = """SELECT * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST,
+           l_quantity DESC NULLS LAST, l_extendedprice DESC NULLS LAST, l_discount DESC NULLS LAST,
+           l_tax DESC NULLS LAST, l_returnflag DESC NULLS LAST, l_linestatus DESC NULLS LAST) = 1"""
+
+SQL["column_median"] = "SELECT round(median(TRY_CAST(value AS DOUBLE)), 6) AS median FROM events"
+
+_MAD = """m AS (SELECT median(TRY_CAST(value AS DOUBLE)) AS med FROM events),
+a AS (SELECT median(abs(TRY_CAST(value AS DOUBLE) - med)) AS mad FROM events, m),
+s AS (SELECT e.*, CASE WHEN mad IS NOT NULL AND mad <> 0
+                       THEN abs(TRY_CAST(value AS DOUBLE) - med) / mad * 0.67448975 END AS value_score,
+             med, mad
+      FROM events e, m, a),
+f AS (SELECT *, coalesce(CASE WHEN isnan(value_score) THEN false ELSE value_score > 3.5 END, false)
+                AS is_outlier FROM s)"""
+
+SQL["column_mad"] = f"""WITH {_MAD} SELECT round(med, 6) AS median, round(mad, 6) AS mad FROM m, a"""
+SQL["mad_scores"] = f"""WITH {_MAD}
+SELECT event_id, round(value, 6) AS value, round(value_score, 6) AS value_score, is_outlier FROM f"""
+SQL["mad_clean"] = f"""WITH {_MAD}
+SELECT event_id, ts, user_id, event_type, round(value, 6) AS value FROM f WHERE NOT is_outlier"""
+SQL["mad_quarantine"] = f"""WITH {_MAD}
+SELECT event_id, ts, user_id, event_type, round(value, 6) AS value FROM f WHERE is_outlier"""
+SQL["mad_summary"] = f"""WITH {_MAD}
+SELECT 'value' AS "column", round(any_value(med), 6) AS median, round(any_value(mad), 6) AS mad,
+       count(*) FILTER (WHERE is_outlier) AS outliers
+FROM f GROUP BY med, mad HAVING any_value(mad) IS NOT NULL AND any_value(mad) <> 0"""
+
+SQL["alerts"] = f"""WITH {_MAD},
+g AS (SELECT count(*) AS c FROM ({_gaps_sql()})),
+d AS (SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS c FROM (
+        SELECT count(*) AS c FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+        GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)),
+o AS (SELECT count(*) AS c FROM f WHERE is_outlier)
+SELECT 'time_gaps_detected' AS "check", c AS count, CAST(1000 AS BIGINT) AS threshold, c > 1000 AS fired, 'error' AS severity FROM g
+UNION ALL SELECT 'duplicates_collapsed', c, 0, c > 0, 'error' FROM d
+UNION ALL SELECT 'mad_outliers_quarantined', c, 0, c > 0, 'error' FROM o"""

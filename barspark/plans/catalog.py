@@ -115,3 +115,98 @@ def q_feature_frame(spark, sf):
 def q_supervised_rows(spark, sf):
     out, names, tname = feat.prepare_supervised(fx.bars(spark, sf), DEFAULT_CONFIG, "basic_price")
     return out.select("symbol", "timestamp", *r6(*names, tname))
+
+
+# ---- data quality (W1, W10, J1, A1-A7, L3, O2) ---------------------------
+from ..operators import quality as dq  # noqa: E402
+
+GAP_FREQ = "10m"
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+LINE_TIE = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus"]
+
+
+def _gaps(spark, sf, by=()):
+    g = dq.detect_time_gaps(fx.events(spark, sf), "ts", GAP_FREQ, partition_by=by)
+    return g.select(*by, "start_timestamp", "end_timestamp", "gap_us", "missing_intervals")
+
+
+@query
+def q_time_gaps(spark, sf):
+    return _gaps(spark, sf)
+
+
+@query
+def q_time_gaps_by_symbol(spark, sf):
+    return _gaps(spark, sf, ["user_id"])
+
+
+@query
+def q_gap_sample(spark, sf):
+    return dq.sample(_gaps(spark, sf), ["start_timestamp"], 10)
+
+
+@query
+def q_key_counts(spark, sf):
+    return dq.key_counts(fx.duplicated_lines(spark, sf), LINE_KEYS)
+
+
+@query
+def q_duplicate_rows(spark, sf):
+    return dq.duplicate_rows(fx.duplicated_lines(spark, sf), LINE_KEYS)
+
+
+@query
+def q_duplicate_summary(spark, sf):
+    return dq.duplicate_summary(fx.duplicated_lines(spark, sf), LINE_KEYS)
+
+
+@query
+def q_collapse_duplicates(spark, sf):
+    return dq.collapse_duplicates(fx.duplicated_lines(spark, sf), LINE_KEYS,
+                                  order_by=["l_shipdate"], tie_break=LINE_TIE)
+
+
+@query
+def q_column_median(spark, sf):
+    return dq.column_median(fx.events(spark, sf), "value").select(*r6("median"))
+
+
+@query
+def q_column_mad(spark, sf):
+    return dq.column_mad(fx.events(spark, sf), "value").select(*r6("median", "mad"))
+
+
+def _mad(spark, sf):
+    return dq.mad_outliers(fx.events(spark, sf), ["value", "not_a_column"], 3.5)
+
+
+@query
+def q_mad_scores(spark, sf):
+    return _mad(spark, sf).scored.select("event_id", *r6("value", "value_score"), "is_outlier")
+
+
+@query
+def q_mad_clean(spark, sf):
+    return _mad(spark, sf).clean.select("event_id", "ts", "user_id", "event_type", *r6("value"))
+
+
+@query
+def q_mad_quarantine(spark, sf):
+    return _mad(spark, sf).quarantined.select("event_id", "ts", "user_id", "event_type", *r6("value"))
+
+
+@query
+def q_mad_summary(spark, sf):
+    return _mad(spark, sf).summary.select("column", *r6("median", "mad"), "outliers")
+
+
+@query
+def q_alerts(spark, sf):
+    gaps = _gaps(spark, sf).agg(F.count(F.lit(1)).alias("count"))
+    dups = dq.duplicate_summary(fx.duplicated_lines(spark, sf), LINE_KEYS).select(
+        F.col("collapsed_count").alias("count"))
+    outl = _mad(spark, sf).quarantined.agg(F.count(F.lit(1)).alias("count"))
+    return dq.alert_rows({"time_gaps_detected": gaps, "duplicates_collapsed": dups,
+                          "mad_outliers_quarantined": outl},
+                         thresholds={"time_gaps_detected": 1000})
