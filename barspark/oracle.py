@@ -206,3 +206,113 @@ o AS (SELECT count(*) AS c FROM f WHERE is_outlier)
 SELECT 'time_gaps_detected' AS "check", c AS count, CAST(1000 AS BIGINT) AS threshold, c > 1000 AS fired, 'error' AS severity FROM g
 UNION ALL SELECT 'duplicates_collapsed', c, 0, c > 0, 'error' FROM d
 UNION ALL SELECT 'mad_outliers_quarantined', c, 0, c > 0, 'error' FROM o"""
+
+# ---- schema contract, actions, scalar helpers -----------------------------
+SQL["schema_null_counts"] = f"""WITH {BARS}
+SELECT 'timestamp' AS "column", count(*) FILTER (WHERE "timestamp" IS NULL) AS null_count FROM bars
+UNION ALL SELECT 'symbol', count(*) FILTER (WHERE symbol IS NULL) FROM bars
+UNION ALL SELECT 'open', count(*) FILTER (WHERE open IS NULL) FROM bars
+UNION ALL SELECT 'high', count(*) FILTER (WHERE high IS NULL) FROM bars
+UNION ALL SELECT 'low', count(*) FILTER (WHERE low IS NULL) FROM bars
+UNION ALL SELECT 'close', count(*) FILTER (WHERE close IS NULL) FROM bars
+UNION ALL SELECT 'volume', count(*) FILTER (WHERE volume IS NULL) FROM bars
+UNION ALL SELECT 'trade_count', count(*) FILTER (WHERE trade_count IS NULL) FROM bars"""
+
+SQL["enforce_schema"] = f"""WITH {BARS}
+SELECT "timestamp", CAST(symbol AS VARCHAR) AS symbol,
+       round(CAST(CAST(open AS VARCHAR) AS DOUBLE), 6) AS open, round(CAST(CAST(high AS VARCHAR) AS DOUBLE), 6) AS high,
+       round(CAST(CAST(low AS VARCHAR) AS DOUBLE), 6) AS low, round(CAST(CAST(close AS VARCHAR) AS DOUBLE), 6) AS close,
+       CAST(CAST(volume AS VARCHAR) AS BIGINT) AS volume, CAST(CAST(trade_count AS VARCHAR) AS BIGINT) AS trade_count
+FROM bars"""
+
+CA = """
+ca AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS symbol, CAST(l_shipdate AS DATE) AS ex_date,
+         CASE WHEN r.q % 5 = 0 THEN NULL WHEN r.q % 5 = 1 THEN 0.0 ELSE 2.0 END AS split_ratio,
+         CASE WHEN r.q % 7 = 0 THEN NULL ELSE r.t * 10 END AS cash_dividend,
+         r.p / r.q AS close
+  FROM (SELECT l_suppkey, l_shipdate,
+               max_by({'q': l_quantity, 't': l_tax, 'p': l_extendedprice},
+                      row(l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice)) AS r
+        FROM lineitem GROUP BY l_suppkey, l_shipdate))"""
+
+_FRAME_FACTORS = """
+  1.0 / CASE WHEN split_ratio = 0 THEN 1.0 ELSE split_ratio END AS split_factor,
+  CASE WHEN cash_dividend = 0 OR close IS NULL THEN 1.0 ELSE 1.0 - cash_dividend / close END AS dividend_factor"""
+_SAFE_FACTORS = """
+  CASE WHEN split_ratio IS NULL OR split_ratio = 0 THEN 1.0 ELSE 1.0 / split_ratio END AS split_factor,
+  CASE WHEN cash_dividend IS NULL OR cash_dividend = 0 OR close IS NULL OR close = 0 THEN 1.0
+       ELSE 1.0 - cash_dividend / close END AS dividend_factor"""
+
+SQL["action_factors"] = f"""WITH {CA}, f AS (SELECT symbol, ex_date, {_FRAME_FACTORS} FROM ca)
+SELECT symbol, CAST(ex_date AS TIMESTAMP) AS ex_date, round(split_factor, 6) AS split_factor, round(dividend_factor, 6) AS dividend_factor,
+       round(split_factor * dividend_factor, 6) AS adjustment_factor FROM f"""
+
+SQL["action_factors_safe"] = f"""WITH {CA}, f AS (SELECT symbol, ex_date, {_SAFE_FACTORS} FROM ca)
+SELECT symbol, CAST(ex_date AS TIMESTAMP) AS ex_date, round(split_factor, 6) AS split_factor, round(dividend_factor, 6) AS dividend_factor,
+       round(split_factor * dividend_factor, 6) AS adjustment_factor FROM f"""
+
+_LATEST = f"""{CA},
+b AS (SELECT symbol, ex_date, coalesce(split_ratio, 4.0) AS split_ratio, cash_dividend * 2 AS cash_dividend, close
+      FROM ca WHERE CAST(symbol AS INTEGER) % 4 = 0),
+latest AS (SELECT * FROM b
+           UNION ALL SELECT * FROM ca WHERE (symbol, ex_date) NOT IN (SELECT (symbol, ex_date) FROM b)),
+store AS (SELECT symbol, ex_date, split_ratio, cash_dividend, close, {_SAFE_FACTORS} FROM latest)"""
+
+SQL["actions_latest"] = f"""WITH {_LATEST}
+SELECT symbol, CAST(ex_date AS TIMESTAMP) AS ex_date, round(split_ratio, 6) AS split_ratio, round(cash_dividend, 6) AS cash_dividend,
+       round(close, 6) AS close FROM latest"""
+
+SQL["actions_table"] = f"""WITH {_LATEST}
+SELECT symbol, CAST(ex_date AS TIMESTAMP) AS ex_date, round(split_ratio, 6) AS split_ratio, round(cash_dividend, 6) AS cash_dividend,
+       round(close, 6) AS close, round(split_factor * dividend_factor, 6) AS adjustment_factor FROM store"""
+
+SQL["action_lookup"] = f"""WITH {BARS}, {_LATEST}
+SELECT CAST(b.symbol AS VARCHAR) AS symbol, CAST(CAST(b."timestamp" AS DATE) AS TIMESTAMP) AS day, round(b.close, 6) AS close,
+       round(coalesce(s.split_factor * s.dividend_factor, 1.0), 6) AS adjustment_factor
+FROM bars b LEFT JOIN store s ON CAST(b.symbol AS VARCHAR) = s.symbol AND CAST(b."timestamp" AS DATE) = s.ex_date"""
+
+SQL["scan_bars"] = f"""WITH {BARS}
+SELECT symbol, "timestamp", round(open, 6) AS open, round(high, 6) AS high, round(low, 6) AS low,
+       round(close, 6) AS close, volume, trade_count FROM bars"""
+
+SQL["sorted_bars"] = f"""WITH {BARS}
+SELECT "timestamp", symbol, round(close, 6) AS close FROM bars ORDER BY "timestamp", symbol"""
+
+SQL["ist_to_utc"] = """SELECT event_id, ts - INTERVAL '5 hours 30 minutes' AS ts_utc,
+       ts - INTERVAL '5 hours 30 minutes' AS ts_utc_from_text,
+       ts - INTERVAL '5 hours 30 minutes' AS ts_utc_from_offset FROM events"""
+
+SQL["time_range_filter"] = f"""WITH {BARS}
+SELECT symbol, "timestamp", round(close, 6) AS close FROM bars
+WHERE "timestamp" BETWEEN TIMESTAMP '1997-03-01' AND TIMESTAMP '1998-02-28'"""
+
+SQL["safe_cast"] = """SELECT event_id, TRY_CAST(props AS BIGINT) AS props_as_long,
+       TRY_CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT) AS k,
+       TRY_CAST(event_type AS DOUBLE) AS type_as_double, CAST(user_id AS VARCHAR) AS user_text
+FROM events"""
+
+SQL["scalar_math"] = f"""WITH {BARS}, r AS (SELECT *, close / open - 1 AS r FROM bars)
+SELECT symbol, "timestamp", round(abs(r), 6) AS abs_ret, round(sign(r), 6) AS sign_ret,
+       round(sqrt(high - low), 6) AS sqrt_range, round(pow(r, 2), 6) AS square_ret,
+       round(pow(volume, 0.5), 6) AS pow_vol, round(tanh(r), 6) AS tanh_ret,
+       round(round_even(r * 10, 0), 6) AS rint_ret, round(greatest(-0.1, least(0.1, r)), 6) AS clip_ret
+FROM r"""
+
+SQL["history_bounds"] = f"""WITH {BARS}
+SELECT symbol, min("timestamp") AS first_ts, max("timestamp") AS last_ts, count(*) AS bars FROM bars GROUP BY symbol"""
+
+SIGNAL_TIMES = """
+st AS (SELECT date_trunc('month', l_shipdate) AS month, max(l_shipdate) AS "timestamp"
+       FROM lineitem GROUP BY 1)"""
+
+SIGNALS = f"""{SIGNAL_TIMES},
+act AS (SELECT DISTINCT l_suppkey AS symbol, date_trunc('month', l_shipdate) AS month FROM lineitem),
+cnt AS (SELECT CAST(s_suppkey % 3 AS INTEGER) AS strategy, count(*) AS n_sym FROM supplier GROUP BY 1),
+signals AS (
+  SELECT CAST(a.symbol % 3 AS INTEGER) AS strategy, st."timestamp", a.symbol,
+         ((a.symbol * 31 + (year(a.month) * 12 + month(a.month)) * 17) % 21 - 10) / 10.0 / c.n_sym AS target_weight
+  FROM act a JOIN st USING (month) JOIN cnt c ON c.strategy = CAST(a.symbol % 3 AS INTEGER))"""
+
+SQL["signal_times"] = f"""WITH {SIGNALS} SELECT DISTINCT strategy, "timestamp" FROM signals"""
+# source_hash: no oracle (the SQL side cannot name the data directory); rows-only check.

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import features as feat
 from ..sources import fixtures as fx
@@ -210,3 +211,151 @@ def q_alerts(spark, sf):
     return dq.alert_rows({"time_gaps_detected": gaps, "duplicates_collapsed": dups,
                           "mad_outliers_quarantined": outl},
                          thresholds={"time_gaps_detected": 1000})
+
+
+# ---- schema contract (C2, C5, A3) -----------------------------------------
+from ..operators import schema as sc  # noqa: E402
+from ..operators import actions as ca  # noqa: E402
+from ..functions import expr as fe  # noqa: E402
+
+
+@query
+def q_schema_null_counts(spark, sf):
+    schema = sc.get_schema("market_data")
+    return sc.null_counts(fx.market_data(spark, sf), [f.name for f in schema.fields])
+
+
+def _text_bars(spark, sf):
+    """bars with every measure as text and columns shuffled, as a CSV gives them"""
+    md = fx.market_data(spark, sf)
+    return md.select("volume", "close", "symbol", "trade_count", "open", "timestamp", "low", "high") \
+             .select(*[F.col(c).cast("string").alias(c) if c not in ("timestamp", "symbol") else F.col(c)
+                       for c in ["volume", "close", "symbol", "trade_count", "open", "timestamp", "low", "high"]])
+
+
+@query
+def q_enforce_schema(spark, sf):
+    out = sc.enforce_schema(_text_bars(spark, sf), sc.get_schema("market_data"), "market_data",
+                            check_nulls=False)
+    return out.select(F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "symbol",
+                      *r6("open", "high", "low", "close"), "volume", "trade_count")
+
+
+# ---- corporate actions (N1-N3, J5, U1) ------------------------------------
+def _action_batches(spark, sf):
+    a = fx.corporate_actions(spark, sf)
+    b = (a.where(F.col("symbol").cast("int") % 4 == 0)
+          .withColumn("cash_dividend", F.col("cash_dividend") * 2)
+          .withColumn("split_ratio", F.coalesce(F.col("split_ratio"), F.lit(4.0))))
+    return [a, b]
+
+
+@query
+def q_action_factors(spark, sf):
+    out = ca.compute_adjustment_factors(fx.corporate_actions(spark, sf))
+    return out.select("symbol", F.col("ex_date").cast("timestamp_ntz").alias("ex_date"), *r6("split_factor", "dividend_factor", "adjustment_factor"))
+
+
+@query
+def q_action_factors_safe(spark, sf):
+    out = ca.compute_adjustment_factors(fx.corporate_actions(spark, sf), null_safe=True)
+    return out.select("symbol", F.col("ex_date").cast("timestamp_ntz").alias("ex_date"), *r6("split_factor", "dividend_factor", "adjustment_factor"))
+
+
+@query
+def q_actions_latest(spark, sf):
+    out = ca.latest_actions(_action_batches(spark, sf))
+    return out.select("symbol", F.col("ex_date").cast("timestamp_ntz").alias("ex_date"), *r6("split_ratio", "cash_dividend", "close"))
+
+
+@query
+def q_actions_table(spark, sf):
+    out = ca.actions_table(_action_batches(spark, sf))
+    return out.select("symbol", F.col("ex_date").cast("timestamp_ntz").alias("ex_date"), *r6("split_ratio", "cash_dividend", "close", "adjustment_factor"))
+
+
+@query
+def q_action_lookup(spark, sf):
+    keys = fx.market_data(spark, sf).select(
+        "symbol", F.col("timestamp").cast("date").alias("day"), "close")
+    out = ca.lookup_factors(keys, ca.actions_table(_action_batches(spark, sf)), "symbol", "day")
+    return out.select("symbol", F.col("day").cast("timestamp_ntz").alias("day"), *r6("close", "adjustment_factor"))
+
+
+# ---- scalar / time helpers (P3, P5, F1, F5, A8, A15, S3, L1, S9) ----------
+@query
+def q_scan_bars(spark, sf):
+    return fx.bars(spark, sf).select("symbol", "timestamp", *r6("open", "high", "low", "close"),
+                                     "volume", "trade_count")
+
+
+@query
+def q_sorted_bars(spark, sf):
+    return fx.bars(spark, sf).orderBy("timestamp", "symbol").select("timestamp", "symbol", *r6("close"))
+
+
+@query
+def q_ist_to_utc(spark, sf):
+    ev = fx.events(spark, sf)
+    utc = fe.local_to_utc("ts", ev.schema["ts"].dataType, "Asia/Kolkata")
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    as_text = fe.local_to_utc(text, T.StringType())
+    with_offset = fe.local_to_utc(F.concat(text, F.lit("+05:30")), T.StringType())
+    return ev.select("event_id", utc.cast("timestamp_ntz").alias("ts_utc"),
+                     as_text.cast("timestamp_ntz").alias("ts_utc_from_text"),
+                     with_offset.cast("timestamp_ntz").alias("ts_utc_from_offset"))
+
+
+@query
+def q_time_range_filter(spark, sf):
+    b = fx.bars(spark, sf)
+    return b.where(F.col("timestamp").between(F.lit("1997-03-01").cast("timestamp_ntz"),
+                                              F.lit("1998-02-28").cast("timestamp_ntz"))) \
+            .select("symbol", "timestamp", *r6("close"))
+
+
+@query
+def q_safe_cast(spark, sf):
+    ev = fx.events(spark, sf)
+    return ev.select("event_id",
+                     fe.safe_cast("props", "bigint").alias("props_as_long"),
+                     fe.safe_cast(F.regexp_extract("props", r"(\d+)", 1), "bigint").alias("k"),
+                     fe.safe_cast(F.col("event_type"), "double").alias("type_as_double"),
+                     fe.strict_cast(F.col("user_id"), "string").alias("user_text"))
+
+
+@query
+def q_scalar_math(spark, sf):
+    b = fx.bars(spark, sf)
+    r = fe.ieee_div(F.col("close"), F.col("open")) - 1
+    return b.select("symbol", "timestamp",
+                    *[c for c in r6_cols({
+                        "abs_ret": F.abs(r), "sign_ret": fe.sign(r),
+                        "sqrt_range": F.sqrt(F.col("high") - F.col("low")),
+                        "square_ret": F.pow(r, 2), "pow_vol": F.pow(F.col("volume"), 0.5),
+                        "tanh_ret": F.tanh(r), "rint_ret": F.rint(r * 10),
+                        "clip_ret": F.greatest(F.lit(-0.1), F.least(F.lit(0.1), r))})])
+
+
+def r6_cols(d):
+    return [(F.round(c * F.lit(1e6), 0) / F.lit(1e6)).alias(n) for n, c in d.items()]
+
+
+@query
+def q_history_bounds(spark, sf):
+    return fx.bars(spark, sf).groupBy("symbol").agg(F.min("timestamp").alias("first_ts"),
+                                                    F.max("timestamp").alias("last_ts"),
+                                                    F.count(F.lit(1)).alias("bars"))
+
+
+@query
+def q_signal_times(spark, sf):
+    return fx.signals(spark, sf).select("strategy", "timestamp").distinct()
+
+
+@query
+def q_source_hash(spark, sf):
+    files = spark.read.format("binaryFile").load(f"{sf.rstrip('/')}/*.parquet")
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"),
+                        F.col("length").alias("bytes"),
+                        F.sha2("content", 256).alias("source_hash"))

@@ -110,8 +110,8 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     month. Strategy = symbol % 3; weight in [-1, 1] divided by the number of
     symbols of the strategy, so a strategy's gross weight never exceeds 1."""
     li = table(spark, sf_dir, "lineitem")
-    active = (li.groupBy(F.col("l_suppkey").alias("symbol"),
-                         F.date_trunc("month", "l_shipdate").alias("month")).agg()
+    active = (li.select(F.col("l_suppkey").alias("symbol"),
+                        F.date_trunc("month", "l_shipdate").alias("month")).distinct()
                 .withColumn("strategy", (F.col("symbol") % N_STRATEGIES).cast("int")))
     counts = (table(spark, sf_dir, "supplier")
               .groupBy((F.col("s_suppkey") % N_STRATEGIES).cast("int").alias("strategy"))
