@@ -316,3 +316,122 @@ signals AS (
 
 SQL["signal_times"] = f"""WITH {SIGNALS} SELECT DISTINCT strategy, "timestamp" FROM signals"""
 # source_hash: no oracle (the SQL side cannot name the data directory); rows-only check.
+
+# ---- universe and portfolio -----------------------------------------------
+MASTER = """
+master AS (
+  SELECT s_suppkey AS symbol, n_regionkey AS region,
+         CAST(DATE '1995-01-01' + CAST(s_suppkey * 97 % 700 AS INTEGER) AS TIMESTAMP) AS start_date,
+         CASE WHEN s_suppkey % 3 = 0 THEN NULL
+              ELSE CAST(DATE '2001-12-31' - CAST(s_suppkey * 131 % 900 AS INTEGER) AS TIMESTAMP) END AS end_date
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey),
+members AS (
+  SELECT 'IDX' || CAST(region AS VARCHAR) AS "index", symbol,
+         CAST(CAST(start_date AS DATE) + CAST(symbol % 200 AS INTEGER) AS TIMESTAMP) AS start_date,
+         CAST(CAST(end_date AS DATE) - CAST(symbol % 200 AS INTEGER) AS TIMESTAMP) AS end_date
+  FROM master)"""
+
+
+def rsig(x: str, digits: int = 10) -> str:
+    e = f"(floor(log10(abs({x}))) - {digits - 1})"
+    return (f"CASE WHEN {x} = 0 OR {x} IS NULL OR isnan({x}) THEN {x} "
+            f"ELSE round({x} / pow(10.0, {e}), 0) * pow(10.0, {e}) END")
+
+
+def _valid(alias: str, t: str) -> str:
+    return f"({alias}.start_date <= {t} AND ({alias}.end_date IS NULL OR {alias}.end_date >= {t}))"
+
+
+SQL["universe_as_of"] = f"""WITH {MASTER}
+SELECT DISTINCT symbol FROM master m WHERE {_valid('m', "TIMESTAMP '1998-06-30'")}"""
+
+SQL["universe_panel"] = f"""WITH {MASTER}, {SIGNAL_TIMES}
+SELECT DISTINCT st."timestamp", m.symbol FROM st JOIN master m ON {_valid('m', 'st."timestamp"')}"""
+
+SQL["universe_index"] = f"""WITH {MASTER}, {SIGNAL_TIMES}
+SELECT DISTINCT st."timestamp", m.symbol FROM st JOIN master m ON {_valid('m', 'st."timestamp"')}
+WHERE EXISTS (SELECT 1 FROM members x WHERE x."index" = 'IDX1' AND x.symbol = m.symbol
+              AND {_valid('x', 'st."timestamp"')})"""
+
+_BT = f"""WITH RECURSIVE {BARS}, {SIGNALS}, {MASTER},
+sig AS (SELECT * FROM signals WHERE "timestamp" BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '2001-12-31'),
+tk AS (SELECT strategy, "timestamp", dense_rank() OVER (PARTITION BY strategy ORDER BY "timestamp") - 1 AS k
+       FROM (SELECT DISTINCT strategy, "timestamp" FROM sig)),
+gated AS (SELECT s.* FROM sig s WHERE EXISTS (
+            SELECT 1 FROM master m WHERE m.symbol = s.symbol AND {_valid('m', 's."timestamp"')})),
+atk AS (SELECT g.strategy, t.k, g.symbol, g.target_weight AS w FROM gated g JOIN tk t USING (strategy, "timestamp")),
+rws AS (SELECT strategy, k, symbol, max(w) AS w
+        FROM (SELECT strategy, k, symbol, w FROM atk
+              UNION ALL SELECT strategy, k + 1, symbol, NULL FROM atk) GROUP BY strategy, k, symbol),
+panel0 AS (SELECT r.strategy, r.k, t."timestamp", r.symbol, coalesce(r.w, 0.0) AS w
+           FROM rws r JOIN tk t ON t.strategy = r.strategy AND t.k = r.k),
+px AS (SELECT t.strategy, t.k, b.symbol, b.close FROM bars b JOIN tk t ON b."timestamp" = t."timestamp"
+       WHERE b.close IS NOT NULL AND NOT isnan(b.close)),
+pe AS (SELECT p.*, x.close AS p, CASE WHEN x.close > 0 THEN p.w ELSE 0.0 END AS w_eff
+       FROM panel0 p ASOF LEFT JOIN px x ON p.strategy = x.strategy AND p.symbol = x.symbol AND p.k >= x.k),
+contrib AS (SELECT c.strategy, c.k,
+                   sum(CASE WHEN pr.w_eff <> 0 THEN pr.w_eff * (c.p / pr.p - 1) ELSE 0.0 END) AS g
+            FROM pe c LEFT JOIN pe pr ON pr.strategy = c.strategy AND pr.symbol = c.symbol AND pr.k = c.k - 1
+            GROUP BY c.strategy, c.k),
+gk AS (SELECT t.strategy, t.k, t."timestamp", coalesce(c.g, 0.0) AS g FROM tk t LEFT JOIN contrib c USING (strategy, k)),
+nav AS (SELECT strategy, k, "timestamp", 1000000.0::DOUBLE AS v FROM gk WHERE k = 0
+        UNION ALL
+        SELECT g.strategy, g.k, g."timestamp", n.v * (1 + g.g) FROM nav n JOIN gk g ON g.strategy = n.strategy AND g.k = n.k + 1),
+eq AS (SELECT strategy, k, "timestamp", v AS portfolio_value,
+              v / coalesce(lag(v) OVER (PARTITION BY strategy ORDER BY k), 1000000.0) - 1 AS period_return FROM nav),
+dd AS (SELECT *, max(portfolio_value) OVER (PARTITION BY strategy ORDER BY k ROWS UNBOUNDED PRECEDING) AS peak FROM eq),
+dd2 AS (SELECT *, CASE WHEN peak > 0 THEN portfolio_value / peak - 1 ELSE 0.0 END AS drawdown FROM dd)"""
+
+SQL["gated_signals"] = f"""{_BT}
+SELECT strategy, "timestamp", symbol, round(target_weight, 6) AS target_weight FROM gated"""
+
+SQL["signal_price_panel"] = f"""WITH {BARS}, {SIGNALS}
+SELECT s.strategy, s."timestamp", s.symbol, round(s.target_weight, 6) AS target_weight, round(b.close, 6) AS close
+FROM signals s LEFT JOIN bars b ON b.symbol = s.symbol AND b."timestamp" = s."timestamp" """
+
+SQL["last_price"] = f"""{_BT} SELECT strategy, "timestamp", symbol, round(p, 6) AS p FROM pe"""
+SQL["rebalance_panel"] = f"""{_BT}
+SELECT strategy, "timestamp", symbol, round(w, 6) AS w, round(w_eff, 6) AS w_eff FROM pe"""
+
+SQL["trades"] = f"""{_BT},
+sh AS (SELECT pe.strategy, pe.k, pe."timestamp", pe.symbol,
+              CASE WHEN w_eff <> 0 THEN w_eff * n.v / p ELSE 0.0 END AS shares
+       FROM pe JOIN nav n ON n.strategy = pe.strategy AND n.k = pe.k)
+SELECT c.strategy, c."timestamp", c.symbol, round(c.shares, 4) AS shares,
+       round(c.shares - coalesce(pr.shares, 0.0), 4) AS trade_shares
+FROM sh c LEFT JOIN sh pr ON pr.strategy = c.strategy AND pr.symbol = c.symbol AND pr.k = c.k - 1"""
+
+SQL["nav_frictionless"] = f"""{_BT}
+SELECT strategy, "timestamp", {rsig('portfolio_value')} AS portfolio_value, round(period_return, 6) AS period_return FROM eq"""
+
+SQL["period_returns"] = f"""{_BT} SELECT strategy, "timestamp", round(period_return, 6) AS period_return FROM eq"""
+
+SQL["drawdown"] = f"""{_BT}
+SELECT strategy, "timestamp", {rsig('peak')} AS peak, round(drawdown, 6) AS drawdown FROM dd2"""
+
+SQL["backtest_summary"] = f"""{_BT},
+agg AS (SELECT strategy, min("timestamp") AS start_date, max("timestamp") AS end_date,
+               arg_min(portfolio_value, k) AS first_value, arg_max(portfolio_value, k) AS final_value,
+               coalesce(stddev_samp(period_return) FILTER (WHERE k >= 1), 0.0) AS sd,
+               coalesce(avg(period_return) FILTER (WHERE k >= 1), 0.0) AS mu,
+               min(drawdown) AS mdd
+        FROM dd2 GROUP BY strategy)
+SELECT strategy, start_date, end_date, 1000000.0::DOUBLE AS initial_capital, {rsig('final_value')} AS final_value,
+       round(final_value / first_value - 1, 6) AS total_return,
+       round(final_value / 1000000.0 - 1, 6) AS return_on_capital,
+       round(CASE WHEN sd <> 0 THEN sd * sqrt(252) ELSE 0.0 END, 6) AS annualised_volatility,
+       round(CASE WHEN sd <> 0 THEN mu / sd * sqrt(252) ELSE 0.0 END, 6) AS sharpe_ratio,
+       round(abs(least(mdd, 0.0)), 6) AS max_drawdown
+FROM agg"""
+
+SQL["trade_costs"] = f"""WITH {BARS},
+n AS (SELECT symbol, "timestamp", close * volume * CASE WHEN close >= open THEN 1.0 ELSE -1.0 END AS notional FROM bars)
+SELECT symbol, "timestamp", round(notional, 6) AS notional,
+       round(CASE WHEN notional = 0 THEN 0.0 ELSE greatest(abs(notional) * (10.0 / 10000) + 1.0, 20.0) END, 6) AS cost
+FROM n"""
+
+SQL["exec_prices"] = f"""WITH {BARS}
+SELECT symbol, "timestamp",
+       round(CASE WHEN sign(close - open) = 0 THEN close ELSE close * (1 + sign(close - open) * (5.0 / 10000)) END, 6)
+         AS exec_price
+FROM bars"""

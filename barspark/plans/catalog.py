@@ -33,6 +33,18 @@ def r4(*names: str):
     return [(F.round(F.col(n) * F.lit(1e4), 0) / F.lit(1e4)).alias(n) for n in names]
 
 
+def rsig(*names: str, digits: int = 10):
+    """Round to ``digits`` significant digits (portfolio values span many
+    orders of magnitude); the oracle applies the same arithmetic."""
+    out = []
+    for n in names:
+        x = F.col(n)
+        e = F.floor(F.log10(F.abs(x))) - (digits - 1)
+        scaled = F.round(x / F.pow(F.lit(10.0), e), 0) * F.pow(F.lit(10.0), e)
+        out.append(F.when((x == 0) | x.isNull() | F.isnan(x), x).otherwise(scaled).alias(n))
+    return out
+
+
 def _features(spark, sf, defs, target=None):
     out, names, tname = feat.engineer_features(fx.bars(spark, sf), defs, ["symbol"], "timestamp",
                                                target=target)
@@ -359,3 +371,112 @@ def q_source_hash(spark, sf):
     return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"),
                         F.col("length").alias("bytes"),
                         F.sha2("content", 256).alias("source_hash"))
+
+
+# ---- universe and portfolio (P8, J2-J4, J6, B1-B7, W11, W12, A11) ---------
+from ..operators import universe as uv  # noqa: E402
+from ..operators import portfolio as pf  # noqa: E402
+
+BT = pf.BacktestConfig(start_date="1995-01-01", end_date="2001-12-31", initial_capital=1_000_000.0)
+COSTS = pf.CostModel(bps=10.0, minimum_fee=20.0, per_order_fee=1.0)
+SLIP = pf.SlippageModel(bps=5.0)
+
+
+@query
+def q_universe_as_of(spark, sf):
+    return uv.universe_as_of(fx.symbol_master(spark, sf), "1998-06-30")
+
+
+@query
+def q_universe_panel(spark, sf):
+    return uv.universe_at(fx.symbol_master(spark, sf), fx.signal_times(spark, sf))
+
+
+@query
+def q_universe_index(spark, sf):
+    return uv.universe_at(fx.symbol_master(spark, sf), fx.signal_times(spark, sf),
+                          index_members=fx.index_members(spark, sf), index_name="IDX1")
+
+
+@query
+def q_gated_signals(spark, sf):
+    g = uv.gate_signals(fx.signals(spark, sf), fx.symbol_master(spark, sf))
+    return g.select("strategy", "timestamp", "symbol", *r6("target_weight"))
+
+
+@query
+def q_signal_price_panel(spark, sf):
+    sp = pf.signal_prices(fx.signals(spark, sf), fx.bars(spark, sf).select("timestamp", "symbol", "close"))
+    return sp.select("strategy", "timestamp", "symbol", *r6("target_weight", "close"))
+
+
+def _panel(spark, sf):
+    return pf.build_panel(fx.signals(spark, sf), fx.bars(spark, sf).select("timestamp", "symbol", "close"),
+                          fx.symbol_master(spark, sf), BT)
+
+
+@query
+def q_last_price(spark, sf):
+    return _panel(spark, sf).select("strategy", "timestamp", "symbol", *r6("p"))
+
+
+@query
+def q_rebalance_panel(spark, sf):
+    return _panel(spark, sf).select("strategy", "timestamp", "symbol", *r6("w", "w_eff"))
+
+
+def _bt(spark, sf, costs=None, slip=None):
+    return pf.run_backtest(fx.signals(spark, sf), fx.bars(spark, sf).select("timestamp", "symbol", "close"),
+                           fx.symbol_master(spark, sf), BT, costs, slip)
+
+
+@query
+def q_trades(spark, sf):
+    t = _bt(spark, sf).trades
+    return t.select("strategy", "timestamp", "symbol", *r4("shares", "trade_shares"))
+
+
+@query
+def q_nav_frictionless(spark, sf):
+    e = _bt(spark, sf).equity
+    return e.select("strategy", "timestamp", *rsig("portfolio_value"), *r6("period_return"))
+
+
+@query
+def q_period_returns(spark, sf):
+    return _bt(spark, sf).equity.select("strategy", "timestamp", *r6("period_return"))
+
+
+@query
+def q_drawdown(spark, sf):
+    d = pf.drawdown(_bt(spark, sf).equity)
+    return d.select("strategy", "timestamp", *rsig("peak"), *r6("drawdown"))
+
+
+@query
+def q_backtest_summary(spark, sf):
+    s = _bt(spark, sf).summary(BT)
+    return s.select("strategy", "start_date", "end_date", "initial_capital", *rsig("final_value"),
+                    *r6("total_return", "return_on_capital", "annualised_volatility", "sharpe_ratio",
+                        "max_drawdown"))
+
+
+@query
+def q_nav_costed(spark, sf):
+    e = _bt(spark, sf, COSTS, SLIP).equity
+    return e.select("strategy", "timestamp", *rsig("portfolio_value"), *r6("period_return"))
+
+
+@query
+def q_trade_costs(spark, sf):
+    b = fx.bars(spark, sf)
+    notional = (F.col("close") * F.col("volume") * F.when(F.col("close") >= F.col("open"), 1.0).otherwise(-1.0))
+    return b.select("symbol", "timestamp", *r6_cols({"notional": notional,
+                                                      "cost": COSTS.estimate(notional)}))
+
+
+@query
+def q_exec_prices(spark, sf):
+    b = fx.bars(spark, sf)
+    direction = F.signum(F.col("close") - F.col("open"))
+    return b.select("symbol", "timestamp", *r6_cols({"exec_price": SLIP.apply(F.col("close"), direction)}))
