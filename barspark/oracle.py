@@ -435,3 +435,136 @@ SELECT symbol, "timestamp",
        round(CASE WHEN sign(close - open) = 0 THEN close ELSE close * (1 + sign(close - open) * (5.0 / 10000)) END, 6)
          AS exec_price
 FROM bars"""
+
+# ---- splits, folds, metrics -----------------------------------------------
+SQL["split_rows"] = f"""WITH {BARS},
+t AS (SELECT 'early' AS split, 'train' AS role, "timestamp" FROM bars WHERE "timestamp" BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1998-12-31'
+      UNION ALL SELECT 'early', 'validation', "timestamp" FROM bars WHERE "timestamp" BETWEEN TIMESTAMP '1999-01-01' AND TIMESTAMP '1999-06-30'
+      UNION ALL SELECT 'late', 'train', "timestamp" FROM bars WHERE "timestamp" BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1999-12-31'
+      UNION ALL SELECT 'late', 'validation', "timestamp" FROM bars WHERE "timestamp" BETWEEN TIMESTAMP '2000-01-01' AND TIMESTAMP '2001-06-30')
+SELECT split, role, count(*) AS rows, min("timestamp") AS first_ts, max("timestamp") AS last_ts FROM t GROUP BY split, role"""
+
+
+def _folds_sql(src: str) -> str:
+    return f"""
+wcfg AS (SELECT * FROM (VALUES ('1yr_train_3mo_val', 252, 63, 21), ('2yr_train_6mo_val', 504, 126, 42))
+         AS t(name, td, vd, sd)),
+hb AS (SELECT greatest(TIMESTAMP '1994-01-01', min("timestamp")) AS st, max("timestamp") AS lt FROM {src}),
+folds AS (
+  SELECT name AS "window", CAST(i AS INTEGER) AS fold,
+         st + to_days(CAST(i * sd AS INTEGER)) AS train_start,
+         st + to_days(CAST(i * sd + td - 1 AS INTEGER)) AS train_end,
+         st + to_days(CAST(i * sd + td AS INTEGER)) AS validation_start,
+         st + to_days(CAST(i * sd + td + vd - 1 AS INTEGER)) AS validation_end
+  FROM wcfg, hb, range(0, 100000) r(i)
+  WHERE st + to_days(CAST(i * sd + td + vd - 1 AS INTEGER)) <= lt)"""
+
+
+SQL["cv_folds"] = f"""WITH {BARS}, {_folds_sql('bars')} SELECT * FROM folds"""
+
+SQL["cv_fold_rows"] = f"""WITH {BARS}, {_folds_sql('bars')},
+t AS (SELECT f."window", f.fold, 'train' AS role, b."timestamp" FROM bars b JOIN folds f
+        ON b."timestamp" BETWEEN f.train_start AND f.train_end
+      UNION ALL
+      SELECT f."window", f.fold, 'validation', b."timestamp" FROM bars b JOIN folds f
+        ON b."timestamp" BETWEEN f.validation_start AND f.validation_end)
+SELECT "window", fold, role, count(*) AS rows, min("timestamp") AS first_ts, max("timestamp") AS last_ts
+FROM t GROUP BY "window", fold, role"""
+
+_SUP = f"""{BARS},
+f AS (SELECT *, {_ff('close')} AS ff_close FROM bars),
+g AS (SELECT symbol, "timestamp", {_BASIC},
+        lead(close, 1) OVER ({W}) / close - 1 AS future_return_1d
+      FROM f),
+sup AS (SELECT * FROM g WHERE {' AND '.join(n + ' IS NOT NULL' for n in _BASIC_NAMES + ['future_return_1d'])})"""
+
+
+def _metrics_sql(src: str, keys: str) -> str:
+    return f"""
+mm AS (SELECT *, avg(y) OVER (PARTITION BY {keys}) AS ybar FROM {src}),
+m1 AS (SELECT {keys}, count(*) AS n, avg((p - y) * (p - y)) AS mse, avg(abs(p - y)) AS mae,
+              sum((y - p) * (y - p)) AS sse, sum((y - ybar) * (y - ybar)) AS sst,
+              avg(CASE WHEN sign(p) = sign(y) THEN 1.0 ELSE 0.0 END) AS directional_accuracy,
+              avg(sign(p) * y) AS avg_strategy_return,
+              CASE WHEN count(*) > 1 THEN coalesce(stddev_samp(sign(p) * y), 0.0) ELSE 0.0 END AS strategy_volatility
+       FROM mm GROUP BY {keys}),
+m2 AS (SELECT {keys}, n, sqrt(mse) AS rmse, mae, mse,
+              CASE WHEN sst = 0 THEN CASE WHEN sse = 0 THEN 1.0 ELSE 0.0 END ELSE 1 - sse / sst END AS r2,
+              directional_accuracy, avg_strategy_return, strategy_volatility,
+              CASE WHEN strategy_volatility > 1e-12 THEN avg_strategy_return / strategy_volatility ELSE 0.0 END
+                AS strategy_sharpe
+       FROM m1)"""
+
+
+_METRICS = ["rmse", "mae", "mse", "r2", "directional_accuracy", "avg_strategy_return",
+            "strategy_volatility", "strategy_sharpe"]
+
+SQL["regression_metrics"] = f"""WITH {_SUP},
+src AS (SELECT symbol, future_return_1d AS y, return_1d AS p FROM sup), {_metrics_sql('src', 'symbol')}
+SELECT symbol, n, {_rounded(_METRICS)} FROM m2"""
+
+SQL["cv_metrics"] = f"""WITH {_SUP}, {_folds_sql('sup')},
+t AS (SELECT f."window", f.fold, 'train' AS role, s.future_return_1d AS y, s.return_1d AS p FROM sup s JOIN folds f
+        ON s."timestamp" BETWEEN f.train_start AND f.train_end
+      UNION ALL
+      SELECT f."window", f.fold, 'validation', s.future_return_1d, s.return_1d FROM sup s JOIN folds f
+        ON s."timestamp" BETWEEN f.validation_start AND f.validation_end),
+okf AS (SELECT "window", fold FROM t GROUP BY "window", fold
+        HAVING count(*) FILTER (WHERE role = 'train') > 0 AND count(*) FILTER (WHERE role = 'validation') > 0),
+src AS (SELECT t."window", t.fold, y, p FROM t JOIN okf USING ("window", fold) WHERE role = 'validation'),
+{_metrics_sql('src', '"window", fold')},
+avgw AS (SELECT "window", {', '.join(f'avg({m}) AS {m}' for m in _METRICS)} FROM m2 GROUP BY "window")
+SELECT 'cv_' || "window" || '_' || metric AS key, round(value, 6) AS value
+FROM (UNPIVOT avgw ON {', '.join(_METRICS)} INTO NAME metric VALUE value)"""
+
+# ---- rewards ---------------------------------------------------------------
+_LIN = [1.0 + (0.2 - 1.0) * i / 8 for i in range(9)]
+_SIG = "0.0::DOUBLE"
+for _n, _w in zip(_BASIC_NAMES, _LIN):
+    _SIG = f"({_SIG} + {_n} * {_w!r}::DOUBLE)"
+
+_POL = f"""{_SUP},
+pol0 AS (SELECT *, {_SIG} AS signal FROM sup),
+pol1 AS (SELECT *, greatest(-1.0, least(1.0, round_even(tanh(0.001::DOUBLE * signal), 0))) AS action FROM pol0),
+pol AS (SELECT *, coalesce(lag(action) OVER ({W}), 0.0) AS prev_action,
+               row_number() OVER ({W}) - 1 AS rn, count(*) OVER (PARTITION BY symbol) AS n FROM pol1)"""
+
+_RISK = "(action * future_return_1d - 0.0005::DOUBLE * abs(action - prev_action) - 0.001::DOUBLE * action * action)"
+
+SQL["feature_signal"] = f"""WITH {_POL} SELECT symbol, "timestamp", round(signal, 4) AS signal FROM pol"""
+SQL["action_policy"] = f"""WITH {_POL} SELECT symbol, "timestamp", action FROM pol"""
+SQL["action_turnover"] = f"""WITH {_POL} SELECT symbol, "timestamp", abs(action - prev_action) AS turnover FROM pol"""
+SQL["reward_risk_adjusted"] = f"""WITH {_POL}
+SELECT symbol, "timestamp", action, round({_RISK}, 6) AS reward FROM pol"""
+SQL["reward_directional"] = f"""WITH {_POL}
+SELECT symbol, "timestamp", action,
+       CASE WHEN sign(action) = sign(future_return_1d - 0.0) THEN 1.0 ELSE -1.0 END AS reward FROM pol"""
+SQL["discounted_reward"] = f"""WITH {_POL}
+SELECT symbol, round(sum({_RISK} * pow(0.95, rn)), 6) AS discounted_reward FROM pol GROUP BY symbol"""
+
+_EP = f"""{_POL},
+syms AS (SELECT DISTINCT symbol, n FROM pol WHERE n >= 63),
+eps AS (SELECT symbol, CAST(e AS INTEGER) AS episode, (e * 97) % (n - 63 + 1) AS start FROM syms, range(0, 4) r(e)),
+er AS (SELECT e.symbol, e.episode, CAST(p.rn - e.start AS INTEGER) AS step, p."timestamp", p.action, p.future_return_1d
+       FROM eps e JOIN pol p ON p.symbol = e.symbol AND p.rn BETWEEN e.start AND e.start + 62),
+er2 AS (SELECT * EXCLUDE (prev_action0), prev_action0 AS prev_action FROM (
+          SELECT *, coalesce(lag(action) OVER (PARTITION BY symbol, episode ORDER BY step), 0.0) AS prev_action0 FROM er)),
+er3 AS (SELECT *, {_RISK} AS reward FROM er2),
+kp AS (SELECT symbol, episode, sum(reward) AS cumulative_reward, sum(reward * pow(0.95, step)) AS discounted_reward,
+              avg(reward) AS mean_reward, sum(abs(action - prev_action)) AS turnover,
+              CASE WHEN count(*) > 1 AND stddev_samp(action * future_return_1d) > 1e-12
+                   THEN avg(action * future_return_1d) / stddev_samp(action * future_return_1d) ELSE 0.0 END AS sharpe,
+              avg(CASE WHEN sign(action) = sign(future_return_1d) THEN 1.0 ELSE 0.0 END) AS directional_accuracy,
+              avg(CASE WHEN reward > 0 THEN 1.0 ELSE 0.0 END) AS hit_rate
+       FROM er3 GROUP BY symbol, episode)"""
+
+_KPIS = ["cumulative_reward", "discounted_reward", "mean_reward", "turnover", "sharpe",
+         "directional_accuracy", "hit_rate"]
+
+SQL["episode_rows"] = f"""WITH {_EP}
+SELECT symbol, episode, step, "timestamp", action, round(reward, 6) AS reward FROM er3"""
+SQL["episode_kpis"] = f"""WITH {_EP} SELECT symbol, episode, {_rounded(_KPIS)} FROM kp"""
+SQL["episode_summary"] = f"""WITH {_EP}
+SELECT symbol, count(*) AS episodes,
+       {', '.join(f"round(avg({k}), 6) AS mean_{k}, round(CASE WHEN count({k}) > 1 THEN stddev_samp({k}) ELSE 0.0 END, 6) AS std_{k}" for k in _KPIS)}
+FROM kp GROUP BY symbol"""

@@ -480,3 +480,170 @@ def q_exec_prices(spark, sf):
     b = fx.bars(spark, sf)
     direction = F.signum(F.col("close") - F.col("open"))
     return b.select("symbol", "timestamp", *r6_cols({"exec_price": SLIP.apply(F.col("close"), direction)}))
+
+
+# ---- splits, folds, metrics (M4, W15, J8, A9, A10) ------------------------
+from ..operators import validation as va  # noqa: E402
+from ..operators import rewards as rw  # noqa: E402
+from ..operators import sequence as sqn  # noqa: E402
+
+SPLITS = {"early": {"train_start": "1995-01-01", "train_end": "1998-12-31",
+                    "validation_start": "1999-01-01", "validation_end": "1999-06-30"},
+          "late": {"train_start": "1996-01-01", "train_end": "1999-12-31",
+                   "validation_start": "2000-01-01", "validation_end": "2001-06-30"}}
+# the reference's rolling windows with min_train_date before this data's start
+CV_WINDOWS = [dict(w, min_train_date="1994-01-01") for w in DEFAULT_CONFIG["cross_validation"]["rolling_windows"]]
+
+
+def _supervised(spark, sf):
+    return feat.prepare_supervised(fx.bars(spark, sf), DEFAULT_CONFIG, "basic_price")
+
+
+def _folds(df):
+    out = None
+    for w in CV_WINDOWS:
+        f = va.generate_folds(df, w)
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
+@query
+def q_split_rows(spark, sf):
+    b = fx.bars(spark, sf)
+    tagged = None
+    for name, cfg in SPLITS.items():
+        t = va.split_rows(b, name, cfg)
+        tagged = t if tagged is None else tagged.unionByName(t)
+    return tagged.groupBy("split", "role").agg(F.count(F.lit(1)).alias("rows"),
+                                               F.min("timestamp").alias("first_ts"),
+                                               F.max("timestamp").alias("last_ts"))
+
+
+@query
+def q_cv_folds(spark, sf):
+    return _folds(fx.bars(spark, sf))
+
+
+@query
+def q_cv_fold_rows(spark, sf):
+    b = fx.bars(spark, sf)
+    t = va.fold_rows(b, _folds(b))
+    return t.groupBy("window", "fold", "role").agg(F.count(F.lit(1)).alias("rows"),
+                                                   F.min("timestamp").alias("first_ts"),
+                                                   F.max("timestamp").alias("last_ts"))
+
+
+@query
+def q_regression_metrics(spark, sf):
+    sup, _, tname = _supervised(spark, sf)
+    m = va.regression_metrics(sup, tname, "return_1d", ["symbol"])
+    return m.select("symbol", "n", *r6(*va.METRICS))
+
+
+@query
+def q_cv_metrics(spark, sf):
+    sup, _, tname = _supervised(spark, sf)
+    tagged = va.fold_rows(sup, _folds(sup))
+    return va.cv_metrics_from_folds(tagged, tname, "return_1d").select("key", *r6("value"))
+
+
+# ---- rewards (R1-R5, W13, W14, A12, A13) ----------------------------------
+RL = DEFAULT_CONFIG["rl"]
+BASIC = [feat.feature_alias(d) for d in DEFAULT_CONFIG["feature_sets"]["basic_price"]["features"]]
+LR = 0.001
+GAMMA = 0.95
+
+
+def _policy_rows(spark, sf):
+    sup, names, tname = _supervised(spark, sf)
+    seq = sqn.index_sequence(sup, ["symbol"], "timestamp")
+    rows = seq.frame.drop(sqn.BKT)
+    rows = rows.withColumn("signal", rw.feature_signal(names))
+    rows = rows.withColumn("action", rw.action_policy(F.col("signal"), F.lit(LR), None))
+    rows = rw.with_previous(rows, ["symbol"], sqn.RN, "action", "prev_action")
+    return rows, tname
+
+
+@query
+def q_feature_signal(spark, sf):
+    rows, _ = _policy_rows(spark, sf)
+    return rows.select("symbol", "timestamp", *r4("signal"))
+
+
+@query
+def q_action_policy(spark, sf):
+    rows, _ = _policy_rows(spark, sf)
+    return rows.select("symbol", "timestamp", "action")
+
+
+@query
+def q_action_turnover(spark, sf):
+    rows, _ = _policy_rows(spark, sf)
+    return rows.select("symbol", "timestamp", F.abs(F.col("action") - F.col("prev_action")).alias("turnover"))
+
+
+@query
+def q_reward_risk_adjusted(spark, sf):
+    rows, t = _policy_rows(spark, sf)
+    r = rw.reward_column(RL["reward_definitions"][0], "action", t, "prev_action")
+    return rows.select("symbol", "timestamp", "action", *r6_cols({"reward": r}))
+
+
+@query
+def q_reward_directional(spark, sf):
+    rows, t = _policy_rows(spark, sf)
+    r = rw.reward_column(RL["reward_definitions"][1], "action", t, "prev_action")
+    return rows.select("symbol", "timestamp", "action", r.alias("reward"))
+
+
+@query
+def q_discounted_reward(spark, sf):
+    rows, t = _policy_rows(spark, sf)
+    r = rw.reward_column(RL["reward_definitions"][0], "action", t, "prev_action")
+    return (rows.groupBy("symbol").agg(F.sum(r * F.pow(F.lit(GAMMA), F.col(sqn.RN))).alias("discounted_reward"))
+                .select("symbol", *r6("discounted_reward")))
+
+
+EPISODES, EP_LEN, STRIDE = 4, RL["episode_length"], 97
+
+
+def _episodes(spark, sf):
+    sup, names, tname = _supervised(spark, sf)
+    rows, counts = rw.indexed_rows(sup)
+    rows = rows.withColumn("signal", rw.feature_signal(names)) \
+               .withColumn("action", rw.action_policy(F.col("signal"), F.lit(LR), None))
+    starts = rw.episode_starts(counts, EPISODES, EP_LEN, 42, stride=STRIDE)
+    ep = rw.episode_rows(rows, starts, EP_LEN)
+    ep = rw.with_previous(ep, ["symbol", "episode"], "step", "action", "prev_action")
+    ep = ep.withColumn("reward", rw.reward_column(RL["reward_definitions"][0], "action", tname, "prev_action"))
+    return ep, tname
+
+
+@query
+def q_episode_rows(spark, sf):
+    ep, _ = _episodes(spark, sf)
+    return ep.select("symbol", "episode", "step", "timestamp", "action", *r6("reward"))
+
+
+@query
+def q_episode_kpis(spark, sf):
+    ep, t = _episodes(spark, sf)
+    k = rw.episode_kpis(ep, ["symbol", "episode"], "action", t, "reward", F.lit(GAMMA))
+    return k.select("symbol", "episode", *r6(*rw.KPIS))
+
+
+@query
+def q_episode_summary(spark, sf):
+    ep, t = _episodes(spark, sf)
+    k = rw.episode_kpis(ep, ["symbol", "episode"], "action", t, "reward", F.lit(GAMMA))
+    s = rw.episode_summary(k, ["symbol"])
+    return s.select("symbol", "episodes", *r6(*[f"{p}_{k}" for k in rw.KPIS for p in ("mean", "std")]))
+
+
+@query
+def q_sweep_summary(spark, sf):
+    sup, names, tname = _supervised(spark, sf)
+    _, summary = rw.run_sweep(sup, names, tname, RL["reward_definitions"], RL["hyperparameters"],
+                              RL["evaluation_episodes"], RL["episode_length"], seed=42)
+    return summary.select("reward", "param_id", "learning_rate", "gamma", "entropy_coef", "episodes",
+                          *r6(*[f"{p}_{k}" for k in rw.KPIS for p in ("mean", "std")]))
