@@ -568,3 +568,58 @@ SQL["episode_summary"] = f"""WITH {_EP}
 SELECT symbol, count(*) AS episodes,
        {', '.join(f"round(avg({k}), 6) AS mean_{k}, round(CASE WHEN count({k}) > 1 THEN stddev_samp({k}) ELSE 0.0 END, 6) AS std_{k}" for k in _KPIS)}
 FROM kp GROUP BY symbol"""
+
+# ---- ledger, points, audit ------------------------------------------------
+_LEDGER = """
+ledger AS (SELECT o_orderkey AS id, 'landing/' || CAST(o_orderkey AS VARCHAR) || '.csv' AS source_path,
+                  'clean/' || CAST(o_orderkey AS VARCHAR) || '.parquet' AS destination_path,
+                  sha256(CAST(o_orderkey AS VARCHAR)) AS source_hash, o_custkey AS row_count,
+                  'completed' AS status, o_orderdate AS created_at, o_orderdate AS completed_at
+           FROM orders WHERE o_orderkey % 2 = 1),
+batch AS (SELECT 'landing/' || CAST(o_orderkey AS VARCHAR) || '.csv' AS source_path,
+                 sha256(CAST(o_orderkey AS VARCHAR)) AS source_hash, o_custkey AS row_count,
+                 o_orderdate + INTERVAL 3650 DAY AS created_at
+          FROM orders)"""
+
+SQL["ledger_new_files"] = f"""WITH {_LEDGER}
+SELECT source_path, source_hash FROM batch WHERE source_hash NOT IN (SELECT source_hash FROM ledger)"""
+
+SQL["ledger_upsert"] = f"""WITH {_LEDGER},
+runs AS (SELECT source_path, regexp_replace(source_path, '^landing/(.*)\\.csv$', 'clean/\\1.parquet') AS destination_path,
+                source_hash, row_count, 'completed' AS status, created_at, created_at AS completed_at FROM batch),
+upd AS (SELECT l.id, l.source_path, r.destination_path, l.source_hash, r.row_count, r.status, l.created_at, r.completed_at
+        FROM ledger l JOIN runs r USING (source_hash)),
+keep AS (SELECT * FROM ledger WHERE source_hash NOT IN (SELECT source_hash FROM runs)),
+ins AS (SELECT (SELECT max(id) FROM ledger) + row_number() OVER (ORDER BY completed_at, source_hash) AS id,
+               source_path, destination_path, source_hash, row_count, status, created_at, completed_at
+        FROM runs WHERE source_hash NOT IN (SELECT source_hash FROM ledger))
+SELECT * FROM upd UNION ALL SELECT * FROM keep UNION ALL SELECT * FROM ins"""
+
+_FIELDS = """concat_ws(',',
+   'event_id=' || CAST(event_id AS VARCHAR) || 'i',
+   CASE WHEN user_id IS NOT NULL THEN 'user_id=' || CAST(user_id AS VARCHAR) || 'i' END,
+   CASE WHEN value IS NOT NULL AND NOT isnan(value) THEN 'value=' || CAST(value AS VARCHAR) END,
+   CASE WHEN props IS NOT NULL THEN 'props="' || replace(replace(props, '\\', '\\\\'), '"', '\\"') || '"' END)"""
+
+SQL["points_tags"] = """SELECT event_id, 'events' AS measurement,
+       CASE WHEN event_type IS NULL THEN '' ELSE 'event_type=' || event_type END AS tags FROM events"""
+
+SQL["points_fields"] = f"""SELECT event_id, {_FIELDS} AS fields, epoch_us(ts) * 1000 AS time_ns FROM events"""
+
+SQL["points_lines"] = f"""SELECT event_id,
+       'events' || CASE WHEN event_type IS NULL THEN ''
+                        ELSE ',event_type=' || regexp_replace(event_type, '([ ,=])', '\\\\\\1', 'g') END
+       || ' ' || {_FIELDS} || ' ' || CAST(epoch_us(ts) * 1000 AS VARCHAR) AS line FROM events"""
+
+SQL["audit_json"] = f"""WITH {_MAD},
+g AS (SELECT count(*) AS c FROM ({_gaps_sql()})),
+d AS (SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS c FROM (
+        SELECT count(*) AS c FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+        GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)),
+o AS (SELECT count(*) AS c FROM f WHERE is_outlier)
+SELECT 'time_gaps_detected' AS event,
+       '{{"application":"barspark.ingest","details":{{"count":' || c || ',"expected_frequency":"0:10:00"}},"event":"time_gaps_detected","level":"INFO","timestamp":"{'2026-01-01T00:00:00+00:00'}"}}' AS json FROM g
+UNION ALL SELECT 'duplicates_collapsed',
+       '{{"application":"barspark.ingest","details":{{"collapsed_count":' || c || ',"keys":["l_orderkey","l_linenumber"]}},"event":"duplicates_collapsed","level":"INFO","timestamp":"2026-01-01T00:00:00+00:00"}}' FROM d
+UNION ALL SELECT 'mad_outliers_quarantined',
+       '{{"application":"barspark.ingest","details":{{"threshold":3.5,"total_quarantined":' || c || '}},"event":"mad_outliers_quarantined","level":"WARNING","timestamp":"2026-01-01T00:00:00+00:00"}}' FROM o"""

@@ -647,3 +647,66 @@ def q_sweep_summary(spark, sf):
                               RL["evaluation_episodes"], RL["episode_length"], seed=42)
     return summary.select("reward", "param_id", "learning_rate", "gamma", "entropy_coef", "episodes",
                           *r6(*[f"{p}_{k}" for k in rw.KPIS for p in ("mean", "std")]))
+
+
+# ---- ledger, points, audit (J7, K3, K4, K8) -------------------------------
+from ..sinks import ledger as lg  # noqa: E402
+from ..sinks import points as pt  # noqa: E402
+from ..sinks import audit as au  # noqa: E402
+
+RUN_TS = "2026-01-01T00:00:00+00:00"
+
+
+@query
+def q_ledger_new_files(spark, sf):
+    return lg.new_files(fx.landing_batch(spark, sf), fx.ledger(spark, sf)).select("source_path", "source_hash")
+
+
+@query
+def q_ledger_upsert(spark, sf):
+    runs = fx.landing_batch(spark, sf).select(
+        "source_path",
+        F.regexp_replace("source_path", r"^landing/(.*)\.csv$", "clean/$1.parquet").alias("destination_path"),
+        "source_hash", "row_count", F.lit("completed").alias("status"),
+        "created_at", F.col("created_at").alias("completed_at"))
+    return lg.upsert(fx.ledger(spark, sf), runs)
+
+
+def _points(spark, sf):
+    return pt.to_points(fx.events(spark, sf), "events", "ts", ["event_type"], keep=["event_id"])
+
+
+@query
+def q_points_tags(spark, sf):
+    p = _points(spark, sf)
+    return p.select("event_id", "measurement",
+                    F.array_join(F.transform(F.array_sort(F.map_entries("tags")),
+                                             lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("tags"))
+
+
+@query
+def q_points_fields(spark, sf):
+    p = _points(spark, sf)
+    return p.select("event_id", F.array_join(F.transform(F.map_entries("fields"),
+                                                         lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+                    .alias("fields"), "time_ns")
+
+
+@query
+def q_points_lines(spark, sf):
+    return _points(spark, sf).select("event_id", "line")
+
+
+@query
+def q_audit_json(spark, sf):
+    lines = fx.duplicated_lines(spark, sf)
+    gaps = _gaps(spark, sf).agg(F.count(F.lit(1)).alias("count"),
+                                F.lit("0:10:00").alias("expected_frequency"))
+    dups = dq.duplicate_summary(lines, LINE_KEYS).select(
+        "collapsed_count", F.array(*[F.lit(k) for k in LINE_KEYS]).alias("keys"))
+    outl = _mad(spark, sf).quarantined.agg(F.count(F.lit(1)).alias("total_quarantined"),
+                                           F.lit(3.5).alias("threshold"))
+    return au.union_all([
+        au.audit_event(gaps, "time_gaps_detected", "barspark.ingest", RUN_TS),
+        au.audit_event(dups, "duplicates_collapsed", "barspark.ingest", RUN_TS),
+        au.audit_event(outl, "mad_outliers_quarantined", "barspark.ingest", RUN_TS, "WARNING")])
