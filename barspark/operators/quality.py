@@ -143,36 +143,50 @@ class MadResult:
         return self.scored.where(F.col("is_outlier"))
 
 
-def column_median(df: DataFrame, column: str) -> DataFrame:
-    """A4: exact interpolated median of the non-strictly-cast column."""
-    return exact_quantile(df, F.col(column).try_cast("double"), 0.5, alias="median")
-
-
-def column_mad(df: DataFrame, column: str) -> DataFrame:
-    """A5: median and median absolute deviation from it."""
-    med = column_median(df, column).withColumn("_k", F.lit(0))
+def column_median(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """A4: exact interpolated median of the non-strictly-cast column (per
+    group when ``by`` is given)."""
+    return exact_quantile(df, F.col(column).try_cast("double"), 0.5, by=by, alias="median")
+
+
+def column_mad(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """A5: median and median absolute deviation from it (per group)."""
+    by = list(by)
+    keys = by or ["_k"]
+    med = column_median(df, column, by)
+    if not by:
+        med = med.withColumn("_k", F.lit(0))
     x = F.col(column).try_cast("double")
-    dev = (df.select(x.alias("_x")).withColumn("_k", F.lit(0))
-             .join(F.broadcast(med), on="_k")
-             .select(F.abs(F.col("_x") - F.col("median")).alias("_d")))
-    mad = exact_quantile(dev, "_d", 0.5, alias="mad").withColumn("_k", F.lit(0))
-    return med.join(mad, on="_k").select("median", "mad")
-
-
-def mad_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 3.5) -> MadResult:
+    base = df.select(*by, x.alias("_x"))
+    if not by:
+        base = base.withColumn("_k", F.lit(0))
+    dev = (base.join(F.broadcast(med) if not by else med, on=keys)
+               .select(*by, F.abs(F.col("_x") - F.col("median")).alias("_d")))
+    mad = exact_quantile(dev, "_d", 0.5, by=by, alias="mad")
+    if not by:
+        mad = mad.withColumn("_k", F.lit(0))
+    return med.join(mad, on=keys, how="left").select(*by, "median", "mad")
+
+
+def mad_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 3.5,
+                 by: Sequence[str] = ()) -> MadResult:
     """Flag rows whose robust score |x - median| / MAD * 0.67448975 exceeds
     ``threshold`` in any listed column. Absent columns are ignored; values are
     cast non-strictly (text -> NULL); NULL and NaN scores never flag; a column
-    whose MAD is 0 or NULL is skipped. The per-column statistics are one-row
-    frames joined by broadcast (their size is one row)."""
+    whose MAD is 0 or NULL is skipped. Statistics are global (one row, joined
+    by broadcast) or per group of ``by`` (e.g. per source file)."""
+    by = list(by)
+    keys = by or ["_k"]
     present = [c for c in columns if c in df.columns]
-    scored = df.withColumn("_k", F.lit(0))
+    scored = df if by else df.withColumn("_k", F.lit(0))
     flags: list[Column] = []
     summaries = []
     for c in present:
-        stats = column_mad(df, c).withColumn("_k", F.lit(0)).select(
-            "_k", F.col("median").alias(f"_med_{c}"), F.col("mad").alias(f"_mad_{c}"))
-        scored = scored.join(F.broadcast(stats), on="_k")
+        stats = column_mad(df, c, by)
+        if not by:
+            stats = stats.withColumn("_k", F.lit(0))
+        stats = stats.select(*keys, F.col("median").alias(f"_med_{c}"), F.col("mad").alias(f"_mad_{c}"))
+        scored = scored.join(F.broadcast(stats) if not by else stats, on=keys, how="left")
         x = F.col(c).try_cast("double")
         usable = F.col(f"_mad_{c}").isNotNull() & (F.col(f"_mad_{c}") != 0)
         score = F.when(usable, F.abs(x - F.col(f"_med_{c}")) / F.col(f"_mad_{c}") * F.lit(MAD_SCALE))
@@ -186,12 +200,12 @@ def mad_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 3.5)
         is_out = is_out | f
     scored = scored.withColumn("is_outlier", is_out)
     for c in present:
-        summaries.append(scored.groupBy(F.col(f"_med_{c}").alias("median"), F.col(f"_mad_{c}").alias("mad"))
+        summaries.append(scored.groupBy(*by, F.col(f"_med_{c}").alias("median"), F.col(f"_mad_{c}").alias("mad"))
                          .agg(F.count(F.when(F.col(f"_flag_{c}"), 1)).alias("outliers"))
                          .where(F.col("mad").isNotNull() & (F.col("mad") != 0))
-                         .select(F.lit(c).alias("column"), "median", "mad", "outliers"))
-    helper = ["_k"] + [f"_med_{c}" for c in present] + [f"_mad_{c}" for c in present] + \
-             [f"_flag_{c}" for c in present]
+                         .select(*by, F.lit(c).alias("column"), "median", "mad", "outliers"))
+    helper = (["_k"] if not by else []) + [f"_med_{c}" for c in present] + \
+             [f"_mad_{c}" for c in present] + [f"_flag_{c}" for c in present]
     scored = scored.drop(*helper)
     if summaries:
         summary = summaries[0]
@@ -203,12 +217,12 @@ def mad_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 3.5)
     return MadResult(scored, summary)
 
 
-def mad_outlier_quarantine(df: DataFrame, columns: Sequence[str], threshold: float = 3.5
-                           ) -> tuple[DataFrame, DataFrame]:
+def mad_outlier_quarantine(df: DataFrame, columns: Sequence[str], threshold: float = 3.5,
+                           by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """P10: (clean, quarantined); no columns -> (input, empty)."""
     if not columns:
         return df, df.limit(0)
-    r = mad_outliers(df, columns, threshold)
+    r = mad_outliers(df, columns, threshold, by)
     cols = df.columns
     return r.clean.select(*cols), r.quarantined.select(*cols)
 

@@ -45,6 +45,7 @@ class Sequenced:
     frame: DataFrame
     buckets: DataFrame  # keys, _bkt, _bo (bucket ordinal), _n, _off
     keys: list[str]
+    single: bool = False  # every key fits one bucket: plain per-key windows
 
     @property
     def part(self) -> list[str]:
@@ -54,15 +55,18 @@ class Sequenced:
         return Window.partitionBy(*self.part).orderBy(RN)
 
 
-def _maybe_broadcast(df: DataFrame, limit: int) -> DataFrame:
-    n = df.count()
-    return F.broadcast(df) if n <= limit else df
+def _key_table(df: DataFrame, broadcast_keys: bool | None, limit: int) -> DataFrame:
+    """The per-key table has one row per key. It is broadcast when the
+    measured key count is at most ``limit`` (or the caller says so); above
+    that it is a shuffle join whose hot keys AQE's skew-join rule splits."""
+    return F.broadcast(df) if broadcast_keys else df
 
 
 def index_sequence(df: DataFrame, keys: Sequence[str], time_col: str,
                    order: Sequence[str | Column] | None = None,
                    target_rows: int = DEFAULT_TARGET_ROWS,
-                   broadcast_key_limit: int = DEFAULT_BROADCAST_KEY_LIMIT) -> Sequenced:
+                   broadcast_key_limit: int = DEFAULT_BROADCAST_KEY_LIMIT,
+                   broadcast_keys: bool | None = None) -> Sequenced:
     """Add ``_bkt`` (bucket id within key) and ``_rn`` (0-based row index within
     key, ordered by ``time_col`` then ``order`` as tie-break)."""
     keys = list(keys)
@@ -73,11 +77,23 @@ def index_sequence(df: DataFrame, keys: Sequence[str], time_col: str,
     kstats = (df.groupBy(*keys)
                 .agg(F.count(F.lit(1)).alias("_kn"),
                      F.min(us).alias("_kmin"), F.max(us).alias("_kmax")))
+    order_cols = [F.col(time_col), *[F.col(o) if isinstance(o, str) else o for o in order]]
+    # measured, like AQE: the largest key decides whether buckets are needed
+    top = kstats.agg(F.count(F.lit(1)).alias("keys"), F.max("_kn").alias("rows")).first()
+    if top["rows"] is None or top["rows"] <= target_rows:
+        w = Window.partitionBy(*keys).orderBy(*order_cols)
+        frame = (df.withColumn(BKT, F.lit(0).cast("long"))
+                   .withColumn(RN, (F.row_number().over(w) - 1).cast("long")))
+        buckets = kstats.select(*keys, F.lit(0).cast("long").alias(BKT), F.lit(0).cast("long").alias(BO),
+                                F.col("_kn").alias("_n"), F.lit(0).cast("long").alias("_off"))
+        return Sequenced(frame, buckets, keys, single=True)
     span = (F.col("_kmax") - F.col("_kmin") + 1).cast("double")
     width = F.greatest(F.lit(1.0),
                        F.pow(F.lit(2.0), F.ceil(F.log2(span * target_rows / F.col("_kn")))))
     kstats = kstats.select(*keys, "_kmin", width.cast("long").alias("_kw"))
-    kstats = _maybe_broadcast(kstats, broadcast_key_limit)
+    if broadcast_keys is None:
+        broadcast_keys = top["keys"] <= broadcast_key_limit
+    kstats = _key_table(kstats, True if keys == [GK] else broadcast_keys, broadcast_key_limit)
     based = df.join(kstats, on=keys, how="inner")
     based = (based.withColumn(BKT, F.floor((us - F.col("_kmin")) / F.col("_kw")).cast("long"))
                   .drop("_kmin", "_kw"))
@@ -90,7 +106,7 @@ def index_sequence(df: DataFrame, keys: Sequence[str], time_col: str,
                   F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               )
     joined = based.join(bstats.select(*keys, BKT, "_off"), on=[*keys, BKT], how="inner")
-    w = Window.partitionBy(*keys, BKT).orderBy(F.col(time_col), *[F.col(o) if isinstance(o, str) else o for o in order])
+    w = Window.partitionBy(*keys, BKT).orderBy(*order_cols)
     indexed = (joined.withColumn(RN, F.col("_off") + F.row_number().over(w) - 1)
                      .drop("_off"))
     return Sequenced(indexed, bstats, keys)
@@ -105,6 +121,8 @@ def forward_fill(seq: Sequenced, column: str, out: str) -> Sequenced:
     keys = seq.keys
     local = F.last(column, ignorenulls=True).over(
         seq.window().rowsBetween(Window.unboundedPreceding, 0))
+    if seq.single:
+        return Sequenced(seq.frame.withColumn(out, local), seq.buckets, keys, True)
     per_bucket = (seq.frame.where(F.col(column).isNotNull())
                   .groupBy(*keys, BKT)
                   .agg(F.max_by(F.col(column), F.col(RN)).alias("_lastv")))
@@ -120,54 +138,52 @@ def forward_fill(seq: Sequenced, column: str, out: str) -> Sequenced:
 def with_halo(seq: Sequenced, lookback: int, lookahead: int = 0) -> DataFrame:
     """Own rows (``_own`` true) plus copies of the rows that bounded frames of
     ``lookback`` preceding / ``lookahead`` following rows need from other
-    buckets of the same key (``_own`` false, carrying the target bucket)."""
+    buckets of the same key (``_own`` false).
+
+    One pass: every row is joined with its bucket's entry of the bucket table
+    (same (key, bucket) partitioning, so only the small table moves) and
+    exploded into [its own bucket] + [the later buckets it can reach when it
+    is among its bucket's last ``lookback`` rows] + [the earlier buckets it
+    can reach when among the first ``lookahead``]. ``_bkt`` becomes the
+    bucket ordinal. Buckets are normally far larger than the frame, so a
+    boundary row reaches one neighbour; a copy reaching further back than a
+    frame needs is harmless (windows only look ``lookback`` rows back)."""
     keys = seq.keys
-    own = seq.frame.withColumn(OWN, F.lit(True))
-    if lookback <= 0 and lookahead <= 0:
-        return own
+    if seq.single or (lookback <= 0 and lookahead <= 0):
+        return seq.frame.withColumn(OWN, F.lit(True))
     wk = Window.partitionBy(*keys)
     b = seq.buckets.select(*keys, BKT, BO, "_n", "_off").withColumn("_end", F.col("_off") + F.col("_n"))
-    # how many neighbouring buckets a boundary row can reach: buckets are
-    # usually far larger than the frame, so this is 1 and nothing is fanned out
     if lookback > 0:
         c1 = F.count(F.lit(1)).over(wk.orderBy("_off").rangeBetween(0, lookback - 1))
         b = b.withColumn("_c1", c1).withColumn(
             "_reach_f", F.coalesce(F.lead("_c1", 1).over(wk.orderBy(BKT)), F.lit(0)))
+    else:
+        b = b.withColumn("_reach_f", F.lit(0).cast("long"))
     if lookahead > 0:
         c2 = F.count(F.lit(1)).over(wk.orderBy("_end").rangeBetween(-(lookahead - 1), 0))
         b = b.withColumn("_c2", c2).withColumn(
             "_reach_b", F.coalesce(F.lag("_c2", 1).over(wk.orderBy(BKT)), F.lit(0)))
-    b = b.drop("_c1", "_c2")
-    src = seq.frame.join(b.drop("_end"), on=[*keys, BKT], how="inner")
-    helpers = [BKT, BO, "_n", "_off", "_reach_f", "_reach_b"]
-    parts = [own]
+    else:
+        b = b.withColumn("_reach_b", F.lit(0).cast("long"))
+    b = b.select(*keys, BKT, BO, "_off", "_end", "_reach_f", "_reach_b")
+    cols = [c for c in seq.frame.columns if c != BKT]
+    x = seq.frame.join(b, on=[*keys, BKT], how="inner")
+    rn = F.col(RN)
+    own = F.array(F.struct(F.col(BO).alias("t"), F.lit(True).alias("own")))
+    fwd = F.when((rn >= F.col("_end") - lookback) & (F.col("_reach_f") > 0),
+                 F.transform(F.sequence(F.lit(1).cast("long"), F.col("_reach_f").cast("long")),
+                             lambda j: F.struct((F.col(BO) + j).alias("t"), F.lit(False).alias("own"))))
+    bwd = F.when((rn < F.col("_off") + lookahead) & (F.col("_reach_b") > 0),
+                 F.transform(F.sequence(F.lit(1).cast("long"), F.col("_reach_b").cast("long")),
+                             lambda j: F.struct((F.col(BO) - j).alias("t"), F.lit(False).alias("own"))))
+    empty = F.array().cast("array<struct<t:bigint,own:boolean>>")
+    targets = own.cast("array<struct<t:bigint,own:boolean>>")
     if lookback > 0:
-        # rows among the last `lookback` of their bucket go to later buckets
-        cand = src.where((F.col(RN) >= F.col("_off") + F.col("_n") - lookback) & (F.col("_reach_f") > 0))
-        cand = cand.withColumn("_tbo", F.explode(F.sequence(F.col(BO) + 1, F.col(BO) + F.col("_reach_f"))))
-        tgt = b.select(*keys, F.col(BO).alias("_tbo"), F.col(BKT).alias("_tbkt"),
-                       F.col("_off").alias("_toff"))
-        halo = (cand.drop(*[h for h in helpers if h in cand.columns])
-                    .join(tgt, on=[*keys, "_tbo"], how="inner")
-                    .where(F.col(RN) >= F.col("_toff") - lookback)
-                    .withColumn(BKT, F.col("_tbkt"))
-                    .withColumn(OWN, F.lit(False)))
-        parts.append(halo.select(*own.columns))
+        targets = F.concat(targets, F.coalesce(fwd, empty))
     if lookahead > 0:
-        cand = src.where((F.col(RN) < F.col("_off") + lookahead) & (F.col("_reach_b") > 0))
-        cand = cand.withColumn("_tbo", F.explode(F.sequence(F.col(BO) - F.col("_reach_b"), F.col(BO) - 1)))
-        tgt = b.select(*keys, F.col(BO).alias("_tbo"), F.col(BKT).alias("_tbkt"),
-                       F.col("_end").alias("_tend"))
-        halo = (cand.drop(*[h for h in helpers if h in cand.columns])
-                    .join(tgt, on=[*keys, "_tbo"], how="inner")
-                    .where(F.col(RN) < F.col("_tend") + lookahead)
-                    .withColumn(BKT, F.col("_tbkt"))
-                    .withColumn(OWN, F.lit(False)))
-        parts.append(halo.select(*own.columns))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        targets = F.concat(targets, F.coalesce(bwd, empty))
+    return (x.select(*cols, F.explode(targets).alias("_t"))
+             .select(*cols, F.col("_t.t").alias(BKT), F.col("_t.own").alias(OWN)))
 
 
 def finish(df: DataFrame, keep_index: bool = False) -> DataFrame:

@@ -623,3 +623,14 @@ UNION ALL SELECT 'duplicates_collapsed',
        '{{"application":"barspark.ingest","details":{{"collapsed_count":' || c || ',"keys":["l_orderkey","l_linenumber"]}},"event":"duplicates_collapsed","level":"INFO","timestamp":"2026-01-01T00:00:00+00:00"}}' FROM d
 UNION ALL SELECT 'mad_outliers_quarantined',
        '{{"application":"barspark.ingest","details":{{"threshold":3.5,"total_quarantined":' || c || '}},"event":"mad_outliers_quarantined","level":"WARNING","timestamp":"2026-01-01T00:00:00+00:00"}}' FROM o"""
+
+SQL["ingest_clean"] = f"""WITH {BARS},
+m AS (SELECT median(close) AS med FROM bars),
+a AS (SELECT median(abs(close - med)) AS mad FROM bars, m),
+f AS (SELECT b.*, coalesce(CASE WHEN mad IS NOT NULL AND mad <> 0
+                                THEN abs(close - med) / mad * 0.67448975 > 3.5 END, false) AS o
+      FROM bars b, m, a)
+SELECT "timestamp" - INTERVAL '5 hours 30 minutes' AS "timestamp", CAST(symbol AS VARCHAR) AS symbol,
+       round(open, 6) AS open, round(high, 6) AS high, round(low, 6) AS low, round(close, 6) AS close,
+       volume, trade_count
+FROM f WHERE NOT o"""

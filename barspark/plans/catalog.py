@@ -710,3 +710,18 @@ def q_audit_json(spark, sf):
         au.audit_event(gaps, "time_gaps_detected", "barspark.ingest", RUN_TS),
         au.audit_event(dups, "duplicates_collapsed", "barspark.ingest", RUN_TS),
         au.audit_event(outl, "mad_outliers_quarantined", "barspark.ingest", RUN_TS, "WARNING")])
+
+
+# ---- ingest transformation (G1 on a frame) --------------------------------
+from . import ingest as ig  # noqa: E402
+
+
+@query
+def q_ingest_clean(spark, sf):
+    md = fx.market_data(spark, sf)
+    # exchange-local wall time as text, as a landing CSV carries it
+    text = md.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+    cfg = ig.IngestConfig(source=[], destination="", run_id="query", expected_frequency="1d")
+    clean, _, _, _ = ig.clean_frame(text, cfg, by=(), tie_break=())
+    return clean.select(F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "symbol",
+                        *r6("open", "high", "low", "close"), "volume", "trade_count")
