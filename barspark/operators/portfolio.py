@@ -92,12 +92,13 @@ def rebalance_times(signals: DataFrame, cfg: BacktestConfig) -> DataFrame:
 
 
 def check_unique_signals(signals: DataFrame, strategy_col: str = "strategy") -> DataFrame:
-    """Q11: a repeated (strategy, timestamp, symbol) signal fails the job."""
+    """Q11: a repeated (strategy, timestamp, symbol) signal fails the job. The
+    check is folded into ``target_weight`` so column pruning cannot drop it."""
     w = Window.partitionBy(strategy_col, "timestamp", "symbol")
-    return (signals.withColumn("_n", F.count(F.lit(1)).over(w))
-                   .withColumn("_n", F.when(F.col("_n") > 1, F.raise_error(
-                       F.lit("Duplicate signal for (strategy, timestamp, symbol)"))).otherwise(F.col("_n")))
-                   .drop("_n"))
+    dup = F.count(F.lit(1)).over(w) > 1
+    return signals.withColumn("target_weight", F.when(dup, F.raise_error(
+        F.lit("Duplicate signal for (strategy, timestamp, symbol)")).cast("double"))
+        .otherwise(F.col("target_weight")))
 
 
 def signal_prices(signals: DataFrame, prices: DataFrame) -> DataFrame:

@@ -722,6 +722,6 @@ def q_ingest_clean(spark, sf):
     # exchange-local wall time as text, as a landing CSV carries it
     text = md.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
     cfg = ig.IngestConfig(source=[], destination="", run_id="query", expected_frequency="1d")
-    clean, _, _, _ = ig.clean_frame(text, cfg, by=(), tie_break=())
+    clean, _, _, _ = ig.clean_frame(text, cfg, by=(), tie_break=(), with_gaps=False)
     return clean.select(F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "symbol",
                         *r6("open", "high", "low", "close"), "volume", "trade_count")

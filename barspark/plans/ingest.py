@@ -71,16 +71,17 @@ class IngestReport:
 
 
 def clean_frame(df: DataFrame, cfg: IngestConfig, by: tuple[str, ...] = (SRC,),
-                tie_break: tuple[str, ...] = (POS,)) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+                tie_break: tuple[str, ...] = (POS,), with_gaps: bool = True
+                ) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame]:
     """The transformation part of the job, usable on any frame:
-    returns (clean, quarantined, gaps, duplicate summary)."""
+    returns (clean, quarantined, gaps or None, duplicate summary)."""
     ts = cfg.timestamp_column
     if ts not in df.columns:
         raise KeyError(f"Timestamp column '{ts}' not found in CSV data")
     df = df.withColumn(ts, local_to_utc(ts, df.schema[ts].dataType, cfg.local_zone))
     by = tuple(b for b in by if b in df.columns)
     tie = [t for t in tie_break if t in df.columns]
-    gaps = dq.detect_time_gaps(df, ts, cfg.expected_frequency, partition_by=list(by))
+    gaps = dq.detect_time_gaps(df, ts, cfg.expected_frequency, partition_by=list(by)) if with_gaps else None
     keys = list(cfg.duplicate_keys) + list(by)
     dup = dq.duplicate_summary(df, keys)
     deduped = dq.collapse_duplicates(df, keys, order_by=[ts], tie_break=tie) if cfg.duplicate_keys else df
