@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from ..functions.expr import local_to_utc
 from ..operators import quality as dq
-from ..operators.schema import diff_frame, get_schema
+from ..operators.schema import SchemaDiff, get_schema
 from ..sinks import audit as au
 from ..sinks import ledger as lg
 from ..sinks.files import append_quarantine, write_parquet_zstd
@@ -93,6 +93,39 @@ def _schema_for_scan(cfg: IngestConfig) -> T.StructType:
     return get_schema(cfg.dataset)
 
 
+def typed_diff(raw: DataFrame, schema: T.StructType, cfg: IngestConfig) -> SchemaDiff:
+    """C2 on text columns: names from the header; a column whose non-empty
+    values do not all convert to the golden type is a dtype mismatch
+    (observed 'string'); NULLs in non-nullable columns counted after the
+    conversion. One aggregate over the data."""
+    observed = [c for c in raw.columns if c not in (SRC, POS)]
+    diff = SchemaDiff()
+    for f in schema.fields:
+        if f.name not in observed:
+            diff.missing_columns[f.name] = f.dataType
+    expected = {f.name for f in schema.fields}
+    for c in observed:
+        if c not in expected:
+            diff.unexpected_columns[c] = T.StringType()
+    checks = []
+    for f in schema.fields:
+        if f.name not in observed:
+            continue
+        conv = (local_to_utc(f.name, T.StringType(), cfg.local_zone) if f.name == cfg.timestamp_column
+                else F.col(f.name).try_cast(f.dataType))
+        checks.append(F.count_if(F.col(f.name).isNotNull() & conv.isNull()).alias(f"bad_{f.name}"))
+        if not f.nullable:
+            checks.append(F.count_if(conv.isNull()).alias(f"null_{f.name}"))
+    if checks:
+        row = raw.agg(*checks).first().asDict()
+        for f in schema.fields:
+            if row.get(f"bad_{f.name}"):
+                diff.dtype_mismatches[f.name] = (f.dataType, T.StringType())
+            if row.get(f"null_{f.name}"):
+                diff.non_nullable_violations.add(f.name)
+    return diff
+
+
 def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
     t0 = time.time()
     rep = IngestReport()
@@ -128,17 +161,23 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
         return rep
 
     schema = _schema_for_scan(cfg)
-    raw = csv_scan(spark, files, schema, text_columns=(cfg.timestamp_column,))
+    # header names first (one line per file), then every column as text; the
+    # reader checks each file's header against those names (enforceSchema off)
+    header = spark.read.option("header", "true").csv(files).columns
+    text_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
+    raw = csv_scan(spark, files, text_schema, options={"enforceSchema": "false"})
     raw = raw.withColumn(POS, F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()))
     try:
-        converted = raw.withColumn(cfg.timestamp_column,
-                                   local_to_utc(cfg.timestamp_column, T.StringType(), cfg.local_zone))
-        diff = diff_frame(schema, converted.drop(SRC, POS))
+        diff = typed_diff(raw, schema, cfg)
         if not diff.ok:
             event(spark.range(1).select(F.lit(cfg.dataset).alias("dataset"),
                                         F.lit(str(diff.to_dict())).alias("diff")),
                   "schema_validation_failed", "ERROR")
             raise ValueError(f"Schema validation failed for dataset {cfg.dataset}: {diff.to_dict()}")
+        typed = raw.select(*[(local_to_utc(f.name, T.StringType(), cfg.local_zone) if f.name == cfg.timestamp_column
+                              else F.col(f.name).cast(f.dataType)).alias(f.name) for f in schema.fields],
+                           SRC, POS)
+        converted = typed
         base = converted.persist(StorageLevel.MEMORY_AND_DISK)
         utc_cfg = IngestConfig(**{**cfg.__dict__, "local_zone": "UTC"})
         clean, quarantined, gaps, dup = clean_frame(base, utc_cfg)

@@ -26,8 +26,7 @@ def landing_stream(spark: SparkSession, landing_dir: str, cfg: IngestConfig) ->
     return (spark.readStream.option("header", "true").schema(T.StructType(fields))
                  .csv(landing_dir)
                  .withColumn(SRC, F.col("_metadata.file_path"))
-                 .withColumn("_row_pos", F.struct(F.col("_metadata.file_block_start"),
-                                                  F.monotonically_increasing_id())))
+                 .withColumn("_block", F.col("_metadata.file_block_start")))
 
 
 def start_ingest_stream(spark: SparkSession, landing_dir: str, cfg: IngestConfig,
@@ -37,6 +36,8 @@ def start_ingest_stream(spark: SparkSession, landing_dir: str, cfg: IngestConfig
     schema = get_schema(cfg.dataset)
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        # row position inside the micro-batch (file order) for the keep-last rule
+        df = df.withColumn("_row_pos", F.struct("_block", F.monotonically_increasing_id())).drop("_block")
         clean, quarantined, _, _ = clean_frame(df, cfg, with_gaps=False)
         out = clean.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
                            F.lit(batch_id).alias("batch_id"))
