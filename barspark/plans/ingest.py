@@ -89,11 +89,27 @@ def clean_frame(df: DataFrame, cfg: IngestConfig, by: tuple[str, ...] = (SRC,),
     return clean, quarantined, gaps, dup
 
 
+def score_frame(df: DataFrame, cfg: IngestConfig, by: tuple[str, ...] = (SRC,),
+                tie_break: tuple[str, ...] = (POS,)) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Like ``clean_frame`` but returns the deduplicated rows with the
+    ``is_outlier`` flag (one frame for both sinks), the gaps and the
+    duplicate summary."""
+    ts = cfg.timestamp_column
+    by = tuple(b for b in by if b in df.columns)
+    tie = [t for t in tie_break if t in df.columns]
+    gaps = dq.detect_time_gaps(df, ts, cfg.expected_frequency, partition_by=list(by))
+    keys = list(cfg.duplicate_keys) + list(by)
+    dup = dq.duplicate_summary(df, keys)
+    deduped = dq.collapse_duplicates(df, keys, order_by=[ts], tie_break=tie) if cfg.duplicate_keys else df
+    scored = dq.mad_outliers(deduped, list(cfg.outlier_columns), cfg.mad_threshold, by).scored
+    return scored, gaps, dup
+
+
 def _schema_for_scan(cfg: IngestConfig) -> T.StructType:
     return get_schema(cfg.dataset)
 
 
-def typed_diff(raw: DataFrame, schema: T.StructType, cfg: IngestConfig) -> SchemaDiff:
+def typed_diff(raw: DataFrame, schema: T.StructType, cfg: IngestConfig) -> tuple[SchemaDiff, int]:
     """C2 on text columns: names from the header; a column whose non-empty
     values do not all convert to the golden type is a dtype mismatch
     (observed 'string'); NULLs in non-nullable columns counted after the
@@ -107,7 +123,7 @@ def typed_diff(raw: DataFrame, schema: T.StructType, cfg: IngestConfig) -> Schem
     for c in observed:
         if c not in expected:
             diff.unexpected_columns[c] = T.StringType()
-    checks = []
+    checks = [F.count(F.lit(1)).alias("_rows")]
     for f in schema.fields:
         if f.name not in observed:
             continue
@@ -116,14 +132,13 @@ def typed_diff(raw: DataFrame, schema: T.StructType, cfg: IngestConfig) -> Schem
         checks.append(F.count_if(F.col(f.name).isNotNull() & conv.isNull()).alias(f"bad_{f.name}"))
         if not f.nullable:
             checks.append(F.count_if(conv.isNull()).alias(f"null_{f.name}"))
-    if checks:
-        row = raw.agg(*checks).first().asDict()
-        for f in schema.fields:
-            if row.get(f"bad_{f.name}"):
-                diff.dtype_mismatches[f.name] = (f.dataType, T.StringType())
-            if row.get(f"null_{f.name}"):
-                diff.non_nullable_violations.add(f.name)
-    return diff
+    row = raw.agg(*checks).first().asDict()
+    for f in schema.fields:
+        if row.get(f"bad_{f.name}"):
+            diff.dtype_mismatches[f.name] = (f.dataType, T.StringType())
+        if row.get(f"null_{f.name}"):
+            diff.non_nullable_violations.add(f.name)
+    return diff, int(row["_rows"])
 
 
 def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
@@ -132,7 +147,11 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
     run_ts = time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
     events: list[DataFrame] = []
 
-    def event(details: DataFrame, name: str, level: str = "INFO") -> None:
+    def event(details, name: str, level: str = "INFO") -> None:
+        """details: a one-row frame, or a dict of scalars already computed."""
+        if isinstance(details, dict):
+            details = spark.createDataFrame([tuple(details.values())], list(details.keys())) if details \
+                else spark.range(1).select()
         events.append(au.audit_event(details, name, cfg.application, run_ts, level))
 
     hashes = source_hashes(spark, cfg.source).select(F.col("path").alias(SRC), "length", "source_hash")
@@ -152,9 +171,7 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
     files = [r[SRC] for r in todo.select(SRC).collect()]   # file names only, one per landing file
     rep.files, rep.skipped = len(files), skipped.count()
     if rep.skipped:
-        event(skipped.agg(F.count(F.lit(1)).alias("files"),
-                          F.collect_list("source_hash").alias("source_hashes")), "ingestion_skipped_duplicate",
-              "WARNING")
+        event({"files": rep.skipped}, "ingestion_skipped_duplicate", "WARNING")
     if not files:
         _flush(events, cfg)
         rep.duration_s = time.time() - t0
@@ -167,37 +184,35 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
     text_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
     raw = csv_scan(spark, files, text_schema, options={"enforceSchema": "false"})
     raw = raw.withColumn(POS, F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()))
+    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        diff = typed_diff(raw, schema, cfg)
+        diff, rep.rows_in = typed_diff(raw, schema, cfg)
         if not diff.ok:
-            event(spark.range(1).select(F.lit(cfg.dataset).alias("dataset"),
-                                        F.lit(str(diff.to_dict())).alias("diff")),
-                  "schema_validation_failed", "ERROR")
+            event({"dataset": cfg.dataset, "diff": str(diff.to_dict())}, "schema_validation_failed", "ERROR")
             raise ValueError(f"Schema validation failed for dataset {cfg.dataset}: {diff.to_dict()}")
-        typed = raw.select(*[(local_to_utc(f.name, T.StringType(), cfg.local_zone) if f.name == cfg.timestamp_column
-                              else F.col(f.name).cast(f.dataType)).alias(f.name) for f in schema.fields],
-                           SRC, POS)
-        converted = typed
-        base = converted.persist(StorageLevel.MEMORY_AND_DISK)
+        base = raw.select(*[(local_to_utc(f.name, T.StringType(), cfg.local_zone) if f.name == cfg.timestamp_column
+                             else F.col(f.name).cast(f.dataType)).alias(f.name) for f in schema.fields],
+                          SRC, POS)
         utc_cfg = IngestConfig(**{**cfg.__dict__, "local_zone": "UTC"})
-        clean, quarantined, gaps, dup = clean_frame(base, utc_cfg)
-        clean = clean.persist(StorageLevel.MEMORY_AND_DISK)
-        rep.rows_in = base.count()
+        # scored once (statistics per source file), clean and quarantine are filters of it
+        scored, gaps, dup = score_frame(base, utc_cfg)
+        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+        clean = scored.where(~F.col("is_outlier"))
+        quarantined = scored.where(F.col("is_outlier"))
         rep.gaps = gaps.count()
         drow = dup.first()
         rep.duplicates_collapsed = int(drow["collapsed_count"])
-        event(gaps.agg(F.count(F.lit(1)).alias("count"),
-                       F.lit(cfg.expected_frequency).alias("expected_frequency")), "time_gaps_detected")
-        event(dup.select("collapsed_count", "removed_count",
-                         F.array(*[F.lit(k) for k in cfg.duplicate_keys]).alias("keys")), "duplicates_collapsed")
+        event({"count": rep.gaps, "expected_frequency": cfg.expected_frequency}, "time_gaps_detected")
+        event({"collapsed_count": rep.duplicates_collapsed, "removed_count": int(drow["removed_count"]),
+               "keys": list(cfg.duplicate_keys)}, "duplicates_collapsed")
         with_hash = clean.join(F.broadcast(todo.select(SRC, "source_hash")), SRC)
         if cfg.quarantine_path:
             q = quarantined.join(F.broadcast(todo.select(SRC, "source_hash")), SRC).drop(POS)
-            q = q.persist(StorageLevel.MEMORY_AND_DISK)
-            rep.quarantined = q.count()
+            q, qobs = au.observed(q, "quarantine", F.count(F.lit(1)).alias("n"))
+            append_quarantine(q, cfg.quarantine_path, cfg.run_id, level=cfg.zstd_level)
+            rep.quarantined = int(qobs.get.get("n", 0))
             if rep.quarantined:
-                append_quarantine(q, cfg.quarantine_path, cfg.run_id, level=cfg.zstd_level)
-                event(q.agg(F.count(F.lit(1)).alias("total_quarantined")), "mad_outliers_persisted")
+                event({"total_quarantined": rep.quarantined}, "mad_outliers_persisted")
         out = with_hash.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
                                "source_hash", SRC)
         out, obs = au.observed(out, "ingest", F.count(F.lit(1)).alias("rows_processed"))
@@ -221,20 +236,16 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
                     "row_count long, status string, created_at timestamp_ntz, completed_at timestamp_ntz")
             new_ledger = lg.upsert(old, runs).checkpoint(eager=True)   # cut lineage before overwriting
             new_ledger.write.mode("overwrite").parquet(cfg.ledger_path)
-            event(runs.agg(F.count(F.lit(1)).alias("files"), F.sum("row_count").alias("row_count")),
-                  "ingestion_metadata_recorded")
-        event(spark.range(1).select(F.lit(rep.rows_out).alias("row_count"),
-                                    F.lit(round(time.time() - t0, 3)).alias("duration_seconds")),
-              "ingestion_completed")
-        base.unpersist()
-        clean.unpersist()
+            event({"files": rep.files, "row_count": rep.rows_out}, "ingestion_metadata_recorded")
+        event({"row_count": rep.rows_out, "duration_seconds": round(time.time() - t0, 3)}, "ingestion_completed")
+        scored.unpersist()
     except Exception:
-        event(spark.range(1).select(F.lit(str(cfg.source)).alias("source"),
-                                    F.lit(cfg.destination).alias("destination")), "ingestion_failed", "ERROR")
+        event({"source": str(cfg.source), "destination": cfg.destination}, "ingestion_failed", "ERROR")
         _flush(events, cfg)
         raise
     finally:
         todo.unpersist()
+        raw.unpersist()
     _flush(events, cfg)
     rep.duration_s = time.time() - t0
     return rep
