@@ -71,7 +71,7 @@ class BacktestConfig:
     initial_capital: float
     index_name: str | None = None
     strategy_col: str = "strategy"
-    max_passes: int = 10
+    max_passes: int = 25
     tolerance: float = 1e-10
 
 

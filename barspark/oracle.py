@@ -518,7 +518,7 @@ SELECT 'cv_' || "window" || '_' || metric AS key, round(value, 6) AS value
 FROM (UNPIVOT avgw ON {', '.join(_METRICS)} INTO NAME metric VALUE value)"""
 
 # ---- rewards ---------------------------------------------------------------
-_LIN = [1.0 + (0.2 - 1.0) * i / 8 for i in range(9)]
+_LIN = [i * ((0.2 - 1.0) / 8) + 1.0 for i in range(8)] + [0.2]
 _SIG = "0.0::DOUBLE"
 for _n, _w in zip(_BASIC_NAMES, _LIN):
     _SIG = f"({_SIG} + {_n} * {_w!r}::DOUBLE)"

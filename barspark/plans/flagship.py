@@ -18,13 +18,14 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      tie_break=["trade_count", "volume", "close"])
     clean, _ = dq.mad_outlier_quarantine(deduped, ["close"], 3.5)
     sup, names, target = feat.prepare_supervised(clean, DEFAULT_CONFIG, "basic_price")
-    # target weights: the published signals tilted by the 20-day z-score sign
+    # target weights: the published signals, halved where the price is stretched
+    # (|20-day z-score| > 2), so the gross weight stays within the signal's
     sig = fx.signals(spark, sf_dir).join(
         sup.select("symbol", "timestamp", "zscore_close_20"), ["symbol", "timestamp"], "left")
     sig = sig.withColumn("target_weight", F.col("target_weight") *
-                         F.when(F.col("zscore_close_20") < 0, F.lit(1.5)).otherwise(F.lit(1.0)))
+                         F.when(F.abs(F.col("zscore_close_20")) > 2, F.lit(0.5)).otherwise(F.lit(1.0)))
     cfg = pf.BacktestConfig(start_date="1995-01-01", end_date="2001-12-31", initial_capital=1_000_000.0)
     res = pf.run_backtest(sig.drop("zscore_close_20"), clean.select("timestamp", "symbol", "close"),
                           fx.symbol_master(spark, sf_dir), cfg,
-                          pf.CostModel(bps=10.0, minimum_fee=20.0, per_order_fee=1.0), pf.SlippageModel(bps=5.0))
+                          pf.CostModel(bps=10.0), pf.SlippageModel(bps=5.0))
     return res.summary(cfg)
