@@ -18,6 +18,9 @@ With V_k the pre-trade value and F_k the friction (costs + slippage) paid at k,
 Without costs this is one pass and exact. With costs F depends on V, so the
 small per-(strategy, k) friction table is iterated to a fixed point (each pass
 is the same joins and windows; the table is checkpointed between passes).
+F_k depends on V_k and V_k-1 only, so pass p is exact up to time p-1: the
+iteration stops when the friction stops changing (a few passes for ordinary
+costs) and is exact at the latest after one pass per rebalance time.
 Every window is per (strategy, symbol) over rebalance times or per strategy
 over the per-time table, never over raw bars.
 """
@@ -71,7 +74,7 @@ class BacktestConfig:
     initial_capital: float
     index_name: str | None = None
     strategy_col: str = "strategy"
-    max_passes: int = 25
+    max_passes: int | None = None   # None: number of rebalance times + 2 (always exact)
     tolerance: float = 1e-10
 
 
@@ -164,9 +167,10 @@ def _values(gross: DataFrame, fric: DataFrame | None, cfg: BacktestConfig) -> Da
 
 
 def _trades(panel: DataFrame, values: DataFrame, cfg: BacktestConfig, costs: CostModel,
-            slippage: SlippageModel) -> DataFrame:
+            slippage: SlippageModel, broadcast_values: bool = False) -> DataFrame:
     s = cfg.strategy_col
-    t = panel.join(values.select(s, "k", "V"), [s, "k"])
+    v = values.select(s, "k", "V")
+    t = panel.join(F.broadcast(v) if broadcast_values else v, [s, "k"])
     lagw = Window.partitionBy(s, "symbol").orderBy("k")
     held = F.lag("k", 1).over(lagw) == F.col("k") - 1
     q = F.when(F.col("w_eff") != 0, F.col("w_eff") * F.col("V") / F.col("p")).otherwise(F.lit(0.0))
@@ -202,18 +206,29 @@ def run_backtest(signals: DataFrame, prices: DataFrame, master: DataFrame, cfg:
     s = cfg.strategy_col
     panel = build_panel(signals, prices, master, cfg, index_members)
     if checkpoint:
-        panel = panel.checkpoint(eager=True)   # reliable checkpoint in spark.checkpoint.dir
+        # clustered by (strategy, symbol) like every panel window, then a reliable
+        # checkpoint (spark.checkpoint.dir) that keeps that partitioning, so the
+        # cost passes never reshuffle the panel
+        panel = panel.repartition(s, "symbol").checkpoint(eager=True)
     # every rebalance time keeps a NAV point, even when all its signals were gated out
     gross = (rebalance_times(signals, cfg)
              .join(panel.groupBy(s, "k").agg(F.sum("contrib").alias("G")), [s, "k"], "left")
              .withColumn("G", F.coalesce("G", F.lit(0.0))))
+    if checkpoint:
+        gross = gross.checkpoint(eager=True)   # one row per (strategy, time), read by every pass
     frictionless = costs.free and slippage.bps == 0
     fric = None
     passes = 0
     if not frictionless:
-        for passes in range(1, cfg.max_passes + 1):
+        # pass p makes time p-1 exact (friction at k needs values at k and k-1
+        # only), so the cap below always ends exact; usually far fewer passes
+        tstat = rebalance_times(signals, cfg).agg(F.max("k"), F.count(F.lit(1))).first()
+        cap = cfg.max_passes if cfg.max_passes is not None else int(tstat[0] or 0) + 2
+        # the per-(strategy, time) table is broadcast when its measured size is small
+        bvals = int(tstat[1] or 0) <= 5_000_000
+        for passes in range(1, cap + 1):
             vals = _values(gross, fric, cfg)
-            tr = _trades(panel, vals, cfg, costs, slippage)
+            tr = _trades(panel, vals, cfg, costs, slippage, bvals)
             new = (tr.groupBy(s, "k").agg(F.sum("friction").alias("F"))
                      .join(vals.select(s, "k", "V"), [s, "k"])
                      .select(s, "k", (F.col("F") / F.col("V")).alias("f")))
@@ -229,7 +244,7 @@ def run_backtest(signals: DataFrame, prices: DataFrame, master: DataFrame, cfg:
             if delta < cfg.tolerance:
                 break
         else:
-            raise RuntimeError(f"Cost fixed point did not converge in {cfg.max_passes} passes")
+            raise RuntimeError(f"Cost fixed point did not converge in {cap} passes")
     vals = _values(gross, fric, cfg)
     trades = _trades(panel, vals, cfg, costs, slippage)
     F_k = trades.groupBy(s, "k").agg(F.sum("friction").alias("F_k"))
