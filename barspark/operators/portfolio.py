@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import ieee_div, valid_at
+from ..session import checkpoint_keep_partitioning, materialize
 from .universe import gate_signals
 
 MIN_TRADE_SHARES = 1e-6  # fixed value: trades below this many shares are not executed
@@ -209,13 +210,13 @@ def run_backtest(signals: DataFrame, prices: DataFrame, master: DataFrame, cfg:
         # clustered by (strategy, symbol) like every panel window, then a reliable
         # checkpoint (spark.checkpoint.dir) that keeps that partitioning, so the
         # cost passes never reshuffle the panel
-        panel = panel.repartition(s, "symbol").checkpoint(eager=True)
+        panel = checkpoint_keep_partitioning(panel.repartition(s, "symbol"))
     # every rebalance time keeps a NAV point, even when all its signals were gated out
     gross = (rebalance_times(signals, cfg)
              .join(panel.groupBy(s, "k").agg(F.sum("contrib").alias("G")), [s, "k"], "left")
              .withColumn("G", F.coalesce("G", F.lit(0.0))))
     if checkpoint:
-        gross = gross.checkpoint(eager=True)   # one row per (strategy, time), read by every pass
+        gross = materialize(gross, "gross")   # one row per (strategy, time), read by every pass
     frictionless = costs.free and slippage.bps == 0
     fric = None
     passes = 0
@@ -233,7 +234,7 @@ def run_backtest(signals: DataFrame, prices: DataFrame, master: DataFrame, cfg:
                      .join(vals.select(s, "k", "V"), [s, "k"])
                      .select(s, "k", (F.col("F") / F.col("V")).alias("f")))
             if checkpoint:
-                new = new.checkpoint(eager=True)
+                new = materialize(new, "friction")
             if fric is None:
                 delta = new.agg(F.max(F.abs("f"))).first()[0] or 0.0
             else:

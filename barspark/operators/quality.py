@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.expr import epoch_us, frequency_us
 from . import sequence as sq
-from .stats import exact_quantile
+from .stats import exact_quantile, small
 
 MAD_SCALE = 0.67448975  # fixed value: consistency constant of the reference's MAD score
 
@@ -153,7 +153,7 @@ def column_mad(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """A5: median and median absolute deviation from it (per group)."""
     by = list(by)
     keys = by or ["_k"]
-    med = column_median(df, column, by)
+    med = small(column_median(df, column, by))
     if not by:
         med = med.withColumn("_k", F.lit(0))
     x = F.col(column).try_cast("double")
@@ -165,7 +165,7 @@ def column_mad(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     mad = exact_quantile(dev, "_d", 0.5, by=by, alias="mad")
     if not by:
         mad = mad.withColumn("_k", F.lit(0))
-    return med.join(mad, on=keys, how="left").select(*by, "median", "mad")
+    return small(med.join(mad, on=keys, how="left").select(*by, "median", "mad"))
 
 
 def mad_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 3.5,

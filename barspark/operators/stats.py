@@ -15,7 +15,8 @@ values of a group into one task. Here, per group:
 
 All three steps are partial aggregates, so no task sees more than one bin of
 one group: about 4n / (accuracy * bins) values, e.g. 40 000 at n = 1e12 with
-the defaults, whatever the skew of the groups. The result is a lazy plan.
+the defaults, whatever the skew of the groups. Steps 1 and 2 run
+as two jobs whose small outputs are checkpointed; step 3 stays lazy.
 """
 from __future__ import annotations
 
@@ -24,16 +25,31 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 DEFAULT_ACCURACY = 10_000
 DEFAULT_BINS = 10_000
+DIRECT_LIMIT = 200_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """Materialise a statistics table (one row per group or per bin) in the
+    checkpoint directory: later passes read it instead of re-running the
+    passes that produced it."""
+    return materialize(df, "stats")
 
 
 def exact_quantile(df: DataFrame, value: Column | str, q: float = 0.5, by: Sequence[str] = (),
                    alias: str = "quantile", accuracy: int = DEFAULT_ACCURACY,
-                   bins: int = DEFAULT_BINS) -> DataFrame:
+                   bins: int = DEFAULT_BINS, direct_limit: int = DIRECT_LIMIT) -> DataFrame:
     """One row per group in ``by`` (one row overall when empty) with the exact,
     linearly interpolated ``q`` quantile of the non-null values (NULL when a
-    group has none). NaN values are ignored."""
+    group has none). NaN values are ignored.
+
+    A first small job measures the largest group: when no group has more than
+    ``direct_limit`` values, Spark's exact ``percentile`` (which holds one
+    group's values in one task) is bounded and is used directly; otherwise
+    the bracket / histogram / bin passes below."""
     by = list(by)
     v = F.col(value) if isinstance(value, str) else value
     base = df.select(*by, v.cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
@@ -42,6 +58,13 @@ def exact_quantile(df: DataFrame, value: Column | str, q: float = 0.5, by: Seque
         keys = ["_g"]
     else:
         keys = by
+    top = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    if top is None or top <= direct_limit:
+        res = base.groupBy(*keys).agg(F.percentile("_v", F.lit(q)).alias(alias))
+        if not by:
+            one = df.sparkSession.range(1).select(F.lit(0).alias("_g"))
+            return one.join(res, on="_g", how="left").select(alias)
+        return res
     eps = 2.0 / accuracy
     s1 = (base.groupBy(*keys)
               .agg(F.count(F.lit(1)).alias("_n"),
@@ -51,6 +74,7 @@ def exact_quantile(df: DataFrame, value: Column | str, q: float = 0.5, by: Seque
                    F.when(F.lit(q - eps) <= 0, F.col("_mn")).otherwise(F.col("_b")[0]).alias("_lo"),
                    F.when(F.lit(q + eps) >= 1, F.col("_mx")).otherwise(F.col("_b")[1]).alias("_hi"),
                    (F.lit(q) * (F.col("_n") - 1)).alias("_pos"))
+    s1 = small(s1)
     j = base.join(F.broadcast(s1) if not by else s1, on=keys, how="inner")
     width = F.col("_hi") - F.col("_lo")
     binc = (F.when(F.col("_v") < F.col("_lo"), F.lit(-1))
@@ -68,6 +92,7 @@ def exact_quantile(df: DataFrame, value: Column | str, q: float = 0.5, by: Seque
                        F.min(F.when(F.col("_cum") > r2, F.col("_bin"))).alias("_b2"),
                        F.min_by(F.col("_cum") - F.col("_c"), F.when(F.col("_cum") > r1, F.col("_bin")))
                         .alias("_before")))
+    target = small(target)
     picked_rows = j.join(target if by else F.broadcast(target), on=keys) \
                    .where((F.col("_bin") == F.col("_b1")) | (F.col("_bin") == F.col("_b2")))
     vals = picked_rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"),

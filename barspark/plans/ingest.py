@@ -29,6 +29,7 @@ from ..operators.schema import SchemaDiff, get_schema
 from ..sinks import audit as au
 from ..sinks import ledger as lg
 from ..sinks.files import append_quarantine, write_parquet_zstd
+from ..session import materialize
 from ..sources.io import csv_scan, source_hashes
 
 SRC = "_source_file"
@@ -68,6 +69,7 @@ class IngestReport:
     duplicates_collapsed: int = 0
     duration_s: float = 0.0
     events: list[str] = field(default_factory=list)
+    timings: dict[str, float] = field(default_factory=dict)   # O1: seconds per step
 
 
 def clean_frame(df: DataFrame, cfg: IngestConfig, by: tuple[str, ...] = (SRC,),
@@ -101,6 +103,8 @@ def score_frame(df: DataFrame, cfg: IngestConfig, by: tuple[str, ...] = (SRC,),
     keys = list(cfg.duplicate_keys) + list(by)
     dup = dq.duplicate_summary(df, keys)
     deduped = dq.collapse_duplicates(df, keys, order_by=[ts], tie_break=tie) if cfg.duplicate_keys else df
+    # the statistics passes and the scoring pass all read the deduplicated rows
+    deduped = deduped.persist(StorageLevel.MEMORY_AND_DISK)
     scored = dq.mad_outliers(deduped, list(cfg.outlier_columns), cfg.mad_threshold, by).scored
     return scored, gaps, dup
 
@@ -144,6 +148,12 @@ def typed_diff(raw: DataFrame, schema: T.StructType, cfg: IngestConfig) -> tuple
 def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
     t0 = time.time()
     rep = IngestReport()
+    last = [t0]
+
+    def mark(step: str) -> None:
+        now = time.time()
+        rep.timings[step] = round(now - last[0], 3)
+        last[0] = now
     run_ts = time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
     events: list[DataFrame] = []
 
@@ -170,6 +180,7 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
     todo = todo.persist(StorageLevel.MEMORY_AND_DISK)
     files = [r[SRC] for r in todo.select(SRC).collect()]   # file names only, one per landing file
     rep.files, rep.skipped = len(files), skipped.count()
+    mark("hash_and_ledger_lookup")
     if rep.skipped:
         event({"files": rep.skipped}, "ingestion_skipped_duplicate", "WARNING")
     if not files:
@@ -187,6 +198,7 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
     raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         diff, rep.rows_in = typed_diff(raw, schema, cfg)
+        mark("scan_and_schema_gate")
         if not diff.ok:
             event({"dataset": cfg.dataset, "diff": str(diff.to_dict())}, "schema_validation_failed", "ERROR")
             raise ValueError(f"Schema validation failed for dataset {cfg.dataset}: {diff.to_dict()}")
@@ -196,11 +208,14 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
         utc_cfg = IngestConfig(**{**cfg.__dict__, "local_zone": "UTC"})
         # scored once (statistics per source file), clean and quarantine are filters of it
         scored, gaps, dup = score_frame(base, utc_cfg)
+        mark("dedupe_and_outlier_statistics")
         scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
         clean = scored.where(~F.col("is_outlier"))
         quarantined = scored.where(F.col("is_outlier"))
         rep.gaps = gaps.count()
+        mark("gaps")
         drow = dup.first()
+        mark("duplicates")
         rep.duplicates_collapsed = int(drow["collapsed_count"])
         event({"count": rep.gaps, "expected_frequency": cfg.expected_frequency}, "time_gaps_detected")
         event({"collapsed_count": rep.duplicates_collapsed, "removed_count": int(drow["removed_count"]),
@@ -211,6 +226,7 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
             q, qobs = au.observed(q, "quarantine", F.count(F.lit(1)).alias("n"))
             append_quarantine(q, cfg.quarantine_path, cfg.run_id, level=cfg.zstd_level)
             rep.quarantined = int(qobs.get.get("n", 0))
+            mark("score_and_quarantine")
             if rep.quarantined:
                 event({"total_quarantined": rep.quarantined}, "mad_outliers_persisted")
         out = with_hash.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
@@ -220,6 +236,7 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
         write_parquet_zstd(out.drop(SRC), cfg.destination, cfg.zstd_level, mode="overwrite",
                            partition_by=("source_hash",))
         rep.rows_out = int(obs.get.get("rows_processed", 0))
+        mark("clean_write")
         if cfg.ledger_path:
             per_file = out.groupBy(SRC, "source_hash").agg(F.count(F.lit(1)).alias("row_count"))
             now = F.current_timestamp().cast("timestamp_ntz")
@@ -234,8 +251,9 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
             old = ledger if ledger is not None else spark.createDataFrame(
                 [], "id long, source_path string, destination_path string, source_hash string, "
                     "row_count long, status string, created_at timestamp_ntz, completed_at timestamp_ntz")
-            new_ledger = lg.upsert(old, runs).checkpoint(eager=True)   # cut lineage before overwriting
+            new_ledger = materialize(lg.upsert(old, runs), "ledger")   # cut lineage before overwriting
             new_ledger.write.mode("overwrite").parquet(cfg.ledger_path)
+            mark("ledger")
             event({"files": rep.files, "row_count": rep.rows_out}, "ingestion_metadata_recorded")
         event({"row_count": rep.rows_out, "duration_seconds": round(time.time() - t0, 3)}, "ingestion_completed")
         scored.unpersist()
@@ -247,6 +265,7 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
         todo.unpersist()
         raw.unpersist()
     _flush(events, cfg)
+    mark("audit")
     rep.duration_s = time.time() - t0
     return rep
 

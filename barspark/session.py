@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -70,3 +71,25 @@ def prepare(spark: SparkSession) -> SparkSession:
             pass
     ensure_checkpoint_dir(spark)
     return spark
+
+
+def materialize(df, name: str = "table"):
+    """Cut lineage by writing ``df`` once as Parquet under the shared checkpoint
+    directory and reading it back (one job; an eager ``Dataset.checkpoint``
+    would compute an unpersisted input twice)."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/barspark-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def checkpoint_keep_partitioning(df):
+    """Reliable checkpoint that keeps the output partitioning: persisted
+    first so the checkpoint write does not recompute the input."""
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    p = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = p.checkpoint(eager=True)
+    p.unpersist()
+    return out
