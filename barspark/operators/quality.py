@@ -150,22 +150,19 @@ def column_median(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFra
 
 
 def column_mad(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
-    """A5: median and median absolute deviation from it (per group)."""
+    """A5: median and median absolute deviation from it (per group). Global
+    statistics reach the deviation pass as a scalar subquery."""
     by = list(by)
-    keys = by or ["_k"]
-    med = small(column_median(df, column, by))
-    if not by:
-        med = med.withColumn("_k", F.lit(0))
     x = F.col(column).try_cast("double")
-    base = df.select(*by, x.alias("_x"))
+    med = small(column_median(df, column, by))
     if not by:
-        base = base.withColumn("_k", F.lit(0))
-    dev = (base.join(F.broadcast(med) if not by else med, on=keys)
-               .select(*by, F.abs(F.col("_x") - F.col("median")).alias("_d")))
+        m = med.select("median").scalar()
+        dev = df.select(F.abs(x - m).alias("_d"))
+        mad = exact_quantile(dev, "_d", 0.5, alias="mad")
+        return small(mad.select(m.alias("median"), "mad"))
+    dev = df.select(*by, x.alias("_x")).join(med, on=by).select(*by, F.abs(F.col("_x") - F.col("median")).alias("_d"))
     mad = exact_quantile(dev, "_d", 0.5, by=by, alias="mad")
-    if not by:
-        mad = mad.withColumn("_k", F.lit(0))
-    return small(med.join(mad, on=keys, how="left").select(*by, "median", "mad"))
+    return small(med.join(mad, on=by, how="left").select(*by, "median", "mad"))
 
 
 def mad_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 3.5,
@@ -173,20 +170,21 @@ def mad_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 3.5,
     """Flag rows whose robust score |x - median| / MAD * 0.67448975 exceeds
     ``threshold`` in any listed column. Absent columns are ignored; values are
     cast non-strictly (text -> NULL); NULL and NaN scores never flag; a column
-    whose MAD is 0 or NULL is skipped. Statistics are global (one row, joined
-    by broadcast) or per group of ``by`` (e.g. per source file)."""
+    whose MAD is 0 or NULL is skipped. Statistics are global (scalar
+    subqueries, no join) or per group of ``by`` (e.g. per source file)."""
     by = list(by)
-    keys = by or ["_k"]
     present = [c for c in columns if c in df.columns]
-    scored = df if by else df.withColumn("_k", F.lit(0))
+    scored = df
     flags: list[Column] = []
     summaries = []
     for c in present:
         stats = column_mad(df, c, by)
-        if not by:
-            stats = stats.withColumn("_k", F.lit(0))
-        stats = stats.select(*keys, F.col("median").alias(f"_med_{c}"), F.col("mad").alias(f"_mad_{c}"))
-        scored = scored.join(F.broadcast(stats) if not by else stats, on=keys, how="left")
+        if by:
+            scored = scored.join(stats.select(*by, F.col("median").alias(f"_med_{c}"),
+                                              F.col("mad").alias(f"_mad_{c}")), on=by, how="left")
+        else:
+            scored = scored.withColumn(f"_med_{c}", stats.select("median").scalar()) \
+                           .withColumn(f"_mad_{c}", stats.select("mad").scalar())
         x = F.col(c).try_cast("double")
         usable = F.col(f"_mad_{c}").isNotNull() & (F.col(f"_mad_{c}") != 0)
         score = F.when(usable, F.abs(x - F.col(f"_med_{c}")) / F.col(f"_mad_{c}") * F.lit(MAD_SCALE))
@@ -204,8 +202,7 @@ def mad_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 3.5,
                          .agg(F.count(F.when(F.col(f"_flag_{c}"), 1)).alias("outliers"))
                          .where(F.col("mad").isNotNull() & (F.col("mad") != 0))
                          .select(*by, F.lit(c).alias("column"), "median", "mad", "outliers"))
-    helper = (["_k"] if not by else []) + [f"_med_{c}" for c in present] + \
-             [f"_mad_{c}" for c in present] + [f"_flag_{c}" for c in present]
+    helper = [f"_med_{c}" for c in present] + [f"_mad_{c}" for c in present] + [f"_flag_{c}" for c in present]
     scored = scored.drop(*helper)
     if summaries:
         summary = summaries[0]

@@ -51,63 +51,91 @@ def exact_quantile(df: DataFrame, value: Column | str, q: float = 0.5, by: Seque
     group's values in one task) is bounded and is used directly; otherwise
     the bracket / histogram / bin passes below."""
     by = list(by)
+    spark = df.sparkSession
     v = F.col(value) if isinstance(value, str) else value
     base = df.select(*by, v.cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     if not by:
-        base = base.withColumn("_g", F.lit(0))
-        keys = ["_g"]
-    else:
-        keys = by
+        return _global_quantile(spark, base, q, alias, accuracy, bins, direct_limit)
+    keys = by
     top = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
     if top is None or top <= direct_limit:
-        res = base.groupBy(*keys).agg(F.percentile("_v", F.lit(q)).alias(alias))
-        if not by:
-            one = df.sparkSession.range(1).select(F.lit(0).alias("_g"))
-            return one.join(res, on="_g", how="left").select(alias)
-        return res
+        return base.groupBy(*keys).agg(F.percentile("_v", F.lit(q)).alias(alias))
     eps = 2.0 / accuracy
     s1 = (base.groupBy(*keys)
               .agg(F.count(F.lit(1)).alias("_n"),
                    F.percentile_approx("_v", [max(0.0, q - eps), min(1.0, q + eps)], accuracy).alias("_b"),
                    F.min("_v").alias("_mn"), F.max("_v").alias("_mx")))
-    s1 = s1.select(*keys,
-                   F.when(F.lit(q - eps) <= 0, F.col("_mn")).otherwise(F.col("_b")[0]).alias("_lo"),
-                   F.when(F.lit(q + eps) >= 1, F.col("_mx")).otherwise(F.col("_b")[1]).alias("_hi"),
-                   (F.lit(q) * (F.col("_n") - 1)).alias("_pos"))
-    s1 = small(s1)
-    j = base.join(F.broadcast(s1) if not by else s1, on=keys, how="inner")
-    width = F.col("_hi") - F.col("_lo")
-    binc = (F.when(F.col("_v") < F.col("_lo"), F.lit(-1))
-             .when(F.col("_v") > F.col("_hi"), F.lit(bins))
-             .when(width == 0, F.lit(0))
-             .otherwise(F.least(F.floor((F.col("_v") - F.col("_lo")) / width * bins), F.lit(bins - 1)))
-             .cast("long"))
-    j = j.withColumn("_bin", binc)
+    s1 = small(s1.select(*keys, *_bracket(q, eps)))
+    j = base.join(s1, on=keys, how="inner").withColumn("_bin", _bin_of(bins))
     hist = j.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_c"))
     wb = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
     hist = hist.withColumn("_cum", F.sum("_c").over(wb)).join(s1.select(*keys, "_pos"), on=keys)
-    r1, r2 = F.floor("_pos"), F.ceil("_pos")
-    target = (hist.groupBy(*keys)
-                  .agg(F.min(F.when(F.col("_cum") > r1, F.col("_bin"))).alias("_b1"),
-                       F.min(F.when(F.col("_cum") > r2, F.col("_bin"))).alias("_b2"),
-                       F.min_by(F.col("_cum") - F.col("_c"), F.when(F.col("_cum") > r1, F.col("_bin")))
-                        .alias("_before")))
-    target = small(target)
-    picked_rows = j.join(target if by else F.broadcast(target), on=keys) \
+    target = small(hist.groupBy(*keys).agg(*_target_aggs()))
+    picked_rows = j.join(target, on=keys) \
                    .where((F.col("_bin") == F.col("_b1")) | (F.col("_bin") == F.col("_b2")))
     vals = picked_rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"),
                                                 F.first("_before").alias("_before"),
                                                 F.first("_pos").alias("_pos"))
     wv = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     vals = vals.withColumn("_cum", F.col("_before") + F.sum("_c").over(wv))
-    picked = (vals.groupBy(*keys)
-                  .agg(F.min(F.when(F.col("_cum") > F.floor("_pos"), F.col("_v"))).alias("_v1"),
-                       F.min(F.when(F.col("_cum") > F.ceil("_pos"), F.col("_v"))).alias("_v2"),
-                       F.first("_pos").alias("_pos")))
+    picked = vals.groupBy(*keys).agg(*_pick_aggs())
+    return picked.select(*keys, _interpolate().alias(alias))
+
+
+def _bracket(q: float, eps: float) -> list[Column]:
+    return [F.when(F.lit(q - eps) <= 0, F.col("_mn")).otherwise(F.col("_b")[0]).alias("_lo"),
+            F.when(F.lit(q + eps) >= 1, F.col("_mx")).otherwise(F.col("_b")[1]).alias("_hi"),
+            (F.lit(q) * (F.col("_n") - 1)).alias("_pos")]
+
+
+def _bin_of(bins: int) -> Column:
+    width = F.col("_hi") - F.col("_lo")
+    return (F.when(F.col("_v") < F.col("_lo"), F.lit(-1))
+             .when(F.col("_v") > F.col("_hi"), F.lit(bins))
+             .when(width == 0, F.lit(0))
+             .otherwise(F.least(F.floor((F.col("_v") - F.col("_lo")) / width * bins), F.lit(bins - 1)))
+             .cast("long"))
+
+
+def _target_aggs() -> list[Column]:
+    r1, r2 = F.floor("_pos"), F.ceil("_pos")
+    return [F.min(F.when(F.col("_cum") > r1, F.col("_bin"))).alias("_b1"),
+            F.min(F.when(F.col("_cum") > r2, F.col("_bin"))).alias("_b2"),
+            F.min_by(F.col("_cum") - F.col("_c"), F.when(F.col("_cum") > r1, F.col("_bin"))).alias("_before")]
+
+
+def _pick_aggs() -> list[Column]:
+    return [F.min(F.when(F.col("_cum") > F.floor("_pos"), F.col("_v"))).alias("_v1"),
+            F.min(F.when(F.col("_cum") > F.ceil("_pos"), F.col("_v"))).alias("_v2"),
+            F.first("_pos").alias("_pos")]
+
+
+def _interpolate() -> Column:
     frac = F.col("_pos") - F.floor("_pos")
-    res = picked.select(*keys, (F.col("_v1") + frac * (F.col("_v2") - F.col("_v1"))).alias(alias))
-    if not by:
-        # an empty input still yields one row with NULL
-        one = df.sparkSession.range(1).select(F.lit(0).alias("_g"))
-        return one.join(res, on="_g", how="left").select(alias)
-    return res
+    return F.col("_v1") + frac * (F.col("_v2") - F.col("_v1"))
+
+
+def _global_quantile(spark, base: DataFrame, q: float, alias: str, accuracy: int, bins: int,
+                     direct_limit: int) -> DataFrame:
+    """The same passes without groups: statistics enter the row passes as
+    scalar subqueries (no join); always exactly one output row."""
+    n = base.count()
+    if n == 0:
+        return spark.range(1).select(F.lit(None).cast("double").alias(alias))
+    if n <= direct_limit:
+        return small(base.agg(F.percentile("_v", F.lit(q)).alias(alias)))
+    eps = 2.0 / accuracy
+    s1 = small(base.agg(F.count(F.lit(1)).alias("_n"),
+                        F.percentile_approx("_v", [max(0.0, q - eps), min(1.0, q + eps)], accuracy).alias("_b"),
+                        F.min("_v").alias("_mn"), F.max("_v").alias("_mx")).select(*_bracket(q, eps)))
+    lo, hi, pos = (s1.select(c).scalar() for c in ("_lo", "_hi", "_pos"))
+    j = base.select("_v", lo.alias("_lo"), hi.alias("_hi"), pos.alias("_pos")).withColumn("_bin", _bin_of(bins))
+    hist = j.groupBy("_bin").agg(F.count(F.lit(1)).alias("_c"), F.first("_pos").alias("_pos"))
+    wb = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)   # at most bins + 2 rows
+    target = small(hist.withColumn("_cum", F.sum("_c").over(wb)).agg(*_target_aggs()))
+    b1, b2, before = (target.select(c).scalar() for c in ("_b1", "_b2", "_before"))
+    vals = (j.where((F.col("_bin") == b1) | (F.col("_bin") == b2))
+             .groupBy("_v").agg(F.count(F.lit(1)).alias("_c"), F.first("_pos").alias("_pos")))
+    wv = Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)     # one or two bins only
+    vals = vals.withColumn("_cum", before + F.sum("_c").over(wv))
+    return small(vals.agg(*_pick_aggs()).select(_interpolate().alias(alias)))

@@ -36,9 +36,9 @@ def universe_at(master: DataFrame, instants: DataFrame, time_col: str = "timesta
     on the month bucket plus the validity residual, so neither side is
     broadcast blindly and no nested-loop join is planned."""
     inst = instants.select(F.col(time_col).alias("_t")).distinct()
-    bounds = inst.agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi")).withColumn("_k", F.lit(0))
-    m = (master.select("symbol", "start_date", "end_date").withColumn("_k", F.lit(0))
-               .join(F.broadcast(bounds), "_k"))
+    # first and last instant as scalar subqueries (no join)
+    m = master.select("symbol", "start_date", "end_date",
+                      inst.agg(F.min("_t")).scalar().alias("_lo"), inst.agg(F.max("_t")).scalar().alias("_hi"))
     months = _interval_months(m, "_lo", "_hi")
     it = inst.withColumn("_month", F.date_trunc("month", "_t"))
     u = (months.join(it, "_month")

@@ -46,9 +46,8 @@ def upsert(ledger: DataFrame, runs: DataFrame) -> DataFrame:
         F.coalesce("n_completed_at", "o_completed_at").alias("completed_at"))
     kept = merged.where(F.col("id").isNotNull())
     fresh = merged.where(F.col("id").isNull())
-    max_id = ledger.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_max")).withColumn("_k", F.lit(0))
+    max_id = ledger.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()   # scalar subquery
     seq = sq.index_sequence(fresh.drop("id"), [], "completed_at", order=["source_hash"])
-    numbered = (seq.frame.withColumn("_k", F.lit(0)).join(F.broadcast(max_id), "_k")
-                .withColumn("id", F.col("_max") + F.col(sq.RN) + 1)
+    numbered = (seq.frame.withColumn("id", max_id + F.col(sq.RN) + 1)
                 .select(*LEDGER_COLUMNS))
     return kept.select(*LEDGER_COLUMNS).unionByName(numbered)
