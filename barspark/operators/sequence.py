@@ -66,7 +66,8 @@ def index_sequence(df: DataFrame, keys: Sequence[str], time_col: str,
                    order: Sequence[str | Column] | None = None,
                    target_rows: int = DEFAULT_TARGET_ROWS,
                    broadcast_key_limit: int = DEFAULT_BROADCAST_KEY_LIMIT,
-                   broadcast_keys: bool | None = None) -> Sequenced:
+                   broadcast_keys: bool | None = None,
+                   assume_small: bool = False) -> Sequenced:
     """Add ``_bkt`` (bucket id within key) and ``_rn`` (0-based row index within
     key, ordered by ``time_col`` then ``order`` as tie-break)."""
     keys = list(keys)
@@ -79,8 +80,10 @@ def index_sequence(df: DataFrame, keys: Sequence[str], time_col: str,
                      F.min(us).alias("_kmin"), F.max(us).alias("_kmax")))
     order_cols = [F.col(time_col), *[F.col(o) if isinstance(o, str) else o for o in order]]
     # measured, like AQE: the largest key decides whether buckets are needed
-    top = kstats.agg(F.count(F.lit(1)).alias("keys"), F.max("_kn").alias("rows")).first()
-    if top["rows"] is None or top["rows"] <= target_rows:
+    # ``assume_small``: the caller knows every key is far below target_rows
+    top = None if assume_small else \
+        kstats.agg(F.count(F.lit(1)).alias("keys"), F.max("_kn").alias("rows")).first()
+    if top is None or top["rows"] is None or top["rows"] <= target_rows:
         w = Window.partitionBy(*keys).orderBy(*order_cols)
         frame = (df.withColumn(BKT, F.lit(0).cast("long"))
                    .withColumn(RN, (F.row_number().over(w) - 1).cast("long")))

@@ -251,7 +251,7 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
             old = ledger if ledger is not None else spark.createDataFrame(
                 [], "id long, source_path string, destination_path string, source_hash string, "
                     "row_count long, status string, created_at timestamp_ntz, completed_at timestamp_ntz")
-            new_ledger = materialize(lg.upsert(old, runs), "ledger")   # cut lineage before overwriting
+            new_ledger = materialize(lg.upsert(old, runs, runs_are_few=rep.files <= 100_000), "ledger")   # cut lineage before overwriting
             new_ledger.write.mode("overwrite").parquet(cfg.ledger_path)
             mark("ledger")
             event({"files": rep.files, "row_count": rep.rows_out}, "ingestion_metadata_recorded")

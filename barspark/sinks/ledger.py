@@ -26,12 +26,13 @@ def already_ingested(candidates: DataFrame, ledger: DataFrame) -> DataFrame:
     return candidates.join(ledger.select("source_hash"), "source_hash", "left_semi")
 
 
-def upsert(ledger: DataFrame, runs: DataFrame) -> DataFrame:
+def upsert(ledger: DataFrame, runs: DataFrame, runs_are_few: bool = False) -> DataFrame:
     """K3: insert new hashes; on an existing hash keep id, source_path and
     created_at and take destination_path, row_count, status and
     completed_at from the new run. New ids continue after the current
     maximum in (completed_at, source_hash) order; the numbering is the
-    skew-safe global row index, not a single-partition window."""
+    skew-safe global row index, not a single-partition window (unless the
+    caller knows the batch is a handful of files: ``runs_are_few``)."""
     old = ledger.select(*[F.col(c).alias(f"o_{c}") for c in LEDGER_COLUMNS])
     new = runs.select(*[F.col(c).alias(f"n_{c}") for c in LEDGER_COLUMNS if c != "id"])
     j = old.join(new, old.o_source_hash == new.n_source_hash, "full_outer")
@@ -47,7 +48,8 @@ def upsert(ledger: DataFrame, runs: DataFrame) -> DataFrame:
     kept = merged.where(F.col("id").isNotNull())
     fresh = merged.where(F.col("id").isNull())
     max_id = ledger.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()   # scalar subquery
-    seq = sq.index_sequence(fresh.drop("id"), [], "completed_at", order=["source_hash"])
+    seq = sq.index_sequence(fresh.drop("id"), [], "completed_at", order=["source_hash"],
+                            assume_small=runs_are_few)
     numbered = (seq.frame.withColumn("id", max_id + F.col(sq.RN) + 1)
                 .select(*LEDGER_COLUMNS))
     return kept.select(*LEDGER_COLUMNS).unionByName(numbered)
