@@ -29,7 +29,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import ieee_div, valid_at
@@ -233,14 +233,21 @@ def run_backtest(signals: DataFrame, prices: DataFrame, master: DataFrame, cfg:
             new = (tr.groupBy(s, "k").agg(F.sum("friction").alias("F"))
                      .join(vals.select(s, "k", "V"), [s, "k"])
                      .select(s, "k", (F.col("F") / F.col("V")).alias("f")))
+            if fric is not None:
+                new = new.join(fric.withColumnRenamed("f", "_f_old"), [s, "k"], "left")
+            else:
+                new = new.withColumn("_f_old", F.lit(0.0))
+            # the change of the friction table is observed while it is written:
+            # one job per pass
+            obs = Observation(f"friction_pass_{passes}")
+            new = new.observe(obs, F.max(F.abs(F.col("f") - F.coalesce("_f_old", F.lit(0.0)))).alias("delta"))
             if checkpoint:
                 new = materialize(new, "friction")
-            if fric is None:
-                delta = new.agg(F.max(F.abs("f"))).first()[0] or 0.0
             else:
-                delta = (new.join(fric.withColumnRenamed("f", "f_old"), [s, "k"], "full_outer")
-                            .agg(F.max(F.abs(F.coalesce("f", F.lit(0.0)) - F.coalesce("f_old", F.lit(0.0)))))
-                            .first()[0] or 0.0)
+                new = new.persist()
+                new.count()
+            delta = obs.get.get("delta") or 0.0
+            new = new.drop("_f_old")
             fric = new
             if delta < cfg.tolerance:
                 break
