@@ -163,6 +163,18 @@ def gbt_regressor(features: Sequence[str], target: str, seed: int = 42):
     return Pipeline(stages=[asm, gbt])
 
 
+def save_model(model, path: str) -> str:
+    """Persist a fitted pipeline with the MLlib writer (one directory per
+    split/fold instead of a pickled file)."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str):
+    from pyspark.ml import PipelineModel
+    return PipelineModel.load(path)
+
+
 def feature_importances(model, features: Sequence[str]) -> dict[str, float]:
     """M7."""
     imp = model.stages[-1].featureImportances

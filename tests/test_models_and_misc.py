@@ -84,6 +84,15 @@ def test_gbt_walk_forward(spark, sf):
     model = fit(sup)
     imp = va.feature_importances(model, names)
     assert set(imp) == set(names) and abs(sum(imp.values()) - 1.0) < 1e-6
+    import tempfile
+    from barspark.sinks import audit as au
+    path = va.save_model(model, tempfile.mkdtemp(prefix="barspark-model-") + "/m")
+    again = va.load_model(path)
+    a = model.transform(sup).select("prediction").limit(5).collect()
+    b = again.transform(sup).select("prediction").limit(5).collect()
+    assert a == b
+    rec = au.run_record(spark, "basic_price__short", {"feature_set": "basic_price"}, out).first()
+    assert rec.params["feature_set"] == "basic_price" and "cv_short_rmse" in rec.metrics
 
 
 def test_rewards_and_grid(spark):
