@@ -133,3 +133,20 @@ def test_reference_tables(spark, tmpdir_path):
     from barspark.sinks.files import materialise
     p = materialise(spark, m, f"{tmpdir_path}/sm")
     assert sio.load_reference(spark, p, sio.load_symbol_master).count() == 3
+
+
+def test_outlier_statistics_are_per_source_file(spark):
+    """Each landing file gets its own median/MAD, as the reference processes one
+    file per run: 130 is an outlier among ~100s but normal among ~130s."""
+    rows = []
+    for i in range(20):
+        rows.append(("a.csv", dt.datetime(2024, 1, 1, 9, i), "X", 100.0 + (i % 3) * 0.5, i))
+        rows.append(("b.csv", dt.datetime(2024, 1, 1, 9, i), "X", 130.0 + (i % 3) * 0.5, i))
+    rows.append(("a.csv", dt.datetime(2024, 1, 1, 10, 0), "X", 130.0, 99))
+    df = spark.createDataFrame(rows, "_source_file string, timestamp timestamp, symbol string, close double, "
+                                     "pos int").withColumn("_row_pos", F.struct("pos")).drop("pos")
+    cfg = ig.IngestConfig(source=[], destination="", run_id="t", expected_frequency="1m")
+    clean, quarantined, _, _ = ig.clean_frame(df, cfg, with_gaps=False)
+    q = quarantined.collect()
+    assert len(q) == 1 and q[0]["_source_file"] == "a.csv" and q[0].close == 130.0
+    assert clean.where("_source_file = 'b.csv'").count() == 20
