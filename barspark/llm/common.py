@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from barspark.session import ensure_checkpoint_dir
 
@@ -56,7 +57,7 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | ST.StructType) -> DataFrame:
     """``fn`` on every Arrow batch of ``df``. The batches are bounded in rows and bytes by
     Spark's Arrow settings; the map keeps nothing between them."""
     ship(df.sparkSession)
@@ -71,3 +72,20 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """Only the two columns an operator reads; other columns, whatever their names, stay out."""
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
+
+
+def columns(df: DataFrame, names: list[str] | None = None) -> list[F.Column]:
+    """Columns by name, whatever characters the names hold."""
+    return [F.col(f"`{c}`") for c in (df.columns if names is None else names)]
+
+
+def row_of(df: DataFrame, names: list[str]) -> F.Column:
+    """The named columns as one struct ``row``: they pass through a batch function as they
+    are, and their names cannot clash with those it adds."""
+    return F.struct(*columns(df, names)).alias("row")
+
+
+def row_schema(df: DataFrame, names: list[str], added: str) -> ST.StructType:
+    """Schema of ``row`` and the added columns (a DDL string)."""
+    row = ST.StructType([ST.StructField(c, df.schema[c].dataType, True) for c in names])
+    return ST.StructType([ST.StructField("row", row, True), *ST.StructType.fromDDL(added).fields])

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barspark.llm import textops as T
-from barspark.llm.common import Scratch, map_batches, ship, table, texts_of
+from barspark.llm.common import Scratch, columns, map_batches, ship, table, texts_of
 from barspark.llm.components import components
 
 SHINGLE = 5
@@ -270,9 +270,9 @@ def deduplicated(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     gone = s.save(near_duplicates(docs, s).filter("NOT kept").select("doc_id").distinct(), "gone")
     again = s.save(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
                    .select("doc_id"), "again")
-    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    single = left.join(again, "doc_id", "left_anti").select(docs.columns)
-    repeated = left.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    left = docs.join(gone, "doc_id", "left_anti").select(*columns(docs))
+    single = left.join(again, "doc_id", "left_anti").select(*columns(docs))
+    repeated = left.join(again, "doc_id", "left_semi").select(*columns(docs)).dropDuplicates(["doc_id", "text"])
     return single.unionByName(repeated)
 
 

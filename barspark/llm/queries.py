@@ -1,12 +1,25 @@
 """The registered queries of the operators and their DuckDB SQL."""
 from __future__ import annotations
 
-from barspark.llm import minhash, packing, rules
+import corpus_pipeline
+from barspark.llm import chat, embeddings, minhash, packing, rules, toxicity, urls, weak
 
 QUERIES = {
+    "op1_snapshot_collapse": chat.op1_snapshot_collapse,
+    "op2_weak_labels": weak.op2_weak_labels,
     "op3_host_rules": rules.op3_host_rules,
+    "op4_link_trust": urls.op4_link_trust,
+    "op6_multiple_instance": toxicity.op6_multiple_instance,
+    "op8_itq_hamming": embeddings.op8_itq_hamming,
     "op9_minhash": minhash.op9_minhash,
     "op10_power_of_two": packing.op10_power_of_two,
+    "pipeline": corpus_pipeline.run,
 }
 
-SQL = {"op3_host_rules": rules.SQL}
+SQL = {
+    "op1_snapshot_collapse": chat.SQL,
+    "op3_host_rules": rules.SQL,
+    "op4_link_trust": urls.SQL,
+}
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

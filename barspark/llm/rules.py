@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barspark.llm import textops as T
-from barspark.llm.common import Scratch, map_batches, table
+from barspark.llm.common import Scratch, map_batches, row_of, row_schema, table
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -70,21 +70,18 @@ def text_counts(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     return out | {"n_dup_lines": dup, "n_repeat_words": repeat}
 
 
-def rule_counts(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``keep`` columns of ``docs`` and the five counts of its texts, row by row."""
-    slim = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("_text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields[:-1]),
-                        *(f"{c} long" for c in COUNTS)])
+def rule_counts(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
+    """``row`` (the ``keep`` columns of ``docs``) and the five counts of its texts, row by row."""
+    slim = docs.select(row_of(docs, keep), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        data, offs = T.text_bytes(batch.column(batch.num_columns - 1))
+        data, offs = T.text_bytes(batch.column(1))
         for lo, hi in T.chunks(offs):
             counts = text_counts(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(j).slice(lo, hi - lo) for j in range(batch.num_columns - 1)]
-                + [pa.array(counts[c]) for c in COUNTS], names=[*keep, *COUNTS])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo)] + [pa.array(counts[c]) for c in COUNTS],
+                                             names=["row", *COUNTS])
 
-    return map_batches(slim, run, schema)
+    return map_batches(slim, run, row_schema(docs, keep, ", ".join(f"{c} long" for c in COUNTS)))
 
 
 def base_failed() -> F.Column:
@@ -119,14 +116,26 @@ def judge(docs: DataFrame, host_col: str = "source", max_host_rate: float = MAX_
     The texts are read once: the counts are written to the scratch folder, the host
     rates and the join read that narrow table."""
     scratch = scratch or Scratch(docs.sparkSession, "rules")
-    slim = docs.select(F.col("doc_id"), F.col(f"`{host_col}`").alias("host"), F.col("text"))
-    rated = scratch.save(rule_counts(slim, keep=("doc_id", "host")).withColumn("base_failed", base_failed()), "rated")
+    counts = rule_counts(docs, ["doc_id", host_col])
+    rated = scratch.save(counts.select(F.col("row.doc_id").alias("doc_id"), F.col(f"row.`{host_col}`").alias("host"),
+                                       *COUNTS, base_failed().alias("base_failed")), "rated")
     hosts = scratch.save(host_rates(rated, "host", max_host_rate), "hosts")
     joined = (rated.alias("r").join(hosts.alias("h"), F.expr("r.host <=> h.host"), "left")
               .select("r.*", "h.host_rate", "h.host_ok"))
     return joined.withColumn("kept", ~F.col("base_failed") & F.col("host_ok")).drop("host_ok")
 
 
+def passed(docs: DataFrame, host_col: str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
+    """The rows of ``docs`` that pass, all columns as they are. The texts are read twice: for
+    the host rates, and for the rows' own verdicts with the texts passed along."""
+    scratch = Scratch(docs.sparkSession, "rules")
+    narrow = rule_counts(docs, [host_col]).select(F.col(f"row.`{host_col}`").alias("host"), base_failed().alias("base_failed"))
+    hosts = scratch.save(host_rates(narrow, "host", max_host_rate).select("host", "host_ok"), "hosts")
+    own = rule_counts(docs, docs.columns).filter(~base_failed())
+    return (own.join(hosts, F.col(f"row.`{host_col}`").eqNullSafe(F.col("host")), "left")
+            .filter("host_ok").select("row.*"))
+
+
 def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = judge(table(spark, sf_dir, "documents"))
     return j.select("doc_id", *COUNTS, "base_failed", "kept", F.round("host_rate", 9).alias("host_rate"))

@@ -58,7 +58,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0]:offs[-1]], offs - offs[0]
 
 
-def _runs(inside: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def spans(inside: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end positions of the runs of ``inside``, cut at text borders."""
     n = len(inside)
     if n == 0:
@@ -74,13 +74,13 @@ def _runs(inside: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, index of the first word of each text and the total)."""
-    starts, ends = _runs(~_SPACE[data], offs)
+    starts, ends = spans(~_SPACE[data], offs)
     return starts, ends, np.searchsorted(starts, offs)
 
 
 def line_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lines between newlines (empty lines have no word and are left out)."""
-    starts, ends = _runs(data != 0x0A, offs)
+    starts, ends = spans(data != 0x0A, offs)
     return starts, ends, np.searchsorted(starts, offs)
 
 
