@@ -41,12 +41,21 @@ STEPS = 30
 BLOCK = 512
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows at length 1 (scaled first, so no square overflows)."""
+    if not len(x):
+        return x
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
 def rotations(x: np.ndarray, codes: int = CODES, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
     """(mean, (codes, d, bits) projections): principal axes (at most 64), each time turned by
     an iteratively quantised rotation from another random start."""
     d = x.shape[1]
     bits = min(d, 64)
-    mean = x.mean(axis=0) if len(x) else np.zeros(d)
+    x = unit(x)
+    mean = x.sum(axis=0) / (len(x) + d)         # d zero vectors keep a tiny sample's mean off its points
     centred = x - mean
     _, axes = np.linalg.eigh(centred.T @ centred + 1e-9 * np.eye(d))
     axes = axes[:, ::-1][:, :bits]
@@ -73,6 +82,7 @@ def chunk_bounds(bits: int, n: int) -> list[tuple[int, int]]:
 def codes_of(x: np.ndarray, mean: np.ndarray, projections: np.ndarray) -> np.ndarray:
     """(rows, codes) of uint64."""
     out = np.zeros((len(x), len(projections)), np.uint64)
+    x = unit(x)
     for k, p in enumerate(projections):
         bit = ((x - mean) @ p >= 0).astype(np.uint64)
         out[:, k] = (bit << np.arange(p.shape[1], dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
