@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barspark.llm.common import Scratch, map_batches, ship, table, texts_of
-from barspark.llm.packing import encoder, vocabulary_path
+from barspark.llm.encoding import encoder, vocabulary_path
 
 BLOCK_TOKENS = 8_000_000
 MU = 50.0
@@ -45,22 +45,20 @@ def encoded(texts: DataFrame, path: str, block_tokens: int = BLOCK_TOKENS) -> Da
     ship(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
         first = TaskContext.get().partitionId() << 32
         block, filled = 0, 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                tokens, blocks = [], []
-                for ids in encode(part.column(1).to_pylist()):
-                    n = len(ids) // 4
+            for lo, ids, at in encoder(path).texts(batch.column(1)):
+                blocks = []
+                for n in np.diff(at).tolist():
                     if filled and filled + n > block_tokens:
                         block, filled = block + 1, 0
                     filled += n
-                    tokens.append(np.frombuffer(ids, "<u4").astype("<u2").tobytes())
                     blocks.append(first + block)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(blocks, pa.int64()),
-                                                  pa.array(tokens, pa.binary())], names=["doc_id", "block", "tokens"])
+                tokens = pa.Array.from_buffers(pa.binary(), len(blocks), [
+                    None, pa.py_buffer((2 * at).astype(np.int32).tobytes()), pa.py_buffer(ids.astype("<u2").tobytes())])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(blocks)), pa.array(blocks, pa.int64()),
+                                                  tokens], names=["doc_id", "block", "tokens"])
 
     return texts.mapInArrow(run, "doc_id long, block long, tokens binary")
 

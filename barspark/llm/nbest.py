@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from barspark.llm import textops as T
 from barspark.llm.common import map_batches, table, texts_of
-from barspark.llm.packing import vocabulary_path
+from barspark.llm.encoding import vocabulary_path
 
 MODEL = "piece_bpe_32k.model"
 N_BEST = 4

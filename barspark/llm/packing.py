@@ -9,17 +9,9 @@ two documents. The plan is one narrow pass: scan, encode, cut, number.
 Defined results: a null or empty text is the end id alone; very long texts are cut
 like all others; repeated rows give repeated pieces with sequence ids of their own;
 a null doc_id is packed under null; an empty table gives no rows.
-
-Encoding: the vocabulary drops white space before it merges, so a text's ids are its
-white-space-separated words' ids in a row. Each task keeps the ids of the words it has
-met in a bounded cache, and asks the tokenizer for the new ones in one batch call.
-Texts with characters that Python alone takes for white space (U+001C-U+001F) are
-encoded whole.
 """
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -28,68 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barspark.llm.common import ship, table
+from barspark.llm.common import map_batches, table, texts_of
+from barspark.llm.encoding import encoder, vocabulary_path
 
 SEQ_LEN = 2048
 END_ID = 1
-CACHE_WORDS = 250_000
-VOCABULARY = "word_bpe_49k.json"
-_ODD = re.compile("[\x1c-\x1f]")
-
-
-def vocabulary_path(name: str = VOCABULARY) -> str:
-    """Place of a public vocabulary file: the installed ``public_tokenizers`` module, or
-    the folder it is distributed in."""
-    try:
-        import public_tokenizers
-        return public_tokenizers.path(name)
-    except ModuleNotFoundError:
-        return f"{os.environ.get('PUBLIC_TOKENIZERS', '/opt/tokenizers')}/{name}"
-
-
-class WordEncoder:
-    """ids of whole texts through a bounded cache of words."""
-
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.cache_words = cache_words
-        self.cache: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        for text in texts:
-            if not text:
-                yield b""
-            elif _ODD.search(text):
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                yield np.array(ids, "<u4").tobytes()
-            else:
-                yield self._joined(text.split())
-
-    def _joined(self, words: list[str]) -> bytes:
-        cache = self.cache
-        try:
-            return b"".join([cache[w] for w in words])
-        except KeyError:
-            new = list({w for w in words if w not in cache})
-            if len(cache) + len(new) > self.cache_words:
-                cache.clear()
-                new = list(set(words))
-            for word, got in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                cache[word] = np.array(got.ids, "<u4").tobytes()
-            return b"".join([cache[w] for w in words])
-
-
-_encoders: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
-    """One encoder per Python worker and vocabulary."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
 
 
 def cuts(n: int, seq_len: int) -> list[int]:
@@ -108,40 +43,30 @@ def pack(docs: DataFrame, path: str | None = None, seq_len: int = SEQ_LEN, end_i
     if seq_len < 1 or seq_len & (seq_len - 1):
         raise ValueError(f"seq_len must be a power of two, not {seq_len}")
     path = path or vocabulary_path()
-    ship(docs.sparkSession)
     schema = "doc_id long, start long, length long, bucket int, ids_crc32 long, doc_tokens long"
     schema += ", ids array<int>" if with_ids else ""
-    end = np.array([end_id], "<u4").tobytes()
     names = [c.split()[0] for c in schema.split(", ")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                rows: list[tuple] = []
-                ids_of: list[np.ndarray] = []
-                for doc, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
-                    ids += end
-                    total, start = len(ids) // 4, 0
-                    for size in cuts(total, seq_len):
-                        piece = ids[4 * start:4 * (start + size)]
-                        rows.append((doc, start, size, size.bit_length() - 1, zlib.crc32(piece), total))
-                        if with_ids:
-                            ids_of.append(np.frombuffer(piece, "<i4"))
-                        start += size
-                cols = list(zip(*rows))
-                arrays = [pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int64(), pa.int64(), pa.int32(),
-                                                                pa.int64(), pa.int64()])]
-                if with_ids:
-                    arrays.append(pa.ListArray.from_arrays(
-                        np.concatenate([[0], np.cumsum([len(x) for x in ids_of])]).astype(np.int32),
-                        pa.array(np.concatenate(ids_of))))
-                if rows:
-                    yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return (slim.mapInArrow(run, schema)
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for lo, ids, at in encoder(path).texts(batch.column(1)):
+            rows, pieces = [], []
+            for k in range(len(at) - 1):
+                own = np.append(ids[at[k]:at[k + 1]], np.uint32(end_id)).astype("<u4")
+                raw, start = own.tobytes(), 0
+                for size in cuts(len(own), seq_len):
+                    rows.append((lo + k, start, size, size.bit_length() - 1,
+                                 zlib.crc32(raw[4 * start:4 * (start + size)]), len(own)))
+                    start += size
+                pieces.append(own)
+            cols = [np.array(c) for c in zip(*rows)]
+            arrays = [batch.column(0).take(pa.array(cols[0])), pa.array(cols[1]), pa.array(cols[2]),
+                      pa.array(cols[3].astype(np.int32)), pa.array(cols[4]), pa.array(cols[5])]
+            if with_ids:
+                arrays.append(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(cols[2])]).astype(np.int32),
+                                                       pa.array(np.concatenate(pieces).view("<i4"))))
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return (map_batches(texts_of(docs), run, schema)
             .withColumn("sequence_id", F.monotonically_increasing_id() * 64 + F.col("bucket"))
             .withColumn("offset", F.lit(0).cast("long")))
 
