@@ -46,17 +46,6 @@ def sign(c) -> Column:
     return F.when(F.isnan(x), F.lit(float("nan"))).otherwise(F.signum(x))
 
 
-def not_nan_gt(c, threshold) -> Column:
-    """``c > threshold`` with NaN treated as false (Spark orders NaN above
-    every number, Polars/NumPy compare it false)."""
-    x = col_(c)
-    return F.when(F.isnan(x), F.lit(False)).otherwise(x > threshold)
-
-
-def round6(c) -> Column:
-    return F.round(col_(c), 6)
-
-
 # --------------------------------------------------------------------------
 # Frequencies
 # --------------------------------------------------------------------------
@@ -87,7 +76,9 @@ def epoch_us(c) -> Column:
 # --------------------------------------------------------------------------
 # Exchange-local time to UTC
 # --------------------------------------------------------------------------
-_OFFSET_RE = r"(Z|[+-][0-9]{2}:?[0-9]{2})$"
+# a zone after a time of day: Z, an offset with or without minutes, or a zone name
+_ZONED_RE = r"(?i)([0-9]:[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]+)?)?|T[0-9]{1,2})\s*(Z|[+-][0-9]{1,2}(:?[0-9]{2})?|[a-z][a-z_]*(/[a-z_+0-9-]+)*)$"
+_HOURS_RE = r"([+-])([0-9]{1,2})$"
 
 
 def local_to_utc(c, dtype: T.DataType, zone: str = "Asia/Kolkata") -> Column:
@@ -95,8 +86,9 @@ def local_to_utc(c, dtype: T.DataType, zone: str = "Asia/Kolkata") -> Column:
 
     * TIMESTAMP (instant)   -> unchanged (already an instant),
     * TIMESTAMP_NTZ (naive) -> read as wall time in ``zone``,
-    * string                -> with an explicit offset: that instant; without:
-                               wall time in ``zone``; unparseable -> NULL.
+    * string                -> with an offset (+05:30, +0530, +05, Z) or a zone name (UTC,
+                               Asia/Kolkata): that instant; without: wall time in
+                               ``zone``; unparseable -> NULL.
     """
     x = col_(c)
     if isinstance(dtype, T.TimestampType):
@@ -106,8 +98,11 @@ def local_to_utc(c, dtype: T.DataType, zone: str = "Asia/Kolkata") -> Column:
     if isinstance(dtype, T.DateType):
         return F.to_utc_timestamp(x.cast("timestamp"), zone)
     s = F.trim(x.cast("string"))
-    with_offset = s.rlike(_OFFSET_RE)
-    return (F.when(with_offset, s.try_cast("timestamp"))
+    # Spark's cast wants minutes in an offset: +5 and +05 become +05:00
+    full = F.when(s.rlike(r"[:T][0-9.]+\s*[+-][0-9]{1,2}$"),
+                  F.concat(F.regexp_replace(s, _HOURS_RE, ""), F.regexp_extract(s, _HOURS_RE, 1),
+                           F.lpad(F.regexp_extract(s, _HOURS_RE, 2), 2, "0"), F.lit(":00"))).otherwise(s)
+    return (F.when(s.rlike(_ZONED_RE), full.try_cast("timestamp"))
              .otherwise(F.to_utc_timestamp(s.try_cast("timestamp_ntz").cast("timestamp"), zone)))
 
 

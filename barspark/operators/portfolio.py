@@ -6,7 +6,7 @@ result is written here as set operations over a *panel* with one row per
 
 * ``w``   target weight at k (0 on the exit row after a position's last signal),
 * ``p``   last price seen at a signal time <= k (as-of backward, Q8),
-* ``w_eff`` = w when p > 0 else 0 (price 0 gives 0 shares, never priced is skipped).
+* ``w_eff`` = w when p != 0 else 0 (price 0 gives 0 shares, never priced is skipped).
 
 With V_k the pre-trade value and F_k the friction (costs + slippage) paid at k,
 
@@ -16,11 +16,9 @@ With V_k the pre-trade value and F_k the friction (costs + slippage) paid at k,
     NAV_k    = V_k - F_k
 
 Without costs this is one pass and exact. With costs F depends on V, so the
-small per-(strategy, k) friction table is iterated to a fixed point (each pass
-is the same joins and windows; the table is checkpointed between passes).
-F_k depends on V_k and V_k-1 only, so pass p is exact up to time p-1: the
-iteration stops when the friction stops changing (a few passes for ordinary
-costs) and is exact at the latest after one pass per rebalance time.
+small per-(strategy, k) friction table is iterated to a fixed point, strategy
+by strategy (``_friction``); each pass is the same joins and windows on the
+strategies that still move.
 Every window is per (strategy, symbol) over rebalance times or per strategy
 over the per-time table, never over raw bars.
 """
@@ -29,11 +27,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import ieee_div, valid_at
-from ..session import checkpoint_keep_partitioning, materialize
+from ..functions.expr import ieee_div
+from ..session import Scratch, checkpoint_keep_partitioning, materialize
 from .universe import gate_signals
 
 MIN_TRADE_SHARES = 1e-6  # fixed value: trades below this many shares are not executed
@@ -75,7 +73,6 @@ class BacktestConfig:
     initial_capital: float
     index_name: str | None = None
     strategy_col: str = "strategy"
-    max_passes: int | None = None   # None: number of rebalance times + 2 (always exact)
     tolerance: float = 1e-10
 
 
@@ -105,13 +102,16 @@ def check_unique_signals(signals: DataFrame, strategy_col: str = "strategy") ->
         .otherwise(F.col("target_weight")))
 
 
+def one_price(prices: DataFrame) -> DataFrame:
+    """(timestamp, symbol, close): of rows that repeat a price key, the one with the greatest
+    remaining columns (the stand-in for the last row), everywhere prices are used."""
+    rest = [c for c in prices.columns if c not in ("timestamp", "symbol")]
+    return prices.groupBy("timestamp", "symbol").agg(F.max_by("close", F.struct(*rest)).alias("close"))
+
+
 def signal_prices(signals: DataFrame, prices: DataFrame) -> DataFrame:
-    """Each signal with the close at exactly its (timestamp, symbol); a
-    repeated price key keeps the greatest row (stand-in for 'last')."""
-    px = (prices.groupBy("timestamp", "symbol")
-                .agg(F.max_by("close", F.struct(*[c for c in prices.columns if c not in ("timestamp", "symbol")]))
-                     .alias("close")))
-    return signals.join(px, ["timestamp", "symbol"], "left")
+    """Each signal with the close at exactly its (timestamp, symbol)."""
+    return signals.join(one_price(prices), ["timestamp", "symbol"], "left")
 
 
 def build_panel(signals: DataFrame, prices: DataFrame, master: DataFrame, cfg: BacktestConfig,
@@ -126,17 +126,19 @@ def build_panel(signals: DataFrame, prices: DataFrame, master: DataFrame, cfg: B
     rows = (at_k.unionByName(exits).groupBy(s, "k", "symbol")
                 .agg(F.max("w").alias("w"))
                 .join(times, [s, "k"]))   # drops exits past the last time
-    # prices seen at rebalance times (NULL/NaN closes are missing, Q15)
-    px = (prices.where(F.col("close").isNotNull() & ~F.isnan("close"))
-                .join(times, "timestamp")
-                .select(s, "k", "symbol", F.col("close").alias("_px")))
+    # prices seen at rebalance times (NULL/NaN closes are missing, Q15), for the symbols
+    # a strategy ever holds
+    held_pairs = at_k.select(s, "symbol").distinct()
+    px = (one_price(prices).where(F.col("close").isNotNull() & ~F.isnan("close"))
+          .join(held_pairs, "symbol").join(times, [s, "timestamp"])
+          .select(s, "k", "symbol", F.col("close").alias("_px")))
     both = rows.join(px, [s, "k", "symbol"], "full_outer")
     wsym = Window.partitionBy(s, "symbol").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     carried = both.withColumn("p", F.last("_px", ignorenulls=True).over(wsym))
     panel = (carried.where(F.col("timestamp").isNotNull())
                     .select(s, "k", "timestamp", "symbol",
                             F.coalesce("w", F.lit(0.0)).alias("w"), "p")
-                    .withColumn("w_eff", F.when(F.col("p") > 0, F.col("w")).otherwise(F.lit(0.0))))
+                    .withColumn("w_eff", F.when(F.col("p") != 0, F.col("w")).otherwise(F.lit(0.0))))
     lagw = Window.partitionBy(s, "symbol").orderBy("k")
     held = (F.lag("k", 1).over(lagw) == F.col("k") - 1)
     return (panel.withColumn("w_prev", F.when(held, F.lag("w_eff", 1).over(lagw)).otherwise(F.lit(0.0)))
@@ -168,10 +170,9 @@ def _values(gross: DataFrame, fric: DataFrame | None, cfg: BacktestConfig) -> Da
 
 
 def _trades(panel: DataFrame, values: DataFrame, cfg: BacktestConfig, costs: CostModel,
-            slippage: SlippageModel, broadcast_values: bool = False) -> DataFrame:
+            slippage: SlippageModel) -> DataFrame:
     s = cfg.strategy_col
-    v = values.select(s, "k", "V")
-    t = panel.join(F.broadcast(v) if broadcast_values else v, [s, "k"])
+    t = panel.join(values.select(s, "k", "V"), [s, "k"])
     lagw = Window.partitionBy(s, "symbol").orderBy("k")
     held = F.lag("k", 1).over(lagw) == F.col("k") - 1
     q = F.when(F.col("w_eff") != 0, F.col("w_eff") * F.col("V") / F.col("p")).otherwise(F.lit(0.0))
@@ -187,6 +188,39 @@ def _trades(panel: DataFrame, values: DataFrame, cfg: BacktestConfig, costs: Cos
     return t.withColumn("friction", slip + F.col("cost"))
 
 
+def _friction(panel: DataFrame, gross: DataFrame, cfg: BacktestConfig, costs: CostModel, slippage: SlippageModel,
+              bound: int) -> tuple[DataFrame, int]:
+    """(relative friction per (strategy, k), passes): the fixed point, strategy by strategy.
+
+    Pass p makes time p - 1 exact (friction at k needs the values at k and k - 1 only), so
+    ``bound`` passes are always enough. A strategy whose friction has stopped moving is
+    final and leaves the following passes; both tables shrink to the others."""
+    s = cfg.strategy_col
+    scratch = Scratch(panel.sparkSession, "friction")
+    open_panel, open_gross, fric, final, passes = panel, gross, None, None, 0
+    while True:
+        vals = _values(open_gross, fric, cfg)
+        new = (_trades(open_panel, vals, cfg, costs, slippage).groupBy(s, "k").agg(F.sum("friction").alias("F"))
+               .join(vals.select(s, "k", "V"), [s, "k"]).select(s, "k", (F.col("F") / F.col("V")).alias("f")))
+        old = F.lit(0.0) if fric is None else F.coalesce("_f_old", F.lit(0.0))
+        if fric is not None:
+            new = new.join(fric.withColumnRenamed("f", "_f_old"), [s, "k"], "left")
+        moved = F.abs(F.col("f") - old)
+        new = scratch.save(new.select(s, "k", "f", moved.alias("moved")), f"pass{passes}")
+        still = scratch.save(new.groupBy(s).agg(F.max("moved").alias("m")).filter(F.col("m") >= cfg.tolerance).select(s),
+                             f"open{passes}")
+        passes += 1
+        fric = new.select(s, "k", "f")
+        done = fric.join(still, s, "left_anti")
+        final = done if final is None else final.unionByName(done)
+        if still.isEmpty():
+            return final, passes
+        if passes >= bound:
+            raise RuntimeError(f"the cost fixed point still moves after {passes} passes, more than it needs")
+        fric = fric.join(still, s, "left_semi")
+        open_panel, open_gross = panel.join(still, s, "left_semi"), gross.join(still, s, "left_semi")
+
+
 @dataclass
 class BacktestResult:
     panel: DataFrame
@@ -217,42 +251,12 @@ def run_backtest(signals: DataFrame, prices: DataFrame, master: DataFrame, cfg:
              .withColumn("G", F.coalesce("G", F.lit(0.0))))
     if checkpoint:
         gross = materialize(gross, "gross")   # one row per (strategy, time), read by every pass
-    frictionless = costs.free and slippage.bps == 0
-    fric = None
-    passes = 0
-    if not frictionless:
-        # pass p makes time p-1 exact (friction at k needs values at k and k-1
-        # only), so the cap below always ends exact; usually far fewer passes
-        tstat = rebalance_times(signals, cfg).agg(F.max("k"), F.count(F.lit(1))).first()
-        cap = cfg.max_passes if cfg.max_passes is not None else int(tstat[0] or 0) + 2
-        # the per-(strategy, time) table is broadcast when its measured size is small
-        bvals = int(tstat[1] or 0) <= 5_000_000
-        for passes in range(1, cap + 1):
-            vals = _values(gross, fric, cfg)
-            tr = _trades(panel, vals, cfg, costs, slippage, bvals)
-            new = (tr.groupBy(s, "k").agg(F.sum("friction").alias("F"))
-                     .join(vals.select(s, "k", "V"), [s, "k"])
-                     .select(s, "k", (F.col("F") / F.col("V")).alias("f")))
-            if fric is not None:
-                new = new.join(fric.withColumnRenamed("f", "_f_old"), [s, "k"], "left")
-            else:
-                new = new.withColumn("_f_old", F.lit(0.0))
-            # the change of the friction table is observed while it is written:
-            # one job per pass
-            obs = Observation(f"friction_pass_{passes}")
-            new = new.observe(obs, F.max(F.abs(F.col("f") - F.coalesce("_f_old", F.lit(0.0)))).alias("delta"))
-            if checkpoint:
-                new = materialize(new, "friction")
-            else:
-                new = new.persist()
-                new.count()
-            delta = obs.get.get("delta") or 0.0
-            new = new.drop("_f_old")
-            fric = new
-            if delta < cfg.tolerance:
-                break
-        else:
-            raise RuntimeError(f"Cost fixed point did not converge in {cap} passes")
+    times = rebalance_times(signals, cfg).agg(F.max("k")).first()[0]
+    if times is None:
+        raise ValueError(f"no signal between {cfg.start_date} and {cfg.end_date}")
+    fric, passes = None, 0
+    if not (costs.free and slippage.bps == 0):
+        fric, passes = _friction(panel, gross, cfg, costs, slippage, int(times) + 2)
     vals = _values(gross, fric, cfg)
     trades = _trades(panel, vals, cfg, costs, slippage)
     F_k = trades.groupBy(s, "k").agg(F.sum("friction").alias("F_k"))
@@ -309,7 +313,3 @@ def write_reports(summary: DataFrame, equity: DataFrame, out_dir: str, run_id: s
         .partitionBy("run_id", strategy_col).json(f"{base}/metrics")
     equity.withColumn("run_id", F.lit(run_id)).write.mode("append").option("header", True) \
         .partitionBy("run_id", strategy_col).csv(f"{base}/equity")
-
-
-def valid_now(df: DataFrame, t) -> Column:
-    return valid_at("start_date", "end_date", t)

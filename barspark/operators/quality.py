@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Iterable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -175,9 +174,6 @@ def mad_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 3.5,
     subqueries, no join) or per group of ``by`` (e.g. per source file)."""
     by = list(by)
     present = [c for c in columns if c in df.columns]
-    if present:
-        # several statistics passes and the scoring pass read the input
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     scored = df
     flags: list[Column] = []
     summaries = []

@@ -1,91 +1,61 @@
-"""Schema contract (C1-C6, P1, P11): a registry of golden ``StructType``s,
-diffs against a frame, validation and enforcement."""
+"""Schema contracts (C1-C6, P1, P11): named ``StructType``s and the issues a frame has
+with one. A comparison is a list of ``Issue`` rows; reports, errors and frames
+derive from it."""
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-from typing import Iterable, Mapping
+from typing import Iterable, Mapping, NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def _schema(name: str, cols: list[tuple[str, T.DataType, bool]]) -> T.StructType:
-    return T.StructType([T.StructField(n, t, nullable) for n, t, nullable in cols])
-
-
-# The golden schemas of the reference (names, order, types, nullability).
-GOLDEN_SCHEMAS: dict[str, T.StructType] = {
-    "market_data": _schema("market_data", [
-        ("timestamp", T.TimestampType(), False),
-        ("symbol", T.StringType(), False),
-        ("open", T.DoubleType(), True),
-        ("high", T.DoubleType(), True),
-        ("low", T.DoubleType(), True),
-        ("close", T.DoubleType(), True),
-        ("volume", T.LongType(), True),
-        ("trade_count", T.LongType(), True),
-    ]),
-    "corporate_actions": _schema("corporate_actions", [
-        ("symbol", T.StringType(), False),
-        ("ex_date", T.DateType(), False),
-        ("split_ratio", T.DoubleType(), True),
-        ("cash_dividend", T.DoubleType(), True),
-        ("close", T.DoubleType(), True),
-    ]),
+# The golden schemas (names, order, types; "!" marks a column without NULLs).
+CONTRACT_DDL = {
+    "market_data": "timestamp timestamp!, symbol string!, open double, high double, low double, close double, "
+                   "volume bigint, trade_count bigint",
+    "corporate_actions": "symbol string!, ex_date date!, split_ratio double, cash_dividend double, close double",
 }
 
 
-def register_schema(name: str, schema: T.StructType) -> None:
-    """Register or override."""
-    GOLDEN_SCHEMAS[name] = schema
+_TYPES = {t.simpleString(): t for t in (T.TimestampType(), T.DateType(), T.StringType(), T.DoubleType(), T.LongType())}
+
+
+def _parse(text: str) -> T.StructType:
+    """``name type`` entries of the types above, without a session."""
+    pairs = [entry.split() for entry in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!")) for name, kind in pairs])
+
+
+CONTRACTS: dict[str, T.StructType] = {name: _parse(ddl) for name, ddl in CONTRACT_DDL.items()}
 
 
-def get_schema(name: str) -> T.StructType:
-    try:
-        return GOLDEN_SCHEMAS[name]
-    except KeyError as exc:
-        raise KeyError(f"No schema registered under name '{name}'") from exc
+def set_contract(name: str, schema: T.StructType | str) -> None:
+    """Add or replace a contract (a StructType, or text as above)."""
+    CONTRACTS[name] = _parse(schema) if isinstance(schema, str) else schema
 
 
-def list_registered_schemas() -> Iterable[str]:
-    return GOLDEN_SCHEMAS.keys()
+def contract(name: str) -> T.StructType:
+    if name not in CONTRACTS:
+        raise KeyError(f"unknown contract {name!r} (known: {sorted(CONTRACTS)})")
+    return CONTRACTS[name]
 
 
-@dataclass
-class SchemaDiff:
-    missing_columns: dict[str, T.DataType] = field(default_factory=dict)
-    unexpected_columns: dict[str, T.DataType] = field(default_factory=dict)
-    dtype_mismatches: dict[str, tuple[T.DataType, T.DataType]] = field(default_factory=dict)
-    non_nullable_violations: set[str] = field(default_factory=set)
+class Issue(NamedTuple):
+    column: str
+    kind: str                 # missing, unexpected, type, nulls
+    expected: str | None = None
+    observed: str | None = None
 
-    @property
-    def ok(self) -> bool:
-        return not (self.missing_columns or self.unexpected_columns or self.dtype_mismatches
-                    or self.non_nullable_violations)
 
-    def to_dict(self) -> dict[str, object]:
-        """Nested report, violations sorted."""
-        return {
-            "missing_columns": {n: t.simpleString() for n, t in self.missing_columns.items()},
-            "unexpected_columns": {n: t.simpleString() for n, t in self.unexpected_columns.items()},
-            "dtype_mismatches": {n: {"expected": e.simpleString(), "observed": o.simpleString()}
-                                 for n, (e, o) in self.dtype_mismatches.items()},
-            "non_nullable_violations": sorted(self.non_nullable_violations),
-        }
+ISSUE_SCHEMA = "dataset string, column string, kind string, expected string, observed string"
 
-    def rows(self, dataset: str) -> list[tuple[str, str, str, str | None, str | None]]:
-        """C3 as rows: (dataset, column, issue, expected, observed)."""
-        out = []
-        for n, t in self.missing_columns.items():
-            out.append((dataset, n, "missing", t.simpleString(), None))
-        for n, t in self.unexpected_columns.items():
-            out.append((dataset, n, "unexpected", None, t.simpleString()))
-        for n, (e, o) in self.dtype_mismatches.items():
-            out.append((dataset, n, "dtype_mismatch", e.simpleString(), o.simpleString()))
-        for n in sorted(self.non_nullable_violations):
-            out.append((dataset, n, "null_in_non_nullable", None, None))
-        return sorted(out)
+
+def structure_issues(schema: T.StructType, observed: T.StructType) -> list[Issue]:
+    """Names and types side by side; no job."""
+    want = {f.name: f.dataType.simpleString() for f in schema.fields}
+    have = {f.name: f.dataType.simpleString() for f in observed.fields}
+    return [Issue(c, "missing" if c not in have else "unexpected" if c not in want else "type", want.get(c), have.get(c))
+            for c in sorted(want.keys() | have.keys()) if want.get(c) != have.get(c)]
 
 
 def null_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -98,63 +68,48 @@ def null_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return wide.unpivot([], cols, "column", "null_count")
 
 
-def diff_frame(schema: T.StructType, df: DataFrame) -> SchemaDiff:
-    """Compare names and types on the driver; NULLs in non-nullable
-    columns are counted in a single aggregate job over the data."""
-    observed = {f.name: f.dataType for f in df.schema.fields}
-    diff = SchemaDiff()
-    check_nulls = []
-    for f in schema.fields:
-        if f.name not in observed:
-            diff.missing_columns[f.name] = f.dataType
-            continue
-        if observed[f.name] != f.dataType:
-            diff.dtype_mismatches[f.name] = (f.dataType, observed[f.name])
-        if not f.nullable:
-            check_nulls.append(f.name)
-    expected = {f.name for f in schema.fields}
-    for n, t in observed.items():
-        if n not in expected:
-            diff.unexpected_columns[n] = t
-    if check_nulls:
-        row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in check_nulls]).first()
-        diff.non_nullable_violations = {c for c in check_nulls if row[c] > 0}
-    return diff
-
-
-def validate_frame(schema: T.StructType, df: DataFrame, name: str = "dataset") -> SchemaDiff:
-    """C4: raise ValueError unless the frame matches."""
-    diff = diff_frame(schema, df)
-    if not diff.ok:
-        raise ValueError(f"Schema validation failed for '{name}': {diff.to_dict()}")
-    return diff
-
-
-def enforce_schema(df: DataFrame, schema: T.StructType, name: str = "dataset",
-                   check_nulls: bool = True) -> DataFrame:
-    """Raise on missing/unexpected columns or NULLs in non-nullable ones;
-    otherwise select in schema order, strictly casting differing types (ANSI:
-    a value that does not convert fails the job)."""
-    observed = {f.name: f.dataType for f in df.schema.fields}
-    expected = {f.name for f in schema.fields}
-    issues: dict[str, object] = {}
-    missing = {f.name: f.dataType.simpleString() for f in schema.fields if f.name not in observed}
-    unexpected = {n: t.simpleString() for n, t in observed.items() if n not in expected}
-    if missing:
-        issues["missing_columns"] = missing
-    if unexpected:
-        issues["unexpected_columns"] = unexpected
-    if not issues and check_nulls:
-        nn = [f.name for f in schema.fields if not f.nullable]
-        if nn:
-            row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in nn]).first()
-            bad = sorted(c for c in nn if row[c] > 0)
-            if bad:
-                issues["non_nullable_violations"] = bad
+def null_issues(schema: T.StructType, df: DataFrame) -> list[Issue]:
+    """Columns that must not hold NULLs and do (one aggregate over those present)."""
+    strict = [f.name for f in schema.fields if not f.nullable and f.name in df.columns]
+    found = null_counts(df, strict).filter("null_count > 0").collect()
+    return sorted(Issue(r["column"], "nulls", "0", str(r["null_count"])) for r in found)
+
+
+def compare(df: DataFrame, schema: T.StructType) -> list[Issue]:
+    """C2."""
+    return structure_issues(schema, df.schema) + null_issues(schema, df)
+
+
+def issue_frame(spark: SparkSession, dataset: str, issues: list[Issue]) -> DataFrame:
+    """C3 as rows."""
+    return spark.createDataFrame([(dataset, *i) for i in issues], ISSUE_SCHEMA)
+
+
+def issue_report(issues: list[Issue]) -> dict[str, dict[str, str]]:
+    """C3 as a nested report: kind -> column -> what was expected and seen."""
+    out: dict[str, dict[str, str]] = {}
+    for i in sorted(issues):
+        out.setdefault(i.kind, {})[i.column] = " / ".join(x for x in (i.expected, i.observed) if x)
+    return out
+
+
+def _refuse(name: str, issues: list[Issue]) -> None:
     if issues:
-        raise ValueError(f"Cannot enforce schema '{name}' due to structural issues: {issues}")
-    return df.select(*[(F.col(f.name) if observed[f.name] == f.dataType else F.col(f.name).cast(f.dataType))
-                       .alias(f.name) for f in schema.fields])
+        raise ValueError(f"{name} breaks its contract: {issue_report(issues)}")
+
+
+def check(df: DataFrame, schema: T.StructType, name: str = "dataset") -> None:
+    """C4: ValueError unless the frame has no issue."""
+    _refuse(name, compare(df, schema))
+
+
+def conform(df: DataFrame, schema: T.StructType, name: str = "dataset") -> DataFrame:
+    """The contract's columns in its order, differing types cast strictly (ANSI: a value
+    that does not convert fails the job). ValueError for missing or unexpected columns,
+    or NULLs where there must be none."""
+    issues = [i for i in structure_issues(schema, df.schema) if i.kind != "type"]
+    _refuse(name, issues or null_issues(schema, df))
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def require_columns(df: DataFrame, columns: Iterable[str], what: str = "frame") -> None:

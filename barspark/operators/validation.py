@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import epoch_us, sign
+from ..session import Scratch
+from ..sinks.audit import append_run, run_record
 
 DAY_US = 86_400_000_000
 SHARPE_EPS = 1e-12  # fixed value: volatility below this gives a Sharpe ratio of 0
@@ -34,12 +36,11 @@ def split_rows(df: DataFrame, split_name: str, split_cfg: Mapping[str, Any],
                  .withColumn("split", F.lit(split_name)))
 
 
-def check_split(tagged: DataFrame, split_name: str) -> None:
-    """Raise when a side is empty (one small aggregate)."""
-    counts = {r["role"]: r["n"] for r in tagged.groupBy("role").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts.get("train") or not counts.get("validation"):
-        raise ValueError(f"Split '{split_name}' results in empty train or validation set. "
-                         "Check split boundaries.")
+def require_both_roles(tagged: DataFrame, split_name: str) -> None:
+    """ValueError when a split leaves training or validation without rows."""
+    there = {r["role"] for r in tagged.select("role").distinct().collect()}
+    if len(there) < 2:
+        raise ValueError(f"split {split_name!r} has rows for {sorted(there) or 'no role'} only; check its dates")
 
 
 # --------------------------------------------------------------------------
@@ -75,8 +76,7 @@ def generate_folds(df: DataFrame, window_cfg: Mapping[str, Any],
         (ts0 + day(train_days + val_days - 1)).alias("validation_end"))
 
 
-def fold_rows(df: DataFrame, folds: DataFrame, timestamp_column: str = "timestamp",
-              broadcast_limit: int = 5_000_000) -> DataFrame:
+def fold_rows(df: DataFrame, folds: DataFrame, timestamp_column: str = "timestamp") -> DataFrame:
     """Every row with each (window, fold, role) whose range contains it.
 
     Folds are expanded into the calendar days they cover (a table sized by the
@@ -88,8 +88,6 @@ def fold_rows(df: DataFrame, folds: DataFrame, timestamp_column: str = "timestam
                             F.explode(F.sequence(F.to_date(lo), F.to_date(hi))).alias("_day"))
     fd = days("train_start", "train_end", "train").unionByName(
         days("validation_start", "validation_end", "validation"))
-    if fd.count() <= broadcast_limit:
-        fd = F.broadcast(fd)
     rows = df.withColumn("_day", F.to_date(timestamp_column))
     ts = F.col(timestamp_column)
     return (rows.join(fd, "_day")
@@ -131,23 +129,24 @@ def regression_metrics(df: DataFrame, y_true: str, y_pred: str, group_by: Sequen
 def cv_metrics_from_folds(tagged: DataFrame, y_true: str, y_pred: str) -> DataFrame:
     """A10: metrics per (window, fold) on validation rows of folds whose
     train and validation sides are both non-empty, then the mean per window,
-    keyed ``cv_{window}_{metric}``. Windows without a valid fold vanish."""
-    sizes = tagged.groupBy("window", "fold").agg(
-        F.count(F.when(F.col("role") == "train", 1)).alias("_ntr"),
-        F.count(F.when(F.col("role") == "validation", 1)).alias("_nva"))
-    ok = sizes.where((F.col("_ntr") > 0) & (F.col("_nva") > 0)).select("window", "fold")
-    val = tagged.where(F.col("role") == "validation").join(ok, ["window", "fold"], "left_semi")
-    return mean_fold_metrics(val, y_true, y_pred)
+    keyed ``cv_{window}_{metric}``. Windows without a valid fold vanish. One
+    aggregate by (window, fold, role) gives sizes and metrics together."""
+    each = regression_metrics(tagged, y_true, y_pred, ["window", "fold", "role"])
+    trained = each.where(F.col("role") == "train").select("window", "fold")
+    return _mean_per_window(each.where(F.col("role") == "validation").join(trained, ["window", "fold"], "left_semi"))
 
 
-def mean_fold_metrics(val: DataFrame, y_true: str, y_pred: str) -> DataFrame:
-    """Metrics per (window, fold) of validation rows, averaged per window."""
-    per_fold = regression_metrics(val, y_true, y_pred, ["window", "fold"])
+def _mean_per_window(per_fold: DataFrame) -> DataFrame:
     means = per_fold.groupBy("window").agg(*[F.avg(m).alias(m) for m in METRICS])
     long = means.unpivot(["window"], METRICS, "metric", "value")
     return long.select(F.concat(F.lit("cv_"), F.col("window"), F.lit("_"), F.col("metric")).alias("key"), "value")
 
 
+def mean_fold_metrics(val: DataFrame, y_true: str, y_pred: str) -> DataFrame:
+    """Metrics per (window, fold) of validation rows, averaged per window."""
+    return _mean_per_window(regression_metrics(val, y_true, y_pred, ["window", "fold"]))
+
+
 # --------------------------------------------------------------------------
 # M5-M8 models (MLlib; one distributed fit per fold)
 # --------------------------------------------------------------------------
@@ -182,31 +181,48 @@ def feature_importances(model, features: Sequence[str]) -> dict[str, float]:
 
 
 def walk_forward_cv(df: DataFrame, folds: DataFrame, features: Sequence[str], target: str,
-                    fit: Callable | None = None, timestamp_column: str = "timestamp",
-                    max_folds: int | None = None) -> DataFrame:
+                    fit: Callable | None = None, timestamp_column: str = "timestamp") -> DataFrame:
     """M8: one model per fold (the only driver loop: fits are distributed),
-    metrics on its validation rows, mean per window as ``cv_*`` keys."""
+    metrics on its validation rows, mean per window as ``cv_*`` keys. The rows are
+    written once and each fold filters them by its dates."""
     fit = fit or (lambda train: gbt_regressor(features, target).fit(train))
     spark = df.sparkSession
-    tagged = fold_rows(df, folds, timestamp_column).persist()
-    keys = folds.select("window", "fold").orderBy("window", "fold").collect()
-    if max_folds is not None:
-        keys = keys[:max_folds]
-    scored = []
-    for k in keys:
-        part = tagged.where((F.col("window") == k["window"]) & (F.col("fold") == k["fold"]))
-        train = part.where(F.col("role") == "train")
-        val = part.where(F.col("role") == "validation")
+    scratch = Scratch(spark, "walk-forward")
+    base = scratch.save(df.select(timestamp_column, *features, target), "rows")
+    ts, scored = F.col(timestamp_column), None
+    for k, f in enumerate(folds.orderBy("window", "fold").collect()):
+        train = base.where(ts.between(F.lit(f["train_start"]), F.lit(f["train_end"])))
+        val = base.where(ts.between(F.lit(f["validation_start"]), F.lit(f["validation_end"])))
         if train.isEmpty() or val.isEmpty():
             continue
-        model = fit(train)
-        scored.append(model.transform(val).select("window", "fold", "role", target, "prediction"))
-    if not scored:
-        tagged.unpersist()
+        part = (fit(train).transform(val).select(target, "prediction")
+                .withColumns({"window": F.lit(f["window"]), "fold": F.lit(f["fold"])}))
+        part = scratch.save(part, f"fold{k}")
+        scored = part if scored is None else scored.unionByName(part)
+    if scored is None:
         return spark.createDataFrame([], "key string, value double")
-    allp = scored[0]
-    for s in scored[1:]:
-        allp = allp.unionByName(s)
-    out = mean_fold_metrics(allp, target, "prediction")
+    out = scratch.save(mean_fold_metrics(scored, target, "prediction"), "metrics")
+    scratch.drop("rows", *[f"fold{k}" for k in range(folds.count())])
     return out
 
+
+def train_split(df: DataFrame, split_name: str, split_cfg: Mapping[str, Any], features: Sequence[str], target: str,
+                run_name: str, runs_path: str, model_path: str | None = None, fit: Callable | None = None,
+                timestamp_column: str = "timestamp") -> DataFrame:
+    """The training job: split -> both roles there -> fit -> predict -> metrics -> model ->
+    one row appended to the runs table. Returns that row."""
+    fit = fit or (lambda train: gbt_regressor(features, target).fit(train))
+    scratch = Scratch(df.sparkSession, "train-split")
+    slim = df.select(timestamp_column, *features, target)
+    tagged = scratch.save(split_rows(slim, split_name, split_cfg, timestamp_column), "tagged")
+    require_both_roles(tagged, split_name)
+    model = fit(tagged.where(F.col("role") == "train"))
+    predicted = model.transform(tagged.where(F.col("role") == "validation"))
+    metrics = regression_metrics(predicted, target, "prediction").first().asDict()
+    if model_path:
+        save_model(model, model_path)
+    record = run_record(df.sparkSession, run_name, {"split": split_name, "features": ",".join(features), "target": target,
+                                                    "model_path": model_path or "", **split_cfg}, metrics)
+    append_run(record, runs_path)
+    scratch.drop()
+    return record

@@ -87,7 +87,17 @@ e AS (
   FROM e JOIN s ON s.symbol = e.symbol AND s.rn = e.rn + 1)"""
 
 SQL["feat_ema"] = _EMA + """
-SELECT symbol, "timestamp", round(n12 / d12, 4) AS ema_close_12, round(n26 / d26, 4) AS ema_close_26 FROM e"""
+SELECT symbol, "timestamp", round(n12 / d12 + 1e-9, 6) AS ema_close_12, round(n26 / d26 + 1e-9, 6) AS ema_close_26 FROM e"""
+
+SQL["feat_ema_nulls"] = f"""WITH RECURSIVE {BARS},
+s AS (SELECT symbol, "timestamp", close, row_number() OVER ({W}) AS rn FROM bars WHERE volume % 4 <> 0),
+e AS (
+  SELECT symbol, rn, "timestamp", close AS n, 1.0::DOUBLE AS d FROM s WHERE rn = 1
+  UNION ALL
+  SELECT s.symbol, s.rn, s."timestamp", s.close + (1 - 2.0 / 13.0) * e.n, 1 + (1 - 2.0 / 13.0) * e.d
+  FROM e JOIN s ON s.symbol = e.symbol AND s.rn = e.rn + 1)
+SELECT b.symbol, b."timestamp", round(e.n / e.d + 1e-9, 6) AS ema_close_12
+FROM bars b LEFT JOIN e ON e.symbol = b.symbol AND e."timestamp" = b."timestamp" """
 
 SQL["target_return"] = f"""WITH {BARS}
 SELECT symbol, "timestamp", round(lead(close, 1) OVER ({W}) / close - 1, 6) AS future_return_1d FROM bars"""
@@ -121,8 +131,8 @@ g AS (SELECT symbol, "timestamp", {_BASIC},
         {_pct('volume', 20)} AS volume_return_20d,
         {_z('volume', 20)} AS zscore_volume_20
       FROM f)
-SELECT g.symbol, g."timestamp", {_rounded(['g.' + n if False else n for n in _BASIC_NAMES])},
-       round(e.n12 / e.d12, 4) AS ema_close_12, round(e.n26 / e.d26, 4) AS ema_close_26,
+SELECT g.symbol, g."timestamp", {_rounded(_BASIC_NAMES)},
+       round(e.n12 / e.d12 + 1e-9, 6) AS ema_close_12, round(e.n26 / e.d26 + 1e-9, 6) AS ema_close_26,
        round(volume_return_20d, 6) AS volume_return_20d, round(zscore_volume_20, 6) AS zscore_volume_20
 FROM g JOIN e ON g.symbol = e.symbol AND g."timestamp" = e."timestamp" """
 
@@ -316,6 +326,7 @@ signals AS (
 
 SQL["signal_times"] = f"""WITH {SIGNALS} SELECT DISTINCT strategy, "timestamp" FROM signals"""
 # source_hash: no oracle (the SQL side cannot name the data directory); rows-only check.
+SQL["text_hash"] = "SELECT o_orderkey, sha256(CAST(o_orderkey AS VARCHAR)) AS hash FROM orders"
 
 # ---- universe and portfolio -----------------------------------------------
 MASTER = """
@@ -367,7 +378,7 @@ panel0 AS (SELECT r.strategy, r.k, t."timestamp", r.symbol, coalesce(r.w, 0.0) A
            FROM rws r JOIN tk t ON t.strategy = r.strategy AND t.k = r.k),
 px AS (SELECT t.strategy, t.k, b.symbol, b.close FROM bars b JOIN tk t ON b."timestamp" = t."timestamp"
        WHERE b.close IS NOT NULL AND NOT isnan(b.close)),
-pe AS (SELECT p.*, x.close AS p, CASE WHEN x.close > 0 THEN p.w ELSE 0.0 END AS w_eff
+pe AS (SELECT p.*, x.close AS p, CASE WHEN x.close <> 0 THEN p.w ELSE 0.0 END AS w_eff
        FROM panel0 p ASOF LEFT JOIN px x ON p.strategy = x.strategy AND p.symbol = x.symbol AND p.k >= x.k),
 contrib AS (SELECT c.strategy, c.k,
                    sum(CASE WHEN pr.w_eff <> 0 THEN pr.w_eff * (c.p / pr.p - 1) ELSE 0.0 END) AS g
@@ -382,6 +393,12 @@ eq AS (SELECT strategy, k, "timestamp", v AS portfolio_value,
 dd AS (SELECT *, max(portfolio_value) OVER (PARTITION BY strategy ORDER BY k ROWS UNBOUNDED PRECEDING) AS peak FROM eq),
 dd2 AS (SELECT *, CASE WHEN peak > 0 THEN portfolio_value / peak - 1 ELSE 0.0 END AS drawdown FROM dd)"""
 
+def _friction(trade: str) -> str:
+    """Slippage and cost of a trade of so many shares (10 bps, minimum 20, 1 per order; 5 bps)."""
+    return (f"CASE WHEN abs({trade}) < 1e-6 THEN 0.0 ELSE p * 0.0005 * abs({trade}) "
+            f"+ greatest(abs(p * (1 + sign({trade}) * 0.0005) * ({trade})) * 0.001 + 1.0, 20.0) END")
+
+
 SQL["gated_signals"] = f"""{_BT}
 SELECT strategy, "timestamp", symbol, round(target_weight, 6) AS target_weight FROM gated"""
 
@@ -404,6 +421,26 @@ FROM sh c LEFT JOIN sh pr ON pr.strategy = c.strategy AND pr.symbol = c.symbol A
 SQL["nav_frictionless"] = f"""{_BT}
 SELECT strategy, "timestamp", {rsig('portfolio_value')} AS portfolio_value, round(period_return, 6) AS period_return FROM eq"""
 
+# the trading loop as a recursion over (strategy, k): values before trading and friction paid
+SQL["nav_costed"] = f"""{_BT},
+pp AS (SELECT c.strategy, c.k, c.w_eff AS w, c.p, coalesce(pr.w_eff, 0.0) AS w0, pr.p AS p0
+       FROM pe c LEFT JOIN pe pr ON pr.strategy = c.strategy AND pr.symbol = c.symbol AND pr.k = c.k - 1),
+loop AS (
+  SELECT g.strategy, g.k, g."timestamp", 1000000.0::DOUBLE AS v,
+         coalesce((SELECT sum({_friction('CASE WHEN w <> 0 THEN w * 1000000.0 / p ELSE 0.0 END')})
+                   FROM pp WHERE pp.strategy = g.strategy AND pp.k = 0), 0.0) AS f
+  FROM gk g WHERE g.k = 0
+  UNION ALL
+  SELECT x.strategy, x.k, x."timestamp", x.v,
+         coalesce((SELECT sum({_friction('CASE WHEN w <> 0 THEN w * x.v / p ELSE 0.0 END - CASE WHEN w0 <> 0 THEN w0 * x.v0 / p0 ELSE 0.0 END')})
+                   FROM pp WHERE pp.strategy = x.strategy AND pp.k = x.k), 0.0) AS f
+  FROM (SELECT g.strategy, g.k, g."timestamp", l.v * (1 + g.g) - l.f AS v, l.v AS v0
+        FROM loop l JOIN gk g ON g.strategy = l.strategy AND g.k = l.k + 1) x),
+n AS (SELECT strategy, k, "timestamp", v - f AS portfolio_value FROM loop)
+SELECT strategy, "timestamp", {rsig('portfolio_value')} AS portfolio_value,
+       round(portfolio_value / coalesce(lag(portfolio_value) OVER (PARTITION BY strategy ORDER BY k), 1000000.0) - 1, 6) AS period_return
+FROM n"""
+
 SQL["period_returns"] = f"""{_BT} SELECT strategy, "timestamp", round(period_return, 6) AS period_return FROM eq"""
 
 SQL["drawdown"] = f"""{_BT}
@@ -544,7 +581,7 @@ SELECT symbol, round(sum({_RISK} * pow(0.95, rn)), 6) AS discounted_reward FROM
 
 _EP = f"""{_POL},
 syms AS (SELECT DISTINCT symbol, n FROM pol WHERE n >= 63),
-eps AS (SELECT symbol, CAST(e AS INTEGER) AS episode, (e * 97) % (n - 63 + 1) AS start FROM syms, range(0, 4) r(e)),
+eps AS (SELECT symbol, CAST(e AS INTEGER) AS episode, (e * 97) % (n - 63 + 1) AS start FROM syms, range(0, 25) r(e)),
 er AS (SELECT e.symbol, e.episode, CAST(p.rn - e.start AS INTEGER) AS step, p."timestamp", p.action, p.future_return_1d
        FROM eps e JOIN pol p ON p.symbol = e.symbol AND p.rn BETWEEN e.start AND e.start + 62),
 er2 AS (SELECT * EXCLUDE (prev_action0), prev_action0 AS prev_action FROM (
@@ -634,3 +671,24 @@ SELECT "timestamp" - INTERVAL '5 hours 30 minutes' AS "timestamp", CAST(symbol A
        round(open, 6) AS open, round(high, 6) AS high, round(low, 6) AS low, round(close, 6) AS close,
        volume, trade_count
 FROM f WHERE NOT o"""
+
+
+SQL["ingest_outcomes"] = """WITH t AS (
+  SELECT l_suppkey % 7 AS f, l_shipdate AS ts, l_suppkey AS symbol, l_extendedprice / l_quantity AS price,
+         l_suppkey % 7 = 3 AND l_linenumber = 7 AS odd, l_suppkey % 7 = 5 AND l_linenumber = 1 AS nameless,
+         row(l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) AS k
+  FROM lineitem),
+gate AS (SELECT f, count(*) AS n, bool_or(odd) AS bad, bool_or(nameless) AS empty FROM t GROUP BY 1),
+d AS (SELECT t.f, ts, symbol, arg_max(price, k) AS price, count(*) AS times FROM t JOIN gate USING (f) WHERE NOT bad AND NOT empty GROUP BY ALL),
+dup AS (SELECT f, sum(CASE WHEN times > 1 THEN times ELSE 0 END) AS collapsed, sum(times - 1) AS removed FROM d GROUP BY 1),
+g AS (SELECT f, count(*) FILTER (nxt - ts > INTERVAL 1 DAY) AS gaps
+      FROM (SELECT f, ts, lead(ts) OVER (PARTITION BY f ORDER BY ts) AS nxt FROM (SELECT DISTINCT f, ts FROM d)) GROUP BY 1),
+m AS (SELECT f, median(price) AS med FROM d GROUP BY 1),
+a AS (SELECT d.f, any_value(med) AS med, median(abs(price - med)) AS mad FROM d JOIN m USING (f) GROUP BY 1),
+o AS (SELECT d.f, count(*) FILTER (mad <> 0 AND abs(price - med) / mad * 0.67448975 > 3.5) AS outliers, count(*) AS kept
+      FROM d JOIN a USING (f) GROUP BY 1)
+SELECT 'file' || CAST(f AS VARCHAR) || '.csv' AS file, CASE WHEN bad OR empty THEN 'rejected' ELSE 'passed' END AS status, n AS rows,
+       CASE WHEN bad THEN 'close' ELSE '' END AS bad_columns, CASE WHEN empty THEN 'symbol' ELSE '' END AS null_columns,
+       CAST(coalesce(collapsed, 0) AS BIGINT) AS duplicates_collapsed, CAST(coalesce(removed, 0) AS BIGINT) AS duplicates_removed,
+       coalesce(gaps, 0) AS gaps, coalesce(outliers, 0) AS outliers, coalesce(kept - outliers, 0) AS rows_clean
+FROM gate LEFT JOIN dup USING (f) LEFT JOIN g USING (f) LEFT JOIN o USING (f)"""

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import features as feat
+from ..session import Scratch
+from ..sources import io as sio
 from ..sources import fixtures as fx
 from .config import DEFAULT_CONFIG
 
@@ -33,6 +35,12 @@ def r4(*names: str):
     return [(F.round(F.col(n) * F.lit(1e4), 0) / F.lit(1e4)).alias(n) for n in names]
 
 
+def r6_off_half(*names: str):
+    """6 decimals of values whose method differs from the oracle's in the last bits (EMA: ~1e-13
+    relative): both sides add 1e-9 first, so an exact half does not fall either way."""
+    return [(F.round((F.col(n) + F.lit(1e-9)) * F.lit(1e6), 0) / F.lit(1e6)).alias(n) for n in names]
+
+
 def rsig(*names: str, digits: int = 10):
     """Round to ``digits`` significant digits (portfolio values span many
     orders of magnitude); the oracle applies the same arithmetic."""
@@ -99,7 +107,16 @@ def q_feat_ema(spark, sf):
     out, _, _ = _features(spark, sf, [
         {"kind": "ema", "source": "close", "span": 12, "rename": "ema_close_12"},
         {"kind": "ema", "source": "close", "span": 26, "rename": "ema_close_26"}])
-    return out.select("symbol", "timestamp", *r4("ema_close_12", "ema_close_26"))
+    return out.select("symbol", "timestamp", *r6_off_half("ema_close_12", "ema_close_26"))
+
+
+@query
+def q_feat_ema_nulls(spark, sf):
+    """EMA over a series with NULL closes: they neither decay nor count."""
+    bars = fx.bars(spark, sf).withColumn("close", F.when(F.col("volume") % 4 != 0, F.col("close")))
+    out, _, _ = feat.engineer_features(bars, [{"kind": "ema", "source": "close", "span": 12, "rename": "ema_close_12"}],
+                                       ["symbol"], "timestamp")
+    return out.select("symbol", "timestamp", *r6_off_half("ema_close_12"))
 
 
 @query
@@ -118,10 +135,10 @@ def q_target_value(spark, sf):
 
 @query
 def q_feature_frame(spark, sf):
-    defs = feat.resolve_feature_set(DEFAULT_CONFIG["feature_sets"], "macro_augmented")
+    defs = feat.FeatureConfig.parse(DEFAULT_CONFIG["feature_sets"]).specs("macro_augmented")
     out, names, _ = _features(spark, sf, defs)
     ema = [n for n in names if n.startswith("ema_")]
-    return out.select("symbol", "timestamp", *r6(*[n for n in names if n not in ema]), *r4(*ema))
+    return out.select("symbol", "timestamp", *r6(*[n for n in names if n not in ema]), *r6_off_half(*ema))
 
 
 @query
@@ -233,7 +250,7 @@ from ..functions import expr as fe  # noqa: E402
 
 @query
 def q_schema_null_counts(spark, sf):
-    schema = sc.get_schema("market_data")
+    schema = sc.contract("market_data")
     return sc.null_counts(fx.market_data(spark, sf), [f.name for f in schema.fields])
 
 
@@ -247,8 +264,7 @@ def _text_bars(spark, sf):
 
 @query
 def q_enforce_schema(spark, sf):
-    out = sc.enforce_schema(_text_bars(spark, sf), sc.get_schema("market_data"), "market_data",
-                            check_nulls=False)
+    out = sc.conform(_text_bars(spark, sf), sc.contract("market_data"), "market_data")
     return out.select(F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "symbol",
                       *r6("open", "high", "low", "close"), "volume", "trade_count")
 
@@ -367,10 +383,15 @@ def q_signal_times(spark, sf):
 
 @query
 def q_source_hash(spark, sf):
-    files = spark.read.format("binaryFile").load(f"{sf.rstrip('/')}/*.parquet")
+    files = sio.source_hashes(spark, f"{sf.rstrip('/')}/*.parquet")
     return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"),
-                        F.col("length").alias("bytes"),
-                        F.sha2("content", 256).alias("source_hash"))
+                        F.col("length").alias("bytes"), "source_hash")
+
+
+@query
+def q_text_hash(spark, sf):
+    """The same digest over a column, which SQL can repeat."""
+    return fx.table(spark, sf, "orders").select("o_orderkey", F.sha2(F.col("o_orderkey").cast("string"), 256).alias("hash"))
 
 
 # ---- universe and portfolio (P8, J2-J4, J6, B1-B7, W11, W12, A11) ---------
@@ -549,7 +570,7 @@ def q_cv_metrics(spark, sf):
 
 # ---- rewards (R1-R5, W13, W14, A12, A13) ----------------------------------
 RL = DEFAULT_CONFIG["rl"]
-BASIC = [feat.feature_alias(d) for d in DEFAULT_CONFIG["feature_sets"]["basic_price"]["features"]]
+BASIC = [feat.column_name(d) for d in DEFAULT_CONFIG["feature_sets"]["basic_price"]["features"]]
 LR = 0.001
 GAMMA = 0.95
 
@@ -585,26 +606,26 @@ def q_action_turnover(spark, sf):
 @query
 def q_reward_risk_adjusted(spark, sf):
     rows, t = _policy_rows(spark, sf)
-    r = rw.reward_column(RL["reward_definitions"][0], "action", t, "prev_action")
+    r = rw.reward(RL["reward_definitions"][0], "action", t, "prev_action")
     return rows.select("symbol", "timestamp", "action", *r6_cols({"reward": r}))
 
 
 @query
 def q_reward_directional(spark, sf):
     rows, t = _policy_rows(spark, sf)
-    r = rw.reward_column(RL["reward_definitions"][1], "action", t, "prev_action")
+    r = rw.reward(RL["reward_definitions"][1], "action", t, "prev_action")
     return rows.select("symbol", "timestamp", "action", r.alias("reward"))
 
 
 @query
 def q_discounted_reward(spark, sf):
     rows, t = _policy_rows(spark, sf)
-    r = rw.reward_column(RL["reward_definitions"][0], "action", t, "prev_action")
+    r = rw.reward(RL["reward_definitions"][0], "action", t, "prev_action")
     return (rows.groupBy("symbol").agg(F.sum(r * F.pow(F.lit(GAMMA), F.col(sqn.RN))).alias("discounted_reward"))
                 .select("symbol", *r6("discounted_reward")))
 
 
-EPISODES, EP_LEN, STRIDE = 4, RL["episode_length"], 97
+EPISODES, EP_LEN, STRIDE = RL["evaluation_episodes"], RL["episode_length"], 97
 
 
 def _episodes(spark, sf):
@@ -615,7 +636,7 @@ def _episodes(spark, sf):
     starts = rw.episode_starts(counts, EPISODES, EP_LEN, 42, stride=STRIDE)
     ep = rw.episode_rows(rows, starts, EP_LEN)
     ep = rw.with_previous(ep, ["symbol", "episode"], "step", "action", "prev_action")
-    ep = ep.withColumn("reward", rw.reward_column(RL["reward_definitions"][0], "action", tname, "prev_action"))
+    ep = ep.withColumn("reward", rw.reward(RL["reward_definitions"][0], "action", tname, "prev_action"))
     return ep, tname
 
 
@@ -640,15 +661,6 @@ def q_episode_summary(spark, sf):
     return s.select("symbol", "episodes", *r6(*[f"{p}_{k}" for k in rw.KPIS for p in ("mean", "std")]))
 
 
-@query
-def q_sweep_summary(spark, sf):
-    sup, names, tname = _supervised(spark, sf)
-    _, summary = rw.run_sweep(sup, names, tname, RL["reward_definitions"], RL["hyperparameters"],
-                              RL["evaluation_episodes"], RL["episode_length"], seed=42)
-    return summary.select("reward", "param_id", "learning_rate", "gamma", "entropy_coef", "episodes",
-                          *r6(*[f"{p}_{k}" for k in rw.KPIS for p in ("mean", "std")]))
-
-
 # ---- ledger, points, audit (J7, K3, K4, K8) -------------------------------
 from ..sinks import ledger as lg  # noqa: E402
 from ..sinks import points as pt  # noqa: E402
@@ -722,6 +734,34 @@ def q_ingest_clean(spark, sf):
     # exchange-local wall time as text, as a landing CSV carries it
     text = md.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
     cfg = ig.IngestConfig(source=[], destination="", run_id="query", expected_frequency="1d")
-    clean, _, _, _ = ig.clean_frame(text, cfg, by=(), tie_break=(), with_gaps=False)
+    text = text.withColumn(ig.SRC, F.lit("bars"))
+    scored, _ = ig.assess(text, cfg, Scratch(spark, "ingest-clean"))
+    clean = scored.filter(~F.col("is_outlier"))
     return clean.select(F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "symbol",
                         *r6("open", "high", "low", "close"), "volume", "trade_count")
+
+
+def _landing_text(spark, sf):
+    """lineitem as seven landing files of text rows: keys repeat, one file has bad prices, one a
+    row without a symbol."""
+    li = fx.table(spark, sf, "lineitem")
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    odd = (F.col("l_suppkey") % 7 == 3) & (F.col("l_linenumber") == 7)
+    nameless = (F.col("l_suppkey") % 7 == 5) & (F.col("l_linenumber") == 1)
+    return li.select(
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        F.when(~nameless, F.col("l_suppkey").cast("string")).alias("symbol"),
+        *[price.cast("string").alias(c) for c in ("open", "high", "low")],
+        F.when(odd, F.lit("oops")).otherwise(price.cast("string")).alias("close"),
+        F.col("l_orderkey").cast("string").alias("volume"), F.col("l_linenumber").cast("string").alias("trade_count"),
+        F.concat(F.lit("file"), (F.col("l_suppkey") % 7).cast("string"), F.lit(".csv")).alias(ig.SRC),
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice").alias(ig.POS))
+
+
+@query
+def q_ingest_outcomes(spark, sf):
+    cfg = ig.IngestConfig(source=[], destination="", run_id="query", expected_frequency="1d")
+    _, result = ig.assess(_landing_text(spark, sf), cfg, Scratch(spark, "ingest-outcomes"))
+    return result.select(F.col(ig.SRC).alias("file"), "status", "rows", F.concat_ws(",", "bad_columns").alias("bad_columns"),
+                         F.concat_ws(",", "null_columns").alias("null_columns"), "duplicates_collapsed", "duplicates_removed",
+                         "gaps", "outliers", "rows_clean")

@@ -1,39 +1,39 @@
 """Ingest job (G1, O1-O3): landing CSV files -> clean, typed, zstd Parquet.
 
-Per batch of landing files (any number, processed together, statistics kept
-per source file as the reference processes one file per run):
-
-  S9 hash every file -> J7 skip hashes already in the ledger -> S1 typed CSV
-  scan of the new files -> P3 exchange time to UTC -> C2 schema gate ->
-  W1 gaps (report) -> W10 keep-last dedupe -> A6 MAD split per file ->
-  K2 quarantine -> C5 enforce -> K1 zstd Parquet (one partition per source
-  hash) -> K3 ledger upsert -> K8 audit events (+ O2 alerts).
-
-The clean frame is persisted once because the statistics, the clean sink and
-the quarantine sink all read it. The ledger is rewritten from a checkpointed
-frame, so the overwrite never reads the path it replaces.
+Any number of files at once, judged one by one:
+
+  S9 hash and header of every file -> J7 skip hashes in the ledger, keep one path per
+  hash -> C2 header gate per file -> S1 scan as text -> P3 exchange time to UTC, typed
+  columns -> C2 value gate per file -> W10 keep-last dedupe -> W1 gaps, A6 MAD split per
+  file -> K2 quarantine, K1 clean zstd Parquet (one partition per source hash) -> K3
+  ledger rows appended -> K8 audit events and O2 alerts per file.
+
+A file that fails a gate fails alone: the others are written and recorded, then the job
+raises (unless told not to). The per-file tables (``planned``, ``outcomes``) are
+ordinary tables joined by path; the driver only sees the run's totals.
 """
 from __future__ import annotations
 
 import time
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expr import local_to_utc
 from ..operators import quality as dq
-from ..operators.schema import SchemaDiff, get_schema
+from ..operators.schema import contract
+from ..session import Scratch
 from ..sinks import audit as au
 from ..sinks import ledger as lg
 from ..sinks.files import append_quarantine, write_parquet_zstd
-from ..session import materialize
-from ..sources.io import csv_scan, source_hashes
+from ..sources.io import landing_files
 
 SRC = "_source_file"
 POS = "_row_pos"
+TIMES = "_n"                 # rows collapsed into this one
+BAD = "_bad"                 # columns whose text did not convert
 
 
 @dataclass
@@ -56,220 +56,227 @@ class IngestConfig:
     quarantine_path: str | None = None
     audit_path: str | None = None
     application: str = "barspark.ingest"
+    raise_on_rejected: bool = True
 
 
 @dataclass
 class IngestReport:
-    files: int = 0
-    skipped: int = 0
+    files: int = 0                 # new files that passed
+    skipped: int = 0               # already in the ledger
+    repeated: int = 0              # same content as another file of the batch
+    rejected: int = 0              # failed a gate
     rows_in: int = 0
     rows_out: int = 0
     quarantined: int = 0
     gaps: int = 0
     duplicates_collapsed: int = 0
     duration_s: float = 0.0
-    events: list[str] = field(default_factory=list)
     timings: dict[str, float] = field(default_factory=dict)   # O1: seconds per step
 
 
-def clean_frame(df: DataFrame, cfg: IngestConfig, by: tuple[str, ...] = (SRC,),
-                tie_break: tuple[str, ...] = (POS,), with_gaps: bool = True
-                ) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame]:
-    """The transformation part of the job, usable on any frame:
-    returns (clean, quarantined, gaps or None, duplicate summary)."""
-    ts = cfg.timestamp_column
-    if ts not in df.columns:
-        raise KeyError(f"Timestamp column '{ts}' not found in CSV data")
-    df = df.withColumn(ts, local_to_utc(ts, df.schema[ts].dataType, cfg.local_zone))
-    by = tuple(b for b in by if b in df.columns)
-    tie = [t for t in tie_break if t in df.columns]
-    gaps = dq.detect_time_gaps(df, ts, cfg.expected_frequency, partition_by=list(by)) if with_gaps else None
-    keys = list(cfg.duplicate_keys) + list(by)
-    dup = dq.duplicate_summary(df, keys)
-    deduped = dq.collapse_duplicates(df, keys, order_by=[ts], tie_break=tie) if cfg.duplicate_keys else df
-    clean, quarantined = dq.mad_outlier_quarantine(deduped, list(cfg.outlier_columns), cfg.mad_threshold, by)
-    return clean, quarantined, gaps, dup
-
-
-def score_frame(df: DataFrame, cfg: IngestConfig, by: tuple[str, ...] = (SRC,),
-                tie_break: tuple[str, ...] = (POS,)) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Like ``clean_frame`` but returns the deduplicated rows with the
-    ``is_outlier`` flag (one frame for both sinks), the gaps and the
-    duplicate summary."""
-    ts = cfg.timestamp_column
-    by = tuple(b for b in by if b in df.columns)
-    tie = [t for t in tie_break if t in df.columns]
-    gaps = dq.detect_time_gaps(df, ts, cfg.expected_frequency, partition_by=list(by))
-    keys = list(cfg.duplicate_keys) + list(by)
-    dup = dq.duplicate_summary(df, keys)
-    deduped = dq.collapse_duplicates(df, keys, order_by=[ts], tie_break=tie) if cfg.duplicate_keys else df
-    # the statistics passes and the scoring pass all read the deduplicated rows
-    deduped = deduped.persist(StorageLevel.MEMORY_AND_DISK)
-    scored = dq.mad_outliers(deduped, list(cfg.outlier_columns), cfg.mad_threshold, by).scored
-    return scored, gaps, dup
-
-
-def _schema_for_scan(cfg: IngestConfig) -> T.StructType:
-    return get_schema(cfg.dataset)
-
-
-def typed_diff(raw: DataFrame, schema: T.StructType, cfg: IngestConfig) -> tuple[SchemaDiff, int]:
-    """C2 on text columns: names from the header; a column whose non-empty
-    values do not all convert to the golden type is a dtype mismatch
-    (observed 'string'); NULLs in non-nullable columns counted after the
-    conversion. One aggregate over the data."""
-    observed = [c for c in raw.columns if c not in (SRC, POS)]
-    diff = SchemaDiff()
-    for f in schema.fields:
-        if f.name not in observed:
-            diff.missing_columns[f.name] = f.dataType
-    expected = {f.name for f in schema.fields}
-    for c in observed:
-        if c not in expected:
-            diff.unexpected_columns[c] = T.StringType()
-    checks = [F.count(F.lit(1)).alias("_rows")]
-    for f in schema.fields:
-        if f.name not in observed:
-            continue
-        conv = (local_to_utc(f.name, T.StringType(), cfg.local_zone) if f.name == cfg.timestamp_column
-                else F.col(f.name).try_cast(f.dataType))
-        checks.append(F.count_if(F.col(f.name).isNotNull() & conv.isNull()).alias(f"bad_{f.name}"))
-        if not f.nullable:
-            checks.append(F.count_if(conv.isNull()).alias(f"null_{f.name}"))
-    row = raw.agg(*checks).first().asDict()
-    for f in schema.fields:
-        if row.get(f"bad_{f.name}"):
-            diff.dtype_mismatches[f.name] = (f.dataType, T.StringType())
-        if row.get(f"null_{f.name}"):
-            diff.non_nullable_violations.add(f.name)
-    return diff, int(row["_rows"])
+class RejectedFiles(ValueError):
+    """Some files failed a gate; the audit log says which and why."""
+
+
+# --------------------------------------------------------------------------
+# The transformation, on any frame of text rows with SRC (and POS)
+# --------------------------------------------------------------------------
+def typed_rows(text: DataFrame, cfg: IngestConfig) -> DataFrame:
+    """The contract's columns from text columns of the same names, unconvertible text as
+    NULL and named in ``_bad``; other columns are carried along."""
+    schema = contract(cfg.dataset)
+    if cfg.timestamp_column not in text.columns:
+        raise KeyError(f"no column {cfg.timestamp_column!r} to read the time from")
+
+    def typed(f: T.StructField) -> Column:
+        if f.name == cfg.timestamp_column:
+            return local_to_utc(f.name, text.schema[f.name].dataType, cfg.local_zone)
+        return F.col(f.name).try_cast(f.dataType)
+
+    bad = F.filter(F.array(*[F.when(F.col(f.name).isNotNull() & typed(f).isNull(), F.lit(f.name)) for f in schema.fields]),
+                   lambda c: c.isNotNull())
+    rest = [c for c in text.columns if c not in schema.names]
+    return text.select(*[typed(f).alias(f.name) for f in schema.fields], bad.alias(BAD), *rest)
+
+
+def value_gate(typed: DataFrame, cfg: IngestConfig) -> DataFrame:
+    """One row per file: rows, bad_columns (text that does not convert), null_columns (NULLs
+    where the contract has none). One aggregate for all files."""
+    schema = contract(cfg.dataset)
+    strict = [f.name for f in schema.fields if not f.nullable]
+    named = lambda flags: F.array_sort(F.filter(F.array(*flags), lambda c: c.isNotNull()))
+    return typed.groupBy(SRC).agg(
+        F.count(F.lit(1)).alias("rows"),
+        named([F.when(F.count_if(F.array_contains(BAD, f.name)) > 0, F.lit(f.name)) for f in schema.fields]).alias("bad_columns"),
+        named([F.when(F.count_if(F.col(c).isNull()) > 0, F.lit(c)) for c in strict]).alias("null_columns"))
+
+
+def passed(gate: DataFrame) -> DataFrame:
+    return gate.filter((F.size("bad_columns") == 0) & (F.size("null_columns") == 0))
+
+
+def keep_last(typed: DataFrame, cfg: IngestConfig) -> DataFrame:
+    """W10 per file: the last row of each key in file order, and how many it stands for.
+    Partial aggregates: a hot key is combined before the shuffle."""
+    keys = [*cfg.duplicate_keys, SRC]
+    order = F.struct(cfg.timestamp_column, *([POS] if POS in typed.columns else []))
+    cols = [c for c in typed.columns if c not in (BAD, POS)]
+    return (typed.groupBy(*keys).agg(F.max_by(F.struct(*cols), order).alias("_r"), F.count(F.lit(1)).alias(TIMES))
+                 .select("_r.*", TIMES))
+
+
+def outcomes(gate: DataFrame, deduped: DataFrame, scored: DataFrame, cfg: IngestConfig) -> DataFrame:
+    """One row per file: status, rows, duplicates_collapsed (rows of repeated keys),
+    duplicates_removed, gaps, outliers, rows_clean, and what a rejected file failed on."""
+    dup = deduped.groupBy(SRC).agg(F.sum(F.when(F.col(TIMES) > 1, F.col(TIMES)).otherwise(0)).alias("duplicates_collapsed"),
+                                   F.sum(F.col(TIMES) - 1).alias("duplicates_removed"))
+    gaps = (dq.detect_time_gaps(deduped, cfg.timestamp_column, cfg.expected_frequency, partition_by=[SRC])
+            .groupBy(SRC).agg(F.count(F.lit(1)).alias("gaps")))
+    split = scored.groupBy(SRC).agg(F.count_if("is_outlier").alias("outliers"), F.count_if(~F.col("is_outlier")).alias("rows_clean"))
+    counts = ["duplicates_collapsed", "duplicates_removed", "gaps", "outliers", "rows_clean"]
+    ok = (F.size("bad_columns") == 0) & (F.size("null_columns") == 0)
+    return (gate.join(dup, SRC, "left").join(gaps, SRC, "left").join(split, SRC, "left")
+            .select(SRC, F.when(ok, "passed").otherwise("rejected").alias("status"), "rows", "bad_columns", "null_columns",
+                    *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts]))
+
+
+def assess(text: DataFrame, cfg: IngestConfig, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(deduplicated rows of the files that pass, with ``is_outlier``; outcomes per file)."""
+    typed = scratch.save(typed_rows(text, cfg), "typed")
+    gate = scratch.save(value_gate(typed, cfg), "gate")
+    deduped = scratch.save(keep_last(typed.join(passed(gate).select(SRC), SRC, "left_semi"), cfg), "deduped")
+    scratch.drop("typed")
+    scored = dq.mad_outliers(deduped, list(cfg.outlier_columns), cfg.mad_threshold, (SRC,)).scored
+    return scored, scratch.save(outcomes(gate, deduped, scored, cfg), "outcomes")
+
+
+def alerts(result: DataFrame, cfg: IngestConfig) -> DataFrame:
+    """O2: one row per file and check whose count exceeds its threshold."""
+    checks = [("time_gaps_detected", "gaps", cfg.gap_alert_threshold),
+              ("duplicates_collapsed", "duplicates_collapsed", cfg.duplicate_alert_threshold),
+              ("mad_outliers_quarantined", "outliers", cfg.outlier_alert_threshold)]
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("check"), F.col(c).alias("count"),
+                                        F.lit(limit).cast("long").alias("threshold")) for name, c, limit in checks]))
+    return result.select(SRC, each.alias("a")).select(SRC, "a.*").filter("count > threshold")
+
+
+# --------------------------------------------------------------------------
+# The job
+# --------------------------------------------------------------------------
+def plan_files(files: DataFrame, ledger: DataFrame, cfg: IngestConfig) -> DataFrame:
+    """Each file's plan: ``skipped`` (hash in the ledger), ``repeated`` (another path of the
+    batch has the same content), ``rejected`` (its header breaks the contract) or
+    ``new``, with its column names in file order."""
+    names = F.transform(F.split("header", ","), lambda c: F.trim(F.regexp_replace(c, '^\\s*"|"\\s*$|\\r', "")))
+    want = F.array(*[F.lit(c) for c in contract(cfg.dataset).names])
+    first = files.groupBy("source_hash").agg(F.min("path").alias("first_path"))
+    seen = lg.current(ledger).select("source_hash", F.lit(True).alias("seen"))
+    bad = F.concat(F.array_except(want, "columns"), F.array_except("columns", want))
+    return (files.withColumn("columns", names).join(first, "source_hash").join(seen, "source_hash", "left")
+            .withColumn("plan", F.when(F.col("seen"), "skipped").when(F.col("path") != F.col("first_path"), "repeated")
+                        .when((F.size(bad) > 0) | (F.size("columns") != F.size(want)), "rejected").otherwise("new"))
+            .select(F.col("path").alias(SRC), "length", "source_hash", "columns", "plan", bad.alias("header_issues")))
+
+
+def text_rows(spark: SparkSession, cfg: IngestConfig, planned: DataFrame) -> DataFrame:
+    """Rows of the new files as text under the contract's names: read by position, then
+    named by each file's own header, so files may order their columns differently."""
+    names = contract(cfg.dataset).names
+    by_place = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(names))])
+    raw = (spark.read.option("header", "true").option("enforceSchema", "true").schema(by_place)
+           .csv(cfg.source if isinstance(cfg.source, list) else [cfg.source])
+           .withColumn(SRC, F.col("_metadata.file_path"))
+           .withColumn(POS, F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())))
+    values = F.array(*[F.col(f.name) for f in by_place.fields])
+    own = planned.filter("plan = 'new'").select(SRC, "source_hash", "columns")
+    return raw.join(own, SRC).select(
+        *[F.element_at(values, F.array_position("columns", F.lit(n)).cast("int")).alias(n) for n in names],
+        "source_hash", SRC, POS)
 
 
 def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
-    t0 = time.time()
+    began = last = time.time()
     rep = IngestReport()
-    last = [t0]
+    run_ts = time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
+    scratch = Scratch(spark, f"ingest-{cfg.run_id}")
 
     def mark(step: str) -> None:
-        now = time.time()
-        rep.timings[step] = round(now - last[0], 3)
-        last[0] = now
-    run_ts = time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
-    events: list[DataFrame] = []
+        nonlocal last
+        rep.timings[step], last = round(time.time() - last, 3), time.time()
 
-    def event(details, name: str, level: str = "INFO") -> None:
-        """details: a one-row frame, or a dict of scalars already computed."""
-        if isinstance(details, dict):
-            details = spark.createDataFrame([tuple(details.values())], list(details.keys())) if details \
-                else spark.range(1).select()
-        events.append(au.audit_event(details, name, cfg.application, run_ts, level))
+    def event(details: DataFrame | dict, name: str, level: str = "INFO") -> None:
+        """Append one audit line per row of ``details`` (or one for a dict)."""
+        if cfg.audit_path:
+            if isinstance(details, dict):
+                details = spark.createDataFrame([tuple(details.values())], list(details))
+            au.append_json(au.audit_event(details, name, cfg.application, run_ts, level), cfg.audit_path)
 
-    hashes = source_hashes(spark, cfg.source).select(F.col("path").alias(SRC), "length", "source_hash")
-    ledger = None
-    if cfg.ledger_path:
-        try:
-            ledger = spark.read.parquet(cfg.ledger_path)
-        except Exception:  # no ledger yet
-            ledger = None
-    if ledger is not None:
-        skipped = lg.already_ingested(hashes, ledger)
-        todo = lg.new_files(hashes, ledger)
-    else:
-        skipped = hashes.limit(0)
-        todo = hashes
-    todo = todo.persist(StorageLevel.MEMORY_AND_DISK)
-    files = [r[SRC] for r in todo.select(SRC).collect()]   # file names only, one per landing file
-    rep.files, rep.skipped = len(files), skipped.count()
-    mark("hash_and_ledger_lookup")
-    if rep.skipped:
-        event({"files": rep.skipped}, "ingestion_skipped_duplicate", "WARNING")
-    if not files:
-        _flush(events, cfg)
-        rep.duration_s = time.time() - t0
-        return rep
-
-    schema = _schema_for_scan(cfg)
-    # header names first (one line per file), then every column as text; the
-    # reader checks each file's header against those names (enforceSchema off)
-    header = spark.read.option("header", "true").csv(files).columns
-    text_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
-    raw = csv_scan(spark, files, text_schema, options={"enforceSchema": "false"})
-    raw = raw.withColumn(POS, F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()))
-    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+    event({"source": str(cfg.source), "destination": cfg.destination, "run_id": cfg.run_id}, "ingestion_started")
     try:
-        diff, rep.rows_in = typed_diff(raw, schema, cfg)
-        mark("scan_and_schema_gate")
-        if not diff.ok:
-            event({"dataset": cfg.dataset, "diff": str(diff.to_dict())}, "schema_validation_failed", "ERROR")
-            raise ValueError(f"Schema validation failed for dataset {cfg.dataset}: {diff.to_dict()}")
-        base = raw.select(*[(local_to_utc(f.name, T.StringType(), cfg.local_zone) if f.name == cfg.timestamp_column
-                             else F.col(f.name).cast(f.dataType)).alias(f.name) for f in schema.fields],
-                          SRC, POS)
-        utc_cfg = IngestConfig(**{**cfg.__dict__, "local_zone": "UTC"})
-        # scored once (statistics per source file), clean and quarantine are filters of it
-        scored, gaps, dup = score_frame(base, utc_cfg)
-        mark("dedupe_and_outlier_statistics")
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-        clean = scored.where(~F.col("is_outlier"))
-        quarantined = scored.where(F.col("is_outlier"))
-        rep.gaps = gaps.count()
-        mark("gaps")
-        drow = dup.first()
-        mark("duplicates")
-        rep.duplicates_collapsed = int(drow["collapsed_count"])
-        event({"count": rep.gaps, "expected_frequency": cfg.expected_frequency}, "time_gaps_detected")
-        event({"collapsed_count": rep.duplicates_collapsed, "removed_count": int(drow["removed_count"]),
-               "keys": list(cfg.duplicate_keys)}, "duplicates_collapsed")
-        with_hash = clean.join(F.broadcast(todo.select(SRC, "source_hash")), SRC)
-        if cfg.quarantine_path:
-            q = quarantined.join(F.broadcast(todo.select(SRC, "source_hash")), SRC).drop(POS)
-            q, qobs = au.observed(q, "quarantine", F.count(F.lit(1)).alias("n"))
-            append_quarantine(q, cfg.quarantine_path, cfg.run_id, level=cfg.zstd_level)
-            rep.quarantined = int(qobs.get.get("n", 0))
-            mark("score_and_quarantine")
-            if rep.quarantined:
-                event({"total_quarantined": rep.quarantined}, "mad_outliers_persisted")
-        out = with_hash.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
-                               "source_hash", SRC)
-        out, obs = au.observed(out, "ingest", F.count(F.lit(1)).alias("rows_processed"))
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        write_parquet_zstd(out.drop(SRC), cfg.destination, cfg.zstd_level, mode="overwrite",
-                           partition_by=("source_hash",))
-        rep.rows_out = int(obs.get.get("rows_processed", 0))
-        mark("clean_write")
-        if cfg.ledger_path:
-            per_file = out.groupBy(SRC, "source_hash").agg(F.count(F.lit(1)).alias("row_count"))
-            now = F.current_timestamp().cast("timestamp_ntz")
-            runs = (todo.select(SRC, "source_hash")
-                        .join(per_file.drop("source_hash"), SRC, "left")
-                        .select(F.col(SRC).alias("source_path"),
-                                F.concat(F.lit(cfg.destination.rstrip("/") + "/source_hash="), F.col("source_hash"))
-                                 .alias("destination_path"),
-                                "source_hash", F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"),
-                                F.lit("completed").alias("status"), now.alias("created_at"),
-                                now.alias("completed_at")))
-            old = ledger if ledger is not None else spark.createDataFrame(
-                [], "id long, source_path string, destination_path string, source_hash string, "
-                    "row_count long, status string, created_at timestamp_ntz, completed_at timestamp_ntz")
-            new_ledger = materialize(lg.upsert(old, runs, runs_are_few=rep.files <= 100_000), "ledger")   # cut lineage before overwriting
-            new_ledger.write.mode("overwrite").parquet(cfg.ledger_path)
-            mark("ledger")
-            event({"files": rep.files, "row_count": rep.rows_out}, "ingestion_metadata_recorded")
-        event({"row_count": rep.rows_out, "duration_seconds": round(time.time() - t0, 3)}, "ingestion_completed")
-        scored.unpersist()
-    except Exception:
-        event({"source": str(cfg.source), "destination": cfg.destination}, "ingestion_failed", "ERROR")
-        _flush(events, cfg)
+        rejected = _run(spark, cfg, rep, scratch, event, mark)
+    except Exception as exc:
+        event({"source": str(cfg.source), "destination": cfg.destination, "error": f"{type(exc).__name__}: {str(exc)[:500]}"},
+              "ingestion_failed", "ERROR")
         raise
     finally:
-        todo.unpersist()
-        raw.unpersist()
-    _flush(events, cfg)
-    mark("audit")
-    rep.duration_s = time.time() - t0
+        scratch.drop()
+    rep.duration_s = time.time() - began
+    event({"row_count": rep.rows_out, "files": rep.files, "rejected": rep.rejected,
+           "duration_seconds": round(rep.duration_s, 3)}, "ingestion_completed")
+    if rejected and cfg.raise_on_rejected:
+        raise RejectedFiles(f"{rep.rejected} file(s) rejected, {rep.files} ingested; see the audit log of run {cfg.run_id}")
     return rep
 
 
-def _flush(events: list[DataFrame], cfg: IngestConfig) -> None:
-    if cfg.audit_path and events:
-        au.append_json(au.union_all(events), cfg.audit_path)
+def _run(spark, cfg: IngestConfig, rep: IngestReport, scratch: Scratch, event, mark) -> bool:
+    ledger = lg.read(spark, cfg.ledger_path)
+    files = scratch.save(landing_files(spark, cfg.source), "files")
+    planned = scratch.save(plan_files(files, ledger, cfg), "planned")
+    plans = {r["plan"]: r["n"] for r in planned.groupBy("plan").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rep.skipped, rep.repeated, rep.rejected = (plans.get(k, 0) for k in ("skipped", "repeated", "rejected"))
+    mark("hash_and_plan")
+    for plan, name, level in (("skipped", "ingestion_skipped_duplicate", "WARNING"),
+                              ("repeated", "ingestion_skipped_same_content", "WARNING"),
+                              ("rejected", "schema_validation_failed", "ERROR")):
+        if plans.get(plan):
+            event(planned.filter(F.col("plan") == plan).select(F.col(SRC).alias("source"), "source_hash", "header_issues"),
+                  name, level)
+    if not plans.get("new"):
+        return rep.rejected > 0
+
+    scored, result = assess(text_rows(spark, cfg, planned), cfg, scratch)
+    mark("scan_gate_dedupe_outliers")
+    names = contract(cfg.dataset).names
+    if cfg.quarantine_path:
+        append_quarantine(scored.filter("is_outlier").drop(TIMES), cfg.quarantine_path, cfg.run_id, level=cfg.zstd_level)
+        mark("quarantine")
+    write_parquet_zstd(scored.filter(~F.col("is_outlier")).select(*names, "source_hash"), cfg.destination, cfg.zstd_level,
+                       mode="overwrite", partition_by=("source_hash",), options={"partitionOverwriteMode": "dynamic"})
+    mark("clean_write")
+    if cfg.ledger_path:
+        now = F.current_timestamp().cast("timestamp_ntz")
+        place = F.concat(F.lit(cfg.destination.rstrip("/") + "/source_hash="), "source_hash")
+        runs = (result.filter("status = 'passed'").join(planned.select(SRC, "source_hash"), SRC)
+                .select(F.col(SRC).alias("source_path"), place.alias("destination_path"), "source_hash",
+                        F.col("rows_clean").alias("row_count"), F.lit("completed").alias("status"),
+                        now.alias("created_at"), now.alias("completed_at")))
+        lg.append(scratch.save(runs, "runs"), ledger, cfg.ledger_path)
+        event(result.filter("status = 'passed'").select(F.col(SRC).alias("source"), F.col("rows_clean").alias("row_count")),
+              "ingestion_metadata_recorded")
+        mark("ledger")
+
+    ok = F.col("status") == "passed"
+    total = result.agg(F.count_if(ok).alias("files"), F.count_if(~ok).alias("rejected"), F.sum("rows").alias("rows_in"),
+                       F.sum("rows_clean").alias("rows_out"), F.sum("outliers").alias("quarantined"), F.sum("gaps").alias("gaps"),
+                       F.sum("duplicates_collapsed").alias("duplicates_collapsed")).first()
+    for k, v in total.asDict().items():
+        setattr(rep, k, getattr(rep, k) + int(v or 0))
+    per_file = [("gaps", "time_gaps_detected"), ("duplicates_collapsed", "duplicates_collapsed"), ("outliers", "mad_outliers_persisted")]
+    for count, name in per_file:
+        if total["quarantined" if count == "outliers" else count]:
+            event(result.filter(F.col(count) > 0).select(F.col(SRC).alias("source"), F.col(count).alias("count")), name)
+    if total["rejected"]:
+        event(result.filter(~ok).select(F.col(SRC).alias("source"), "bad_columns", "null_columns"), "schema_validation_failed", "ERROR")
+    event(alerts(result, cfg).withColumnRenamed(SRC, "source"), "data_quality_alert", "ERROR")
+    mark("audit")
+    return rep.rejected > 0

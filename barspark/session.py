@@ -48,16 +48,38 @@ def get_session(master: str | None = None, app_name: str = "barspark",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; set a scratch one only
-    when nothing is configured (local tests)."""
-    configured = spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = os.environ.get("BARSPARK_SCRATCH") or tempfile.mkdtemp(prefix="barspark-ckpt-")
-    spark.sparkContext.setCheckpointDir(conf_dir)
-    return spark.sparkContext.getCheckpointDir() or conf_dir
+    """The shared folder that ``spark.checkpoint.dir`` names. Only a local master may go
+    without the setting (tests): on a cluster, each machine would write to its own disk."""
+    context = spark.sparkContext
+    if context.getConf().contains("spark.checkpoint.dir"):
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir"))
+        return context.getCheckpointDir()
+    if not context.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
+    if not getattr(context, "_barspark_scratch", None):
+        context._barspark_scratch = os.environ.get("BARSPARK_SCRATCH") or tempfile.mkdtemp(prefix="barspark-ckpt-")
+        context.setCheckpointDir(context._barspark_scratch)
+    return context.getCheckpointDir()
+
+
+class Scratch:
+    """Tables written once to the shared checkpoint folder and read again: the lineage ends
+    there. ``drop`` removes named tables, or all; those behind a returned frame stay."""
+
+    def __init__(self, spark: SparkSession, owner: str):
+        self.spark = spark
+        self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{owner}-{uuid.uuid4().hex}"
+
+    def save(self, df, name: str):
+        df.write.mode("overwrite").parquet(f"{self.base}/{name}")
+        return self.spark.read.parquet(f"{self.base}/{name}")
+
+    def drop(self, *names: str) -> None:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for place in [f"{self.base}/{n}" for n in names] or [self.base]:
+            path = jvm.org.apache.hadoop.fs.Path(place)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def prepare(spark: SparkSession) -> SparkSession:

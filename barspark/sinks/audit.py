@@ -45,6 +45,11 @@ def run_record(spark: SparkSession, run_name: str, params: Mapping[str, object],
         "run_name string, params map<string,string>, metrics map<string,double>")
 
 
+def append_run(record: DataFrame, path: str) -> None:
+    """Add a run record to the runs table at ``path``."""
+    record.write.mode("append").parquet(path)
+
+
 def observed(df: DataFrame, name: str, *exprs: Column) -> tuple[DataFrame, Observation]:
     """O1: attach named metrics (rows processed, failures...) collected when
     the frame's action runs, without another pass over the data."""

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 
 def write_parquet_zstd(df: DataFrame, path: str, level: int = 3, mode: str = "overwrite",
-                       partition_by: tuple[str, ...] = ()) -> None:
+                       partition_by: tuple[str, ...] = (), options: dict[str, str] | None = None) -> None:
     """K1: Parquet with zstd at ``level`` (the parquet-mr codec level option)."""
-    w = (df.write.mode(mode)
+    w = (df.write.mode(mode).options(**(options or {}))
            .option("compression", "zstd")
            .option("parquet.compression.codec.zstd.level", str(int(level))))
     if partition_by:

@@ -1,19 +1,42 @@
 """Ingestion-run ledger kept as a table.
 
-The reference keeps runs in a database table with a unique source hash and
-upserts on conflict. Here the ledger is a DataFrame/Parquet table; the
-idempotency lookup is an anti join and the upsert a full outer join on the
-hash, so any number of source files are checked and recorded at once.
+The ledger only ever grows: a run appends its rows, and ``current`` reads the state as the
+latest run per source hash, so a failed write loses nothing and no path is
+overwritten. ``upsert`` gives the same merge for ledgers kept as one table.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import sequence as sq
 
 LEDGER_COLUMNS = ["id", "source_path", "destination_path", "source_hash", "row_count", "status",
                   "created_at", "completed_at"]
+LEDGER_SCHEMA = ("id long, source_path string, destination_path string, source_hash string, row_count long, "
+                 "status string, created_at timestamp_ntz, completed_at timestamp_ntz")
+FIRST, LAST = ["id", "source_path", "created_at"], ["destination_path", "row_count", "status", "completed_at"]
+
+
+def read(spark: SparkSession, path: str | None) -> DataFrame:
+    """All run rows. Only a path that does not exist is an empty ledger; any other failure to
+    read (a damaged file, no permission) is raised, now or by the job that reads it."""
+    if path:
+        try:
+            return spark.read.schema(LEDGER_SCHEMA).parquet(path).select(*LEDGER_COLUMNS)
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return spark.createDataFrame([], LEDGER_SCHEMA)
+
+
+def current(ledger: DataFrame) -> DataFrame:
+    """One row per hash: identity of its first run, outcome of its latest."""
+    first = F.min_by(F.struct(*FIRST), F.struct("created_at", "id"))
+    last = F.max_by(F.struct(*LAST), F.struct("completed_at", "id"))
+    return (ledger.groupBy("source_hash").agg(first.alias("f"), last.alias("l"))
+            .select(*[F.col(f"f.{c}") if c in FIRST else F.col(f"l.{c}") if c in LAST else F.col(c) for c in LEDGER_COLUMNS]))
 
 
 def new_files(candidates: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -26,30 +49,35 @@ def already_ingested(candidates: DataFrame, ledger: DataFrame) -> DataFrame:
     return candidates.join(ledger.select("source_hash"), "source_hash", "left_semi")
 
 
-def upsert(ledger: DataFrame, runs: DataFrame, runs_are_few: bool = False) -> DataFrame:
+def one_per_hash(runs: DataFrame) -> DataFrame:
+    """The latest run of each hash in a batch (greatest path among equals)."""
+    cols = [c for c in LEDGER_COLUMNS if c != "id"]
+    return (runs.groupBy("source_hash").agg(F.max_by(F.struct(*cols), F.struct("completed_at", "source_path")).alias("r"))
+                .select("r.*"))
+
+
+def numbered(runs: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Ids after the ledger's greatest, in (completed_at, source_hash) order, by the
+    skew-safe global row index."""
+    max_id = ledger.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+    seq = sq.index_sequence(runs, [], "completed_at", order=["source_hash"])
+    return seq.frame.withColumn("id", max_id + F.col(sq.RN) + 1).select(*LEDGER_COLUMNS)
+
+
+def append(runs: DataFrame, ledger: DataFrame, path: str) -> None:
+    """Add a batch's runs to the ledger at ``path`` (whose rows so far are ``ledger``)."""
+    numbered(one_per_hash(runs), ledger).write.mode("append").parquet(path)
+
+
+def upsert(ledger: DataFrame, runs: DataFrame) -> DataFrame:
     """K3: insert new hashes; on an existing hash keep id, source_path and
     created_at and take destination_path, row_count, status and
-    completed_at from the new run. New ids continue after the current
-    maximum in (completed_at, source_hash) order; the numbering is the
-    skew-safe global row index, not a single-partition window (unless the
-    caller knows the batch is a handful of files: ``runs_are_few``)."""
+    completed_at from the new run. A hash repeated in the batch counts once."""
     old = ledger.select(*[F.col(c).alias(f"o_{c}") for c in LEDGER_COLUMNS])
-    new = runs.select(*[F.col(c).alias(f"n_{c}") for c in LEDGER_COLUMNS if c != "id"])
+    new = one_per_hash(runs).select(*[F.col(c).alias(f"n_{c}") for c in LEDGER_COLUMNS if c != "id"])
     j = old.join(new, old.o_source_hash == new.n_source_hash, "full_outer")
-    merged = j.select(
-        F.col("o_id").alias("id"),
-        F.coalesce("o_source_path", "n_source_path").alias("source_path"),
-        F.coalesce("n_destination_path", "o_destination_path").alias("destination_path"),
-        F.coalesce("o_source_hash", "n_source_hash").alias("source_hash"),
-        F.coalesce("n_row_count", "o_row_count").alias("row_count"),
-        F.coalesce("n_status", "o_status").alias("status"),
-        F.coalesce("o_created_at", "n_created_at").alias("created_at"),
-        F.coalesce("n_completed_at", "o_completed_at").alias("completed_at"))
-    kept = merged.where(F.col("id").isNotNull())
-    fresh = merged.where(F.col("id").isNull())
-    max_id = ledger.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()   # scalar subquery
-    seq = sq.index_sequence(fresh.drop("id"), [], "completed_at", order=["source_hash"],
-                            assume_small=runs_are_few)
-    numbered = (seq.frame.withColumn("id", max_id + F.col(sq.RN) + 1)
-                .select(*LEDGER_COLUMNS))
-    return kept.select(*LEDGER_COLUMNS).unionByName(numbered)
+    merged = j.select(F.col("o_id").alias("id"), *[
+        F.coalesce(*([f"o_{c}", f"n_{c}"] if c in (*FIRST, "source_hash") else [f"n_{c}", f"o_{c}"])).alias(c)
+        for c in LEDGER_COLUMNS if c != "id"])
+    fresh = numbered(merged.where(F.col("id").isNull()).drop("id"), ledger)
+    return merged.where(F.col("id").isNotNull()).select(*LEDGER_COLUMNS).unionByName(fresh)

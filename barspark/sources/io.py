@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.schema import diff_frame, SchemaDiff
+from ..operators.schema import Issue, compare
 
 
 def csv_scan(spark: SparkSession, paths, schema: T.StructType | None = None,
@@ -37,26 +37,59 @@ def parquet_scan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def diff_file(spark: SparkSession, path: str, schema: T.StructType,
-              read_csv_options: Mapping[str, object] | None = None) -> SchemaDiff:
-    """Schema diff of a CSV (caller options) or Parquet file."""
-    ext = os.path.splitext(path)[1].lower()
-    if ext == ".csv":
-        opts = {"header": "true", "inferSchema": "true"}
-        opts.update({k: str(v) for k, v in (read_csv_options or {}).items()})
-        df = spark.read.options(**opts).csv(path)
-    elif ext == ".parquet":
-        df = spark.read.parquet(path)
-    else:
-        raise ValueError(f"Unsupported file extension for schema diff: {ext}")
-    return diff_frame(schema, df)
+def file_issues(spark: SparkSession, path: str, schema: T.StructType,
+                read_csv_options: Mapping[str, object] | None = None) -> list[Issue]:
+    """What a CSV (read with the caller's options) or Parquet file has against a contract."""
+    kind = os.path.splitext(path)[1].lower().lstrip(".")
+    if kind not in ("csv", "parquet"):
+        raise ValueError(f"cannot compare a .{kind} file: csv or parquet expected ({path})")
+    options = {"header": "true", "inferSchema": "true", **{k: str(v) for k, v in (read_csv_options or {}).items()}}
+    reader = spark.read.options(**options) if kind == "csv" else spark.read
+    return compare(reader.format(kind).load(path), schema)
+
+
+# A binary cell of the JVM holds less than 2 GiB; longer files are hashed as streams.
+CELL_LIMIT = 2**31 - 1024
+HEADER_BYTES = 1 << 16
+
+
+def landing_files(spark: SparkSession, paths, cell_limit: int = CELL_LIMIT) -> DataFrame:
+    """Path, length, source_hash (SHA-256 of the bytes) and header (first line) per file.
+
+    The binary-file source hashes files in the JVM, one task per file or more files; a
+    file that does not fit a cell is read in blocks by a task through pyarrow's
+    filesystem of its URI. The filter on ``length`` is pushed to the listing, so no
+    file is read twice."""
+    every = spark.read.format("binaryFile").load(paths if isinstance(paths, (list, tuple)) else [paths])
+    head = F.substring_index(F.substring("content", 1, HEADER_BYTES).cast("string"), "\n", 1)
+    small = every.filter(F.col("length") < cell_limit).select("path", "length", F.sha2("content", 256).alias("source_hash"),
+                                                              head.alias("header"))
+
+    def streamed(batches):
+        import hashlib
+
+        import pandas as pd
+        from pyarrow import fs
+        for batch in batches:
+            rows = []
+            for path, length in zip(batch["path"], batch["length"]):
+                store, inner = fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
+                digest, first = hashlib.sha256(), b""
+                with store.open_input_stream(inner) as stream:
+                    while block := stream.read(8 << 20):
+                        first = first or block[:HEADER_BYTES]
+                        digest.update(block)
+                rows.append((path, length, digest.hexdigest(), first.split(b"\n")[0].decode("utf-8", "replace")))
+            yield pd.DataFrame(rows, columns=["path", "length", "source_hash", "header"])
+
+    large = (every.filter(F.col("length") >= cell_limit).select("path", "length")
+             .mapInPandas(streamed, "path string, length long, source_hash string, header string"))
+    return small.union(large)
 
 
 def source_hashes(spark: SparkSession, paths) -> DataFrame:
-    """SHA-256 of every file's bytes, one row per file, computed in
-    parallel by the binary-file source (path, length, source_hash)."""
-    files = spark.read.format("binaryFile").load(paths if isinstance(paths, (list, tuple)) else [paths])
-    return files.select("path", "length", F.sha2("content", 256).alias("source_hash"))
+    """Path, length and source_hash per file."""
+    return landing_files(spark, paths).select("path", "length", "source_hash")
 
 
 # ---- reference data (S5-S7) -------------------------------------------------

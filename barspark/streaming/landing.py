@@ -1,52 +1,32 @@
-"""The ingest job driven by Structured Streaming over a landing directory.
+"""The ingest job run by Structured Streaming over a landing directory.
 
-The file source remembers, in its checkpoint, which files it has already
-read, which is the reference's "skip a file already ingested" rule kept by
-Spark itself; every micro-batch runs the same batch transformation
-(``plans.ingest.clean_frame``) through ``foreachBatch`` and appends the clean
-rows and the quarantined rows. ``availableNow`` processes what has landed and
-stops, so the same code serves scheduled and continuous runs. Checkpoints go
-to the shared ``spark.checkpoint.dir`` unless a location is given.
+The stream only notices that files have landed; every micro-batch then runs the batch job
+(``plans.ingest.ingest``) on the landing path, with its gates, ledger, quarantine and
+audit. The ledger knows contents by hash, so a retried batch, a restart or a file
+landed under another name ingests nothing twice.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..operators.schema import get_schema
-from ..plans.ingest import SRC, IngestConfig, clean_frame
-from ..sinks.files import write_parquet_zstd
-
-
-def landing_stream(spark: SparkSession, landing_dir: str, cfg: IngestConfig) -> DataFrame:
-    schema = get_schema(cfg.dataset)
-    fields = [T.StructField(f.name, T.StringType() if f.name == cfg.timestamp_column else f.dataType, True)
-              for f in schema.fields]
-    return (spark.readStream.option("header", "true").schema(T.StructType(fields))
-                 .csv(landing_dir)
-                 .withColumn(SRC, F.col("_metadata.file_path"))
-                 .withColumn("_block", F.col("_metadata.file_block_start")))
+from ..plans.ingest import IngestConfig, ingest
+from ..session import ensure_checkpoint_dir
 
 
 def start_ingest_stream(spark: SparkSession, landing_dir: str, cfg: IngestConfig,
                         checkpoint_location: str | None = None, available_now: bool = True):
-    """Start the stream; returns the StreamingQuery."""
-    ckpt = checkpoint_location or f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/ingest-{cfg.run_id}"
-    schema = get_schema(cfg.dataset)
+    """Start the stream; returns the StreamingQuery. ``cfg`` needs a ledger path and a source
+    that covers ``landing_dir``."""
+    if not cfg.ledger_path:
+        raise ValueError("a streaming ingest needs ledger_path: the ledger makes its batches repeatable")
+    place = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{cfg.run_id}"
+    landed = (spark.readStream.format("binaryFile")
+              .schema("path string, modificationTime timestamp, length long, content binary")
+              .load(landing_dir).select("path"))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        # row position inside the micro-batch (file order) for the keep-last rule
-        df = df.withColumn("_row_pos", F.struct("_block", F.monotonically_increasing_id())).drop("_block")
-        clean, quarantined, _, _ = clean_frame(df, cfg, with_gaps=False)
-        out = clean.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
-                           F.lit(batch_id).alias("batch_id"))
-        write_parquet_zstd(out, cfg.destination, cfg.zstd_level, mode="append")
-        if cfg.quarantine_path:
-            write_parquet_zstd(quarantined.drop("_row_pos").withColumn("batch_id", F.lit(batch_id)),
-                               cfg.quarantine_path, cfg.zstd_level, mode="append")
+        if not df.isEmpty():
+            ingest(df.sparkSession, IngestConfig(**{**cfg.__dict__, "run_id": f"{cfg.run_id}-{batch_id}"}))
 
-    w = landing_stream(spark, landing_dir, cfg).writeStream.foreachBatch(batch) \
-        .option("checkpointLocation", ckpt)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    writer = landed.writeStream.foreachBatch(batch).option("checkpointLocation", place)
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()

@@ -12,6 +12,8 @@ from barspark.plans import ingest as ig
 from barspark.sinks import ledger as lg
 from barspark.sources import fixtures as fx
 from barspark.sources import io as sio
+from barspark.operators import schema as sc
+from barspark.session import Scratch
 from barspark.streaming.landing import start_ingest_stream
 
 
@@ -54,24 +56,93 @@ def test_ingest_end_to_end(spark, sf, tmpdir_path):
     assert ledger.count() == 2 and ledger.select("id").distinct().count() == 2
     events = [json.loads(line) for p in glob.glob(f"{cfg.audit_path}/part-*") for line in open(p)]
     names = {e["event"] for e in events}
-    assert {"time_gaps_detected", "duplicates_collapsed", "ingestion_completed",
-            "ingestion_metadata_recorded"} <= names
+    assert {"ingestion_started", "time_gaps_detected", "duplicates_collapsed", "ingestion_completed",
+            "ingestion_metadata_recorded", "data_quality_alert"} <= names
     # second run: both files already recorded -> skipped, nothing rewritten
     rep2 = ig.ingest(spark, ig.IngestConfig(**{**cfg.__dict__, "run_id": "r2"}))
     assert rep2.files == 0 and rep2.skipped == 2
     assert spark.read.parquet(cfg.ledger_path).count() == 2
 
 
-def test_schema_gate_rejects(spark, tmpdir_path):
-    os.makedirs(f"{tmpdir_path}/bad", exist_ok=True)
-    with open(f"{tmpdir_path}/bad/x.csv", "w") as f:
-        f.write("timestamp,symbol,close\n2024-01-01 09:15:00,A,1.0\n")
-    cfg = ig.IngestConfig(source=f"{tmpdir_path}/bad/*.csv", destination=f"{tmpdir_path}/out", run_id="x",
-                          audit_path=f"{tmpdir_path}/audit2")
+HEAD = "timestamp,symbol,open,high,low,close,volume,trade_count\n"
+
+
+def _file(root, name, body, head=HEAD):
+    os.makedirs(f"{root}/land", exist_ok=True)
+    with open(f"{root}/land/{name}", "w") as f:
+        f.write(head + body)
+
+
+def _rows(n, symbol="A", price=1.0):
+    return "".join(f"2024-01-01 09:{i:02d}:00,{symbol},1,2,0.5,{price},10,3\n" for i in range(n))
+
+
+def _cfg(root, run, **more):
+    return ig.IngestConfig(source=f"{root}/land/*.csv", destination=f"{root}/out", run_id=run, ledger_path=f"{root}/ledger",
+                           quarantine_path=f"{root}/q", audit_path=f"{root}/audit", **more)
+
+
+def _events(root):
+    return [json.loads(line) for p in glob.glob(f"{root}/audit/part-*") for line in open(p)]
+
+
+def test_a_bad_file_fails_alone(spark, tmpdir_path):
+    _file(tmpdir_path, "good.csv", _rows(5))
+    _file(tmpdir_path, "text.csv", _rows(3, "B") + "2024-01-01 10:00:00,B,1,2,0.5,oops,10,3\n")
+    _file(tmpdir_path, "header.csv", "2024-01-01 09:15:00,A,1.0\n", "timestamp,symbol,close\n")
+    _file(tmpdir_path, "nameless.csv", "2024-01-01 09:15:00,,1,2,0.5,1,10,3\n")
+    _file(tmpdir_path, "turned.csv", "3,2024-01-01 09:15:00,C,1,2,0.5,7.5,10\n",
+          "trade_count,timestamp,symbol,open,high,low,close,volume\n")
+    with pytest.raises(ig.RejectedFiles, match="3 file"):
+        ig.ingest(spark, _cfg(tmpdir_path, "r1"))
+    out = spark.read.parquet(f"{tmpdir_path}/out")
+    assert out.count() == 6 and out.filter("symbol = 'C'").first().close == 7.5
+    assert {os.path.basename(r.source_path) for r in spark.read.parquet(f"{tmpdir_path}/ledger").collect()} == {"good.csv", "turned.csv"}
+    failed = [e for e in _events(tmpdir_path) if e["event"] == "schema_validation_failed"]
+    assert {os.path.basename(e["details"]["source"]) for e in failed} == {"text.csv", "header.csv", "nameless.csv"}
+    rep = ig.ingest(spark, _cfg(tmpdir_path, "r2", raise_on_rejected=False))
+    assert (rep.files, rep.skipped, rep.rejected) == (0, 2, 3)
+
+
+def test_identical_files_are_ingested_once(spark, tmpdir_path):
+    for name in ("a.csv", "b.csv"):
+        _file(tmpdir_path, name, _rows(8))
+    rep = ig.ingest(spark, _cfg(tmpdir_path, "r1"))
+    assert (rep.files, rep.repeated, rep.rows_out) == (1, 1, 8)
+    assert spark.read.parquet(f"{tmpdir_path}/out").count() == 8
+    assert spark.read.parquet(f"{tmpdir_path}/ledger").count() == 1
+
+
+def test_a_damaged_ledger_is_not_a_new_one(spark, tmpdir_path):
+    _file(tmpdir_path, "a.csv", _rows(4))
+    ig.ingest(spark, _cfg(tmpdir_path, "r1"))
+    part = glob.glob(f"{tmpdir_path}/ledger/part-*.parquet")[0]
+    crc = os.path.join(os.path.dirname(part), "." + os.path.basename(part) + ".crc")
+    if os.path.exists(crc):
+        os.remove(crc)
+    with open(part, "wb") as f:
+        f.write(b"damaged")
+    _file(tmpdir_path, "b.csv", _rows(4, "B"))
     with pytest.raises(Exception):
-        ig.ingest(spark, cfg)
-    events = [json.loads(line) for p in glob.glob(f"{tmpdir_path}/audit2/part-*") for line in open(p)]
-    assert "ingestion_failed" in {e["event"] for e in events}
+        ig.ingest(spark, _cfg(tmpdir_path, "r2"))
+    assert [os.path.basename(p) for p in glob.glob(f"{tmpdir_path}/ledger/part-*.parquet")] == [os.path.basename(part)]
+    assert "ingestion_failed" in {e["event"] for e in _events(tmpdir_path)}
+
+
+def test_streamed_hash_equals_the_cell_hash(spark, tmpdir_path):
+    _file(tmpdir_path, "a.csv", _rows(4))
+    a, b = (sio.landing_files(spark, f"{tmpdir_path}/land/*.csv", limit).first() for limit in (sio.CELL_LIMIT, 10))
+    assert a == b and a.header == HEAD.strip()
+
+
+def test_file_issues(spark, tmpdir_path):
+    _file(tmpdir_path, "a.csv", _rows(2))
+    issues = sio.file_issues(spark, f"{tmpdir_path}/land/a.csv", sc.contract("market_data"))
+    assert {i.column for i in issues} == {"open", "high", "volume", "trade_count"} and {i.kind for i in issues} == {"type"}
+    spark.range(1).write.parquet(f"{tmpdir_path}/p.parquet")
+    assert len(sio.file_issues(spark, f"{tmpdir_path}/p.parquet", sc.contract("market_data"))) == 9
+    with pytest.raises(ValueError, match="json"):
+        sio.file_issues(spark, "x.json", sc.contract("market_data"))
 
 
 def test_source_hash_matches_hashlib(spark, tmpdir_path):
@@ -97,6 +168,12 @@ def test_ledger_upsert_semantics(spark):
     assert got["h1"].id == 1 and got["h1"].source_path == "a.csv" and got["h1"].row_count == 11
     assert got["h1"].created_at == dt.datetime(2024, 1, 1) and got["h1"].completed_at == dt.datetime(2024, 2, 1)
     assert got["h2"].id == 2
+    twice = runs.union(runs.withColumn("row_count", F.col("row_count") + 1).withColumn("completed_at", F.lit(dt.datetime(2024, 3, 1))))
+    again = {r.source_hash: r for r in lg.upsert(old, twice).collect()}
+    assert len(again) == 2 and again["h2"].row_count == 6 and lg.upsert(old, twice).count() == 2
+    log = old.unionByName(lg.numbered(lg.one_per_hash(twice), old))
+    now = {r.source_hash: r for r in lg.current(log).collect()}
+    assert now["h1"].id == 1 and now["h1"].row_count == 12 and now["h1"].source_path == "a.csv"
     assert lg.new_files(runs, old).count() == 1
 
 
@@ -109,20 +186,17 @@ def test_zstd_level_is_honoured(spark, sf, tmpdir_path):
     assert size(f"{tmpdir_path}/z19") < size(f"{tmpdir_path}/z1")
 
 
-def test_streaming_landing(spark, sf, tmpdir_path):
-    _landing(spark, sf, tmpdir_path, n_files=1)
-    cfg = ig.IngestConfig(source="", destination=f"{tmpdir_path}/stream_out", run_id="s1",
-                          expected_frequency="1d")
-    q = start_ingest_stream(spark, f"{tmpdir_path}/landing", cfg,
-                            checkpoint_location=f"{tmpdir_path}/stream_ckpt")
-    q.awaitTermination(300)
-    n1 = spark.read.parquet(cfg.destination).count()
-    assert n1 > 0
-    # a restart over the same files processes nothing new
-    q = start_ingest_stream(spark, f"{tmpdir_path}/landing", cfg,
-                            checkpoint_location=f"{tmpdir_path}/stream_ckpt")
-    q.awaitTermination(300)
-    assert spark.read.parquet(cfg.destination).count() == n1
+def test_streaming_landing(spark, tmpdir_path):
+    def run():
+        start_ingest_stream(spark, f"{tmpdir_path}/land", _cfg(tmpdir_path, "s", raise_on_rejected=False),
+                            checkpoint_location=f"{tmpdir_path}/ckpt").awaitTermination(300)
+        return spark.read.parquet(f"{tmpdir_path}/out").count()
+    _file(tmpdir_path, "a.csv", _rows(6))
+    _file(tmpdir_path, "bad.csv", "2024-01-01 09:00:00,B,oops,2,0.5,abc,10,3\n")
+    assert run() == 6 and run() == 6
+    _file(tmpdir_path, "same.csv", _rows(6))          # known content under a new name
+    _file(tmpdir_path, "c.csv", _rows(2, "C"))
+    assert run() == 8
 
 
 def test_reference_tables(spark, tmpdir_path):
@@ -145,8 +219,11 @@ def test_outlier_statistics_are_per_source_file(spark):
     rows.append(("a.csv", dt.datetime(2024, 1, 1, 10, 0), "X", 130.0, 99))
     df = spark.createDataFrame(rows, "_source_file string, timestamp timestamp, symbol string, close double, "
                                      "pos int").withColumn("_row_pos", F.struct("pos")).drop("pos")
+    for c in ("open", "high", "low", "volume", "trade_count"):
+        df = df.withColumn(c, F.lit(1))
     cfg = ig.IngestConfig(source=[], destination="", run_id="t", expected_frequency="1m")
-    clean, quarantined, _, _ = ig.clean_frame(df, cfg, with_gaps=False)
-    q = quarantined.collect()
+    scored, result = ig.assess(df, cfg, Scratch(spark, "t"))
+    q = scored.filter("is_outlier").collect()
     assert len(q) == 1 and q[0]["_source_file"] == "a.csv" and q[0].close == 130.0
-    assert clean.where("_source_file = 'b.csv'").count() == 20
+    assert scored.where("_source_file = 'b.csv' AND NOT is_outlier").count() == 20
+    assert {r["_source_file"]: r.outliers for r in result.collect()} == {"a.csv": 1, "b.csv": 0}

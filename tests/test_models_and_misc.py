@@ -73,13 +73,13 @@ def test_regression_metrics_vs_numpy(spark):
 
 def test_gbt_walk_forward(spark, sf):
     sup, names, target = feat.prepare_supervised(fx.bars(spark, sf), DEFAULT_CONFIG, "basic_price")
-    w = {"name": "short", "training_days": 400, "validation_days": 100, "step_days": 300,
+    w = {"name": "short", "training_days": 900, "validation_days": 200, "step_days": 700,
          "min_train_date": "1994-01-01"}
     folds = va.generate_folds(sup, w)
     fit = lambda train: va.gbt_regressor(names, target).setStages(
         [va.gbt_regressor(names, target).getStages()[0],
          va.gbt_regressor(names, target).getStages()[1].setMaxIter(5)]).fit(train)
-    out = {r.key: r.value for r in va.walk_forward_cv(sup, folds, names, target, fit=fit, max_folds=2).collect()}
+    out = {r.key: r.value for r in va.walk_forward_cv(sup, folds, names, target, fit=fit).collect()}
     assert "cv_short_rmse" in out and out["cv_short_rmse"] >= 0
     model = fit(sup)
     imp = va.feature_importances(model, names)
@@ -91,48 +91,100 @@ def test_gbt_walk_forward(spark, sf):
     a = model.transform(sup).select("prediction").limit(5).collect()
     b = again.transform(sup).select("prediction").limit(5).collect()
     assert a == b
+    runs = tempfile.mkdtemp(prefix="barspark-runs-") + "/runs"
+    split = {"train_start": "1995-01-01", "train_end": "1998-12-31", "validation_start": "1999-01-01", "validation_end": "1999-06-30"}
+    for name in ("one", "two"):
+        va.train_split(sup, "early", split, names, target, name, runs, model_path=f"{runs}-{name}", fit=fit)
+    got = {r.run_name: r for r in spark.read.parquet(runs).collect()}
+    assert set(got) == {"one", "two"} and got["one"].params["split"] == "early" and got["two"].metrics["rmse"] > 0
+    assert va.load_model(f"{runs}-one").transform(sup).columns[-1] == "prediction"
+    with pytest.raises(ValueError, match="train"):
+        va.train_split(sup, "none", dict(split, validation_start="2030-01-01", validation_end="2030-02-01"), names, target, "x", runs, fit=fit)
     rec = au.run_record(spark, "basic_price__short", {"feature_set": "basic_price"}, out).first()
     assert rec.params["feature_set"] == "basic_price" and "cv_short_rmse" in rec.metrics
 
 
 def test_rewards_and_grid(spark):
-    assert rw.iterate_hyperparameters({}) == [{}]
-    grid = rw.iterate_hyperparameters(DEFAULT_CONFIG["rl"]["hyperparameters"])
-    assert len(grid) == 8 and grid[0] == {"learning_rate": 0.0005, "gamma": 0.9, "entropy_coef": 0.0}
+    grid = rw.parameter_grid(spark, DEFAULT_CONFIG["rl"]["hyperparameters"]).orderBy("param_id").collect()
+    assert [r.param_id for r in grid] == list(range(8))
+    assert grid[0].asDict() == {"param_id": 0, "learning_rate": 0.0005, "gamma": 0.9, "entropy_coef": 0.0}
+    assert len({(r.learning_rate, r.gamma, r.entropy_coef) for r in grid}) == 8
+    assert rw.parameter_grid(spark, {}).count() == 1
     assert rw.linspace_weights(3) == list(np.linspace(1.0, 0.2, 3))
     df = spark.createDataFrame([(1.0, 0.01, 0.0), (-1.0, 0.02, 1.0), (0.0, -0.01, -1.0)],
                                "a double, r double, prev double")
-    ra = rw.reward_column(DEFAULT_CONFIG["rl"]["reward_definitions"][0], "a", "r", "prev")
-    di = rw.reward_column(DEFAULT_CONFIG["rl"]["reward_definitions"][1], "a", "r", "prev")
+    ra = rw.reward(DEFAULT_CONFIG["rl"]["reward_definitions"][0], "a", "r", "prev")
+    di = rw.reward(DEFAULT_CONFIG["rl"]["reward_definitions"][1], "a", "r", "prev")
     got = df.select(ra.alias("ra"), di.alias("di")).collect()
     exp_ra = [1 * 0.01 - 0.0005 * 1 - 0.001, -0.02 - 0.0005 * 2 - 0.001, 0 - 0.0005 * 1 - 0]
     assert all(math.isclose(g.ra, e, abs_tol=1e-15) for g, e in zip(got, exp_ra))
     assert [g.di for g in got] == [1.0, -1.0, -1.0]
     with pytest.raises(ValueError):
-        rw.reward_column({"kind": "nope"}, "a", "r", "prev")
+        rw.reward({"kind": "nope"}, "a", "r", "prev")
 
 
-def test_sweep_is_repeatable(spark, sf):
-    sup, names, target = feat.prepare_supervised(fx.bars(spark, sf), DEFAULT_CONFIG, "basic_price")
-    rl = DEFAULT_CONFIG["rl"]
-    a = rw.run_sweep(sup, names, target, rl["reward_definitions"], rl["hyperparameters"], 3, 20, seed=7)[1]
-    b = rw.run_sweep(sup, names, target, rl["reward_definitions"], rl["hyperparameters"], 3, 20, seed=7)[1]
-    pa = a.toPandas().sort_values(["reward", "param_id"]).reset_index(drop=True)
-    pb = b.toPandas().sort_values(["reward", "param_id"]).reset_index(drop=True)
-    assert len(pa) == 16
-    pd.testing.assert_frame_equal(pa, pb)
+def test_short_symbols_fail_an_episode(spark):
+    counts = spark.createDataFrame([("A", 30), ("B", 5)], "symbol string, n_rows long")
+    assert rw.episode_starts(counts.where("n_rows > 9"), 2, 10, 1).count() == 2
+    with pytest.raises(Exception, match="symbol B"):
+        rw.episode_starts(counts, 2, 10, 1).collect()
 
 
 def test_feature_set_resolution():
     fs = DEFAULT_CONFIG["feature_sets"]
-    names = [feat.feature_alias(d) for d in feat.resolve_feature_set(fs, "macro_augmented")]
-    assert names[:9] == [feat.feature_alias(d) for d in fs["basic_price"]["features"]]
+    sets = feat.FeatureConfig.parse(fs)
+    names = [feat.column_name(d) for d in sets.specs("macro_augmented")]
+    assert names[:9] == [feat.column_name(d) for d in fs["basic_price"]["features"]]
     assert names[-1] == "zscore_volume_20"
     with pytest.raises(KeyError):
-        feat.resolve_feature_set(fs, "missing")
+        sets.specs("missing")
+    with pytest.raises(ValueError, match="a > b > a"):
+        feat.FeatureConfig.parse({"a": {"inherits": "b"}, "b": {"inherits": ["a"]}}).specs("a")
+    diamond = feat.FeatureConfig.parse({"top": {"features": [{"rename": "t"}]}, "l": {"inherits": "top"}, "r": {"inherits": "top"},
+                                        "x": {"inherits": ["l", "r"], "features": [{"rename": "x"}]}})
+    assert [feat.column_name(d) for d in diamond.specs("x")] == ["t", "t", "x"]
+    for wrong in ({"a": 3}, {"a": {"features": {"x": 1}}}, {"a": {"features": ["x"]}}, {"a": {"inherits": 4}}):
+        with pytest.raises(TypeError):
+            feat.FeatureConfig.parse(wrong)
+    assert feat.column_name({"kind": "lag", "source": "close"}) == "close_lag"
     with pytest.raises(ValueError):
-        feat.resolve_feature_set({"a": {"inherits": "b"}, "b": {"inherits": "a"}}, "a")
-    assert feat.feature_alias({"kind": "lag", "source": "close"}) == "close_lag"
+        feat.column_name({"kind": "lag"})
+
+
+def test_ema_skips_nulls(spark):
+    rows = [("A", dt.datetime(2024, 1, i + 1), v) for i, v in enumerate([1.0, None, 3.0, 4.0, float("nan"), 5.0])]
+    df = spark.createDataFrame(rows, "symbol string, timestamp timestamp_ntz, close double")
+    spec = [{"kind": "ema", "source": "close", "span": 3, "rename": "e"}]
+    for target_rows in (1_000_000, 2):
+        out, _, _ = feat.engineer_features(df, spec, ["symbol"], target_rows=target_rows)
+        got = [r.e for r in out.orderBy("timestamp").collect()]
+        want = [1.0, None, 3.5 / 1.5, 5.75 / 1.75, None, (5 + 2 + 0.75 + 0.125) / 1.875]
+        assert all((a is None) == (b is None) and (a is None or math.isclose(a, b)) for a, b in zip(got, want)), got
+
+
+def test_time_text(spark):
+    cases = {"2024-01-01T09:15:00+05": "04:15", "2024-01-01 09:15:00 UTC": "09:15", "2024-01-01 09:15:00": "03:45",
+             "2024-01-01T09:15:00Z": "09:15", "2024-01-01T09:15:00+05:30": "03:45", "2024-01-01 09:15:00+0530": "03:45",
+             "2024-01-01 09:15:00 Asia/Kolkata": "03:45", "2024-01-01 09:15:00.5-5": "14:15", "2024-01-01": "18:30",
+             "2024-01-01 09:15:00 Mars/Base": None, "oops": None, "": None}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = df.select("t", F.date_format(fe.local_to_utc("t", T.StringType()), "HH:mm").alias("u")).collect()
+    assert {r.t: r.u for r in got} == cases
+
+
+def test_points_file(spark, tmpdir_path):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1), "a", 1.5)], "ts timestamp_ntz, tag string, v double")
+    pt.write_lines(pt.to_points(df, "m", "ts", ["tag"]), f"{tmpdir_path}/lines")
+    assert [r.value for r in spark.read.text(f"{tmpdir_path}/lines").collect()] == ["m,tag=a v=1.5 1704067200000000000"]
+
+
+def test_checkpoint_folder_is_required_off_local():
+    from types import SimpleNamespace
+
+    from barspark.session import ensure_checkpoint_dir
+    context = SimpleNamespace(master="spark://host:7077", getConf=lambda: SimpleNamespace(contains=lambda k: False))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=context))
 
 
 def test_helpers(spark):

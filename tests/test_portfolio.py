@@ -1,4 +1,5 @@
 """Portfolio panel vs a plain sequential loop written for this test."""
+import datetime as dt
 import math
 
 import numpy as np
@@ -123,3 +124,31 @@ def test_cost_and_slippage_models(spark):
         sm.apply(__import__("pyspark.sql.functions", fromlist=["lit"]).lit(100.0),
                  __import__("pyspark.sql.functions", fromlist=["lit"]).lit(-3.0)).alias("x")).first()
     assert math.isclose(row.x, 99.95)
+
+
+def test_repeated_price_key_counts_once(spark):
+    ts = [dt.datetime(2024, 1, k) for k in (1, 2, 3)]
+    sig = spark.createDataFrame([("s", t, "A", 1.0) for t in ts], "strategy string, timestamp timestamp_ntz, symbol string, target_weight double")
+    px = [(t, "A", p) for t, p in zip(ts, (10.0, 11.0, 12.0))]
+    master = spark.createDataFrame([("A", dt.datetime(2020, 1, 1), None)], "symbol string, start_date timestamp_ntz, end_date timestamp_ntz")
+    cfg = pf.BacktestConfig("2024-01-01", "2024-12-31", 1000.0)
+    schema = "timestamp timestamp_ntz, symbol string, close double"
+    one = pf.run_backtest(sig, spark.createDataFrame(px, schema), master, cfg, pf.CostModel(bps=100.0))
+    two = pf.run_backtest(sig, spark.createDataFrame(px + [px[1]], schema), master, cfg, pf.CostModel(bps=100.0))
+    a, b = (sorted(r.portfolio_value for r in x.equity.collect()) for x in (one, two))
+    assert a == b and two.trades.count() == 3
+
+
+def test_no_signal_in_range_raises(spark, inputs):
+    sig, px, master = inputs
+    with pytest.raises(ValueError, match="no signal"):
+        pf.run_backtest(sig, px, master, pf.BacktestConfig("2030-01-01", "2030-12-31", 1000.0))
+
+
+def test_reports_are_written(spark, inputs, tmpdir_path):
+    sig, px, master = inputs
+    res = pf.run_backtest(sig, px, master, CFG)
+    pf.write_reports(res.summary(CFG), res.equity, f"{tmpdir_path}/reports", "r1")
+    n = sig.select("strategy").distinct().count()
+    assert spark.read.json(f"{tmpdir_path}/reports/metrics").count() == n
+    assert spark.read.option("header", True).csv(f"{tmpdir_path}/reports/equity").count() == res.equity.count()

@@ -12,40 +12,60 @@ from barspark.operators import schema as sc
 from barspark.sinks import audit as au
 
 
-def test_schema_diff_reports_missing_and_mismatch(spark):
+def test_contract_issues_missing_and_type(spark):
     df = spark.createDataFrame(
         [(dt.datetime(2024, 1, 1, 9, 15), "ABC", "1.0", 1.2, 100)],
         "timestamp timestamp, symbol string, open string, close double, volume bigint")
-    diff = sc.diff_frame(sc.get_schema("market_data"), df)
-    assert set(diff.missing_columns) == {"high", "low", "trade_count"}
-    assert set(diff.dtype_mismatches) == {"open"}
-    assert not diff.ok
-    with pytest.raises(ValueError):
-        sc.validate_frame(sc.get_schema("market_data"), df)
+    issues = sc.compare(df, sc.contract("market_data"))
+    assert {i.column for i in issues if i.kind == "missing"} == {"high", "low", "trade_count"}
+    assert [i for i in issues if i.kind == "type"] == [sc.Issue("open", "type", "double", "string")]
+    report = sc.issue_report(issues)
+    assert set(report) == {"missing", "type"} and report["type"] == {"open": "double / string"}
+    assert sc.issue_frame(spark, "d", issues).filter("kind = 'missing'").count() == 3
+    with pytest.raises(ValueError, match="trade_count"):
+        sc.check(df, sc.contract("market_data"))
 
 
-def test_enforce_schema_orders_and_casts(spark):
+def test_contract_issues_nulls_and_unexpected(spark):
+    df = spark.createDataFrame([(None, 1), ("a", 2)], "symbol string, extra int")
+    sc.set_contract("named", "symbol string!")
+    assert sc.compare(df, sc.contract("named")) == [sc.Issue("extra", "unexpected", None, "int"), sc.Issue("symbol", "nulls", "0", "1")]
+    sc.check(df.filter("symbol IS NOT NULL").drop("extra"), sc.contract("named"))
+
+
+def test_conform_orders_and_casts(spark):
     cols = ["volume", "close", "symbol", "trade_count", "open", "timestamp", "low", "high"]
     df = spark.createDataFrame([("100", "1.5", "ABC", "7", "1.0", dt.datetime(2024, 1, 1), "0.9", "1.6")],
                                ", ".join(f"{c} {'timestamp' if c == 'timestamp' else 'string'}" for c in cols))
-    out = sc.enforce_schema(df, sc.get_schema("market_data"))
-    assert out.columns == [f.name for f in sc.get_schema("market_data").fields]
+    out = sc.conform(df, sc.contract("market_data"))
+    assert out.columns == sc.contract("market_data").names
     assert dict(out.dtypes)["open"] == "double" and dict(out.dtypes)["volume"] == "bigint"
     row = out.first()
     assert row.open == 1.0 and row.volume == 100
+    with pytest.raises(ValueError, match="nulls"):
+        sc.conform(df.withColumn("symbol", F.lit(None).cast("string")), sc.contract("market_data"))
 
 
-def test_enforce_schema_rejects_structure(spark):
+def test_conform_refuses_structure(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1), "A")], "timestamp timestamp, symbol string")
-    with pytest.raises(ValueError):
-        sc.enforce_schema(df, sc.get_schema("market_data"))
+    with pytest.raises(ValueError, match="missing"):
+        sc.conform(df, sc.contract("market_data"))
 
 
-def test_registry(spark):
-    sc.register_schema("tiny", T.StructType([T.StructField("x", T.LongType(), False)]))
-    assert "tiny" in list(sc.list_registered_schemas())
+def test_contract_names():
+    sc.set_contract("tiny", T.StructType([T.StructField("x", T.LongType(), False)]))
+    assert "tiny" in sc.CONTRACTS and not sc.contract("tiny")["x"].nullable
     with pytest.raises(KeyError):
-        sc.get_schema("nope")
+        sc.contract("nope")
+
+
+def test_required_and_default_columns(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+    sc.require_columns(df, ["a"])
+    with pytest.raises(KeyError, match="'b'"):
+        sc.require_columns(df, ["a", "b"], "Frame")
+    out = sc.with_defaults(df, {"a": (9, T.IntegerType()), "ratio": (None, T.DoubleType()), "n": (2, T.LongType())})
+    assert out.dtypes == [("a", "int"), ("ratio", "double"), ("n", "bigint")] and out.first() == (1, None, 2)
 
 
 def test_gaps_one_gap_three_missing(spark):

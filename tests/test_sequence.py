@@ -11,7 +11,7 @@ from barspark.operators import sequence as sq
 from barspark.plans.config import DEFAULT_CONFIG
 from barspark.sources import fixtures as fx
 
-DEFS = feat.resolve_feature_set(DEFAULT_CONFIG["feature_sets"], "macro_augmented") + [
+DEFS = feat.FeatureConfig.parse(DEFAULT_CONFIG["feature_sets"]).specs("macro_augmented") + [
     {"kind": "lag", "source": "close", "periods": -3, "rename": "lead_close_3"}]
 TARGET = {"name": "future_return_1d", "kind": "future_return", "source": "close", "horizon": 1}
 
@@ -29,7 +29,7 @@ def bars_with_nulls(spark, sf):
 
 
 def test_bucketed_equals_plain(spark, bars_with_nulls):
-    names = [feat.feature_alias(d) for d in DEFS] + ["future_return_1d"]
+    names = [feat.column_name(d) for d in DEFS] + ["future_return_1d"]
     plain, _, _ = feat.engineer_features(bars_with_nulls, DEFS, ["symbol"], "timestamp", target=TARGET)
     bucketed, _, _ = feat.engineer_features(bars_with_nulls, DEFS, ["symbol"], "timestamp", target=TARGET,
                                             target_rows=7)
