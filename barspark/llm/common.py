@@ -3,20 +3,28 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
-from barspark.session import ensure_checkpoint_dir
+from barspark.session import Scratch  # noqa: F401  (the operators take it from here)
+
+
+#: Bounds of an Arrow batch between the JVM and a task's Python worker: texts pass in both
+#: directions, so a worker holds a few batches at a time.
+BATCH_ROWS, BATCH_BYTES = 2000, "8m"
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Give the executors this package, once per application, as a Python file of the job."""
+    """Give the executors this package, once per application, as a Python file of the job, and
+    bound the session's Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if not getattr(context, "_barspark_shipped", False):
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -36,27 +44,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-class Scratch:
-    """Tables written once to the shared checkpoint folder and read again: the lineage
-    ends there, and a lost executor costs one re-read. ``drop`` removes tables that no
-    later step reads; those behind a returned DataFrame stay for its reader."""
-
-    def __init__(self, spark: SparkSession, owner: str):
-        self.spark = spark
-        self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{owner}-{uuid.uuid4().hex}"
-
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.base}/{name}")
-        return self.spark.read.parquet(f"{self.base}/{name}")
-
-    def drop(self, *names: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
-            path.getFileSystem(conf).delete(path, True)
-
-
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | ST.StructType) -> DataFrame:
     """``fn`` on every Arrow batch of ``df``. The batches are bounded in rows and bytes by
     Spark's Arrow settings; the map keeps nothing between them."""
@@ -89,3 +76,8 @@ def row_schema(df: DataFrame, names: list[str], added: str) -> ST.StructType:
     """Schema of ``row`` and the added columns (a DDL string)."""
     row = ST.StructType([ST.StructField(c, df.schema[c].dataType, True) for c in names])
     return ST.StructType([ST.StructField("row", row, True), *ST.StructType.fromDDL(added).fields])
+
+
+def text_of(batch: pa.RecordBatch, text_col: str = "text") -> pa.Array:
+    """The texts of a batch of ``row`` structs: a field of the struct, or the column beside it."""
+    return batch.column(1) if batch.num_columns > 1 else pc.struct_field(batch.column(0), text_col)

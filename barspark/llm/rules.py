@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barspark.llm import textops as T
-from barspark.llm.common import Scratch, map_batches, row_of, row_schema, table
+from barspark.llm.common import Scratch, map_batches, row_of, row_schema, table, text_of
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WINDOW = 3
 MAX_HOST_RATE = 0.5
-_SYMBOL = np.zeros(256, np.int64)
+_SYMBOL = np.zeros(256, np.uint8)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = 1
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -72,10 +72,10 @@ def text_counts(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
 
 def rule_counts(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
     """``row`` (the ``keep`` columns of ``docs``) and the five counts of its texts, row by row."""
-    slim = docs.select(row_of(docs, keep), F.col(f"`{text_col}`").cast("string").alias("text"))
+    slim = docs.select(row_of(docs, keep), *([] if text_col in keep else [F.col(f"`{text_col}`")]))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        data, offs = T.text_bytes(batch.column(1))
+        data, offs = T.text_bytes(text_of(batch, text_col))
         for lo, hi in T.chunks(offs):
             counts = text_counts(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo)] + [pa.array(counts[c]) for c in COUNTS],

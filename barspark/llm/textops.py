@@ -113,7 +113,7 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix(acc + np.uint64(size))
 
 
-def chunks(offs: np.ndarray, limit: int = 4 * PIECE) -> Iterator[tuple[int, int]]:
+def chunks(offs: np.ndarray, limit: int = 2 * PIECE) -> Iterator[tuple[int, int]]:
     """Row ranges whose texts hold about ``limit`` bytes (at least one row each)."""
     i, n = 0, len(offs) - 1
     while i < n:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barspark.llm import textops as T
-from barspark.llm.common import map_batches, row_of, row_schema, table
+from barspark.llm.common import map_batches, row_of, row_schema, table, text_of
 from barspark.llm.rules import text_counts
 
 BITS = 16
@@ -38,7 +38,7 @@ THRESHOLD = 0.5
 CLASS_PRIOR = 0.5
 ACCURACY_PRIOR = 0.9
 LABELLERS = ("symbols", "tails", "repeats", "capitals", "lines", "variety", "bars", "shouting", "word_length", "plain", "prose")
-_UPPER, _LOWER, _BAR, _BANG, _STOP = (np.zeros(256, np.int64) for _ in range(5))
+_UPPER, _LOWER, _BAR, _BANG, _STOP = (np.zeros(256, np.uint8) for _ in range(5))
 _UPPER[65:91] = 1
 _LOWER[97:123] = 1
 _BAR[ord("|")] = 1
@@ -58,7 +58,7 @@ def measures(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     chars = np.maximum(c["word_chars"], 1)
 
     def total(tab: np.ndarray) -> np.ndarray:
-        s = np.concatenate([[0], np.cumsum(tab[data])])
+        s = np.concatenate([[0], np.cumsum(tab[data], dtype=np.int64)])
         return s[offs[1:]] - s[offs[:-1]]
 
     starts, ends, first = T.word_spans(data, offs)
@@ -245,10 +245,10 @@ def train(docs: DataFrame, per_class: int = PER_CLASS, bits: int = BITS) -> Weak
 def score(docs: DataFrame, model: WeakModel, keep: list[str]) -> DataFrame:
     """``row`` (the ``keep`` columns of ``docs``) and pattern, posterior, score of its text."""
     posterior, weights, bias, bits = model.posterior, model.weights.astype(np.float32), model.bias, model.bits
-    slim = docs.select(row_of(docs, keep), F.col("text").cast("string").alias("text"))
+    slim = docs.select(row_of(docs, keep), *([] if "text" in keep else [F.col("text")]))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        data, offs = T.text_bytes(batch.column(1))
+        data, offs = T.text_bytes(text_of(batch))
         for lo, hi in T.chunks(offs):
             d, o = data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]
             m = measures(d, o)
