@@ -39,6 +39,7 @@ ROWS = 8
 BANDS = 43
 BLOCK = 512
 SIGMAS = 4.5
+PLACES = 1 << 20        # bound of the broadcast that picks texts by id
 
 
 def _family(k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,6 +145,17 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     return map_batches(both, run, "u long, v long")
 
 
+def texts_by_id(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents in ``ids`` (node). Their ids' hashes modulo PLACES, at most
+    PLACES numbers, are broadcast and drop most other texts in the scan; only what passes is
+    joined by id, so texts are not shuffled to find a few of them."""
+    place = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(PLACES))
+    wanted = ids.select(F.col("node").alias("doc_id"))
+    places = wanted.select(place.alias("_place")).distinct()
+    return (texts_of(docs).withColumn("_place", place).join(F.broadcast(places), "_place", "left_semi")
+            .join(wanted, "doc_id", "left_semi").select("doc_id", "text"))
+
+
 def _agreeing(pairs: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
     """Pairs whose 8-bit minima agree on at least ``least`` places."""
     both = (pairs.join(sketches.select(F.col("node").alias("u"), F.col("sketch").alias("su")), "u")
@@ -231,8 +243,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch | None = None, percent: in
                    .distinct(), "stars")
     busy = member.select("node").distinct()
     sketches = s.save(nodes.join(busy, "node", "left_semi").select("node", "sketch"), "sketches")
-    sets = s.save(set_table(texts_of(docs).join(busy.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")),
-                  "sets")
+    busy = s.save(sketches.select("node"), "busy")
+    sets = s.save(set_table(texts_by_id(docs, busy)), "sets")
     links = s.save(confirmed(s.save(_agreeing(stars, sketches, least), "near"), sets, percent), "links")
     found = s.save(components(links, s, "cc"), "components")
 
@@ -254,7 +266,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch | None = None, percent: in
 
     label = s.save(classes.join(final, "node", "left")
                    .select("k1", "k2", F.coalesce("component", "node").alias("class_component")), "labels")
-    s.drop("nodes", "buckets", "members", "stars", "sketches", "sets", "near", "labelled", "open", "cross")
+    s.drop("nodes", "busy", "buckets", "members", "stars", "sketches", "sets", "near", "labelled", "open", "cross")
     slim = sig.select("doc_id", "n_shingles", "k1", "k2")
     return (slim.join(label, ["k1", "k2"], "left")
             .select("doc_id", "n_shingles",
