@@ -38,7 +38,7 @@ from barspark.llm.encoding import vocabulary_path
 
 MODEL = "piece_bpe_32k.model"
 N_BEST = 4
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
 ZIPF_SHIFT = 2.7
 BYTE_PENALTY = 10.0
 LONGEST = 63
@@ -71,9 +71,12 @@ class PieceLattice:
         length = max(self.width, LONGEST) + 1
         self.up, self.down = T.power_table(length + 1)
         by_hash = np.array([int(self._hashes(_points(p)[None, :], 0, len(p))[0]) for p in names], np.uint64)
-        order = np.argsort(by_hash)
-        self.hashes, self.hash_score = by_hash[order], score[order]
-        self.hash_id = np.array([self.ids[names[k]] for k in order], np.int64)
+        size_of, ids_of = np.array(list(map(len, names))), np.array(list(self.ids.values()), np.int64)
+        self.tables = {}            # per piece length: sorted hashes, their scores and ids
+        for k in np.unique(size_of).tolist():
+            own = np.flatnonzero(size_of == k)
+            own = own[np.argsort(by_hash[own])]
+            self.tables[k] = by_hash[own], score[own], ids_of[own]
         self._forget()
 
     def _forget(self, room: int = 0) -> None:
@@ -107,15 +110,19 @@ class PieceLattice:
         wide = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
         for k in range(1, width + 1):
             h = T.mix((sums[:, k:] - sums[:, :-k]) * self.down[None, :length - k + 1] + np.uint64(k))
-            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            hit = self.hashes[at] == h
-            found = np.where(hit, self.hash_score[at], -np.inf)
-            ids[:, k:, k - 1] = np.where(hit, self.hash_id[at], -1)
+            if k not in self.tables:
+                continue
+            hashes, piece_score, piece_id = self.tables[k]
+            at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            hit = hashes[at] == h
+            found = np.where(hit, piece_score[at], -np.inf)
+            ids[:, k:, k - 1] = np.where(hit, piece_id[at], -1)
             out[:, k:, k - 1] = np.where(np.arange(k, length + 1)[None, :] <= size[:, None], found, -np.inf)
         single = out[:, 1:, 0]
         out[:, 1:, 0] = np.where(np.isinf(single) & (np.arange(length)[None, :] < size[:, None]),
                                  wide * self.byte_score, single)
-        return out, ids
+        longest = int(np.flatnonzero(np.isfinite(out).any(axis=(0, 1)))[-1]) + 1
+        return out[:, :, :longest], ids
 
     def search(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Scores and cut masks of the N best segmentations of words of 1 to LONGEST characters
