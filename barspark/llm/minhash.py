@@ -10,8 +10,9 @@
    sets, and large-star / small-star joins what is linked.
 4. Buckets that then still hold members of several components are compared in blocks of
    at most ``BLOCK`` members inside tasks, by their 8-bit minima; a pair leaves the task
-   only from the first band it shares, if its members are in different components and
-   its minima agree on enough places. These are confirmed on the full sets as well. So no
+   only from the first band whose key it shares (the keys that make the buckets, so the pair
+   is in that cell), if its members are in different components and its minima agree on
+   enough places. These are confirmed on the full sets as well. So no
    link between components is lost, and groups that the stars have settled cost nothing.
 
 Defined results: a null, empty or wordless text has an empty set and links with nothing;
@@ -171,9 +172,9 @@ def _agreeing(pairs: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
     return map_batches(both, run, "u long, v long")
 
 
-def _block_pairs(members: DataFrame, rows: int, least: int) -> DataFrame:
-    """Candidate pairs inside blocks: rows (cell, side, band, node, component, sketch),
-    dealt by cell. A cell is a bucket, or a pair of blocks of a large one: at most
+def _block_pairs(members: DataFrame, least: int) -> DataFrame:
+    """Candidate pairs inside blocks: rows (cell, side, band, node, component, sketch,
+    bands), dealt by cell. A cell is a bucket, or a pair of blocks of a large one: at most
     2 x BLOCK rows. Rows of a cell arrive in a row; only one cell is held."""
     def pairs_of(cell: list[tuple]) -> Iterator[tuple[int, int]]:
         if len(cell) < 2:
@@ -183,18 +184,16 @@ def _block_pairs(members: DataFrame, rows: int, least: int) -> DataFrame:
         node = np.array([r[3] for r in cell], np.int64)
         comp = np.array([r[4] for r in cell], np.int64)
         sk = np.frombuffer(b"".join(r[5] for r in cell), np.uint8).reshape(len(cell), -1)
+        keys = np.stack([r[6] for r in cell])
         left = np.flatnonzero(side == 0) if (side == 1).any() else np.arange(len(cell))
         for i in left:
             other = np.flatnonzero(side == 1) if (side == 1).any() else np.arange(i + 1, len(cell))
             other = other[comp[other] != comp[i]]
             if not len(other):
                 continue
-            same = sk[other] == sk[i]
-            near = same.sum(axis=1) >= least
-            if not near.any():
-                continue
-            first = same[near].reshape(int(near.sum()), -1, rows).all(axis=2).argmax(axis=1)
-            for j in other[near][first == band]:
+            other = other[(sk[other] == sk[i]).sum(axis=1) >= least]
+            first = (keys[other] == keys[i]).argmax(axis=1)
+            for j in other[first == band]:
                 yield (min(node[i], node[j]), max(node[i], node[j]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +204,10 @@ def _block_pairs(members: DataFrame, rows: int, least: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()),
                                                pa.array([p[1] for p in found], pa.int64())], names=["u", "v"])
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if not batch.num_rows:
+                continue
+            keys = batch.column(6).flatten().to_numpy().reshape(batch.num_rows, -1)
+            for row in zip(*(c.to_pylist() for c in batch.columns[:6]), keys):
                 if cell and row[0] != cell[0][0]:
                     found.extend(pairs_of(cell))
                     cell = []
@@ -218,7 +220,7 @@ def _block_pairs(members: DataFrame, rows: int, least: int) -> DataFrame:
             yield flush()
 
     dealt = members.repartition("cell").sortWithinPartitions("cell")
-    return dealt.select("cell", "side", "band", "node", "component", "sketch").mapInArrow(run, "u long, v long")
+    return dealt.select("cell", "side", "band", "node", "component", "sketch", "bands").mapInArrow(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch | None = None, percent: int = PERCENT,
@@ -242,7 +244,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch | None = None, percent: in
     stars = s.save(member.filter("node != head").select(F.col("head").alias("u"), F.col("node").alias("v"))
                    .distinct(), "stars")
     busy = member.select("node").distinct()
-    sketches = s.save(nodes.join(busy, "node", "left_semi").select("node", "sketch"), "sketches")
+    sketches = s.save(nodes.join(busy, "node", "left_semi").select("node", "bands", "sketch"), "sketches")
     busy = s.save(sketches.select("node"), "busy")
     sets = s.save(set_table(texts_by_id(docs, busy)), "sets")
     links = s.save(confirmed(s.save(_agreeing(stars, sketches, least), "near"), sets, percent), "links")
@@ -259,8 +261,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch | None = None, percent: in
               .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
               .join(sketches, "node")
               .select(F.xxhash64("key", F.least("own", "with"), F.greatest("own", "with")).alias("cell"),
-                      (F.col("own") > F.col("with")).cast("int").alias("side"), "band", "node", "component", "sketch"))
-    cross = s.save(_block_pairs(placed, rows, least), "cross")
+                      (F.col("own") > F.col("with")).cast("int").alias("side"), "band", "node", "component", "sketch", "bands"))
+    cross = s.save(_block_pairs(placed, least), "cross")
     more = s.save(confirmed(cross.distinct(), sets, percent), "more")
     final = s.save(components(links.union(more), s, "cc2"), "final")
 

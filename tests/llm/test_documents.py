@@ -76,6 +76,25 @@ def test_minhash_chain_links_through_members(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == labels and set(labels.values()) == {0}
 
 
+def test_minhash_pair_leaves_from_the_first_band_it_really_shares(spark):
+    """1 and 2 are near; every band they share has 0, which is near neither, as its head. In band
+    0 only the low 8 bits of their minima agree, so they meet in no cell of that band."""
+    def edited(edits):
+        words = [f"w{i}" for i in range(150)]
+        for at, word in edits.items():
+            words[at] = word
+        return " ".join(words)
+    texts = {0: edited({20: "z1", 30: "q1", 110: "r1", 130: "s1"}), 1: edited({}), 2: edited({6: "v21846", 8: "y21846"})}
+    labels, _ = near_duplicate_labels(texts)
+    assert labels == {0: 0, 1: 1, 2: 1}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    sig = {r["doc_id"]: r for r in minhash.signatures(docs, rows=1, bands=6).collect()}
+    assert sig[1]["sketch"][0] == sig[2]["sketch"][0] and sig[1]["bands"][0] != sig[2]["bands"][0]
+    assert [sig[1]["bands"][k] == sig[2]["bands"][k] for k in range(6)] == [False, True, True, True, True, False]
+    got = rows(minhash.near_duplicates(docs, rows=1, bands=6))
+    assert {r["doc_id"]: r["component_id"] for r in got} == labels
+
+
 def test_minhash_edges(edge_docs, no_docs):
     got = rows(minhash.near_duplicates(edge_docs))
     assert len(got) == 14
