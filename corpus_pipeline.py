@@ -33,8 +33,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 ids by power-of-two decomposition."""
-    return packing.pack(docs, with_ids=False).drop("bucket")
+    """Sequences of at most 2048 ids by power-of-two decomposition, with their ids."""
+    return packing.pack(docs).drop("bucket")
 
 
 STAGES = [("quality classifier", quality_classifier), ("quality rules", quality_rules),

@@ -183,6 +183,18 @@ def test_pipeline_against_brute_force(spark, sf):
     assert 0 < len(third) < len(second) < len(text)
 
 
+def test_pipeline_returns_the_packed_ids(spark, edge_docs):
+    import corpus_pipeline as p
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(encoding.vocabulary_path())
+    docs = edge_docs.filter("doc_id IN (2, 4, 9)")
+    got = p.STAGES[-1][1](spark, docs, "").collect()
+    assert all(len(r["ids"]) == r["length"] and zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] for r in got)
+    for d in docs.collect():
+        own = sorted((r for r in got if r["doc_id"] == d["doc_id"]), key=lambda r: r["start"])
+        assert [i for r in own for i in r["ids"]] == tokenizer.encode(d["text"] or "", add_special_tokens=False).ids + [1]
+
+
 def test_pipeline_edges(spark, edge_docs, no_docs):
     import corpus_pipeline as p
     for docs, some in ((edge_docs, True), (no_docs, False)):
