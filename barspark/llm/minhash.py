@@ -3,7 +3,8 @@
 1. Every text becomes its set of distinct five-word shingles (64-bit hashes), 344
    minima of ``a x + b mod 2**32`` and 43 band keys of eight minima. A pair at
    similarity 0.85 shares no band with probability (1 - 0.85**8)**43 < 1.2e-6.
-2. Equal sets are one class; only the smallest doc_id of a class goes on.
+2. Equal sets are one class, named by a number in the order of its smallest doc_id; only
+   the first row of a class (smallest doc_id, then text hash) goes on.
 3. In each band bucket, members are compared with the bucket's smallest member (a star:
    linear in the bucket). Candidates whose minima agree on too few places are dropped
    (4.5 standard deviations below the threshold), the rest is confirmed on the full
@@ -17,9 +18,9 @@
 
 Defined results: a null, empty or wordless text has an empty set and links with nothing;
 fewer than five words make one shingle; a row without doc_id is kept, alone, with
-component null; repeated rows are copies of one document and get one component (a doc_id
-names one text; where it doesn't, each row follows its own text); an empty table gives
-no rows. Links need 100 |A and B| >= 85 |A or B|.
+component null; repeated rows are copies of one document and get one component; where a
+doc_id names several texts, each row follows its own text, and of those in one component
+only the first row's text is kept; an empty table gives no rows. Links need 100 |A and B| >= 85 |A or B|.
 """
 from __future__ import annotations
 
@@ -83,8 +84,13 @@ def _set_key(shingles: np.ndarray) -> tuple[int, int]:
             int((T.mix(m).sum(dtype=np.uint64) ^ np.uint64(len(m))).view(np.int64)))
 
 
+def text_key() -> F.Column:
+    """Tells apart the texts of one doc_id."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def signatures(docs: DataFrame, size: int = SHINGLE, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
-    """doc_id, n_shingles, k1, k2 (name of the set), bands (keys), sketch (8-bit minima)."""
+    """doc_id, text_key, n_shingles, k1, k2 (name of the set), bands (keys), sketch (8-bit minima)."""
     a, b = _family(rows * bands)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -104,31 +110,31 @@ def signatures(docs: DataFrame, size: int = SHINGLE, rows: int = ROWS, bands: in
                 bins.append(T.mix(T.mix(wide + place).sum(axis=1) + salt).view(np.int64))
                 sketches.append(m.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()),
+                [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(n, pa.int64()),
                  pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
                  pa.array(bins, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                names=["doc_id", "n_shingles", "k1", "k2", "bands", "sketch"])
+                names=["doc_id", "text_key", "n_shingles", "k1", "k2", "bands", "sketch"])
 
-    return map_batches(texts_of(docs), run,
-                       "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, sketch binary")
+    return map_batches(texts_of(docs).withColumn("text_key", text_key()), run,
+                       "doc_id long, text_key long, n_shingles long, k1 long, k2 long, bands array<long>, sketch binary")
 
 
 def set_table(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, shingles): the full set of each text as 8-byte hashes, sorted."""
+    """(node, shingles): the full set of each text as 8-byte hashes, sorted."""
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offs = T.text_bytes(batch.column(1))
         for lo, hi in T.chunks(offs):
             sets = [u.tobytes() for u in shingle_sets(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], size)]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sets, pa.large_binary())
-                                              .cast(pa.binary())], names=["doc_id", "shingles"])
-    return map_batches(texts, run, "doc_id long, shingles binary")
+                                              .cast(pa.binary())], names=["node", "shingles"])
+    return map_batches(texts, run, "node long, shingles binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (u, v) whose full sets reach the threshold. ``sets`` is a written table
-    by doc_id, so a document in many pairs is a splittable skew join."""
-    both = (pairs.join(sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su")), "u")
-                 .join(sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv")), "v")
+    by node, so a document in many pairs is a splittable skew join."""
+    both = (pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("su")), "u")
+                 .join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv")), "v")
                  .select("u", "v", "su", "sv"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -147,14 +153,13 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
 
 
 def texts_by_id(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, text) of the documents in ``ids`` (node). Their ids' hashes modulo PLACES, at most
+    """(node, text) of the rows in ``ids`` (node, doc_id, text_key). Their ids' hashes modulo PLACES, at most
     PLACES numbers, are broadcast and drop most other texts in the scan; only what passes is
-    joined by id, so texts are not shuffled to find a few of them."""
+    joined by id and text, so texts are not shuffled to find a few of them."""
     place = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(PLACES))
-    wanted = ids.select(F.col("node").alias("doc_id"))
-    places = wanted.select(place.alias("_place")).distinct()
+    places = ids.select(place.alias("_place")).distinct()
     return (texts_of(docs).withColumn("_place", place).join(F.broadcast(places), "_place", "left_semi")
-            .join(wanted, "doc_id", "left_semi").select("doc_id", "text"))
+            .withColumn("text_key", text_key()).join(ids, ["doc_id", "text_key"]).select("node", "text"))
 
 
 def _agreeing(pairs: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
@@ -226,15 +231,23 @@ def _block_pairs(members: DataFrame, least: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, scratch: Scratch | None = None, percent: int = PERCENT,
                     rows: int = ROWS, bands: int = BANDS, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
+    return judged(docs, scratch, percent, rows, bands, block).drop("text_key")
+
+
+def judged(docs: DataFrame, scratch: Scratch | None = None, percent: int = PERCENT,
+           rows: int = ROWS, bands: int = BANDS, block: int = BLOCK) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id, kept for every row of ``docs``."""
     s = scratch or Scratch(ship(docs.sparkSession), "minhash")
     least = least_agreement(percent, rows * bands)
     sig = s.save(signatures(docs, rows=rows, bands=bands), "signatures")
 
     # 2. classes of equal sets
     named = sig.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = s.save(named.groupBy("k1", "k2").agg(F.min("doc_id").alias("node")), "classes")
-    nodes = s.save(named.join(classes, ["k1", "k2"]).filter("doc_id = node")
-                   .select("node", "bands", "sketch"), "nodes")
+    least_row = named.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "text_key")).alias("least"))
+    classes = s.save(least_row.select("k1", "k2", F.col("least.doc_id").alias("least_id"), F.col("least.text_key").alias("least_key"))
+                     .orderBy("least_id", "least_key").withColumn("node", F.monotonically_increasing_id()), "classes")
+    nodes = s.save(named.join(classes, ["k1", "k2"]).filter("doc_id = least_id AND text_key = least_key")
+                   .select("node", "doc_id", "text_key", "bands", "sketch"), "nodes")
 
     # 3. stars
     keyed = nodes.select("node", F.posexplode("bands").alias("band", "key"))
@@ -244,8 +257,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch | None = None, percent: in
     stars = s.save(member.filter("node != head").select(F.col("head").alias("u"), F.col("node").alias("v"))
                    .distinct(), "stars")
     busy = member.select("node").distinct()
-    sketches = s.save(nodes.join(busy, "node", "left_semi").select("node", "bands", "sketch"), "sketches")
-    busy = s.save(sketches.select("node"), "busy")
+    sketches = s.save(nodes.join(busy, "node", "left_semi").select("node", "doc_id", "text_key", "bands", "sketch"), "sketches")
+    busy = s.save(sketches.select("node", "doc_id", "text_key").distinct(), "busy")
     sets = s.save(set_table(texts_by_id(docs, busy)), "sets")
     links = s.save(confirmed(s.save(_agreeing(stars, sketches, least), "near"), sets, percent), "links")
     found = s.save(components(links, s, "cc"), "components")
@@ -266,25 +279,30 @@ def near_duplicates(docs: DataFrame, scratch: Scratch | None = None, percent: in
     more = s.save(confirmed(cross.distinct(), sets, percent), "more")
     final = s.save(components(links.union(more), s, "cc2"), "final")
 
-    label = s.save(classes.join(final, "node", "left")
-                   .select("k1", "k2", F.coalesce("component", "node").alias("class_component")), "labels")
+    first = classes.select(F.col("node").alias("first"), F.col("least_id").alias("class_component"),
+                           F.col("least_key").alias("first_key"))
+    label = s.save(classes.join(final, "node", "left").withColumn("first", F.coalesce("component", "node"))
+                   .join(first, "first").select("k1", "k2", "class_component", "first_key"), "labels")
     s.drop("nodes", "busy", "buckets", "members", "stars", "sketches", "sets", "near", "labelled", "open", "cross")
-    slim = sig.select("doc_id", "n_shingles", "k1", "k2")
+    slim = sig.select("doc_id", "text_key", "n_shingles", "k1", "k2")
+    own = F.col("first_key").isNull() | (F.col("text_key") == F.col("first_key"))
     return (slim.join(label, ["k1", "k2"], "left")
-            .select("doc_id", "n_shingles",
+            .select("doc_id", "text_key", "n_shingles", own.alias("own"),
                     F.when(F.col("n_shingles") > 0, F.coalesce("class_component", "doc_id"))
                      .otherwise(F.col("doc_id")).alias("component_id"))
-            .select("*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
+            .select("doc_id", "text_key", "n_shingles", "component_id",
+                    (F.col("doc_id").isNull() | ((F.col("doc_id") == F.col("component_id")) & F.col("own"))).alias("kept")))
 
 
 def deduplicated(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """``docs`` with one document of each group, all columns as they are. Rows that repeat
     a kept doc_id and text leave one; rows without doc_id all stay."""
     s = scratch or Scratch(docs.sparkSession, "dedup")
-    gone = s.save(near_duplicates(docs, s).filter("NOT kept").select("doc_id").distinct(), "gone")
+    gone = s.save(judged(docs, s).filter("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+                  .distinct(), "gone")
     again = s.save(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
                    .select("doc_id"), "again")
-    left = docs.join(gone, "doc_id", "left_anti").select(*columns(docs))
+    left = docs.join(gone, (F.col("doc_id") == gone["_id"]) & text_key().eqNullSafe(gone["_key"]), "left_anti").select(*columns(docs))
     single = left.join(again, "doc_id", "left_anti").select(*columns(docs))
     repeated = left.join(again, "doc_id", "left_semi").select(*columns(docs)).dropDuplicates(["doc_id", "text"])
     return single.unionByName(repeated)

@@ -109,6 +109,20 @@ def test_minhash_edges(edge_docs, no_docs):
     assert minhash.near_duplicates(no_docs).count() == 0
 
 
+def test_minhash_rows_of_one_id_follow_their_own_text(spark):
+    """doc_id 5 names a copy of 3's text, a text of its own, and a near copy of that; 6 and 7 are
+    near copies of its texts."""
+    a, b = prose(21, 120), prose(22, 120)
+    other = b.replace(b.split()[60], "ocean", 1)
+    texts = [(3, a), (5, a), (5, b), (5, other), (6, a + " end"), (7, b + " end"), (8, prose(23, 120)), (5, b)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = minhash.judged(docs).join(docs.select("doc_id", "text", minhash.text_key().alias("text_key")).distinct(), ["doc_id", "text_key"])
+    component = {(r["doc_id"], r["text"]): r["component_id"] for r in got.collect()}
+    assert component == {(3, a): 3, (5, a): 3, (6, a + " end"): 3, (5, b): 5, (5, other): 5, (7, b + " end"): 5, (8, texts[6][1]): 8}
+    kept = sorted((r["doc_id"], r["text"]) for r in minhash.deduplicated(docs).collect())
+    assert [k for k, _ in kept] == [3, 5, 8] and kept[0][1] == a and kept[1][1] in (b, other)
+
+
 def test_packing_round_trip(edge_docs, no_docs, tokenizer):
     got = rows(packing.pack(edge_docs))
     assert len({r["sequence_id"] for r in got}) == len(got)
