@@ -6,8 +6,10 @@ weights are fitted to document labels only, and the sentence scores then say whe
 the offence is.
 
 Training rows are a bounded sample of labelled rows: about ``PER_CLASS`` of each label,
-picked by a hash of doc_id among rows whose crc32(doc_id) mod 5 is not 0, with texts
-of at most ``TRAIN_CHARS`` characters; each class is weighted back to its frequency.
+picked by a hash of doc_id among rows whose crc32(doc_id) mod 5 is not 0. Texts of every
+length are drawn: one of n > ``TRAIN_CHARS`` characters at ``TRAIN_CHARS`` / n of the rate, so
+a drawn row costs at most ``TRAIN_CHARS`` characters on average; each row is weighted by
+the inverse of its rate.
 Scoring reads every whole text in one narrow pass.
 
 Defined results: a null or empty text has no sentence and scores 0; a text without
@@ -124,23 +126,31 @@ def held_out() -> F.Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
+def length_share(text: F.Column, chars: int = TRAIN_CHARS) -> F.Column:
+    """Share of its rate at which a text is drawn: 1 up to ``chars`` characters, then falling
+    with its length."""
+    return F.least(F.lit(1.0), chars / F.greatest(F.coalesce(F.length(text), F.lit(1)), F.lit(1)))
+
+
 def training_rows(labels: DataFrame, per_class: int = PER_CLASS) -> tuple[DataFrame, dict[int, float]]:
-    """Sampled (doc_id, toxic) outside the held-out rows, and the sampling rate per class."""
+    """Sampled (doc_id, toxic, u, rate) outside the held-out rows, and the sampling rate per
+    class; ``u`` is below ``rate``."""
     one = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
            .filter("doc_id IS NOT NULL AND toxic IN (0, 1)").filter(~held_out())
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     count = {r["toxic"]: r["n"] for r in one.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     rate = {k: min(1.0, per_class / n) for k, n in count.items()}
     u = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
-    return one.filter(u < F.when(F.col("toxic") == 1, rate.get(1, 0.0)).otherwise(rate.get(0, 0.0))), rate
+    own = F.when(F.col("toxic") == 1, rate.get(1, 0.0)).otherwise(rate.get(0, 0.0))
+    return one.select("doc_id", "toxic", u.alias("u"), own.alias("rate")).filter("u < rate"), rate
 
 
 def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, per_class: int = PER_CLASS) -> tuple[np.ndarray, float]:
     """Weights and bias from the sampled rows. The sample's doc_ids are bounded by
     ``per_class``, so they are broadcast; its word features are what the driver gets."""
     rows, rate = training_rows(labels, per_class)
-    bags = (texts_of(docs).filter(F.length("text") <= TRAIN_CHARS)
-            .join(F.broadcast(rows), "doc_id").select("toxic", "text"))
+    bags = (texts_of(docs).join(F.broadcast(rows), "doc_id").withColumn("share", length_share(F.col("text")))
+            .filter("u < rate * share").select("toxic", "text", "share"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offs = T.text_bytes(batch.column(1))
@@ -152,16 +162,16 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, per_class: int =
                 for a, b, s, e in zip(cut[:-1], cut[1:], first[:-1], first[1:])]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary()),
-             pa.array([r[2] for r in rows], pa.int32())], names=["toxic", "f", "s", "n"])
+             pa.array([r[2] for r in rows], pa.int32()), batch.column(2)], names=["toxic", "f", "s", "n", "share"])
 
-    got = map_batches(bags, run, "toxic int, f binary, s binary, n int").collect()
-    got = sorted((r["toxic"], bytes(r["f"]), bytes(r["s"]), r["n"]) for r in got if r["n"])
+    got = map_batches(bags, run, "toxic int, f binary, s binary, n int, share double").collect()
+    got = sorted((r["toxic"], bytes(r["f"]), bytes(r["s"]), r["n"], r["share"]) for r in got if r["n"])
     label = np.array([r[0] for r in got])
     size = np.array([r[3] for r in got], np.int64)
     base = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
     feature = np.frombuffer(b"".join(r[1] for r in got), "<i4").astype(np.int64)
     sentence = np.concatenate([np.frombuffer(r[2], "<i4") + b for r, b in zip(got, base)] or [np.zeros(0, np.int64)])
-    weight = np.array([1 / rate.get(int(y), 1.0) for y in label])
+    weight = np.array([1 / (rate.get(r[0], 1.0) * r[4]) for r in got])
     return fit(feature, sentence.astype(np.int64), np.repeat(np.arange(len(got)), size), label, weight, bits)
 
 

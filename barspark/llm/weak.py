@@ -4,9 +4,10 @@
 2. Their votes overlap; expectation-maximisation over the counts of vote patterns
    (at most 3**11 of them, whatever the data) estimates each labeller's accuracy, hence
    a posterior of good text per pattern.
-3. The posteriors label a bounded sample (about ``PER_CLASS`` rows of either side, texts
-   up to ``TRAIN_CHARS`` characters, picked by a hash of the row and weighted back), on
-   which a hashed linear scorer is fitted; it scores every whole text.
+3. The posteriors label a bounded sample (about ``PER_CLASS`` rows of either side, of every
+   length, a text of n > ``TRAIN_CHARS`` characters at ``TRAIN_CHARS`` / n of the rate; picked
+   by a hash of the row and weighted back), on which a hashed linear scorer is fitted; it
+   scores every whole text.
 
 All passes are narrow scans; only the pattern counts and the sample reach the driver.
 
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from barspark.llm import textops as T
 from barspark.llm.common import map_batches, row_of, row_schema, table, text_of
 from barspark.llm.rules import text_counts
+from barspark.llm.toxicity import length_share
 
 BITS = 16
 PER_CLASS = 1500
@@ -211,11 +213,12 @@ def train(docs: DataFrame, per_class: int = PER_CLASS, bits: int = BITS) -> Weak
     total = [max(1.0, float(count[(q >= 0.5) == side].sum())) for side in (False, True)]
     rate = [min(1.0, per_class / t) for t in total]
     u = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text")), F.lit(1 << 30)) / float(1 << 30)
-    some = (docs.select(u.alias("u"), F.col("text").cast("string").alias("text"))
-            .filter((F.col("u") < max(rate)) & (F.coalesce(F.length("text"), F.lit(0)) <= TRAIN_CHARS)))
+    text = F.col("text").cast("string")
+    some = (docs.select(u.alias("u"), text.alias("text"), length_share(text, TRAIN_CHARS).alias("share"))
+            .filter(F.col("u") < max(rate) * F.col("share")))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        draw = batch.column(0).to_numpy(zero_copy_only=False)
+        draw, share = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
         data, offs = T.text_bytes(batch.column(1))
         for lo, hi in T.chunks(offs):
             d, o = data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]
@@ -224,21 +227,21 @@ def train(docs: DataFrame, per_class: int = PER_CLASS, bits: int = BITS) -> Weak
             row, feature, value = features(d, o, m, bits)
             order = np.argsort(row, kind="stable")
             cut = np.searchsorted(row[order], np.arange(hi - lo + 1))
-            pick = [i for i in range(hi - lo) if draw[lo + i] < rate[int(p[i] >= 0.5)]]
+            pick = [i for i in range(hi - lo) if draw[lo + i] < rate[int(p[i] >= 0.5)] * share[lo + i]]
             sides = [order[cut[i]:cut[i + 1]] for i in pick]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(p[pick], pa.float64()),
+                [pa.array(p[pick], pa.float64()), pa.array(share[lo:hi][pick], pa.float64()),
                  pa.array([feature[s].astype("<i4").tobytes() for s in sides], pa.binary()),
-                 pa.array([value[s].astype("<f4").tobytes() for s in sides], pa.binary())], names=["p", "f", "v"])
+                 pa.array([value[s].astype("<f4").tobytes() for s in sides], pa.binary())], names=["p", "share", "f", "v"])
 
-    rows = sorted((r["p"], bytes(r["f"]), bytes(r["v"]))
-                  for r in map_batches(some, run, "p double, f binary, v binary").collect())
-    target = np.array([r[0] for r in rows])
+    rows = sorted((r["p"], bytes(r["f"]), bytes(r["v"]), r["share"])
+                  for r in map_batches(some, run, "p double, share double, f binary, v binary").collect())
+    target, share = np.array([r[0] for r in rows]), np.array([r[3] for r in rows])
     size = [len(r[1]) // 4 for r in rows]
     weights, bias = fit(np.repeat(np.arange(len(rows)), size),
                         np.frombuffer(b"".join(r[1] for r in rows), "<i4").astype(np.int64),
                         np.frombuffer(b"".join(r[2] for r in rows), "<f4").astype(float), target,
-                        np.where(target >= 0.5, 1 / rate[1], 1 / rate[0]), bits)
+                        np.where(target >= 0.5, 1 / rate[1], 1 / rate[0]) / share, bits)
     return WeakModel(posterior, accuracy, weights, bias, bits)
 
 

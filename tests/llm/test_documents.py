@@ -278,6 +278,18 @@ def test_toxicity_locates_the_sentence_and_edges(spark, edge_docs, no_docs):
     assert not weights.any() and bias == toxicity.BIAS
 
 
+def test_long_texts_are_trained_on(spark):
+    """Every text is longer than TRAIN_CHARS."""
+    clean = [(k, prose(k, 3500), 0) for k in range(30)]
+    toxic = [(100 + k, prose(500 + k, 1800) + " You are a bloodyfool here. " + prose(900 + k, 1800), 1) for k in range(30)]
+    both = spark.createDataFrame(clean + toxic, "doc_id long, text string, toxic int")
+    assert min(len(t) for _, t, _ in clean + toxic) > toxicity.TRAIN_CHARS
+    model = toxicity.train(both, both.select("doc_id", "toxic"))
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(both, model).collect()}
+    assert all(got[k] < 0.5 for k, _, _ in clean) and all(got[k] >= 0.5 for k, _, _ in toxic)
+    assert weak.train(both).weights.any()
+
+
 def test_scratch_tables_are_dropped(spark):
     import os
     s = Scratch(spark, "t")
