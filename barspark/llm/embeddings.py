@@ -5,7 +5,9 @@
    agree with balanced binary codes. Every vector is coded with each rotation.
 2. Each code is cut into chunks, one Hamming table per chunk. A vector is stored under
    its chunk and looks up all chunk values within Hamming distance ``RADIUS``; so a pair is
-   retrieved if any chunk of any code differs in at most that many bits.
+   retrieved if any chunk of any code differs in at most that many bits. The wider the
+   chunks, the more codes, so a pair at the threshold is missed with a chance of at most
+   ``MISS`` at any size (bit flips taken as independent, the mean as near zero).
 3. Retrieved pairs of a table cell are reranked with the original vectors in double
    precision, in blocks of at most ``BLOCK`` rows inside tasks. A pair counts in one cell
    only (that of the first table that retrieves it), so the links per vector are sums, and
@@ -23,6 +25,7 @@ another vector with the same vec_id; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +38,10 @@ from barspark.llm.components import components
 
 COSINE = 0.98
 SAMPLE = 8192
+BITS = 64
 CODES = 2
 RADIUS = 1
+MISS = 1e-7
 STEPS = 30
 BLOCK = 512
 
@@ -50,10 +55,10 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def rotations(x: np.ndarray, codes: int = CODES, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, (codes, d, bits) projections): principal axes (at most 64), each time turned by
+    """(mean, (codes, d, bits) projections): principal axes (at most ``BITS``), each time turned by
     an iteratively quantised rotation from another random start."""
     d = x.shape[1]
-    bits = min(d, 64)
+    bits = min(d, BITS)
     x = unit(x)
     mean = x.sum(axis=0) / (len(x) + d)         # d zero vectors keep a tiny sample's mean off its points
     centred = x - mean
@@ -79,6 +84,16 @@ def chunk_bounds(bits: int, n: int) -> list[tuple[int, int]]:
     return list(zip(at[:-1], at[1:]))
 
 
+def code_count(bounds: list[tuple[int, int]], cosine: float) -> int:
+    """Codes, at least ``CODES``, whose chunks all differ in more than ``RADIUS`` bits with a chance
+    of at most ``MISS`` for a pair at ``cosine``: a bit flips with a chance of angle / pi."""
+    p = np.arccos(np.clip(cosine, -1, 1)) / np.pi
+    one = 1.0
+    for lo, hi in bounds:
+        one *= max(0.0, 1 - sum(comb(hi - lo, r) * p**r * (1 - p)**(hi - lo - r) for r in range(RADIUS + 1)))
+    return CODES if one <= 0 else max(CODES, int(np.ceil(np.log(MISS) / np.log(one))))
+
+
 def codes_of(x: np.ndarray, mean: np.ndarray, projections: np.ndarray) -> np.ndarray:
     """(rows, codes) of uint64."""
     out = np.zeros((len(x), len(projections)), np.uint64)
@@ -217,9 +232,9 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, sample: int =
         own = classes.filter(F.size("v") == d)
         u = F.pmod(F.xxhash64("k1"), F.lit(1 << 30)) / float(1 << 30)
         rows = own.filter(u < min(1.0, sample / n)).select("v").toArrow().column(0)
+        bounds = chunk_bounds(min(d, BITS), n)
         model = rotations(np.array(rows.combine_chunks().flatten()).reshape(-1, d).astype(float)
-                          if len(rows) else np.zeros((0, d)))
-        bounds = chunk_bounds(model[1].shape[2], n)
+                          if len(rows) else np.zeros((0, d)), code_count(bounds, cosine))
         coded = s.save(_coded(own, d, model, bounds), f"coded{d}")
         found = s.save(_rerank(_placed(coded, len(bounds), s, d, block), bounds, cosine), f"found{d}")
         part = found.groupBy("node").agg(F.sum("links").alias("links"))

@@ -129,6 +129,29 @@ def test_embeddings_against_brute_force(spark, block):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [2000, 65_536, 70_000])
+def test_codes_retrieve_alike_at_every_size(n):
+    """Links of a query set by brute force, all retrieved by the tables: pairs at 0.98 to 0.981."""
+    r = np.random.default_rng(3)
+    x = embeddings.unit(r.standard_normal((n // 2, 64)))
+    turn = embeddings.unit((lambda y: y - (y * x).sum(axis=1, keepdims=True) * x)(r.standard_normal(x.shape)))
+    cosine = r.uniform(0.9801, 0.981, (n // 2, 1))
+    x = np.concatenate([x, cosine * x + np.sqrt(1 - cosine**2) * turn])
+    queries = np.arange(0, n // 2, max(1, n // 2 // 4000))
+    links = [(q, j) for at in np.array_split(queries, 8) for q, j in zip(*np.nonzero(x[at] @ x.T >= embeddings.COSINE)) for q in [at[q]] if q != j]
+    assert len(links) >= len(queries)
+    bounds = embeddings.chunk_bounds(64, n)
+    codes = embeddings.code_count(bounds, embeddings.COSINE)
+    code = embeddings.codes_of(x, *embeddings.rotations(x[:embeddings.SAMPLE], codes))
+    i, j = np.array(links).T
+    diff = code[i] ^ code[j]
+    found = np.zeros(len(i), bool)
+    for lo, hi in bounds:
+        part = (diff >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1)
+        found |= (np.bitwise_count(part) <= embeddings.RADIUS).any(axis=1)
+    assert found.all(), f"{(~found).sum()} of {len(found)} missed"
+
+
 def test_embeddings_without_id_and_repeated_rows(spark):
     df = spark.createDataFrame([(None, [1.0, 2.0], 0), (5, [1.0, 2.0], 0), (5, [1.0, 2.0], 0)], "vec_id long, embedding array<double>, label int")
     got = sorted(((x["vec_id"] is None, x["n_links"], x["component_id"], x["kept"]) for x in embeddings.near_duplicates(df).collect()), key=str)
