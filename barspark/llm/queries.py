@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from barspark.llm import chat, embeddings, lm, minhash, nbest, packing, rules, toxicity, urls, weak
+from barspark.llm import audit, chat, embeddings, lm, minhash, nbest, packing, rules, toxicity, urls, weak
 
 QUERIES = {
     "op1_snapshot_collapse": chat.op1_snapshot_collapse,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_itq_hamming": embeddings.op8_itq_hamming,
     "op9_minhash": minhash.op9_minhash,
     "op10_power_of_two": packing.op10_power_of_two,
+    "op11_filter_audit": audit.op11_filter_audit,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -22,6 +23,7 @@ SQL = {
     "op1_snapshot_collapse": chat.SQL,
     "op3_host_rules": rules.SQL,
     "op4_link_trust": urls.SQL,
+    "op11_filter_audit": audit.SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
