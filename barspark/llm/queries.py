@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from barspark.llm import audit, bestfit, chat, embeddings, lm, minhash, nbest, packing, rules, toxicity, urls, weak
+from barspark.llm import align, audit, bestfit, chat, embeddings, lm, minhash, nbest, packing, rules, toxicity, urls, weak
 
 QUERIES = {
     "op1_snapshot_collapse": chat.op1_snapshot_collapse,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_minhash": minhash.op9_minhash,
     "op10_power_of_two": packing.op10_power_of_two,
     "op11_filter_audit": audit.op11_filter_audit,
+    "op12_alignment": align.op12_alignment,
     "op13_best_fit": bestfit.op13_best_fit,
     "pipeline": corpus_pipeline.run,
 }
