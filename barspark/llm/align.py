@@ -61,8 +61,7 @@ class Tokenizers:
 class _Side:
     def __init__(self, entries: list[bytes], encode):
         self.sizes = np.array([len(e) for e in entries], np.int64)
-        self.encoder = U.UnitEncoder(lambda units: [ids if b"".join(entries[i] for i in ids) == unit else []
-                                                    for unit, ids in zip(units, encode(units))])
+        self.encoder = U.UnitEncoder(encode)
         # an id in decimal with the character that follows it, as fixed-width bytes
         self.decimal = {c: np.array([f"{i}{c}" for i in range(len(entries))], "S6") for c in ",|;"}
 

@@ -2,9 +2,10 @@
 
 A unit is a run of white space and the characters up to the next one. Where both sides of a
 cut can never share a token, a text's ids are its units' ids in a row. Units are found,
-hashed (64 bits) and made distinct as arrays over the byte buffer of a batch; the tokenizer
-is asked only for units that the bounded cache doesn't hold, and the ids of all occurrences
-are gathered as one array. Long units (text without spaces) are never cached.
+hashed (64 bits) and made distinct as arrays over the byte buffer of a batch. The tokenizer
+gets only units that the bounded cache doesn't hold, many of them as one text (units are
+independent in any order), and the ids of all occurrences are gathered as one array. Long
+units (text without spaces) are never cached.
 
 Cuts are made before an ASCII white-space character whose left neighbour is no white space
 in Unicode's sense: there, a byte-level vocabulary's pattern always begins a new match. For
@@ -19,11 +20,11 @@ from collections.abc import Callable, Sequence
 import numpy as np
 
 from barspark.llm import textops as T
-from barspark.llm.encoding import _Store
 
-CACHE_UNITS = 150_000
-CACHE_IDS = 1 << 20     # ids a generation of the cache may hold (4 bytes each)
+CACHE_UNITS = 400_000
+CACHE_IDS = 1 << 21     # ids a generation of the cache may hold (4 bytes each)
 LONGEST = 48            # bytes of a unit that is worth caching
+JOINED = 1 << 13        # bytes of units that are encoded as one text
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 # White space of Unicode beyond ASCII (fixed values); no unit begins behind it
 _WIDE = [chr(c) for c in (0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
@@ -58,54 +59,77 @@ def cut_table(allowed: bytes) -> np.ndarray:
     return table
 
 
+class _Known:
+    """Ids of units by hash: sorted hashes, and where each unit's ids lie in one flat array."""
+
+    def __init__(self):
+        self.keys = np.zeros(0, np.uint64)
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Places of ``keys``, -1 where unknown."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
+
+    def add(self, keys: np.ndarray, flat: np.ndarray, size: np.ndarray) -> None:
+        """New ``keys`` (sorted), their ids in a row and the number of ids of each."""
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.begin = np.insert(self.begin, at, len(self.flat) + np.cumsum(size) - size)
+        self.size = np.insert(self.size, at, size)
+        self.flat = np.concatenate([self.flat, flat])
+
+    def ids(self, at: np.ndarray) -> np.ndarray:
+        return gather(self.flat, self.begin[at], self.size[at])
+
+
 class UnitEncoder:
-    """Ids of distinct units. ``encode`` takes a list of units (bytes) and returns a list of id
-    sequences; a unit without ids marks a text that the vocabulary can't give back."""
+    """Ids of distinct units. ``encode`` gives the ids of a list of units in a row and how many
+    each unit has; a unit without ids marks a text that the vocabulary can't give back. The
+    cache has two generations: a full young one becomes the old one, and units met again
+    move back."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[Sequence[int]]], cache_units: int = CACHE_UNITS,
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], cache_units: int = CACHE_UNITS,
                  cache_ids: int = CACHE_IDS):
         self.encode = encode
         self.cache_units, self.cache_ids = cache_units, cache_ids
-        self.young, self.old = _Store(), _Store()
+        self.young, self.old = _Known(), _Known()
 
     def ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(flat ids, begin and size of each unit's ids in them)."""
         hashes = T.span_hashes(data, starts, ends)
-        distinct, example, occurrence = np.unique(hashes, return_index=True, return_inverse=True)
-        keys, a, b = distinct.tolist(), starts[example], ends[example]
-        short = b - a <= LONGEST
-        found = [self.young.index.get(k) for k in keys]
-        missing = [i for i, p in enumerate(found) if p is None and short[i]]
-        if len(self.young.index) + len(missing) > self.cache_units or self.young.used > self.cache_ids:
-            self.old, self.young = self.young, _Store()
-            found = [None] * len(keys)
-            missing = np.flatnonzero(short).tolist()
-        if missing:
-            self._learn(self.young, [keys[i] for i in missing], [data[a[i]:b[i]] for i in missing])
+        keys, example, occurrence = np.unique(hashes, return_index=True, return_inverse=True)
+        a, b = starts[example], ends[example]
+        short = np.flatnonzero(b - a <= LONGEST)
+        missing = short[self.young.find(keys[short]) < 0]
+        if len(self.young.keys) + len(missing) > self.cache_units or len(self.young.flat) > self.cache_ids:
+            self.old, self.young = self.young, _Known()
+            missing = short
+        if len(missing):
+            at = self.old.find(keys[missing])
+            again, fresh = missing[at >= 0], missing[at < 0]
+            if len(again):
+                at = at[at >= 0]
+                self.young.add(keys[again], self.old.ids(at), self.old.size[at])
+            if len(fresh):
+                self.young.add(keys[fresh], *self._encoded(data, a[fresh], b[fresh]))
         begin, size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-        at = np.flatnonzero(short)
-        place = np.array([self.young.index[keys[i]] for i in at], np.int64)
-        begin[at], size[at] = self.young.start[place], self.young.size[place]
-        flat = self.young.flat[:self.young.used]
-        rest = np.flatnonzero(~short)
+        at = self.young.find(keys[short])
+        begin[short], size[short] = self.young.begin[at], self.young.size[at]
+        flat = self.young.flat
+        rest = np.flatnonzero(b - a > LONGEST)
         if len(rest):
-            once = _Store()
-            self._learn(once, [keys[i] for i in rest], [data[a[i]:b[i]] for i in rest])
-            begin[rest], size[rest] = once.start[:len(rest)] + len(flat), once.size[:len(rest)]
-            flat = np.concatenate([flat, once.flat[:once.used]])
+            own, size[rest] = self._encoded(data, a[rest], b[rest])
+            begin[rest] = len(flat) + np.cumsum(size[rest]) - size[rest]
+            flat = np.concatenate([flat, own])
         return flat, begin[occurrence], size[occurrence]
 
-    def _learn(self, store: _Store, keys: list[int], units: list[np.ndarray]) -> None:
-        kept, ids, fresh_keys, fresh = [], [], [], []
-        for key, unit in zip(keys, units):
-            place = self.old.index.get(key)
-            if place is not None:
-                kept.append(key)
-                ids.append(self.old.ids(place))
-            else:
-                fresh_keys.append(key)
-                fresh.append(unit.tobytes())
-        store.add(kept + fresh_keys, ids + self.encode(fresh))
+    def _encoded(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        return self.encode([raw[x:y] for x, y in zip(starts.tolist(), ends.tolist())])
 
 
 def gather(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -136,12 +160,74 @@ def load(path: str, special: bool = True):
     return tokenizer
 
 
-def byte_level_encoder(path: str, special: bool = True) -> Callable[[list[bytes]], list[Sequence[int]]]:
-    tokenizer = load(path, special)
+class Entries:
+    """The bytes of a vocabulary's entries, to cut ids of joined units apart again."""
 
-    def encode(units: list[bytes]) -> list[Sequence[int]]:
-        return [e.ids for e in tokenizer.encode_batch([u.decode() for u in units], add_special_tokens=False)]
-    return encode
+    def __init__(self, entries: list[bytes]):
+        self.entries = entries
+        self.sizes = np.array([len(e) for e in entries], np.int64)
+        self.begin = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(entries), np.uint8)
+
+    def cut(self, units: list[bytes], ids: np.ndarray) -> np.ndarray | None:
+        """Number of ids of each unit, if ``ids`` give back the joined units byte by byte."""
+        raw = np.frombuffer(b"".join(units), np.uint8)
+        size = self.sizes[ids]
+        end = np.cumsum(size)
+        if (end[-1] if len(end) else 0) != len(raw) or (gather(self.flat, self.begin[ids], size) != raw).any():
+            return None
+        bounds = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
+        at = np.searchsorted(end, bounds)
+        if (end[at] != bounds).any():
+            return None
+        return np.diff(at, prepend=-1)
+
+    def encode(self, units: list[bytes], joined: Callable[[list[list[bytes]]], list[Sequence[int]]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in a row and their number per unit. Units that begin with white space are encoded
+        several at once; others, and those that don't come back as they were, one by one."""
+        alone = [k for k, u in enumerate(units) if u[0] not in BLANKS]
+        lists: list[tuple[list[int], list[bytes]]] = [([k], [units[k]]) for k in alone]
+        own = set(alone)
+        places: list[int] = []
+        filled = 0
+        for k, u in enumerate(units):
+            if k in own:
+                continue
+            if filled + len(u) > JOINED and places:
+                lists.append((places, [units[i] for i in places]))
+                places, filled = [], 0
+            places.append(k)
+            filled += len(u)
+        if places:
+            lists.append((places, [units[i] for i in places]))
+        got = [np.array(x, np.uint32) for x in joined([part for _, part in lists])]
+        sizes = np.zeros(len(units), np.int64)
+        order, flat = [], []
+        for (at, part), ids in zip(lists, got):
+            n = self.cut(part, ids)
+            if n is None and len(part) > 1:
+                for k, u, one in zip(at, part, joined([[u] for u in part])):
+                    one = np.array(one, np.uint32)
+                    n = self.cut([u], one)
+                    if n is not None:
+                        sizes[k] = len(one)
+                        order.append(np.full(len(one), k))
+                        flat.append(one)
+            elif n is not None:
+                sizes[at] = n
+                order.append(np.repeat(np.array(at), n))
+                flat.append(ids)
+        if not flat:
+            return np.zeros(0, np.uint32), sizes
+        return np.concatenate(flat)[np.argsort(np.concatenate(order), kind="stable")], sizes
+
+
+def byte_level_encoder(path: str, special: bool = True) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
+    tokenizer, entries = load(path, special), Entries(byte_level_bytes(path))
+
+    def joined(parts: list[list[bytes]]) -> list[Sequence[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast([b"".join(p).decode() for p in parts], add_special_tokens=False)]
+    return lambda units: entries.encode(units, joined)
 
 
 class Pieces:
@@ -150,19 +236,24 @@ class Pieces:
     def __init__(self, path: str):
         import sentencepiece
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        n = self.model.get_piece_size()
-        names = [self.model.id_to_piece(i) for i in range(n)]
+        names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode()
                       for i, p in enumerate(names)]
+        self.entries = Entries(self.bytes)
         self.space = self.model.piece_to_id("▁")
-        plain = [b for i, b in enumerate(self.bytes) if not (self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i))]
+        plain = [b for i, b in enumerate(self.bytes)
+                 if not (self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i))]
         # before a space: no piece has one after another character; before others: no piece has them at all
         space = all(b" " not in b.lstrip(b" ") for b in plain)
         self.cuts = (b" " if space else b"") + bytes(c for c in BLANKS[1:] if not any(c in b for b in plain))
 
-    def encode(self, units: list[bytes]) -> list[Sequence[int]]:
-        """Ids of units of (space + text): the vocabulary adds the space a unit begins with;
+    def _joined(self, parts: list[list[bytes]]) -> list[Sequence[int]]:
+        """Ids of parts of (space + text): the vocabulary adds the space a part begins with;
         where it begins with another character, the added space is a piece of its own."""
-        own = [u[:1] == b" " for u in units]
-        ids = self.model.encode([(u[1:] if o else u).decode() for u, o in zip(units, own)], num_threads=1) if units else []
+        texts = [b"".join(p) for p in parts]
+        own = [t[:1] == b" " for t in texts]
+        ids = self.model.encode([(t[1:] if o else t).decode() for t, o in zip(texts, own)], num_threads=1) if texts else []
         return [(got or [self.space]) if o else got[1:] for got, o in zip(ids, own)]
+
+    def encode(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return self.entries.encode(units, self._joined)
