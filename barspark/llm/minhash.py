@@ -41,7 +41,6 @@ ROWS = 8
 BANDS = 43
 BLOCK = 512
 SIGMAS = 4.5
-PLACES = 1 << 20        # bound of the broadcast that picks texts by id
 
 
 def _family(k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -152,14 +151,18 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     return map_batches(both, run, "u long, v long")
 
 
+def row_per_text(docs: DataFrame, value: F.Column) -> DataFrame:
+    """(_id, _key, row): ``value`` of one row per doc_id and text, rows without doc_id left out.
+    Repeated rows are joined in each task before the one shuffle."""
+    return (docs.filter("`doc_id` IS NOT NULL").groupBy(F.col("`doc_id`").cast("long").alias("_id"), text_key().alias("_key"))
+            .agg(F.first(value).alias("row")))
+
+
 def texts_by_id(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(node, text) of the rows in ``ids`` (node, doc_id, text_key). Their ids' hashes modulo PLACES, at most
-    PLACES numbers, are broadcast and drop most other texts in the scan; only what passes is
-    joined by id and text, so texts are not shuffled to find a few of them."""
-    place = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(PLACES))
-    places = ids.select(place.alias("_place")).distinct()
-    return (texts_of(docs).withColumn("_place", place).join(F.broadcast(places), "_place", "left_semi")
-            .withColumn("text_key", text_key()).join(ids, ["doc_id", "text_key"]).select("node", "text"))
+    """(node, text) of the texts in ``ids`` (node, doc_id, text_key). The texts are shuffled once by
+    id and key and merged with the ids, whatever the sizes: the plan is the same at every scale."""
+    wanted = ids.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "node").hint("merge")
+    return row_per_text(docs, F.col("`text`").cast("string")).join(wanted, ["_id", "_key"]).select("node", F.col("row").alias("text"))
 
 
 def _agreeing(pairs: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
@@ -296,16 +299,14 @@ def judged(docs: DataFrame, scratch: Scratch | None = None, percent: int = PERCE
 
 def deduplicated(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """``docs`` with one document of each group, all columns as they are. Rows that repeat
-    a kept doc_id and text leave one; rows without doc_id all stay."""
+    a kept doc_id and text leave one; rows without doc_id all stay. The texts cross one shuffle,
+    by id and key, which serves the repeated rows and the merge with the verdicts alike."""
     s = scratch or Scratch(docs.sparkSession, "dedup")
     gone = s.save(judged(docs, s).filter("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
                   .distinct(), "gone")
-    again = s.save(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-                   .select("doc_id"), "again")
-    left = docs.join(gone, (F.col("doc_id") == gone["_id"]) & text_key().eqNullSafe(gone["_key"]), "left_anti").select(*columns(docs))
-    single = left.join(again, "doc_id", "left_anti").select(*columns(docs))
-    repeated = left.join(again, "doc_id", "left_semi").select(*columns(docs)).dropDuplicates(["doc_id", "text"])
-    return single.unionByName(repeated)
+    left = (row_per_text(docs, F.struct(*columns(docs))).join(gone.hint("merge"), ["_id", "_key"], "left_anti")
+            .select("row.*"))
+    return left.union(docs.filter("`doc_id` IS NULL"))
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
