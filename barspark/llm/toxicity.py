@@ -147,10 +147,12 @@ def training_rows(labels: DataFrame, per_class: int = PER_CLASS) -> tuple[DataFr
 
 def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, per_class: int = PER_CLASS) -> tuple[np.ndarray, float]:
     """Weights and bias from the sampled rows. The sample's doc_ids are bounded by
-    ``per_class``, so they are broadcast; its word features are what the driver gets."""
+    ``per_class``, so they are broadcast; its word features are what the driver gets. A doc_id
+    is one bag, however many rows it has: the row whose text has the smallest hash."""
     rows, rate = training_rows(labels, per_class)
+    one = F.min_by(F.struct("toxic", "text", "share"), F.struct(F.xxhash64("text"), F.col("text")))
     bags = (texts_of(docs).join(F.broadcast(rows), "doc_id").withColumn("share", length_share(F.col("text")))
-            .filter("u < rate * share").select("toxic", "text", "share"))
+            .filter("u < rate * share").groupBy("doc_id").agg(one.alias("bag")).select("bag.*"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offs = T.text_bytes(batch.column(1))

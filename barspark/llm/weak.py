@@ -234,14 +234,16 @@ def train(docs: DataFrame, per_class: int = PER_CLASS, bits: int = BITS) -> Weak
                  pa.array([feature[s].astype("<i4").tobytes() for s in sides], pa.binary()),
                  pa.array([value[s].astype("<f4").tobytes() for s in sides], pa.binary())], names=["p", "share", "f", "v"])
 
-    rows = sorted((r["p"], bytes(r["f"]), bytes(r["v"]), r["share"])
-                  for r in map_batches(some, run, "p double, share double, f binary, v binary").collect())
-    target, share = np.array([r[0] for r in rows]), np.array([r[3] for r in rows])
+    # equal rows are all drawn or none: they reach the driver as one, with their number as weight
+    drawn = (map_batches(some, run, "p double, share double, f binary, v binary")
+             .groupBy("p", "share", "f", "v").agg(F.count(F.lit(1)).alias("n")))
+    rows = sorted((r["p"], bytes(r["f"]), bytes(r["v"]), r["share"], r["n"]) for r in drawn.collect())
+    target, share, times = (np.array([r[k] for r in rows]) for k in (0, 3, 4))
     size = [len(r[1]) // 4 for r in rows]
     weights, bias = fit(np.repeat(np.arange(len(rows)), size),
                         np.frombuffer(b"".join(r[1] for r in rows), "<i4").astype(np.int64),
                         np.frombuffer(b"".join(r[2] for r in rows), "<f4").astype(float), target,
-                        np.where(target >= 0.5, 1 / rate[1], 1 / rate[0]) / share, bits)
+                        np.where(target >= 0.5, 1 / rate[1], 1 / rate[0]) * times / share, bits)
     return WeakModel(posterior, accuracy, weights, bias, bits)
 
 
