@@ -25,6 +25,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WINDOW = 3
 MAX_HOST_RATE = 0.5
+MAX_STRENGTH = 1e6
 _SYMBOL = np.zeros(256, np.uint8)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = 1
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -91,18 +92,25 @@ def base_failed() -> F.Column:
 def host_rates(rated: DataFrame, host_col: str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
     """One row per host: documents, failures, posterior failure rate and verdict.
 
-    The prior has the mean of all documents and a strength from the spread of the host
-    rates beyond binomial noise: (m (1 - m) - v) / v with v the variance of the rates,
-    at least 1. The groups are pre-aggregated, so a host with a third of all rows is
-    one row per task before the shuffle."""
+    The prior has the mean m of all documents and a strength from the spread of the host
+    rates beyond binomial noise. With x failures among n documents of each of k hosts, N in
+    all, S = sum n (x / n - m)**2 is expected to be m (1 - m) ((k - 1) + c (N - sum n**2 / N -
+    (k - 1))), where c is the correlation of two documents of one host: c follows by moments,
+    and the strength is 1 / c - 1, between 1 and ``MAX_STRENGTH`` (no spread left: hosts get
+    the mean). The groups are pre-aggregated, so a host with a third of all rows is one row
+    per task before the shuffle."""
     h = (rated.groupBy(F.col(f"`{host_col}`").alias("host"))
          .agg(F.count(F.lit(1)).alias("host_docs"), F.sum(F.col("base_failed").cast("long")).alias("host_failed")))
-    m = (F.sum("host_failed") / F.sum("host_docs"))
-    rate = F.col("host_failed") / F.col("host_docs")
-    stats = h.agg(m.alias("m"), F.var_pop(rate).alias("v"))
-    strength = F.when(F.col("v") > 0, F.greatest(F.lit(1.0), F.col("m") * (1 - F.col("m")) / F.col("v") - 1)) \
-                .otherwise(F.lit(1.0))
-    prior = stats.select(F.struct(F.col("m"), strength.alias("s")).alias("p")).scalar()
+    n, x = F.col("host_docs").cast("double"), F.col("host_failed").cast("double")
+    sums = h.agg(F.sum(n).alias("n"), F.sum(x).alias("x"), F.sum(x * x / n).alias("xx"), F.sum(n * n).alias("nn"),
+                 F.count(F.lit(1)).alias("k"))
+    m, free = F.col("x") / F.col("n"), F.col("k") - 1
+    noise = m * (1 - m)
+    room = F.col("n") - F.col("nn") / F.col("n") - free
+    known = (noise > 0) & (room > 0)
+    shared = F.when(known, ((F.col("xx") - F.col("x") * m) / noise - free) / room).otherwise(0.0)
+    strength = 1 / F.least(F.lit(0.5), F.greatest(F.lit(1 / (1 + MAX_STRENGTH)), shared)) - 1
+    prior = sums.select(F.struct(m.alias("m"), strength.alias("s")).alias("p")).scalar()
     return (h.withColumn("_p", prior)
              .withColumn("host_rate", (F.col("host_failed") + F.col("_p.m") * F.col("_p.s"))
                          / (F.col("host_docs") + F.col("_p.s")))
@@ -153,16 +161,18 @@ again AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id,
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY 1),
 ln AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM w),
 dl AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM ln WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY 1),
-c AS (
+q AS (
   SELECT doc_id, source, len(ws) AS n_words,
          coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS word_chars,
          length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          coalesce(dl.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
   FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN dl USING (doc_id)),
-f AS (SELECT *, (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AS base_failed FROM c),
+f AS (SELECT *, (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AS base_failed FROM q),
 h AS (SELECT source, count(*) AS d, sum(base_failed::INT)::DOUBLE AS x FROM f GROUP BY 1),
-p AS (SELECT sum(x) / sum(d) AS m, var_pop(x / d) AS v FROM h),
-s AS (SELECT m, CASE WHEN v > 0 THEN greatest(1.0, m * (1 - m) / v - 1) ELSE 1.0 END AS s FROM p),
+p AS (SELECT sum(x) / sum(d) AS m, count(*) AS k, sum(d) AS n, sum(d * (d / (SELECT sum(d) FROM h))) AS nn FROM h),
+v AS (SELECT m, k, n, nn, (SELECT sum(d * pow(x / d - p.m, 2)) FROM h) AS spread FROM p),
+c AS (SELECT m, CASE WHEN m > 0 AND m < 1 AND n - nn - k + 1 > 0 THEN (spread / (m - m * m) - k + 1) / (n - nn - k + 1) ELSE 0 END AS c FROM v),
+s AS (SELECT m, CASE WHEN c >= 0.5 THEN 1 WHEN c <= 1 / (1 + {MAX_STRENGTH}) THEN {MAX_STRENGTH} ELSE (1 - c) / c END AS s FROM c),
 r AS (SELECT source, (x + m * s) / (d + s) AS rate FROM h, s)
 SELECT f.doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
