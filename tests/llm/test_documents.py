@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from brute import near_duplicate_labels, rule_counts
 from conftest import prose
+from pyspark.sql import functions as F
 
 from barspark.llm import encoding, lm, minhash, nbest, packing, rules, toxicity, weak
 from barspark.llm.common import Scratch
@@ -298,3 +299,69 @@ def test_scratch_tables_are_dropped(spark):
     assert os.path.isdir(path)
     s.drop("a")
     assert not os.path.exists(path)
+
+
+def text_exchanges(df):
+    """Shuffles in a plan whose rows hold texts."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    parts = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted").split("\n\n")
+    assert "Broadcast" not in plan
+    return [p for p in parts if ") Exchange" in p.split("\n")[0] and any(c in p for c in ("row#", "text#", "first#"))]
+
+
+def test_dedup_shuffles_texts_once_at_every_size(spark, edge_docs, tmpdir_path):
+    edge_docs.write.parquet(tmpdir_path + "/docs")
+    docs = spark.read.parquet(tmpdir_path + "/docs")
+    ids = docs.select(F.col("doc_id").alias("node"), "doc_id", minhash.text_key().alias("text_key"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plans = []
+    for limit in ("-1", old):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            plans.append([len(text_exchanges(df)) for df in (minhash.deduplicated(docs), minhash.texts_by_id(docs, ids))])
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plans == [[1, 1], [1, 1]]
+
+
+def test_dedup_leaves_one_of_many_repeated_rows(spark):
+    text = prose(3, 90)
+    docs = spark.range(5000).selectExpr("CASE WHEN id < 4000 THEN 7 WHEN id < 4500 THEN id ELSE NULL END AS doc_id",
+                                        f"'{text}' || CASE WHEN id < 4500 THEN '' ELSE 'x' || id END AS text", "id AS `row`")
+    got = minhash.deduplicated(docs)
+    assert got.columns == docs.columns
+    left = rows(got)
+    assert [r["doc_id"] for r in left if r["doc_id"] is not None] == [7] and len(left) == 501
+
+
+def test_host_prior_shrinks_noise_and_leaves_a_bad_host(spark):
+    """200 hosts of 5 documents that fail by chance: no host is rejected. One of 40 whose
+    documents nearly all fail is."""
+    import random
+    r = random.Random(4)
+    noise = [(h * 5 + k, f"h{h}", r.random() < 0.25) for h in range(200) for k in range(5)]
+    got = rows(rules.host_rates(spark.createDataFrame(noise, "doc_id long, host string, base_failed boolean"), "host"))
+    mean = sum(f for *_, f in noise) / 1000
+    assert max(abs(x["host_rate"] - mean) for x in got) < 0.1 and all(x["host_ok"] for x in got)
+    bad = noise + [(2000 + k, "bad", k < 38) for k in range(40)] + [(3000, "single", True)]
+    by_host = {x["host"]: x for x in rows(rules.host_rates(spark.createDataFrame(bad, "doc_id long, host string, base_failed boolean"), "host"))}
+    assert not by_host["bad"]["host_ok"] and by_host["bad"]["host_rate"] > 0.7 and by_host["single"]["host_ok"]
+    assert all(x["host_ok"] for h, x in by_host.items() if h != "bad")
+
+
+def test_training_gets_repeated_rows_once(spark, monkeypatch):
+    """50,000 equal rows beside others: what the driver collects stays small, the fit is the same
+    as on counted rows."""
+    base = [(k, prose(k, 70) if k % 2 else "buy!!! ### " * 30) for k in range(200)]
+    docs = spark.createDataFrame(base, "doc_id long, text string")
+    many = docs.union(spark.range(50_000).selectExpr("1L AS doc_id", f"'{base[1][1]}' AS text"))
+    sizes, fit = [], weak.fit
+    monkeypatch.setattr(weak, "fit", lambda row, feature, value, target, weight, bits: sizes.append((len(target), weight.sum()))
+                        or fit(row, feature, value, target, weight, bits))
+    weak.train(many, per_class=10**9)
+    assert sizes[0][0] <= 200 and sizes[0][1] == pytest.approx(50_200)
+    bags, tox = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda f, s, bag, label, *rest: bags.append(len(label)) or tox(f, s, bag, label, *rest))
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS int) AS toxic")
+    toxicity.train(many, labels)
+    assert bags[0] <= 200
