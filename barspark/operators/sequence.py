@@ -3,39 +3,51 @@
 Row-ordered windows (rolling statistics, lags, leads, forward fill, EMA, gaps)
 are normally written ``Window.partitionBy(symbol).orderBy(ts)``. That puts one
 symbol in one task; a symbol holding a third of the rows would then be a third
-of the job in a single task. Instead every key is cut into time *buckets* whose
-width comes from that key's own row density, so a bucket holds about
-``target_rows`` rows whatever the key:
-
-1. ``key_stats``: one partial aggregate per key (count, first/last instant)
-   gives a per-key bucket width. It has one row per key, is counted, and is
-   broadcast only below ``broadcast_key_limit`` rows.
-2. ``bucket_stats``: rows per (key, bucket) and the running offset of each
-   bucket within its key (a window over a table with one row per bucket).
-3. ``_rn``: global 0-based position of the row inside its key = bucket offset
-   + ``row_number`` inside (key, bucket). The join with ``bucket_stats`` and
-   the window share one hash exchange on (key, bucket).
-4. ``with_halo``: a bounded frame needs the last ``lookback`` rows of the
+of the job in a single task. Instead every key with more than ``target_rows``
+rows is cut by *rank* into buckets of about that many rows, so a burst, or one
+instant with many rows, is split like any other stretch:
+
+1. Rows are counted per key. With no key above the target the plain per-key
+   windows are already bounded, and are used.
+2. Bounds: a row's place is (time, tie-break, hash of the row). A mergeable
+   sample keeps the places whose hash falls under ``OVERSAMPLE`` in
+   ``target_rows``; every ``OVERSAMPLE``-th of a key's sorted sample is a bound.
+   The rate gives a bucket its target with a deviation of 1 in 8, whatever the
+   distribution; sampling is by content, so every pass finds the same bounds.
+   Only the bounds are sampled: every row gets a bucket.
+3. A row's bucket is found by binary search in its key's bounds. The target
+   grows with the input so that at most ``MAX_BUCKETS`` bounds exist in all:
+   the tables of bounds and of split buckets have a proven size, are written
+   once and broadcast at every scale, and rows are shuffled once, by
+   (key, bucket), for the windows.
+4. ``_rn``: global 0-based position of the row inside its key = rows in the
+   key's earlier buckets + ``row_number`` inside (key, bucket).
+5. ``with_halo``: a bounded frame needs the last ``lookback`` rows of the
    preceding buckets (and the first ``lookahead`` rows of the following ones).
    Only those boundary rows are copied into the neighbouring buckets, marked
    ``_own = false``; windows then run per (key, bucket) and the copies are
    dropped afterwards.
 
-Nothing here collects data or loops on the driver.
+Rows that are equal in every column have one place and stay in one bucket;
+null keys and null times are values like others (nulls first). Nothing here
+collects data or loops on the driver.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.expr import epoch_us
+from ..session import materialize
 
 RN, BKT, OWN, BO, GK = "_rn", "_bkt", "_own", "_bo", "_gk"
 DEFAULT_TARGET_ROWS = 1_000_000
-DEFAULT_BROADCAST_KEY_LIMIT = 2_000_000
+OVERSAMPLE = 64         # sampled places per target_rows
+MAX_BUCKETS = 200_000   # bounds over all keys: beyond, buckets grow with the input
 
 
 @dataclass
@@ -45,7 +57,11 @@ class Sequenced:
     frame: DataFrame
     buckets: DataFrame  # keys, _bkt, _bo (bucket ordinal), _n, _off
     keys: list[str]
-    single: bool = False  # every key fits one bucket: plain per-key windows
+    split: DataFrame | None = None  # the buckets of keys with several; None: plain per-key windows
+
+    @property
+    def single(self) -> bool:
+        return self.split is None
 
     @property
     def part(self) -> list[str]:
@@ -55,64 +71,82 @@ class Sequenced:
         return Window.partitionBy(*self.part).orderBy(RN)
 
 
-def _key_table(df: DataFrame, broadcast_keys: bool | None, limit: int) -> DataFrame:
-    """The per-key table has one row per key. It is broadcast when the
-    measured key count is at most ``limit`` (or the caller says so); above
-    that it is a shuffle join whose hot keys AQE's skew-join rule splits."""
-    return F.broadcast(df) if broadcast_keys else df
+def with_small(df: DataFrame, small: DataFrame, cols: Sequence[str], how: str = "left") -> DataFrame:
+    """Join with a table of at most about ``MAX_BUCKETS`` rows: broadcast, nulls equal nulls."""
+    right = small
+    for c in cols:
+        right = right.withColumnRenamed(c, f"_r_{c}")
+    on = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in cols])
+    return df.join(F.broadcast(right), on, how).drop(*(f"_r_{c}" for c in cols))
+
+
+def _places(df: DataFrame, time_col: str, order: Sequence[str | Column]) -> Column:
+    """What orders the rows of a key, ascending, as one value."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not _holds_map(f.dataType)]
+    own = [F.col(time_col), *(F.col(o) if isinstance(o, str) else o for o in order), F.xxhash64(*plain)]
+    return F.struct(*(c.alias(f"c{i}") for i, c in enumerate(own)))
+
+
+def _holds_map(t: T.DataType) -> bool:
+    if isinstance(t, T.ArrayType):
+        return _holds_map(t.elementType)
+    if isinstance(t, T.StructType):
+        return any(_holds_map(f.dataType) for f in t.fields)
+    return isinstance(t, (T.MapType, T.VariantType))
+
+
+def rank_bounds(df: DataFrame, keys: Sequence[str], place: Column, large: DataFrame, target: int) -> DataFrame:
+    """(keys, _cuts): sorted places that begin the second and later buckets of each key of
+    ``large`` (keys), about ``target`` rows apart."""
+    step = min(OVERSAMPLE, target)
+    sample = (with_small(df.select(*keys, place.alias("_p")).where(F.pmod(F.xxhash64("_p"), F.lit(target)) < step), large, keys, "inner"))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("_p"))
+    return (sample.withColumn("_i", nth).where(F.col("_i") % step == 0)
+            .groupBy(*keys).agg(F.sort_array(F.collect_set("_p")).alias("_cuts")))
+
+
+def _bucket(cuts: str, place: Column, most: int) -> Column:
+    """Number of ``cuts`` (sorted, at most ``most``) at or before ``place``, by binary search."""
+    steps = F.array(*(F.lit(1 << k).cast("long") for k in range(most.bit_length() - 1, -1, -1)))
+    found = F.aggregate(steps, F.lit(0).cast("long"), lambda at, step: F.when(
+        F.get(F.col(cuts), (at + step - 1).cast("int")) <= place, at + step).otherwise(at))
+    return F.when(F.col(cuts).isNull(), F.lit(0).cast("long")).otherwise(found)
 
 
 def index_sequence(df: DataFrame, keys: Sequence[str], time_col: str,
                    order: Sequence[str | Column] | None = None,
-                   target_rows: int = DEFAULT_TARGET_ROWS,
-                   broadcast_key_limit: int = DEFAULT_BROADCAST_KEY_LIMIT,
-                   broadcast_keys: bool | None = None,
-                   assume_small: bool = False) -> Sequenced:
+                   target_rows: int = DEFAULT_TARGET_ROWS) -> Sequenced:
     """Add ``_bkt`` (bucket id within key) and ``_rn`` (0-based row index within
-    key, ordered by ``time_col`` then ``order`` as tie-break)."""
+    key, ordered by ``time_col`` then ``order``, both ascending, as tie-break)."""
     keys = list(keys)
-    if not keys:  # one global sequence: a constant key keeps every join an equi join
+    if not keys:  # one global sequence
         df, keys = df.withColumn(GK, F.lit(0)), [GK]
     order = list(order or [])
-    us = epoch_us(time_col)
-    kstats = (df.groupBy(*keys)
-                .agg(F.count(F.lit(1)).alias("_kn"),
-                     F.min(us).alias("_kmin"), F.max(us).alias("_kmax")))
-    order_cols = [F.col(time_col), *[F.col(o) if isinstance(o, str) else o for o in order]]
-    # measured, like AQE: the largest key decides whether buckets are needed
-    # ``assume_small``: the caller knows every key is far below target_rows
-    top = None if assume_small else \
-        kstats.agg(F.count(F.lit(1)).alias("keys"), F.max("_kn").alias("rows")).first()
-    if top is None or top["rows"] is None or top["rows"] <= target_rows:
-        w = Window.partitionBy(*keys).orderBy(*order_cols)
-        frame = (df.withColumn(BKT, F.lit(0).cast("long"))
-                   .withColumn(RN, (F.row_number().over(w) - 1).cast("long")))
-        buckets = kstats.select(*keys, F.lit(0).cast("long").alias(BKT), F.lit(0).cast("long").alias(BO),
-                                F.col("_kn").alias("_n"), F.lit(0).cast("long").alias("_off"))
-        return Sequenced(frame, buckets, keys, single=True)
-    span = (F.col("_kmax") - F.col("_kmin") + 1).cast("double")
-    width = F.greatest(F.lit(1.0),
-                       F.pow(F.lit(2.0), F.ceil(F.log2(span * target_rows / F.col("_kn")))))
-    kstats = kstats.select(*keys, "_kmin", width.cast("long").alias("_kw"))
-    if broadcast_keys is None:
-        broadcast_keys = top["keys"] <= broadcast_key_limit
-    kstats = _key_table(kstats, True if keys == [GK] else broadcast_keys, broadcast_key_limit)
-    based = df.join(kstats, on=keys, how="inner")
-    based = (based.withColumn(BKT, F.floor((us - F.col("_kmin")) / F.col("_kw")).cast("long"))
-                  .drop("_kmin", "_kw"))
-
-    bstats = based.groupBy(*keys, BKT).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
+    zero = F.lit(0).cast("long")
+    whole = counts.select(*keys, zero.alias(BKT), zero.alias(BO), F.col("_kn").alias("_n"), zero.alias("_off"))
+    top = counts.agg(F.max("_kn").alias("most"), F.sum("_kn").alias("rows")).first()
+    if top["most"] is None or top["most"] <= target_rows:
+        w = Window.partitionBy(*keys).orderBy(F.col(time_col), *(F.col(o) if isinstance(o, str) else o for o in order))
+        frame = df.withColumn(BKT, zero).withColumn(RN, (F.row_number().over(w) - 1).cast("long"))
+        return Sequenced(frame, whole, keys)
+    target = max(target_rows, -(-top["rows"] // MAX_BUCKETS))
+    place = _places(df, time_col, order)
+    large = counts.where(F.col("_kn") > target).select(*keys)
+    cuts = materialize(rank_bounds(df, keys, place, large, target), "cuts")
+    most = cuts.agg(F.max(F.size("_cuts"))).first()[0] or 0
+    based = with_small(df, cuts, keys).withColumn(BKT, _bucket("_cuts", place, most))
     wk = Window.partitionBy(*keys).orderBy(BKT)
-    bstats = (bstats
-              .withColumn(BO, F.row_number().over(wk) - 1)
-              .withColumn("_off", F.coalesce(
-                  F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-              )
-    joined = based.join(bstats.select(*keys, BKT, "_off"), on=[*keys, BKT], how="inner")
-    w = Window.partitionBy(*keys, BKT).orderBy(*order_cols)
-    indexed = (joined.withColumn(RN, F.col("_off") + F.row_number().over(w) - 1)
-                     .drop("_off"))
-    return Sequenced(indexed, bstats, keys)
+    split = materialize(
+        based.where(F.col("_cuts").isNotNull()).groupBy(*keys, BKT).agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn(BO, (F.row_number().over(wk) - 1).cast("long"))
+        .withColumn("_off", F.coalesce(F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), zero))
+        .select(*keys, BKT, BO, "_n", "_off"), "buckets")
+    joined = with_small(based.drop("_cuts"), split.select(*keys, BKT, "_off"), [*keys, BKT])
+    w = Window.partitionBy(*keys, BKT).orderBy(place)
+    frame = (joined.withColumn(RN, (F.coalesce("_off", zero) + F.row_number().over(w) - 1).cast("long")).drop("_off"))
+    rest = with_small(whole, cuts.select(*keys), keys, "left_anti")
+    return Sequenced(frame, rest.unionByName(split), keys, split)
 
 
 def forward_fill(seq: Sequenced, column: str, out: str) -> Sequenced:
@@ -125,17 +159,17 @@ def forward_fill(seq: Sequenced, column: str, out: str) -> Sequenced:
     local = F.last(column, ignorenulls=True).over(
         seq.window().rowsBetween(Window.unboundedPreceding, 0))
     if seq.single:
-        return Sequenced(seq.frame.withColumn(out, local), seq.buckets, keys, True)
-    per_bucket = (seq.frame.where(F.col(column).isNotNull())
+        return Sequenced(seq.frame.withColumn(out, local), seq.buckets, keys)
+    slots = seq.split.select(*keys, BKT)
+    per_bucket = (with_small(seq.frame.where(F.col(column).isNotNull()).select(*keys, BKT, RN, column), slots, [*keys, BKT], "inner")
                   .groupBy(*keys, BKT)
                   .agg(F.max_by(F.col(column), F.col(RN)).alias("_lastv")))
-    b = seq.buckets.join(per_bucket, on=[*keys, BKT], how="left")
     wk = Window.partitionBy(*keys).orderBy(BKT).rowsBetween(Window.unboundedPreceding, -1)
-    b = b.withColumn("_carry", F.last("_lastv", ignorenulls=True).over(wk)).select(*keys, BKT, "_carry")
-    frame = (seq.frame.join(b, on=[*keys, BKT], how="left")
-                .withColumn(out, F.coalesce(local, F.col("_carry")))
-                .drop("_carry"))
-    return Sequenced(frame, seq.buckets, keys)
+    carry = (with_small(slots, materialize(per_bucket, "last"), [*keys, BKT])
+             .withColumn("_carry", F.last("_lastv", ignorenulls=True).over(wk)).select(*keys, BKT, "_carry"))
+    frame = (with_small(seq.frame, carry, [*keys, BKT])
+             .withColumn(out, F.coalesce(local, F.col("_carry"))).drop("_carry"))
+    return Sequenced(frame, seq.buckets, keys, seq.split)
 
 
 def with_halo(seq: Sequenced, lookback: int, lookahead: int = 0) -> DataFrame:
@@ -143,8 +177,8 @@ def with_halo(seq: Sequenced, lookback: int, lookahead: int = 0) -> DataFrame:
     ``lookback`` preceding / ``lookahead`` following rows need from other
     buckets of the same key (``_own`` false).
 
-    One pass: every row is joined with its bucket's entry of the bucket table
-    (same (key, bucket) partitioning, so only the small table moves) and
+    One pass: every row is joined with its bucket's entry of the table of split
+    buckets (a broadcast of proven size; other keys have one bucket) and
     exploded into [its own bucket] + [the later buckets it can reach when it
     is among its bucket's last ``lookback`` rows] + [the earlier buckets it
     can reach when among the first ``lookahead``]. ``_bkt`` becomes the
@@ -155,7 +189,7 @@ def with_halo(seq: Sequenced, lookback: int, lookahead: int = 0) -> DataFrame:
     if seq.single or (lookback <= 0 and lookahead <= 0):
         return seq.frame.withColumn(OWN, F.lit(True))
     wk = Window.partitionBy(*keys)
-    b = seq.buckets.select(*keys, BKT, BO, "_n", "_off").withColumn("_end", F.col("_off") + F.col("_n"))
+    b = seq.split.withColumn("_end", F.col("_off") + F.col("_n"))
     if lookback > 0:
         c1 = F.count(F.lit(1)).over(wk.orderBy("_off").rangeBetween(0, lookback - 1))
         b = b.withColumn("_c1", c1).withColumn(
@@ -170,7 +204,7 @@ def with_halo(seq: Sequenced, lookback: int, lookahead: int = 0) -> DataFrame:
         b = b.withColumn("_reach_b", F.lit(0).cast("long"))
     b = b.select(*keys, BKT, BO, "_off", "_end", "_reach_f", "_reach_b")
     cols = [c for c in seq.frame.columns if c != BKT]
-    x = seq.frame.join(b, on=[*keys, BKT], how="inner")
+    x = with_small(seq.frame, b, [*keys, BKT]).withColumn(BO, F.coalesce(BO, F.lit(0).cast("long")))
     rn = F.col(RN)
     own = F.array(F.struct(F.col(BO).alias("t"), F.lit(True).alias("own")))
     fwd = F.when((rn >= F.col("_end") - lookback) & (F.col("_reach_f") > 0),

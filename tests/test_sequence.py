@@ -92,3 +92,52 @@ def test_skewed_key_is_split(spark):
         exp = g.x.rolling(30, min_periods=30).mean()
         ok = (exp.isna() & g.m.isna()) | ((exp - g.m).abs() < 1e-9)
         assert ok.all()
+
+
+@pytest.fixture(scope="module")
+def burst(spark):
+    """A key whose rows lie mostly in one second and at one instant, a small key, null keys and
+    null times."""
+    rows = []
+    for i in range(9000):
+        if i < 5000:
+            rows.append(("hot", 1_000_000 + i * 150, i, float(i % 97)))         # 0.75 s
+        elif i < 7500:
+            rows.append(("hot", 5_000_000, i, None if i % 5 == 0 else float(i % 89)))   # one instant
+        else:
+            rows.append(("hot", 10_000_000 + i * 60_000_000, i, float(i)))
+    rows += [("cold", k * 1_000_000, k, float(k)) for k in range(60)]
+    rows += [(None, k * 1000, k, float(k % 31)) for k in range(2500)] + [(None, None, k, 1.0) for k in range(3)]
+    df = spark.createDataFrame(rows, "k string, us long, i long, x double")
+    return df.withColumn("ts", F.timestamp_micros("us").cast("timestamp_ntz")).drop("us").repartition(6, "i")
+
+
+def test_burst_and_single_instant_are_split(spark, burst):
+    for target in (100, 400):
+        seq = sq.index_sequence(burst, ["k"], "ts", ["i"], target_rows=target)
+        sizes = seq.frame.groupBy("k", sq.BKT).count()
+        assert sizes.agg(F.max("count")).first()[0] <= 2 * target
+        assert sizes.where("k = 'cold'").count() == 1
+        instant = seq.frame.where("ts = timestamp_ntz'1970-01-01 00:00:05'")
+        assert instant.select(sq.BKT).distinct().count() >= 2500 // (2 * target)
+        got = {(r.k, r.i, r.ts): r[sq.RN] for r in seq.frame.collect()}
+        plain = sq.index_sequence(burst, ["k"], "ts", ["i"])
+        assert plain.single and got == {(r.k, r.i, r.ts): r[sq.RN] for r in plain.frame.collect()}
+        totals = {r.k: r.n for r in seq.buckets.groupBy("k").agg(F.sum("_n").alias("n")).collect()}
+        assert totals == {"hot": 9000, "cold": 60, None: 2503}
+
+
+def test_features_on_a_burst_equal_the_plain_windows(spark, burst):
+    defs = [{"kind": "rolling_mean", "source": "x", "window": 20, "rename": "m"}, {"kind": "ema", "source": "x", "span": 5, "rename": "e"},
+            {"kind": "lag", "source": "x", "periods": 7, "rename": "l"}, {"kind": "lag", "source": "x", "periods": -5, "rename": "f"},
+            {"kind": "pct_change", "source": "x", "periods": 3, "rename": "p"}]
+    plain, cut = (feat.engineer_features(burst, defs, ["k"], "ts", tie_break=["i"], **kw)[0].toPandas()
+                  .sort_values(["k", "ts", "i"]).reset_index(drop=True) for kw in ({}, {"target_rows": 300}))
+    assert len(plain) == len(cut) == 11563
+    pd.testing.assert_frame_equal(plain[["k", "i", *"melfp"]], cut[["k", "i", *"melfp"]], check_exact=False, rtol=1e-9, atol=1e-9)
+
+
+def test_rows_are_shuffled_once_for_the_index(spark, burst):
+    seq = sq.index_sequence(burst, ["k"], "ts", ["i"], target_rows=300)
+    plan = seq.frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ENSURE_REQUIREMENTS") == 1 and "SortMergeJoin" not in plan
