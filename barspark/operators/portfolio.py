@@ -17,21 +17,25 @@ With V_k the pre-trade value and F_k the friction (costs + slippage) paid at k,
 
 Without costs this is one pass and exact. With costs F depends on V, so the
 small per-(strategy, k) friction table is iterated to a fixed point, strategy
-by strategy (``_friction``); each pass is the same joins and windows on the
-strategies that still move.
-Every window is per (strategy, symbol) over rebalance times or per strategy
-over the per-time table, never over raw bars.
+by strategy (``_friction``); each pass is one job on the strategies that still
+move. The panel carries its own previous weight and price, so a pass needs no
+window over it: shares before a trade are w_prev * V_k-1 / p_prev.
+Running values (product, maximum, last price, previous row) go over rebalance
+times in two levels (``scan``), and times are numbered by rank (``sequence``):
+a strategy with any number of times is many tasks.
 """
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import ieee_div
 from ..session import Scratch, checkpoint_keep_partitioning, materialize
+from . import sequence as sq
+from .scan import BLOCK, Scan, segmented_scan
 from .universe import gate_signals
 
 MIN_TRADE_SHARES = 1e-6  # fixed value: trades below this many shares are not executed
@@ -74,6 +78,7 @@ class BacktestConfig:
     index_name: str | None = None
     strategy_col: str = "strategy"
     tolerance: float = 1e-10
+    block: int = BLOCK      # rebalance times a task scans
 
 
 # --------------------------------------------------------------------------
@@ -89,7 +94,14 @@ def rebalance_times(signals: DataFrame, cfg: BacktestConfig) -> DataFrame:
     """(strategy, timestamp, k): distinct signal times in range, k = 0, 1, ..."""
     s = cfg.strategy_col
     t = _in_range(signals, cfg).select(s, "timestamp").distinct()
-    return t.withColumn("k", F.dense_rank().over(Window.partitionBy(s).orderBy("timestamp")) - 1)
+    seq = sq.index_sequence(t, [s], "timestamp", target_rows=cfg.block)
+    return seq.frame.select(s, "timestamp", F.col(sq.RN).alias("k"))
+
+
+def _numbered(signals: DataFrame, cfg: BacktestConfig) -> tuple[DataFrame, int | None]:
+    """The rebalance times, written once, and the greatest k."""
+    times = materialize(rebalance_times(signals, cfg), "times")
+    return times, times.agg(F.max("k")).first()[0]
 
 
 def check_unique_signals(signals: DataFrame, strategy_col: str = "strategy") -> DataFrame:
@@ -115,11 +127,12 @@ def signal_prices(signals: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def build_panel(signals: DataFrame, prices: DataFrame, master: DataFrame, cfg: BacktestConfig,
-                index_members: DataFrame | None = None) -> DataFrame:
-    """B1 + B2 + J6: (strategy, k, timestamp, symbol, w, p, w_eff)."""
+                index_members: DataFrame | None = None,
+                numbered: tuple[DataFrame, int | None] | None = None) -> DataFrame:
+    """B1 + B2 + J6: (strategy, k, timestamp, symbol, w, p, w_eff, w_prev, p_prev, contrib)."""
     s = cfg.strategy_col
     sig = check_unique_signals(_in_range(signals, cfg), s)
-    times = rebalance_times(signals, cfg)
+    times, last_k = numbered or _numbered(signals, cfg)
     gated = gate_signals(sig, master, "timestamp", index_members, cfg.index_name)
     at_k = gated.join(times, [s, "timestamp"]).select(s, "k", "symbol", F.col("target_weight").alias("w"))
     exits = at_k.select(s, (F.col("k") + 1).alias("k"), "symbol", F.lit(None).cast("double").alias("w"))
@@ -133,16 +146,16 @@ def build_panel(signals: DataFrame, prices: DataFrame, master: DataFrame, cfg: B
           .join(held_pairs, "symbol").join(times, [s, "timestamp"])
           .select(s, "k", "symbol", F.col("close").alias("_px")))
     both = rows.join(px, [s, "k", "symbol"], "full_outer")
-    wsym = Window.partitionBy(s, "symbol").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    carried = both.withColumn("p", F.last("_px", ignorenulls=True).over(wsym))
+    carried = segmented_scan(both, [s, "symbol"], "k", [Scan("last", "_px", "p")], cfg.block, last_k)
     panel = (carried.where(F.col("timestamp").isNotNull())
                     .select(s, "k", "timestamp", "symbol",
                             F.coalesce("w", F.lit(0.0)).alias("w"), "p")
-                    .withColumn("w_eff", F.when(F.col("p") != 0, F.col("w")).otherwise(F.lit(0.0))))
-    lagw = Window.partitionBy(s, "symbol").orderBy("k")
-    held = (F.lag("k", 1).over(lagw) == F.col("k") - 1)
-    return (panel.withColumn("w_prev", F.when(held, F.lag("w_eff", 1).over(lagw)).otherwise(F.lit(0.0)))
-                 .withColumn("p_prev", F.when(held, F.lag("p", 1).over(lagw)))
+                    .withColumn("w_eff", F.when(F.col("p") != 0, F.col("w")).otherwise(F.lit(0.0)))
+                    .withColumn("_now", F.struct("k", "w_eff", "p")))
+    panel = segmented_scan(panel, [s, "symbol"], "k", [Scan("lag", "_now", "_was")], cfg.block, last_k)
+    held = F.col("_was.k") == F.col("k") - 1
+    return (panel.withColumn("w_prev", F.when(held, F.col("_was.w_eff")).otherwise(F.lit(0.0)))
+                 .withColumn("p_prev", F.when(held, F.col("_was.p"))).drop("_now", "_was")
                  .withColumn("contrib", F.when(F.col("w_prev") != 0,
                                                F.col("w_prev") * (ieee_div("p", "p_prev") - 1))
                                           .otherwise(F.lit(0.0))))
@@ -151,33 +164,32 @@ def build_panel(signals: DataFrame, prices: DataFrame, master: DataFrame, cfg: B
 # --------------------------------------------------------------------------
 # NAV (B3, B4, W12)
 # --------------------------------------------------------------------------
-def _values(gross: DataFrame, fric: DataFrame | None, cfg: BacktestConfig) -> DataFrame:
-    """(strategy, k, timestamp, G, f, V) with V from the growth product."""
+def _values(gross: DataFrame, fric: DataFrame | None, cfg: BacktestConfig, last_k: int | None) -> DataFrame:
+    """(strategy, k, timestamp, G, V, V_prev) with V from the growth product."""
     s = cfg.strategy_col
-    g = gross if fric is None else gross.join(fric, [s, "k"], "left")
     if fric is None:
-        g = g.withColumn("f", F.lit(0.0))
-    g = g.withColumn("f", F.coalesce("f", F.lit(0.0)))
-    wk = Window.partitionBy(s).orderBy("k")
-    growth = F.when(F.col("k") == 0, F.lit(1.0)).otherwise(
-        F.lit(1.0) + F.col("G") - F.coalesce(F.lag("f", 1).over(wk), F.lit(0.0)))
-    g = g.withColumn("growth", growth)
+        g = gross.withColumn("_f", F.lit(0.0))
+    else:
+        g = gross.join(fric.select(s, (F.col("k") + 1).alias("k"), F.col("f").alias("_f")), [s, "k"], "left")
+    growth = F.when(F.col("k") == 0, F.lit(1.0)).otherwise(F.lit(1.0) + F.col("G") - F.coalesce("_f", F.lit(0.0)))
     # V_k = V_k-1 * growth_k holds for any sign of V (targets are w * V / p, as
     # in the loop); only V = 0 leaves the relative friction F/V undefined
-    v = F.lit(float(cfg.initial_capital)) * F.product("growth").over(wk.rowsBetween(Window.unboundedPreceding, 0))
+    g = segmented_scan(g.withColumn("_growth", growth).drop("_f"), [s], "k",
+                       [Scan("product", "_growth", "V"), Scan("product_before", "_growth", "V_prev")], cfg.block, last_k)
+    capital = F.lit(float(cfg.initial_capital))
+    v = capital * F.col("V")
     return g.withColumn("V", F.when(v == 0, F.raise_error(
-        F.lit("Portfolio value reached exactly zero: relative friction undefined"))).otherwise(v))
+        F.lit("Portfolio value reached exactly zero: relative friction undefined"))).otherwise(v)) \
+        .withColumn("V_prev", capital * F.col("V_prev")).drop("_growth")
 
 
 def _trades(panel: DataFrame, values: DataFrame, cfg: BacktestConfig, costs: CostModel,
             slippage: SlippageModel) -> DataFrame:
     s = cfg.strategy_col
-    t = panel.join(values.select(s, "k", "V"), [s, "k"])
-    lagw = Window.partitionBy(s, "symbol").orderBy("k")
-    held = F.lag("k", 1).over(lagw) == F.col("k") - 1
-    q = F.when(F.col("w_eff") != 0, F.col("w_eff") * F.col("V") / F.col("p")).otherwise(F.lit(0.0))
-    t = t.withColumn("shares", q)
-    t = t.withColumn("prev_shares", F.when(held, F.lag("shares", 1).over(lagw)).otherwise(F.lit(0.0)))
+    t = panel.join(values.select(s, "k", "V", "V_prev"), [s, "k"])
+    t = t.withColumn("shares", F.when(F.col("w_eff") != 0, F.col("w_eff") * F.col("V") / F.col("p")).otherwise(F.lit(0.0)))
+    t = t.withColumn("prev_shares", F.when(F.col("w_prev") != 0, F.col("w_prev") * F.col("V_prev") / F.col("p_prev"))
+                     .otherwise(F.lit(0.0)))
     t = t.withColumn("trade_shares", F.col("shares") - F.col("prev_shares"))
     traded = F.abs(F.col("trade_shares")) >= MIN_TRADE_SHARES
     exec_p = slippage.apply(F.col("p"), F.col("trade_shares"))
@@ -189,33 +201,35 @@ def _trades(panel: DataFrame, values: DataFrame, cfg: BacktestConfig, costs: Cos
 
 
 def _friction(panel: DataFrame, gross: DataFrame, cfg: BacktestConfig, costs: CostModel, slippage: SlippageModel,
-              bound: int) -> tuple[DataFrame, int]:
+              last_k: int) -> tuple[DataFrame, int]:
     """(relative friction per (strategy, k), passes): the fixed point, strategy by strategy.
 
     Pass p makes time p - 1 exact (friction at k needs the values at k and k - 1 only), so
-    ``bound`` passes are always enough. A strategy whose friction has stopped moving is
-    final and leaves the following passes; both tables shrink to the others."""
+    ``last_k`` + 2 passes are always enough. A strategy whose friction has stopped moving is
+    final and leaves the following passes. A pass is one job: the write of its frictions also
+    counts the times that still move."""
     s = cfg.strategy_col
     scratch = Scratch(panel.sparkSession, "friction")
     open_panel, open_gross, fric, final, passes = panel, gross, None, None, 0
     while True:
-        vals = _values(open_gross, fric, cfg)
-        new = (_trades(open_panel, vals, cfg, costs, slippage).groupBy(s, "k").agg(F.sum("friction").alias("F"))
-               .join(vals.select(s, "k", "V"), [s, "k"]).select(s, "k", (F.col("F") / F.col("V")).alias("f")))
+        vals = _values(open_gross, fric, cfg, last_k)
+        new = (_trades(open_panel, vals, cfg, costs, slippage).groupBy(s, "k")
+               .agg((F.sum("friction") / F.any_value("V")).alias("f")))
         old = F.lit(0.0) if fric is None else F.coalesce("_f_old", F.lit(0.0))
         if fric is not None:
             new = new.join(fric.withColumnRenamed("f", "_f_old"), [s, "k"], "left")
-        moved = F.abs(F.col("f") - old)
-        new = scratch.save(new.select(s, "k", "f", moved.alias("moved")), f"pass{passes}")
-        still = scratch.save(new.groupBy(s).agg(F.max("moved").alias("m")).filter(F.col("m") >= cfg.tolerance).select(s),
-                             f"open{passes}")
+        moving = Observation(f"pass{passes}")
+        new = (new.select(s, "k", "f", (F.abs(F.col("f") - old) >= cfg.tolerance).alias("moves"))
+               .observe(moving, F.count_if("moves").alias("n")))
+        new = scratch.save(new, f"pass{passes}")
+        still = new.where("moves").select(s).distinct()
         passes += 1
         fric = new.select(s, "k", "f")
         done = fric.join(still, s, "left_anti")
         final = done if final is None else final.unionByName(done)
-        if still.isEmpty():
+        if not moving.get["n"]:
             return final, passes
-        if passes >= bound:
+        if passes >= last_k + 2:
             raise RuntimeError(f"the cost fixed point still moves after {passes} passes, more than it needs")
         fric = fric.join(still, s, "left_semi")
         open_panel, open_gross = panel.join(still, s, "left_semi"), gross.join(still, s, "left_semi")
@@ -227,9 +241,10 @@ class BacktestResult:
     trades: DataFrame
     equity: DataFrame      # strategy, k, timestamp, portfolio_value, period_return
     passes: int
+    last_k: int
 
     def summary(self, cfg: BacktestConfig) -> DataFrame:
-        return summarise(self.equity, cfg)
+        return summarise(self.equity, cfg, self.last_k)
 
 
 def run_backtest(signals: DataFrame, prices: DataFrame, master: DataFrame, cfg: BacktestConfig,
@@ -239,51 +254,53 @@ def run_backtest(signals: DataFrame, prices: DataFrame, master: DataFrame, cfg:
     costs = costs or CostModel()
     slippage = slippage or SlippageModel()
     s = cfg.strategy_col
-    panel = build_panel(signals, prices, master, cfg, index_members)
+    times, last_k = numbered = _numbered(signals, cfg)
+    if last_k is None:
+        raise ValueError(f"no signal between {cfg.start_date} and {cfg.end_date}")
+    panel = build_panel(signals, prices, master, cfg, index_members, numbered)
     if checkpoint:
-        # clustered by (strategy, symbol) like every panel window, then a reliable
-        # checkpoint (spark.checkpoint.dir) that keeps that partitioning, so the
-        # cost passes never reshuffle the panel
-        panel = checkpoint_keep_partitioning(panel.repartition(s, "symbol"))
+        # clustered by (strategy, k), like the joins and sums of the passes, then a reliable
+        # checkpoint (spark.checkpoint.dir) that keeps that partitioning, so the passes never
+        # reshuffle the panel
+        panel = checkpoint_keep_partitioning(panel.repartition(s, "k"))
     # every rebalance time keeps a NAV point, even when all its signals were gated out
-    gross = (rebalance_times(signals, cfg)
-             .join(panel.groupBy(s, "k").agg(F.sum("contrib").alias("G")), [s, "k"], "left")
+    gross = (times.join(panel.groupBy(s, "k").agg(F.sum("contrib").alias("G")), [s, "k"], "left")
              .withColumn("G", F.coalesce("G", F.lit(0.0))))
     if checkpoint:
         gross = materialize(gross, "gross")   # one row per (strategy, time), read by every pass
-    times = rebalance_times(signals, cfg).agg(F.max("k")).first()[0]
-    if times is None:
-        raise ValueError(f"no signal between {cfg.start_date} and {cfg.end_date}")
     fric, passes = None, 0
     if not (costs.free and slippage.bps == 0):
-        fric, passes = _friction(panel, gross, cfg, costs, slippage, int(times) + 2)
-    vals = _values(gross, fric, cfg)
+        fric, passes = _friction(panel, gross, cfg, costs, slippage, int(last_k))
+    vals = _values(gross, fric, cfg, last_k)
     trades = _trades(panel, vals, cfg, costs, slippage)
-    F_k = trades.groupBy(s, "k").agg(F.sum("friction").alias("F_k"))
-    eq = vals.join(F_k, [s, "k"], "left").withColumn("portfolio_value", F.col("V") - F.coalesce("F_k", F.lit(0.0)))
-    wk = Window.partitionBy(s).orderBy("k")
-    prev = F.coalesce(F.lag("portfolio_value", 1).over(wk), F.lit(float(cfg.initial_capital)))
+    paid = trades.groupBy(s, "k").agg(F.sum("friction").alias("F_k"))
+    eq = (vals.join(paid, [s, "k"], "left")
+          .select(s, "k", "timestamp", (F.col("V") - F.coalesce("F_k", F.lit(0.0))).alias("portfolio_value")))
+    if checkpoint:
+        eq = materialize(eq, "equity")
+    eq = segmented_scan(eq, [s], "k", [Scan("lag", "portfolio_value", "_before")], cfg.block, last_k)
+    prev = F.coalesce("_before", F.lit(float(cfg.initial_capital)))
     eq = eq.withColumn("period_return", F.when(prev == 0, F.lit(0.0)).otherwise(F.col("portfolio_value") / prev - 1))
     equity = eq.select(s, "k", "timestamp", "portfolio_value", "period_return")
-    return BacktestResult(panel, trades, equity, passes)
+    return BacktestResult(panel, trades, equity, passes, int(last_k))
 
 
 # --------------------------------------------------------------------------
 # W11, A11 drawdown and summary
 # --------------------------------------------------------------------------
-def drawdown(equity: DataFrame, strategy_col: str = "strategy", value_col: str = "portfolio_value") -> DataFrame:
+def drawdown(equity: DataFrame, strategy_col: str = "strategy", value_col: str = "portfolio_value",
+             block: int = BLOCK, last_k: int | None = None) -> DataFrame:
     """Running peak and drawdown v/peak - 1 (0 while the peak is <= 0)."""
-    w = Window.partitionBy(strategy_col).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    return (equity.withColumn("peak", F.max(value_col).over(w))
-                  .withColumn("drawdown", F.when(F.col("peak") > 0, F.col(value_col) / F.col("peak") - 1)
-                              .otherwise(F.lit(0.0))))
+    return (segmented_scan(equity, [strategy_col], "k", [Scan("max", value_col, "peak")], block, last_k)
+            .withColumn("drawdown", F.when(F.col("peak") > 0, F.col(value_col) / F.col("peak") - 1)
+                        .otherwise(F.lit(0.0))))
 
 
-def summarise(equity: DataFrame, cfg: BacktestConfig) -> DataFrame:
+def summarise(equity: DataFrame, cfg: BacktestConfig, last_k: int | None = None) -> DataFrame:
     """Per strategy. Returns exclude the first period (Q7); std ddof 1,
     0 when fewer than two; volatility and Sharpe annualised by sqrt(252)."""
     s = cfg.strategy_col
-    dd = drawdown(equity, s)
+    dd = drawdown(equity, s, block=cfg.block, last_k=last_k)
     r = F.when(F.col("k") >= 1, F.col("period_return"))
     std = F.coalesce(F.stddev_samp(r), F.lit(0.0))
     agg = dd.groupBy(s).agg(

@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from barspark.operators import portfolio as pf
 from barspark.sources import fixtures as fx
@@ -152,3 +153,47 @@ def test_reports_are_written(spark, inputs, tmpdir_path):
     n = sig.select("strategy").distinct().count()
     assert spark.read.json(f"{tmpdir_path}/reports/metrics").count() == n
     assert spark.read.option("header", True).csv(f"{tmpdir_path}/reports/equity").count() == res.equity.count()
+
+
+def test_scan_in_blocks_equals_plain_windows(spark):
+    from pyspark.sql import Window
+    from barspark.operators.scan import Scan, segmented_scan
+    df = spark.range(3000).selectExpr("id % 3 AS s", "id DIV 3 * (1 + id % 3) AS k", "1 + (hash(id) % 100) / 1e5 AS g",
+                                      "CASE WHEN id % 7 = 0 THEN NULL ELSE CAST(hash(id) % 1000 AS double) END AS v",
+                                      "CASE WHEN id < 600 OR id % 11 < 9 THEN NULL ELSE id END AS p")
+    scans = [Scan("product", "g", "a"), Scan("product_before", "g", "b"), Scan("max", "v", "m"), Scan("sum", "v", "t"),
+             Scan("last", "p", "l"), Scan("lag", "v", "z")]
+    w = Window.partitionBy("s").orderBy("k")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    plain = df.select("*", F.product("g").over(upto).alias("a"),
+                      F.coalesce(F.product("g").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(1.0)).alias("b"),
+                      F.max("v").over(upto).alias("m"), F.sum("v").over(upto).alias("t"),
+                      F.last("p", ignorenulls=True).over(upto).alias("l"), F.lag("v", 1).over(w).alias("z"))
+    expected = plain.toPandas().sort_values(["s", "k"]).reset_index(drop=True)
+    for block, last in ((70, None), (10_000, None), (10_000, 2997)):
+        got = segmented_scan(df, ["s"], "k", scans, block, last).toPandas().sort_values(["s", "k"]).reset_index(drop=True)
+        pd.testing.assert_frame_equal(got[expected.columns], expected, check_exact=False, rtol=1e-9)
+
+
+def test_backtest_in_blocks_equals_one_block(spark, inputs):
+    sig, px, master = inputs
+    costs, slip = pf.CostModel(bps=10.0, minimum_fee=20.0, per_order_fee=1.0), pf.SlippageModel(bps=5.0)
+    frames = []
+    for block in (3, 50_000):
+        cfg = pf.BacktestConfig("1995-01-01", "2001-12-31", 1_000_000.0, block=block)
+        res = pf.run_backtest(sig, px, master, cfg, costs, slip)
+        frames.append((res.equity.toPandas().sort_values(["strategy", "k"]).reset_index(drop=True),
+                       res.summary(cfg).toPandas().sort_values("strategy").reset_index(drop=True), res.passes))
+    for a, b in zip(frames[0][:2], frames[1][:2]):
+        pd.testing.assert_frame_equal(a, b, check_exact=False, rtol=1e-9, atol=1e-12)
+    assert frames[0][2] == frames[1][2] and len(frames[0][0]) > 20
+
+
+def test_long_strategy_is_many_tasks(spark):
+    """1 M rebalance times of one strategy: drawdown and running product in blocks."""
+    equity = spark.range(1_000_000).selectExpr("'s' AS strategy", "id AS k", "100.0D + (id % 1000) - id / 10000 AS portfolio_value")
+    dd = pf.drawdown(equity, block=20_000)
+    per_task = dd.groupBy(F.spark_partition_id()).count()
+    assert dd.agg(F.min("drawdown"), F.max("peak")).first() == (
+        pytest.approx(min((100 + i % 1000 - i / 10000) / (1099 - 0.0999) - 1 for i in range(999, 1_000_000))), pytest.approx(1099 - 0.0999))
+    assert per_task.count() > 1
