@@ -35,9 +35,10 @@ from pyspark.sql import functions as F
 from ..functions.expr import ieee_div
 from ..session import Scratch, checkpoint_keep_partitioning, materialize
 from . import sequence as sq
-from .scan import BLOCK, Scan, segmented_scan
+from .scan import BLK, BLOCK, Scan, block_of, segmented_scan
 from .universe import gate_signals
 
+CAL = "_calendar"
 MIN_TRADE_SHARES = 1e-6  # fixed value: trades below this many shares are not executed
 TRADING_DAYS = 252       # fixed value: annualisation factor
 
@@ -126,6 +127,34 @@ def signal_prices(signals: DataFrame, prices: DataFrame) -> DataFrame:
     return signals.join(one_price(prices), ["timestamp", "symbol"], "left")
 
 
+def calendars(times: DataFrame, strategy_col: str = "strategy") -> DataFrame:
+    """(strategy, _calendar): strategies with the same rebalance times share a calendar, named by
+    the smallest of them. Sets of times are compared by their number and two sums of hashes."""
+    h = [F.sum(F.xxhash64("timestamp", "k", F.lit(i)).cast("decimal(38,0)")).alias(f"_h{i}") for i in (0, 1)]
+    sets = times.groupBy(strategy_col).agg(F.count(F.lit(1)).alias("_h2"), *h)
+    named = sets.groupBy("_h0", "_h1", "_h2").agg(F.min(strategy_col).alias(CAL))
+    return sets.join(named, ["_h0", "_h1", "_h2"]).select(strategy_col, CAL)
+
+
+def last_prices(rows: DataFrame, prices: DataFrame, times: DataFrame, block: int, last_k: int | None) -> DataFrame:
+    """(_calendar, k, symbol, p) for the panel rows' places: the last price at one of the calendar's
+    ``times`` (_calendar, k, timestamp) up to k; null where there is none (NULL and NaN closes are
+    missing, Q15).
+
+    An as-of merge per (calendar, symbol): price rows and asked places are dealt once, by
+    (calendar, symbol, block of k), where prices of one key become one and the last one is
+    carried on. Prices are copied per calendar, not per strategy, and only at its times."""
+    rest = [c for c in prices.columns if c not in ("timestamp", "symbol")]
+    seen = (prices.join(rows.select("symbol").distinct(), "symbol", "left_semi").join(times, "timestamp")
+            .select(CAL, "symbol", "k", F.struct(*rest).alias("_rest"), F.lit(False).alias("_asked")))
+    asked = rows.select(CAL, "symbol", "k", F.lit(None).cast(seen.schema["_rest"].dataType).alias("_rest"), F.lit(True).alias("_asked"))
+    dealt = (seen.unionByName(asked).withColumn(BLK, block_of("k", block)).repartition(CAL, "symbol", BLK)
+             .groupBy(CAL, "symbol", BLK, "k").agg(F.max("_rest")["close"].alias("_close"), F.max("_asked").alias("_asked")))
+    dealt = dealt.withColumn("_px", F.when(~F.isnan("_close"), F.col("_close")))
+    carried = segmented_scan(dealt, [CAL, "symbol"], "k", [Scan("last", "_px", "p")], block, last_k)
+    return carried.where("_asked").select(CAL, "k", "symbol", "p")
+
+
 def build_panel(signals: DataFrame, prices: DataFrame, master: DataFrame, cfg: BacktestConfig,
                 index_members: DataFrame | None = None,
                 numbered: tuple[DataFrame, int | None] | None = None) -> DataFrame:
@@ -139,16 +168,12 @@ def build_panel(signals: DataFrame, prices: DataFrame, master: DataFrame, cfg: B
     rows = (at_k.unionByName(exits).groupBy(s, "k", "symbol")
                 .agg(F.max("w").alias("w"))
                 .join(times, [s, "k"]))   # drops exits past the last time
-    # prices seen at rebalance times (NULL/NaN closes are missing, Q15), for the symbols
-    # a strategy ever holds
-    held_pairs = at_k.select(s, "symbol").distinct()
-    px = (one_price(prices).where(F.col("close").isNotNull() & ~F.isnan("close"))
-          .join(held_pairs, "symbol").join(times, [s, "timestamp"])
-          .select(s, "k", "symbol", F.col("close").alias("_px")))
-    both = rows.join(px, [s, "k", "symbol"], "full_outer")
-    carried = segmented_scan(both, [s, "symbol"], "k", [Scan("last", "_px", "p")], cfg.block, last_k)
-    panel = (carried.where(F.col("timestamp").isNotNull())
-                    .select(s, "k", "timestamp", "symbol",
+    calendar = calendars(times, s)
+    rows = rows.join(calendar, s)
+    priced = last_prices(rows, prices, times.join(calendar, s).where(F.col(s) == F.col(CAL)).select(CAL, "k", "timestamp"),
+                         cfg.block, last_k)
+    carried = rows.join(priced, [CAL, "k", "symbol"])
+    panel = (carried.select(s, "k", "timestamp", "symbol",
                             F.coalesce("w", F.lit(0.0)).alias("w"), "p")
                     .withColumn("w_eff", F.when(F.col("p") != 0, F.col("w")).otherwise(F.lit(0.0)))
                     .withColumn("_now", F.struct("k", "w_eff", "p")))

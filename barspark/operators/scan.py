@@ -72,14 +72,19 @@ def _combined(s: Scan, carry: Column) -> Column:
     return F.greatest(own, carry) if s.kind == "max" else F.coalesce(own, carry)
 
 
+def block_of(index: str, block: int) -> Column:
+    return F.floor(F.col(index) / block).cast("long")
+
+
 def segmented_scan(df: DataFrame, keys: Sequence[str], index: str, scans: Sequence[Scan],
                    block: int = BLOCK, last_index: int | None = None) -> DataFrame:
     """``df`` with a column per scan, in order of ``index`` within ``keys``. ``df`` is read twice
-    (for the carries, for the rows). Where the caller knows the greatest index, an index below
+    (for the carries, for the rows). A frame already shuffled by ``keys`` and a column ``_blk``
+    of ``block_of`` is not shuffled again. Where the caller knows the greatest index, an index below
     ``block`` means one block per key, and no carries are made."""
     keys = list(keys)
     part = [*keys, BLK]
-    cut = df.withColumn(BLK, F.floor(F.col(index) / block).cast("long"))
+    cut = df if BLK in df.columns else df.withColumn(BLK, block_of(index, block))
     order = Window.partitionBy(*part).orderBy(index)
     rows = cut.select("*", *(_inside(s, order).alias(s.out) for s in scans))
     if last_index is None or last_index >= block:

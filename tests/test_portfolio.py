@@ -197,3 +197,31 @@ def test_long_strategy_is_many_tasks(spark):
     assert dd.agg(F.min("drawdown"), F.max("peak")).first() == (
         pytest.approx(min((100 + i % 1000 - i / 10000) / (1099 - 0.0999) - 1 for i in range(999, 1_000_000))), pytest.approx(1099 - 0.0999))
     assert per_task.count() > 1
+
+
+def test_strategies_with_the_same_times_share_prices(spark, inputs):
+    sig, px, master = inputs
+    cfg = pf.BacktestConfig("1995-01-01", "2001-12-31", 1_000_000.0, block=4)
+    first = sig.where(sig.strategy == sig.agg(F.min("strategy")).first()[0])
+    twins = first.unionByName(first.withColumn("strategy", F.col("strategy") + 100)).unionByName(
+        first.where("dayofmonth(timestamp) % 2 = 0").withColumn("strategy", F.col("strategy") + 200))
+    times = pf.rebalance_times(twins, cfg)
+    by_strategy = {r[0]: r[1] for r in pf.calendars(times).collect()}
+    assert len(by_strategy) == 3 and len(set(by_strategy.values())) == 2
+    panel = pf.build_panel(twins, px, master, cfg).toPandas()
+    one, two, _ = (panel[panel.strategy == s].drop(columns=["strategy", "_calendar"], errors="ignore")
+                   .sort_values(["k", "symbol"]).reset_index(drop=True) for s in sorted(by_strategy))
+    pd.testing.assert_frame_equal(one, two)
+
+
+def test_price_rows_are_shuffled_once(spark, inputs):
+    """Beyond the broadcasts, price rows meet one exchange, although repeated keys are joined and
+    the last price is carried in it."""
+    from pyspark.sql import types as T
+    cal = T.StructType.fromDDL("_calendar int, k long, timestamp timestamp_ntz")
+    times = spark.createDataFrame([], cal)
+    rows = spark.createDataFrame([], "_calendar int, k long, symbol string")
+    p = pf.last_prices(rows, inputs[1].select("timestamp", F.col("symbol").cast("string").alias("symbol"), "close"),
+                       F.broadcast(times), 50, 10)
+    parts = spark._jvm.PythonSQLUtils.explainString(p._jdf.queryExecution(), "formatted").split("\n\n")
+    assert len([x for x in parts if ") Exchange" in x.split("\n")[0] and "_rest#" in x]) == 1
