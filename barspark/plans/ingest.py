@@ -5,8 +5,12 @@ Any number of files at once, judged one by one:
   S9 hash and header of every file -> J7 skip hashes in the ledger, keep one path per
   hash -> C2 header gate per file -> S1 scan as text -> P3 exchange time to UTC, typed
   columns -> C2 value gate per file -> W10 keep-last dedupe -> W1 gaps, A6 MAD split per
-  file -> K2 quarantine, K1 clean zstd Parquet (one partition per source hash) -> K3
-  ledger rows appended -> K8 audit events and O2 alerts per file.
+  file -> K1 clean zstd Parquet, K2 quarantine (one partition per source hash each) -> K3
+  ledger commit -> K8 audit events and O2 alerts per file.
+
+The ledger's commit is the one point at which a file counts as ingested. Data and quarantine
+are written before it, into partitions that a rerun overwrites: a run that fails anywhere
+leaves nothing twice after its rerun, and ``ledger.published`` reads recorded files only.
 
 A file that fails a gate fails alone: the others are written and recorded, then the job
 raises (unless told not to). The per-file tables (``planned``, ``outcomes``) are
@@ -27,7 +31,7 @@ from ..operators.schema import contract
 from ..session import Scratch
 from ..sinks import audit as au
 from ..sinks import ledger as lg
-from ..sinks.files import append_quarantine, write_parquet_zstd
+from ..sinks.files import write_parquet_zstd, write_quarantine
 from ..sources.io import landing_files
 
 SRC = "_source_file"
@@ -247,12 +251,13 @@ def _run(spark, cfg: IngestConfig, rep: IngestReport, scratch: Scratch, event, m
     scored, result = assess(text_rows(spark, cfg, planned), cfg, scratch)
     mark("scan_gate_dedupe_outliers")
     names = contract(cfg.dataset).names
-    if cfg.quarantine_path:
-        append_quarantine(scored.filter("is_outlier").drop(TIMES), cfg.quarantine_path, cfg.run_id, level=cfg.zstd_level)
-        mark("quarantine")
+    # every write replaces its file's partition; the ledger's commit comes last and publishes them
     write_parquet_zstd(scored.filter(~F.col("is_outlier")).select(*names, "source_hash"), cfg.destination, cfg.zstd_level,
                        mode="overwrite", partition_by=("source_hash",), options={"partitionOverwriteMode": "dynamic"})
     mark("clean_write")
+    if cfg.quarantine_path:
+        write_quarantine(scored.filter("is_outlier").drop(TIMES), cfg.quarantine_path, cfg.run_id, level=cfg.zstd_level)
+        mark("quarantine")
     if cfg.ledger_path:
         now = F.current_timestamp().cast("timestamp_ntz")
         place = F.concat(F.lit(cfg.destination.rstrip("/") + "/source_hash="), "source_hash")
@@ -260,7 +265,7 @@ def _run(spark, cfg: IngestConfig, rep: IngestReport, scratch: Scratch, event, m
                 .select(F.col(SRC).alias("source_path"), place.alias("destination_path"), "source_hash",
                         F.col("rows_clean").alias("row_count"), F.lit("completed").alias("status"),
                         now.alias("created_at"), now.alias("completed_at")))
-        lg.append(scratch.save(runs, "runs"), ledger, cfg.ledger_path)
+        lg.append(scratch.save(runs, "runs"), cfg.ledger_path)
         event(result.filter("status = 'passed'").select(F.col(SRC).alias("source"), F.col("rows_clean").alias("row_count")),
               "ingestion_metadata_recorded")
         mark("ledger")

@@ -18,16 +18,16 @@ def write_parquet_zstd(df: DataFrame, path: str, level: int = 3, mode: str = "ov
     w.parquet(path)
 
 
-def append_quarantine(rows: DataFrame, path: str, run_id: str, source_hash_col: str | None = None,
-                      level: int = 3) -> None:
-    """K2: quarantined rows appended to one table with run_id (and the source
-    hash per row) instead of a clock-stamped file name (Q13). Nothing is
-    written for an empty set: the writer creates no files for empty
-    partitions beyond the commit marker."""
+def write_quarantine(rows: DataFrame, path: str, run_id: str, source_hash_col: str = "source_hash",
+                     level: int = 3) -> None:
+    """K2: quarantined rows in one table, with run_id as a column instead of a clock-stamped
+    file name (Q13), one partition per source hash. A rerun of a file overwrites its
+    partition, so its outliers are there once, whatever happened to the run before."""
     out = rows.withColumn("run_id", F.lit(run_id))
-    if source_hash_col and source_hash_col in rows.columns:
+    if source_hash_col != "source_hash":
         out = out.withColumnRenamed(source_hash_col, "source_hash")
-    write_parquet_zstd(out, path, level, mode="append", partition_by=("run_id",))
+    write_parquet_zstd(out, path, level, mode="overwrite", partition_by=("source_hash",),
+                       options={"partitionOverwriteMode": "dynamic"})
 
 
 def materialise(spark: SparkSession, df: DataFrame, path: str) -> str:

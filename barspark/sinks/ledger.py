@@ -1,11 +1,23 @@
 """Ingestion-run ledger kept as a table.
 
-The ledger only ever grows: a run appends its rows, and ``current`` reads the state as the
-latest run per source hash, so a failed write loses nothing and no path is
-overwritten. ``upsert`` gives the same merge for ledgers kept as one table.
+The ledger only ever grows: a run appends its rows as one numbered commit file, and
+``current`` reads the state as the latest run per source hash, so a failed write loses
+nothing and no path is overwritten. ``upsert`` gives the same merge for ledgers kept as
+one table.
+
+A commit is written to a staging folder and then given the next number by one
+create-if-absent: of two runs that read the same last number, one fails, reads the
+ledger again and numbers its rows after the other's. Ids are therefore distinct whoever
+writes at the same time. (The file system must refuse to rename onto an existing file, as
+HDFS and local disks do; object stores need a committer that does.)
 """
 from __future__ import annotations
 
+import os
+import uuid
+from urllib.parse import unquote, urlparse
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,9 +76,66 @@ def numbered(runs: DataFrame, ledger: DataFrame) -> DataFrame:
     return seq.frame.withColumn("id", max_id + F.col(sq.RN) + 1).select(*LEDGER_COLUMNS)
 
 
-def append(runs: DataFrame, ledger: DataFrame, path: str) -> None:
-    """Add a batch's runs to the ledger at ``path`` (whose rows so far are ``ledger``)."""
-    numbered(one_per_hash(runs), ledger).write.mode("append").parquet(path)
+def append(runs: DataFrame, path: str, tries: int = 100) -> int:
+    """Commit a batch's runs to the ledger at ``path``; returns the commit's number. ``runs`` is
+    small (a row per file) and read once per try."""
+    spark, base = runs.sparkSession, path.rstrip("/")
+    batch = one_per_hash(runs)
+    for _ in range(tries):
+        names = _committed(spark, base)
+        ledger = spark.read.schema(LEDGER_SCHEMA).parquet(*[f"{base}/{n}" for n in names]) if names else \
+            spark.createDataFrame([], LEDGER_SCHEMA)
+        number = 1 + max([int(n[7:-8]) for n in names if n.startswith("commit-")], default=0)
+        stage = f"{base}/_staging-{uuid.uuid4().hex}"
+        numbered(batch, ledger).coalesce(1).write.parquet(stage)
+        written = _committed(spark, stage)
+        done = not written or _rename_if_absent(spark, f"{stage}/{written[0]}", f"{base}/commit-{number:012d}.parquet")
+        fs, place = _place(spark, stage)
+        fs.delete(place, True)
+        if done:
+            return number
+    raise RuntimeError(f"the ledger at {path} was changed by others {tries} times in a row")
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _committed(spark: SparkSession, path: str) -> list[str]:
+    """Names of the Parquet files at ``path``; none where it does not exist."""
+    fs, place = _place(spark, path)
+    if not fs.exists(place):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(place) if f.isFile()]
+    return sorted(n for n in names if n.endswith(".parquet") and n[0] not in "._")
+
+
+def _rename_if_absent(spark: SparkSession, source: str, target: str) -> bool:
+    """One atomic step: ``target`` becomes ``source``, or exists already (false)."""
+    fs, place = _place(spark, target)
+    if fs.getUri().getScheme() == "file":   # Hadoop's local rename looks first and moves then; a hard link is one step
+        try:
+            os.link(*(unquote(urlparse(p).path) for p in (source, target)))
+            return True
+        except FileExistsError:
+            return False
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    plain = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(_place(spark, source)[1], place, plain)
+        return True
+    except Py4JJavaError as exc:
+        if "FileAlreadyExistsException" in exc.java_exception.getClass().getName():
+            return False
+        raise
+
+
+def published(data: DataFrame, ledger: DataFrame, hash_col: str = "source_hash") -> DataFrame:
+    """The rows of ``data`` (clean or quarantined) whose file is recorded: what a run wrote and did
+    not commit is left out, until a rerun overwrites and records it."""
+    return data.join(ledger.select(F.col("source_hash").alias(hash_col)).distinct(), hash_col, "left_semi")
 
 
 def upsert(ledger: DataFrame, runs: DataFrame) -> DataFrame:

@@ -60,7 +60,9 @@ def landing_files(spark: SparkSession, paths, cell_limit: int = CELL_LIMIT) -> D
     file that does not fit a cell is read in blocks by a task through pyarrow's
     filesystem of its URI. The filter on ``length`` is pushed to the listing, so no
     file is read twice."""
-    every = spark.read.format("binaryFile").load(paths if isinstance(paths, (list, tuple)) else [paths])
+    # named like the rows that readers take from a file (its path column does not encode blanks and brackets)
+    every = (spark.read.format("binaryFile").load(paths if isinstance(paths, (list, tuple)) else [paths])
+             .withColumn("path", F.col("_metadata.file_path")))
     head = F.substring_index(F.substring("content", 1, HEADER_BYTES).cast("string"), "\n", 1)
     small = every.filter(F.col("length") < cell_limit).select("path", "length", F.sha2("content", 256).alias("source_hash"),
                                                               head.alias("header"))

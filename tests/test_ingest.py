@@ -116,7 +116,7 @@ def test_identical_files_are_ingested_once(spark, tmpdir_path):
 def test_a_damaged_ledger_is_not_a_new_one(spark, tmpdir_path):
     _file(tmpdir_path, "a.csv", _rows(4))
     ig.ingest(spark, _cfg(tmpdir_path, "r1"))
-    part = glob.glob(f"{tmpdir_path}/ledger/part-*.parquet")[0]
+    part = glob.glob(f"{tmpdir_path}/ledger/commit-*.parquet")[0]
     crc = os.path.join(os.path.dirname(part), "." + os.path.basename(part) + ".crc")
     if os.path.exists(crc):
         os.remove(crc)
@@ -125,7 +125,7 @@ def test_a_damaged_ledger_is_not_a_new_one(spark, tmpdir_path):
     _file(tmpdir_path, "b.csv", _rows(4, "B"))
     with pytest.raises(Exception):
         ig.ingest(spark, _cfg(tmpdir_path, "r2"))
-    assert [os.path.basename(p) for p in glob.glob(f"{tmpdir_path}/ledger/part-*.parquet")] == [os.path.basename(part)]
+    assert [os.path.basename(p) for p in glob.glob(f"{tmpdir_path}/ledger/commit-*.parquet")] == [os.path.basename(part)]
     assert "ingestion_failed" in {e["event"] for e in _events(tmpdir_path)}
 
 
@@ -199,6 +199,80 @@ def test_streaming_landing(spark, tmpdir_path):
     assert run() == 8
 
 
+def test_a_batch_hashes_only_its_own_files(spark, tmpdir_path, monkeypatch):
+    hashed, real = [], ig.landing_files
+    monkeypatch.setattr(ig, "landing_files", lambda spark, source: hashed.append(sorted(map(os.path.basename, source))) or real(spark, source))
+
+    def run():
+        start_ingest_stream(spark, f"{tmpdir_path}/land", _cfg(tmpdir_path, "s"), checkpoint_location=f"{tmpdir_path}/ckpt",
+                            max_files=2).awaitTermination(300)
+    for k in range(3):
+        _file(tmpdir_path, f"a{k}.csv", _rows(4, f"S{k}"))
+    run()
+    assert sorted(len(b) for b in hashed) == [1, 2] and sorted(sum(hashed, [])) == ["a0.csv", "a1.csv", "a2.csv"]
+    _file(tmpdir_path, "[odd] {name}*.csv", _rows(3, "T"))
+    run()
+    assert [n.replace("\\", "") for n in hashed[2]] == ["[odd] {name}*.csv"] and len(hashed) == 3
+    assert spark.read.parquet(f"{tmpdir_path}/out").count() == 15
+
+
+def _outlier_file(root, name, symbol):
+    """60 rows around 101 and one of 9000."""
+    _file(root, name, f"2024-01-01 08:00:00,{symbol},1,2,0.5,9000,10,3\n"
+          + "".join(f"2024-01-01 11:{i:02d}:00,{symbol},1,2,0.5,{100 + i % 3},10,3\n" for i in range(60)))
+
+
+@pytest.mark.parametrize("step", ["write_parquet_zstd", "write_quarantine", "append", "event"])
+def test_a_run_that_fails_after_a_step_leaves_nothing_twice(spark, tmpdir_path, monkeypatch, step):
+    _outlier_file(tmpdir_path, "a.csv", "A")
+    ig.ingest(spark, _cfg(tmpdir_path, "r0"))
+    _outlier_file(tmpdir_path, "b.csv", "B")
+    home = lg if step == "append" else ig.au if step == "event" else ig
+    name = "append_json" if step == "event" else step
+    real, calls = getattr(home, name), []
+
+    def breaks(*args, **kw):
+        out = real(*args, **kw)
+        calls.append(1)
+        if step != "event" or "mad_outliers_persisted" in str(args[0].select("event").first()):
+            raise OSError("lost")
+        return out
+    with monkeypatch.context() as m:
+        m.setattr(home, name, breaks)
+        with pytest.raises(OSError):
+            ig.ingest(spark, _cfg(tmpdir_path, "r1"))
+    assert calls
+    committed = step in ("append", "event")
+    state = lg.read(spark, f"{tmpdir_path}/ledger")
+    assert state.count() == 1 + committed
+    assert lg.published(spark.read.parquet(f"{tmpdir_path}/out"), state).count() == 60 * (1 + committed)
+    rep = ig.ingest(spark, _cfg(tmpdir_path, "r2"))
+    assert rep.files == (not committed)
+    state = lg.read(spark, f"{tmpdir_path}/ledger")
+    assert sorted(r.id for r in state.collect()) == [1, 2]
+    for path, n in (("out", 120), ("q", 2)):
+        data = spark.read.parquet(f"{tmpdir_path}/{path}")
+        assert data.count() == n == lg.published(data, state).count()
+    assert spark.read.parquet(f"{tmpdir_path}/q").groupBy("source_hash").count().where("count > 1").count() == 0
+
+
+def test_concurrent_commits_have_distinct_ids(spark, tmpdir_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def runs(k):
+        rows = [(f"{k}-{i}.csv", "d", f"h{k}-{i}" if i else "shared", i, "completed", dt.datetime(2024, 1, 1 + k), dt.datetime(2024, 1, 1 + k))
+                for i in range(4)]
+        return spark.createDataFrame(rows, lg.LEDGER_SCHEMA.replace("id long, ", ""))
+    with ThreadPoolExecutor(6) as pool:
+        numbers = list(pool.map(lambda k: lg.append(runs(k), f"{tmpdir_path}/ledger"), range(6)))
+    assert sorted(numbers) == [1, 2, 3, 4, 5, 6]
+    log = lg.read(spark, f"{tmpdir_path}/ledger")
+    assert sorted(r.id for r in log.collect()) == list(range(1, 25))
+    now = lg.current(log)
+    assert now.count() == 19 == now.select("source_hash").distinct().count()
+    assert not glob.glob(f"{tmpdir_path}/ledger/_staging*")
+
+
 def test_reference_tables(spark, tmpdir_path):
     m = sio.load_reference(spark, None, sio.load_symbol_master)
     assert m.count() == 3 and m.where("end_date IS NULL").count() == 3
