@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import valid_at
+from .intervals import day_of, join_points
 
 
 def universe_as_of(master: DataFrame, as_of, index_members: DataFrame | None = None,
@@ -19,31 +20,22 @@ def universe_as_of(master: DataFrame, as_of, index_members: DataFrame | None = N
     return u.join(m.select("symbol"), "symbol", "left_semi")
 
 
-def _interval_months(df: DataFrame, lo: str, hi: str) -> DataFrame:
-    """Explode every validity interval into the months it touches, clipped to
-    [lo, hi] (the first and last instant asked for). The fan-out is the
-    interval length in months, not the data size."""
-    start = F.date_trunc("month", F.greatest(F.col("start_date"), F.col(lo)))
-    end = F.date_trunc("month", F.least(F.coalesce(F.col("end_date"), F.col(hi)), F.col(hi)))
-    return (df.where(F.col("start_date").isNotNull() & (start <= end))
-              .withColumn("_month", F.explode(F.sequence(start, end, F.expr("INTERVAL 1 MONTH")))))
+#: Day that stands for an open end (year 9999; days keep intervals under 64 segments)
+LAST_DAY = 2_932_896
 
 
 def universe_at(master: DataFrame, instants: DataFrame, time_col: str = "timestamp",
                 index_members: DataFrame | None = None, index_name: str | None = None) -> DataFrame:
     """(instant, symbol) for every instant of ``instants`` and every
-    symbol valid at it. An interval-vs-instant join written as an equi join
-    on the month bucket plus the validity residual, so neither side is
-    broadcast blindly and no nested-loop join is planned."""
+    symbol valid at it. The validity interval is cut into dyadic segments of days
+    (``intervals``) and meets the instants in an equi join, the exact bounds are a
+    residual: no nested-loop join, and a few rows per interval, however long."""
     inst = instants.select(F.col(time_col).alias("_t")).distinct()
-    # first and last instant as scalar subqueries (no join)
-    m = master.select("symbol", "start_date", "end_date",
-                      inst.agg(F.min("_t")).scalar().alias("_lo"), inst.agg(F.max("_t")).scalar().alias("_hi"))
-    months = _interval_months(m, "_lo", "_hi")
-    it = inst.withColumn("_month", F.date_trunc("month", "_t"))
-    u = (months.join(it, "_month")
-               .where(valid_at("start_date", "end_date", "_t"))
-               .select(F.col("_t").alias(time_col), "symbol").distinct())
+    m = master.select("symbol", "start_date", "end_date").where(F.col("start_date").isNotNull())
+    end = F.coalesce(day_of("end_date"), F.lit(LAST_DAY).cast("long"))
+    u = (join_points(inst, day_of("_t"), m, day_of("start_date"), end)
+         .where(valid_at("start_date", "end_date", "_t"))
+         .select(F.col("_t").alias(time_col), "symbol").distinct())
     if index_name is None:
         return u
     mem = index_members.where(F.col("index") == index_name).select(

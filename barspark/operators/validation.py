@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import epoch_us, sign
 from ..session import Scratch
 from ..sinks.audit import append_run, run_record
+from .intervals import day_of, join_points
 
 DAY_US = 86_400_000_000
 SHARPE_EPS = 1e-12  # fixed value: volatility below this gives a Sharpe ratio of 0
@@ -79,20 +80,16 @@ def generate_folds(df: DataFrame, window_cfg: Mapping[str, Any],
 def fold_rows(df: DataFrame, folds: DataFrame, timestamp_column: str = "timestamp") -> DataFrame:
     """Every row with each (window, fold, role) whose range contains it.
 
-    Folds are expanded into the calendar days they cover (a table sized by the
-    configuration, not by the data), joined to the rows on the day, and the
-    exact inclusive bounds are applied as a residual. No nested-loop join."""
-    def days(lo: str, hi: str, role: str) -> DataFrame:
-        return folds.select("window", "fold", F.col(lo).alias("_lo"), F.col(hi).alias("_hi"),
-                            F.lit(role).alias("role"),
-                            F.explode(F.sequence(F.to_date(lo), F.to_date(hi))).alias("_day"))
-    fd = days("train_start", "train_end", "train").unionByName(
-        days("validation_start", "validation_end", "validation"))
-    rows = df.withColumn("_day", F.to_date(timestamp_column))
+    Folds are cut into dyadic segments of days (``intervals``: a few rows per fold, however
+    long), joined to the rows on (level, segment), and the exact inclusive bounds are applied
+    as a residual. No nested-loop join."""
+    def ranges(lo: str, hi: str, role: str) -> DataFrame:
+        return folds.select("window", "fold", F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), F.lit(role).alias("role"))
+    fd = ranges("train_start", "train_end", "train").unionByName(
+        ranges("validation_start", "validation_end", "validation"))
     ts = F.col(timestamp_column)
-    return (rows.join(fd, "_day")
-                .where((ts >= F.col("_lo")) & (ts <= F.col("_hi")))
-                .drop("_day", "_lo", "_hi"))
+    return (join_points(df, day_of(timestamp_column), fd, day_of("_lo"), day_of("_hi"))
+            .where((ts >= F.col("_lo")) & (ts <= F.col("_hi"))).drop("_lo", "_hi"))
 
 
 # --------------------------------------------------------------------------
