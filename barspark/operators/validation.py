@@ -2,9 +2,14 @@
 (M4, W15, J8, A9, A10, M5-M8, K9, K10)."""
 from __future__ import annotations
 
-from typing import Any, Callable, Mapping, Sequence
-
-from pyspark.sql import Column, DataFrame
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from typing import Any, Callable, Iterator, Mapping, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.expr import epoch_us, sign
@@ -178,31 +183,79 @@ def feature_importances(model, features: Sequence[str]) -> dict[str, float]:
 
 
 def walk_forward_cv(df: DataFrame, folds: DataFrame, features: Sequence[str], target: str,
-                    fit: Callable | None = None, timestamp_column: str = "timestamp") -> DataFrame:
-    """M8: one model per fold (the only driver loop: fits are distributed),
-    metrics on its validation rows, mean per window as ``cv_*`` keys. The rows are
-    written once and each fold filters them by its dates."""
+                    fit: Callable | None = None, timestamp_column: str = "timestamp", parallel: int = 4) -> DataFrame:
+    """M8: one model per fold, metrics on its validation rows, mean per window as ``cv_*`` keys.
+    The rows are written once and each fold filters them by its dates. ``parallel`` folds are
+    fitted at a time: their Spark jobs share the cluster, so the many small steps of one fit
+    don't leave it idle."""
     fit = fit or (lambda train: gbt_regressor(features, target).fit(train))
     spark = df.sparkSession
     scratch = Scratch(spark, "walk-forward")
     base = scratch.save(df.select(timestamp_column, *features, target), "rows")
-    ts, scored = F.col(timestamp_column), None
-    for k, f in enumerate(folds.orderBy("window", "fold").collect()):
+    ts = F.col(timestamp_column)
+
+    @inheritable_thread_target(spark)
+    def scored_fold(k: int, f: Row) -> DataFrame | None:
         train = base.where(ts.between(F.lit(f["train_start"]), F.lit(f["train_end"])))
         val = base.where(ts.between(F.lit(f["validation_start"]), F.lit(f["validation_end"])))
         if train.isEmpty() or val.isEmpty():
-            continue
+            return None
         part = (fit(train).transform(val).select(target, "prediction")
                 .withColumns({"window": F.lit(f["window"]), "fold": F.lit(f["fold"])}))
-        part = scratch.save(part, f"fold{k}")
-        scored = part if scored is None else scored.unionByName(part)
-    if scored is None:
+        return scratch.save(part, f"fold{k}")
+
+    every = list(enumerate(folds.orderBy("window", "fold").collect()))
+    with ThreadPoolExecutor(parallel) as pool:
+        parts = [p for p in pool.map(lambda x: scored_fold(*x), every) if p is not None]
+    if not parts:
         return spark.createDataFrame([], "key string, value double")
-    out = scratch.save(mean_fold_metrics(scored, target, "prediction"), "metrics")
-    scratch.drop("rows", *[f"fold{k}" for k in range(folds.count())])
+    out = scratch.save(mean_fold_metrics(reduce(DataFrame.unionByName, parts), target, "prediction"), "metrics")
+    scratch.drop("rows", *[f"fold{k}" for k, _ in every])
     return out
 
 
+def linear_folds(df: DataFrame, folds: DataFrame, features: Sequence[str], target: str,
+                 timestamp_column: str = "timestamp") -> DataFrame:
+    """(window, fold, coefficients): least squares of ``target`` on a constant and ``features`` over
+    each fold's training rows, all folds at once. The normal equations are sums: they are taken
+    per instant first, so that overlapping folds add up instants, not rows. Rows with a missing
+    value take no part; the smallest solution is taken where features depend on each other."""
+    x = [F.lit(1.0), *(F.col(c).cast("double") for c in features)]
+    y = F.col(target).cast("double")
+    known = reduce(lambda a, b: a & b, [c.isNotNull() & ~F.isnan(c) for c in (*x[1:], y)])
+    pairs = [(i, j) for i in range(len(x)) for j in range(i + 1)]
+    sums = [F.sum(x[i] * x[j]).alias(f"_xx{i}_{j}") for i, j in pairs] + [F.sum(x[i] * y).alias(f"_xy{i}") for i in range(len(x))]
+    names = [f"_xx{i}_{j}" for i, j in pairs] + [f"_xy{i}" for i in range(len(x))]
+    per_instant = df.where(known).groupBy(timestamp_column).agg(*sums)
+    per_fold = (fold_rows(per_instant, folds, timestamp_column).where(F.col("role") == "train")
+                .groupBy("window", "fold").agg(*(F.sum(c).alias(c) for c in names)))
+    width = len(x)
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            left = np.empty((len(b), width, width))
+            for i, j in pairs:
+                left[:, i, j] = left[:, j, i] = b[f"_xx{i}_{j}"]
+            right = b[[f"_xy{i}" for i in range(width)]].to_numpy()
+            out = b[["window", "fold"]].copy()
+            out["coefficients"] = [np.linalg.lstsq(m, v, rcond=None)[0] for m, v in zip(left, right)]
+            yield out
+
+    return per_fold.mapInPandas(solve, "window string, fold int, coefficients array<double>")
+
+
+def walk_forward_linear(df: DataFrame, folds: DataFrame, features: Sequence[str], target: str,
+                        timestamp_column: str = "timestamp") -> DataFrame:
+    """M8 with a linear model: like ``walk_forward_cv``, but every fold is fitted, scored and
+    averaged in one job, without a driver loop."""
+    rows = df.select(timestamp_column, *features, target)
+    held = fold_rows(rows, folds, timestamp_column).where(F.col("role") == "validation")
+    terms = [F.col("coefficients")[0], *(F.col("coefficients")[i] * F.col(c).cast("double") for i, c in enumerate(features, 1))]
+    scored = (held.join(linear_folds(df, folds, features, target, timestamp_column), ["window", "fold"])
+              .withColumn("prediction", reduce(lambda a, b: a + b, terms)))
+    return mean_fold_metrics(scored, target, "prediction")
+
+
 def train_split(df: DataFrame, split_name: str, split_cfg: Mapping[str, Any], features: Sequence[str], target: str,
                 run_name: str, runs_path: str, model_path: str | None = None, fit: Callable | None = None,
                 timestamp_column: str = "timestamp") -> DataFrame:

@@ -554,6 +554,17 @@ avgw AS (SELECT "window", {', '.join(f'avg({m}) AS {m}' for m in _METRICS)} FROM
 SELECT 'cv_' || "window" || '_' || metric AS key, round(value, 6) AS value
 FROM (UNPIVOT avgw ON {', '.join(_METRICS)} INTO NAME metric VALUE value)"""
 
+SQL["cv_linear"] = f"""WITH {_SUP}, {_folds_sql('sup')},
+fit AS (SELECT f."window", f.fold, regr_slope(s.future_return_1d, s.return_1d) AS b,
+               regr_intercept(s.future_return_1d, s.return_1d) AS a
+        FROM sup s JOIN folds f ON s."timestamp" BETWEEN f.train_start AND f.train_end GROUP BY 1, 2),
+src AS (SELECT f."window", f.fold, s.future_return_1d AS y, a + b * s.return_1d AS p
+        FROM folds f JOIN fit USING ("window", fold) JOIN sup s ON s."timestamp" BETWEEN f.validation_start AND f.validation_end),
+{_metrics_sql('src', '"window", fold')},
+avgw AS (SELECT "window", {', '.join(f'avg({m}) AS {m}' for m in _METRICS)} FROM m2 GROUP BY "window")
+SELECT 'cv_' || "window" || '_' || metric AS key, round(value, 6) AS value
+FROM (UNPIVOT avgw ON {', '.join(_METRICS)} INTO NAME metric VALUE value)"""
+
 # ---- rewards ---------------------------------------------------------------
 _LIN = [i * ((0.2 - 1.0) / 8) + 1.0 for i in range(8)] + [0.2]
 _SIG = "0.0::DOUBLE"

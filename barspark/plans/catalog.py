@@ -568,6 +568,12 @@ def q_cv_metrics(spark, sf):
     return va.cv_metrics_from_folds(tagged, tname, "return_1d").select("key", *r6("value"))
 
 
+@query
+def q_cv_linear(spark, sf):
+    sup, _, tname = _supervised(spark, sf)
+    return va.walk_forward_linear(sup, _folds(sup), ["return_1d"], tname).select("key", *r6("value"))
+
+
 # ---- rewards (R1-R5, W13, W14, A12, A13) ----------------------------------
 RL = DEFAULT_CONFIG["rl"]
 BASIC = [feat.column_name(d) for d in DEFAULT_CONFIG["feature_sets"]["basic_price"]["features"]]

@@ -219,3 +219,51 @@ def test_entry_contract(spark):
     rows = out.collect()
     assert len(rows) >= 1 and "sharpe_ratio" in out.columns
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_linear_folds_against_numpy(spark, sf):
+    import numpy as np
+    sup, names, target = feat.prepare_supervised(fx.bars(spark, sf), DEFAULT_CONFIG, "basic_price")
+    folds = va.generate_folds(sup, {"name": "w", "training_days": 200, "validation_days": 40, "step_days": 60})
+    pdf, by_fold = sup.toPandas(), {r.fold: r for r in folds.collect()}
+    got = {r.fold: r.coefficients for r in va.linear_folds(sup, folds, names[:3], target).collect()}
+    assert len(got) > 3
+    errors = []
+    for k, f in sorted(by_fold.items()):
+        part = pdf[(pdf.timestamp >= f.train_start) & (pdf.timestamp <= f.train_end)].dropna(subset=[*names[:3], target])
+        x = np.column_stack([np.ones(len(part)), part[names[:3]].to_numpy(float)])
+        if not len(part):
+            assert k not in got
+            continue
+        want = np.linalg.lstsq(x, part[target].to_numpy(float), rcond=None)[0]
+        assert np.allclose(got[k], want, rtol=1e-4, atol=1e-6)
+        val = pdf[(pdf.timestamp >= f.validation_start) & (pdf.timestamp <= f.validation_end)]
+        if len(val):
+            p = np.column_stack([np.ones(len(val)), val[names[:3]].to_numpy(float)]) @ want
+            errors.append(np.sqrt(np.mean((p - val[target]) ** 2)))
+    out = {r.key: r.value for r in va.walk_forward_linear(sup, folds, names[:3], target).collect()}
+    assert out["cv_w_rmse"] == pytest.approx(np.mean(errors), rel=1e-6)
+
+
+def test_folds_are_fitted_side_by_side(spark, sf):
+    """Several folds are in their fit at once, never more than asked for."""
+    import threading
+    import time
+    sup, names, target = feat.prepare_supervised(fx.bars(spark, sf), DEFAULT_CONFIG, "basic_price")
+    folds = va.generate_folds(sup, {"name": "w", "training_days": 200, "validation_days": 40, "step_days": 60}).limit(8)
+    running, most, lock = [], [], threading.Lock()
+
+    class Mean:
+        def transform(self, val):
+            return val.withColumn("prediction", F.lit(0.0))
+
+    def fit(train):
+        with lock:
+            running.append(1)
+            most.append(len(running))
+        time.sleep(0.4)
+        with lock:
+            running.pop()
+        return Mean()
+    out = {r.key: r.value for r in va.walk_forward_cv(sup, folds, names, target, fit=fit, parallel=4).collect()}
+    assert 1 < max(most) <= 4 and out["cv_w_rmse"] > 0
