@@ -1,7 +1,6 @@
 """The registered queries of the operators and their DuckDB SQL."""
 from __future__ import annotations
 
-import corpus_pipeline
 from barspark.llm import align, audit, bestfit, chat, embeddings, lm, minhash, nbest, packing, rules, toxicity, urls, weak
 
 QUERIES = {
@@ -18,7 +17,6 @@ QUERIES = {
     "op11_filter_audit": audit.op11_filter_audit,
     "op12_alignment": align.op12_alignment,
     "op13_best_fit": bestfit.op13_best_fit,
-    "pipeline": corpus_pipeline.run,
 }
 
 SQL = {
@@ -27,5 +25,3 @@ SQL = {
     "op4_link_trust": urls.SQL,
     "op11_filter_audit": audit.SQL,
 }
-if corpus_pipeline.ORACLE_SQL:
-    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
