@@ -75,7 +75,9 @@ def propagate(seeds: DataFrame, edges: DataFrame, s: Scratch, damping: float = D
 
     score = (1 - damping) seed + damping * sum of what its neighbours hand on, shared by
     edge weight; trust along the edges, distrust against them. One join and one
-    pre-aggregated sum per round for both; ends when no score moves by ``tolerance``."""
+    pre-aggregated sum per round for both; ends when no score moves by ``tolerance``, or after
+    ``rounds`` rounds, when ``damping ** rounds`` of a seed's score at most is still on its way.
+    What reaches a host without edges to hand it on stays there."""
     both = edges.select("src", "dst", F.lit("trust").alias("kind"), "n").union(
         edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.lit("distrust").alias("kind"), "n"))
     out = both.groupBy("src", "kind").agg(F.sum("n").alias("total"))
