@@ -19,6 +19,7 @@ ordinary tables joined by path; the driver only sees the run's totals.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,6 +60,7 @@ class IngestConfig:
     ledger_path: str | None = None
     quarantine_path: str | None = None
     audit_path: str | None = None
+    runs_path: str | None = None     # K9/O1: one row of metrics per run, failed ones too
     application: str = "barspark.ingest"
     raise_on_rejected: bool = True
 
@@ -74,6 +76,7 @@ class IngestReport:
     quarantined: int = 0
     gaps: int = 0
     duplicates_collapsed: int = 0
+    rows_written: int = 0          # counted by the clean write itself
     duration_s: float = 0.0
     timings: dict[str, float] = field(default_factory=dict)   # O1: seconds per step
 
@@ -215,10 +218,21 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
                 details = spark.createDataFrame([tuple(details.values())], list(details))
             au.append_json(au.audit_event(details, name, cfg.application, run_ts, level), cfg.audit_path)
 
+    def record(failures: int) -> None:
+        """The run's metrics as a row of the runs table; ``last_success`` is the second of a good end."""
+        if cfg.runs_path:
+            counts = {k: v for k, v in rep.__dict__.items() if k != "timings"}
+            steps = {f"seconds_{k}": v for k, v in rep.timings.items()}
+            ended = {} if failures else {"last_success": time.time()}
+            au.append_run(au.run_record(spark, cfg.run_id, {"source": cfg.source, "destination": cfg.destination},
+                                        {**counts, **steps, "failures": failures, **ended}), cfg.runs_path)
+
     event({"source": str(cfg.source), "destination": cfg.destination, "run_id": cfg.run_id}, "ingestion_started")
     try:
         rejected = _run(spark, cfg, rep, scratch, event, mark)
     except Exception as exc:
+        rep.duration_s = time.time() - began
+        record(1)
         event({"source": str(cfg.source), "destination": cfg.destination, "error": f"{type(exc).__name__}: {str(exc)[:500]}"},
               "ingestion_failed", "ERROR")
         raise
@@ -227,6 +241,7 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
     rep.duration_s = time.time() - began
     event({"row_count": rep.rows_out, "files": rep.files, "rejected": rep.rejected,
            "duration_seconds": round(rep.duration_s, 3)}, "ingestion_completed")
+    record(0)
     if rejected and cfg.raise_on_rejected:
         raise RejectedFiles(f"{rep.rejected} file(s) rejected, {rep.files} ingested; see the audit log of run {cfg.run_id}")
     return rep
@@ -252,8 +267,11 @@ def _run(spark, cfg: IngestConfig, rep: IngestReport, scratch: Scratch, event, m
     mark("scan_gate_dedupe_outliers")
     names = contract(cfg.dataset).names
     # every write replaces its file's partition; the ledger's commit comes last and publishes them
-    write_parquet_zstd(scored.filter(~F.col("is_outlier")).select(*names, "source_hash"), cfg.destination, cfg.zstd_level,
+    clean, seen = au.observed(scored.filter(~F.col("is_outlier")).select(*names, "source_hash"), f"clean-{uuid.uuid4().hex}",
+                              F.count(F.lit(1)).alias("rows"))
+    write_parquet_zstd(clean, cfg.destination, cfg.zstd_level,
                        mode="overwrite", partition_by=("source_hash",), options={"partitionOverwriteMode": "dynamic"})
+    rep.rows_written = seen.get["rows"]
     mark("clean_write")
     if cfg.quarantine_path:
         write_quarantine(scored.filter("is_outlier").drop(TIMES), cfg.quarantine_path, cfg.run_id, level=cfg.zstd_level)

@@ -256,6 +256,21 @@ def test_a_run_that_fails_after_a_step_leaves_nothing_twice(spark, tmpdir_path,
     assert spark.read.parquet(f"{tmpdir_path}/q").groupBy("source_hash").count().where("count > 1").count() == 0
 
 
+def test_every_run_leaves_its_metrics(spark, tmpdir_path, monkeypatch):
+    _file(tmpdir_path, "a.csv", _rows(9))
+    ig.ingest(spark, _cfg(tmpdir_path, "r1", runs_path=f"{tmpdir_path}/runs"))
+    _file(tmpdir_path, "b.csv", _rows(5, "B"))
+    with monkeypatch.context() as m:
+        m.setattr(lg, "append", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            ig.ingest(spark, _cfg(tmpdir_path, "r2", runs_path=f"{tmpdir_path}/runs"))
+    runs = {r.run_name: r.metrics for r in spark.read.parquet(f"{tmpdir_path}/runs").collect()}
+    assert runs["r1"]["rows_in"] == runs["r1"]["rows_written"] == runs["r1"]["rows_out"] == 9
+    assert runs["r1"]["failures"] == 0 and abs(runs["r1"]["last_success"] - time.time()) < 600
+    assert runs["r2"]["failures"] == 1 and "last_success" not in runs["r2"] and runs["r2"]["rows_written"] == 5
+    assert runs["r1"]["duration_s"] > 0 and runs["r1"]["seconds_clean_write"] > 0
+
+
 def test_concurrent_commits_have_distinct_ids(spark, tmpdir_path):
     from concurrent.futures import ThreadPoolExecutor
 
