@@ -4,6 +4,7 @@ from __future__ import annotations
 import os
 from typing import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,10 +32,13 @@ def csv_scan(spark: SparkSession, paths, schema: T.StructType | None = None,
 
 
 def parquet_scan(spark: SparkSession, path: str) -> DataFrame:
-    """S3: a missing dataset raises FileNotFoundError before any job runs."""
-    if "://" not in path and not os.path.exists(path):
-        raise FileNotFoundError(f"Dataset not found at {path}")
-    return spark.read.parquet(path)
+    """S3: a missing dataset raises FileNotFoundError before any job runs, on every file system."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"nothing to read at {path}") from exc
 
 
 def file_issues(spark: SparkSession, path: str, schema: T.StructType,

@@ -316,3 +316,20 @@ def test_outlier_statistics_are_per_source_file(spark):
     assert len(q) == 1 and q[0]["_source_file"] == "a.csv" and q[0].close == 130.0
     assert scored.where("_source_file = 'b.csv' AND NOT is_outlier").count() == 20
     assert {r["_source_file"]: r.outliers for r in result.collect()} == {"a.csv": 1, "b.csv": 0}
+
+
+def test_scans_and_known_files(spark, tmpdir_path):
+    _file(tmpdir_path, "a b.csv", _rows(3))
+    schema = sc.contract("market_data")
+    got = sio.csv_scan(spark, f"{tmpdir_path}/land/*.csv", schema, text_columns=("timestamp",)).collect()
+    assert len(got) == 3 and got[0].timestamp == "2024-01-01 09:00:00" and got[0].trade_count == 3 and got[0].close == 1.0
+    assert got[0]._source_file.endswith("a%20b.csv")
+    assert sio.csv_scan(spark, [f"{tmpdir_path}/land/a b.csv"], with_source=False, options={"header": "false"}).count() == 4
+    spark.range(5).write.parquet(f"{tmpdir_path}/p")
+    assert sio.parquet_scan(spark, f"{tmpdir_path}/p").count() == 5
+    with pytest.raises(FileNotFoundError, match="nowhere"):
+        sio.parquet_scan(spark, f"file://{tmpdir_path}/nowhere")
+    files = sio.source_hashes(spark, f"{tmpdir_path}/land/*.csv")
+    other = files.withColumn("source_hash", F.lit("other"))
+    assert lg.already_ingested(files.unionByName(other), files).count() == 1
+    assert lg.new_files(files.unionByName(other), files).first().source_hash == "other"
