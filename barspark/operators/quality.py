@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Iterable, Sequence
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,17 +11,12 @@ from pyspark.sql import types as T
 
 from ..functions.expr import epoch_us, frequency_us
 from . import sequence as sq
+from .schema import require_columns
 from .stats import exact_quantile, small
 
 MAD_SCALE = 0.67448975  # fixed value: consistency constant of the reference's MAD score
 
 
-def require_columns(df: DataFrame, columns: Iterable[str], what: str = "frame") -> None:
-    missing = sorted(set(columns) - set(df.columns))
-    if missing:
-        raise KeyError(f"{what} missing required columns: {missing}")
-
-
 # --------------------------------------------------------------------------
 # W1 gaps
 # --------------------------------------------------------------------------
@@ -37,7 +32,7 @@ def detect_time_gaps(df: DataFrame, timestamp_column: str, expected_frequency,
     (key, time bucket) with a one-row halo, so no key or global sequence
     is sorted in one task."""
     if timestamp_column not in df.columns:
-        raise KeyError(f"Timestamp column '{timestamp_column}' not present in frame")
+        raise KeyError(f"no column {timestamp_column!r} to look for gaps in")
     freq = frequency_us(expected_frequency)
     keys = list(partition_by)
     ts = F.col(timestamp_column)

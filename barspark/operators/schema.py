@@ -116,7 +116,7 @@ def require_columns(df: DataFrame, columns: Iterable[str], what: str = "frame")
     """C6."""
     missing = sorted(set(columns) - set(df.columns))
     if missing:
-        raise KeyError(f"{what} missing required columns: {missing}")
+        raise KeyError(f"{what}: missing columns {missing}")
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, tuple[object, T.DataType]]) -> DataFrame:

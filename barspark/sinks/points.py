@@ -44,12 +44,12 @@ def to_points(df: DataFrame, measurement: str, timestamp_column: str,
     """Columns: ``keep``..., measurement, tags map<string,string>, fields
     map<string,string> (values as line-protocol literals), time_ns, line."""
     if timestamp_column not in df.columns:
-        raise KeyError(f"Row missing timestamp column '{timestamp_column}'")
+        raise KeyError(f"a point without {timestamp_column!r}")
     tags = [t for t in tag_columns if t in df.columns]
     fields = [(f.name, f.dataType) for f in df.schema.fields
               if f.name not in tags and f.name != timestamp_column]
     ts = F.col(timestamp_column)
-    time_ns = F.when(ts.isNull(), F.raise_error(F.lit(f"Row missing timestamp column '{timestamp_column}'"))) \
+    time_ns = F.when(ts.isNull(), F.raise_error(F.lit(f"a point without {timestamp_column!r}"))) \
                .otherwise(epoch_us(ts) * 1000)
     tag_entries = F.array(*[F.struct(F.lit(t).alias("key"), F.col(t).cast("string").alias("value")) for t in tags]) \
         if tags else F.array().cast("array<struct<key:string,value:string>>")
