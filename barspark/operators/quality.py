@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..functions.expr import epoch_us, frequency_us
 from . import sequence as sq
 from .schema import require_columns
-from .stats import exact_quantile, small
+from .stats import exact_quantile, match, small
 
 MAD_SCALE = 0.67448975  # fixed value: consistency constant of the reference's MAD score
 
@@ -155,9 +155,9 @@ def column_mad(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
         dev = df.select(F.abs(x - m).alias("_d"))
         mad = exact_quantile(dev, "_d", 0.5, alias="mad")
         return small(mad.select(m.alias("median"), "mad"))
-    dev = df.select(*by, x.alias("_x")).join(med, on=by).select(*by, F.abs(F.col("_x") - F.col("median")).alias("_d"))
+    dev = match(df.select(*by, x.alias("_x")), med, by).select(*by, F.abs(F.col("_x") - F.col("median")).alias("_d"))
     mad = exact_quantile(dev, "_d", 0.5, by=by, alias="mad")
-    return small(med.join(mad, on=by, how="left").select(*by, "median", "mad"))
+    return small(match(med, mad, by, "left").select(*by, "median", "mad"))
 
 
 def mad_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 3.5,
@@ -175,8 +175,8 @@ def mad_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 3.5,
     for c in present:
         stats = column_mad(df, c, by)
         if by:
-            scored = scored.join(stats.select(*by, F.col("median").alias(f"_med_{c}"),
-                                              F.col("mad").alias(f"_mad_{c}")), on=by, how="left")
+            scored = match(scored, stats.select(*by, F.col("median").alias(f"_med_{c}"),
+                                                F.col("mad").alias(f"_mad_{c}")), by, "left")
         else:
             scored = scored.withColumn(f"_med_{c}", stats.select("median").scalar()) \
                            .withColumn(f"_mad_{c}", stats.select("mad").scalar())

@@ -1,25 +1,30 @@
 """Exact quantiles without one reducer holding every distinct value.
 
 Spark's exact ``percentile``/``median`` aggregates merge a map of all distinct
-values of a group into one task. Here, per group:
-
-1. one aggregate gives ``n`` and two ``percentile_approx`` values ``lo``/``hi``
-   whose ranks bracket the wanted rank (the sketch's rank error is at most
-   n/accuracy, and the bracket is 2n/accuracy wide on each side);
-2. one aggregate counts the rows in equal-width bins of [lo, hi] (rows below
-   and above fall in two outer bins); a running count over at most
-   ``bins + 2`` rows per group finds the bin holding the wanted rank;
-3. the distinct values of that bin only, with their counts, give the values
-   at ranks floor(q(n-1)) and ceil(q(n-1)), interpolated linearly (the median
-   of an even count is the mean of the two middle values).
-
-All three steps are partial aggregates, so no task sees more than one bin of
-one group: about 4n / (accuracy * bins) values, e.g. 40 000 at n = 1e12 with
-the defaults, whatever the skew of the groups. Steps 1 and 2 run
-as two jobs whose small outputs are checkpointed; step 3 stays lazy.
+values of a group into one task. Here a rank is found by selection in three
+rounds, the same at every size; a round counts cells of an order-preserving
+digit of the value and keeps the cell that holds the rank:
+
+1. The first digit is a step on a logarithmic scale, ``STEPS`` per power of
+   two, mirrored for negative values; zeros and infinities have cells of their
+   own. Doubles have at most about 4.3 million such cells, whatever the
+   distribution; a running count over them finds the cells of the wanted
+   ranks, their ranks inside, and each cell's smallest and largest value.
+2. The values of those cells (one or two per group) are counted by distinct
+   value and written once. Their second digit is one of ``BINS`` equal widths
+   between the cell's smallest and largest value; a running count again.
+3. The distinct values of that bin are ranked. A first cell holds at most
+   about 2^42 doubles, nearly evenly spaced, so a bin holds at most about
+   2^22 distinct values.
+
+All rounds are partial aggregates (a hot group, value or cell is combined
+before the shuffle), the windows run over cells, and the input is read twice.
+The values at ranks floor(q(n-1)) and ceil(q(n-1)) are interpolated linearly
+(the median of an even count is the mean of the two middle values).
 """
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,9 +32,9 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-DEFAULT_ACCURACY = 10_000
-DEFAULT_BINS = 10_000
-DIRECT_LIMIT = 200_000
+STEPS = 1024            # first digit: cells per power of two
+BINS = 1 << 21          # second digit: equal widths within a first cell
+_POWERS = 1076          # |log2| of a finite non-zero double is below this
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -40,102 +45,69 @@ def small(df: DataFrame) -> DataFrame:
 
 
 def exact_quantile(df: DataFrame, value: Column | str, q: float = 0.5, by: Sequence[str] = (),
-                   alias: str = "quantile", accuracy: int = DEFAULT_ACCURACY,
-                   bins: int = DEFAULT_BINS, direct_limit: int = DIRECT_LIMIT) -> DataFrame:
-    """One row per group in ``by`` (one row overall when empty) with the exact,
-    linearly interpolated ``q`` quantile of the non-null values (NULL when a
-    group has none). NaN values are ignored.
-
-    A first small job measures the largest group: when no group has more than
-    ``direct_limit`` values, Spark's exact ``percentile`` (which holds one
-    group's values in one task) is bounded and is used directly; otherwise
-    the bracket / histogram / bin passes below."""
-    by = list(by)
-    spark = df.sparkSession
+                   alias: str = "quantile") -> DataFrame:
+    """One row per group in ``by`` that has values, null keys included (one row
+    overall when ``by`` is empty), with the exact, linearly interpolated ``q``
+    quantile of the non-null values; NaN values are ignored. Without ``by``
+    and without values the row holds NULL; an interpolation between opposite
+    infinities is NaN."""
+    keys = [f"_k{i}" for i in range(len(by))]
     v = F.col(value) if isinstance(value, str) else value
-    base = df.select(*by, v.cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    if not by:
-        return _global_quantile(spark, base, q, alias, accuracy, bins, direct_limit)
-    keys = by
-    top = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    if top is None or top <= direct_limit:
-        return base.groupBy(*keys).agg(F.percentile("_v", F.lit(q)).alias(alias))
-    eps = 2.0 / accuracy
-    s1 = (base.groupBy(*keys)
-              .agg(F.count(F.lit(1)).alias("_n"),
-                   F.percentile_approx("_v", [max(0.0, q - eps), min(1.0, q + eps)], accuracy).alias("_b"),
-                   F.min("_v").alias("_mn"), F.max("_v").alias("_mx")))
-    s1 = small(s1.select(*keys, *_bracket(q, eps)))
-    j = base.join(s1, on=keys, how="inner").withColumn("_bin", _bin_of(bins))
-    hist = j.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_c"))
-    wb = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    hist = hist.withColumn("_cum", F.sum("_c").over(wb)).join(s1.select(*keys, "_pos"), on=keys)
-    target = small(hist.groupBy(*keys).agg(*_target_aggs()))
-    picked_rows = j.join(target, on=keys) \
-                   .where((F.col("_bin") == F.col("_b1")) | (F.col("_bin") == F.col("_b2")))
-    vals = picked_rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"),
-                                                F.first("_before").alias("_before"),
-                                                F.first("_pos").alias("_pos"))
-    wv = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    vals = vals.withColumn("_cum", F.col("_before") + F.sum("_c").over(wv))
-    picked = vals.groupBy(*keys).agg(*_pick_aggs())
-    return picked.select(*keys, _interpolate().alias(alias))
-
-
-def _bracket(q: float, eps: float) -> list[Column]:
-    return [F.when(F.lit(q - eps) <= 0, F.col("_mn")).otherwise(F.col("_b")[0]).alias("_lo"),
-            F.when(F.lit(q + eps) >= 1, F.col("_mx")).otherwise(F.col("_b")[1]).alias("_hi"),
-            (F.lit(q) * (F.col("_n") - 1)).alias("_pos")]
-
-
-def _bin_of(bins: int) -> Column:
+    base = (df.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], v.cast("double").alias("_v"))
+              .where(F.col("_v").isNotNull() & ~F.isnan("_v")).withColumn("_cell", _log_cell(F.col("_v"))))
+
+    cells = base.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    pos = F.lit(float(q)) * (F.sum("_c").over(Window.partitionBy(*keys)) - 1)
+    wanted = cells.withColumn("_pos", pos).withColumn("_ranks", F.array(F.floor("_pos"), F.ceil("_pos")))
+    wanted = _holding(wanted, keys, "_cell", "_c").drop("_c")
+
+    # without groups at most two cells are wanted: a broadcast of proven size; else Spark decides by the written size
+    held = match(base, wanted if keys else F.broadcast(wanted), [*keys, "_cell"])
+    held = (held.groupBy(*keys, "_cell", "_v")
+                .agg(F.count(F.lit(1)).alias("_c"), *[F.first(c).alias(c) for c in ("_lo", "_hi", "_pos", "_ranks")]))
+    held = materialize(held.withColumn("_bin", _linear_bin()), "quantile")
+
+    part = [*keys, "_cell"]
+    bins = held.groupBy(*part, "_bin").agg(F.sum("_c").alias("_c"), F.first("_ranks").alias("_ranks"))
+    bins = _holding(bins, part, "_bin", "_c").drop("_c")
+    last = match(held.drop("_ranks"), bins if keys else F.broadcast(bins), [*part, "_bin"])
+    picked = _holding(last, [*part, "_bin"], "_v", "_c")
+
+    frac = F.first("_pos", ignorenulls=True) - F.floor(F.first("_pos", ignorenulls=True))
+    low, high = F.min("_v"), F.max("_v")
+    result = F.when(low == high, low).otherwise((1 - frac) * low + frac * high)
+    return picked.groupBy(*keys).agg(result.alias("_q")).select(
+        *[F.col(k).alias(b) for b, k in zip(by, keys)], F.col("_q").alias(alias))
+
+
+def _log_cell(v: Column) -> Column:
+    """A whole number that never falls as ``v`` rises: Java's logarithm, its scaling and the
+    floor are all monotonic."""
+    size = F.abs(v)
+    step = F.floor(F.log2(size) * STEPS) + STEPS * _POWERS + 1
+    infinite = F.lit(2 * STEPS * _POWERS).cast("long")
+    cell = F.when(size == 0, F.lit(0).cast("long")).when(size == F.lit(float("inf")), infinite).otherwise(step)
+    return F.when(v < 0, -cell).otherwise(cell)
+
+
+def _linear_bin() -> Column:
     width = F.col("_hi") - F.col("_lo")
-    return (F.when(F.col("_v") < F.col("_lo"), F.lit(-1))
-             .when(F.col("_v") > F.col("_hi"), F.lit(bins))
-             .when(width == 0, F.lit(0))
-             .otherwise(F.least(F.floor((F.col("_v") - F.col("_lo")) / width * bins), F.lit(bins - 1)))
-             .cast("long"))
-
-
-def _target_aggs() -> list[Column]:
-    r1, r2 = F.floor("_pos"), F.ceil("_pos")
-    return [F.min(F.when(F.col("_cum") > r1, F.col("_bin"))).alias("_b1"),
-            F.min(F.when(F.col("_cum") > r2, F.col("_bin"))).alias("_b2"),
-            F.min_by(F.col("_cum") - F.col("_c"), F.when(F.col("_cum") > r1, F.col("_bin"))).alias("_before")]
-
-
-def _pick_aggs() -> list[Column]:
-    return [F.min(F.when(F.col("_cum") > F.floor("_pos"), F.col("_v"))).alias("_v1"),
-            F.min(F.when(F.col("_cum") > F.ceil("_pos"), F.col("_v"))).alias("_v2"),
-            F.first("_pos").alias("_pos")]
-
-
-def _interpolate() -> Column:
-    frac = F.col("_pos") - F.floor("_pos")
-    return F.col("_v1") + frac * (F.col("_v2") - F.col("_v1"))
-
-
-def _global_quantile(spark, base: DataFrame, q: float, alias: str, accuracy: int, bins: int,
-                     direct_limit: int) -> DataFrame:
-    """The same passes without groups: statistics enter the row passes as
-    scalar subqueries (no join); always exactly one output row."""
-    n = base.count()
-    if n == 0:
-        return spark.range(1).select(F.lit(None).cast("double").alias(alias))
-    if n <= direct_limit:
-        return small(base.agg(F.percentile("_v", F.lit(q)).alias(alias)))
-    eps = 2.0 / accuracy
-    s1 = small(base.agg(F.count(F.lit(1)).alias("_n"),
-                        F.percentile_approx("_v", [max(0.0, q - eps), min(1.0, q + eps)], accuracy).alias("_b"),
-                        F.min("_v").alias("_mn"), F.max("_v").alias("_mx")).select(*_bracket(q, eps)))
-    lo, hi, pos = (s1.select(c).scalar() for c in ("_lo", "_hi", "_pos"))
-    j = base.select("_v", lo.alias("_lo"), hi.alias("_hi"), pos.alias("_pos")).withColumn("_bin", _bin_of(bins))
-    hist = j.groupBy("_bin").agg(F.count(F.lit(1)).alias("_c"), F.first("_pos").alias("_pos"))
-    wb = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)   # at most bins + 2 rows
-    target = small(hist.withColumn("_cum", F.sum("_c").over(wb)).agg(*_target_aggs()))
-    b1, b2, before = (target.select(c).scalar() for c in ("_b1", "_b2", "_before"))
-    vals = (j.where((F.col("_bin") == b1) | (F.col("_bin") == b2))
-             .groupBy("_v").agg(F.count(F.lit(1)).alias("_c"), F.first("_pos").alias("_pos")))
-    wv = Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)     # one or two bins only
-    vals = vals.withColumn("_cum", before + F.sum("_c").over(wv))
-    return small(vals.agg(*_pick_aggs()).select(_interpolate().alias(alias)))
+    return (F.when(F.col("_lo") == F.col("_hi"), F.lit(0).cast("long"))
+             .otherwise(F.least(F.floor((F.col("_v") - F.col("_lo")) / width * BINS), F.lit(BINS - 1).cast("long"))))
+
+
+def _holding(counted: DataFrame, part: Sequence[str], digit: str, count: str) -> DataFrame:
+    """The rows of ``counted`` (one per ``digit`` in each ``part``, ``_ranks`` wanted there) that
+    hold a wanted rank, with ``_ranks`` counted from the row's own first value."""
+    upto = F.sum(count).over(Window.partitionBy(*part).orderBy(digit).rowsBetween(Window.unboundedPreceding, 0))
+    inside = F.filter(F.transform("_ranks", lambda r: r - F.col("_upto") + F.col(count)),
+                      lambda r: (r >= 0) & (r < F.col(count)))
+    return (counted.withColumn("_upto", upto).withColumn("_ranks", inside)
+                   .where(F.size("_ranks") > 0).drop("_upto"))
+
+
+def match(rows: DataFrame, wanted: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``wanted`` (one row per ``on``) and its other columns; nulls equal nulls."""
+    extra = [c for c in wanted.columns if c not in on and c not in rows.columns]
+    same = reduce(lambda x, y: x & y, [F.col(f"r.`{c}`").eqNullSafe(F.col(f"w.`{c}`")) for c in on])
+    return rows.alias("r").join(wanted.alias("w"), same, how).select("r.*", *[F.col(f"w.`{c}`") for c in extra])
