@@ -5,10 +5,11 @@ hash of the turns up to it; a conversation whose whole hash occurs as a proper p
 another is dropped by an anti-join, of equal conversations the smallest conv_id stays,
 and what remains is rendered turn by turn with a chat template.
 
-A conversation is never gathered: positions and prefix hashes are running values inside
-runs of ``RUN`` turn numbers, plus the totals of the runs before (one row per run), so one
-with a third of all turns is spread over many tasks. The result has a row per
-turn: its rendered segment and where it starts in the conversation's text.
+A conversation is never gathered: it is cut by rank into runs of about ``RUN`` turns (at most
+200,000 runs in all, then they grow), and places and prefix hashes are running values inside a
+run plus the totals of the runs before (one row per run). So a conversation with a third of all
+turns is spread over many tasks, also when its turn numbers are equal or null. The result has
+a row per turn: its rendered segment and where it starts in the conversation's text.
 
 Defined results: a null text is empty and a null role is ``unknown``; rows equal in
 conversation, turn, role and text are one turn; other turns with equal numbers follow
@@ -21,42 +22,40 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barspark.llm.common import Scratch, table
+from barspark.operators.sequence import BKT, RN, index_sequence
 
 RUN = 256
 OPEN, MIDDLE, CLOSE = "<|im_start|>", "\n", "<|im_end|>\n"
 
 
 def turns_of(conversations: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text with nulls replaced, the turn's hashes and its run."""
+    """conv_id, turn, role, text with nulls replaced, and the turn's hashes."""
     t = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                              F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"),
                              F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return (t.withColumn("h1", F.xxhash64("role", "text"))
-             .withColumn("h2", F.xxhash64(F.lit(1), "text", "role"))
-             .withColumn("run", F.floor(F.col("turn") / RUN)))
+             .withColumn("h2", F.xxhash64(F.lit(1), "text", "role")))
 
 
 def prefix_hashes(turns: DataFrame, s: Scratch, name: str) -> DataFrame:
-    """conv_id, turn, run, role, h1, h2, pos (from 1), p1, p2 (hash of the turns up to pos)."""
-    key = ["conv_id", "turn", "run", "role", "h1", "h2"]
-    inside = Window.partitionBy("conv_id", "run").orderBy("turn", "role", "h1", "h2")
-    before = Window.partitionBy("conv_id").orderBy(F.col("run").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    same_run = F.expr("a.conv_id <=> b.conv_id AND a.run <=> b.run")
-
-    placed = s.save(turns.select(*key).distinct().withColumn("rn", F.row_number().over(inside)), f"{name}-placed")
-    runs = s.save(placed.groupBy("conv_id", "run").agg(F.count(F.lit(1)).alias("n"))
-                  .withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"), f"{name}-runs")
-    mixed = (placed.alias("a").join(runs.alias("b"), same_run).select("a.*", (F.col("b.base") + F.col("a.rn")).alias("pos"))
+    """conv_id, turn, role, h1, h2, run, pos (from 1), p1, p2 (hash of the turns up to pos)."""
+    key = ["conv_id", "turn", "role", "h1", "h2"]
+    before = Window.partitionBy("conv_id").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    same_run = F.expr("a.conv_id <=> b.conv_id AND a.run = b.run")
+
+    distinct = s.save(turns.select(*key).distinct(), f"{name}-distinct")
+    ranked = index_sequence(distinct, ["conv_id"], "turn", ["role", "h1", "h2"], target_rows=RUN).frame
+    mixed = (ranked.select(*key, F.col(BKT).alias("run"), (F.col(RN) + 1).alias("pos"))
              .withColumn("m1", F.xxhash64("pos", "h1").cast("decimal(38,0)"))
              .withColumn("m2", F.xxhash64("h2", "pos").cast("decimal(38,0)")))
-    upto = Window.partitionBy("conv_id", "run").orderBy("rn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = Window.partitionBy("conv_id", "run").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = s.save(mixed.withColumn("s1", F.sum("m1").over(upto)).withColumn("s2", F.sum("m2").over(upto)), f"{name}-local")
     zero = F.lit(0).cast("decimal(38,0)")
     totals = s.save(local.groupBy("conv_id", "run").agg(F.sum("m1").alias("t1"), F.sum("m2").alias("t2"))
                     .withColumn("b1", F.coalesce(F.sum("t1").over(before), zero))
                     .withColumn("b2", F.coalesce(F.sum("t2").over(before), zero)).drop("t1", "t2"), f"{name}-totals")
     return (local.alias("a").join(totals.alias("b"), same_run)
-            .select(*[f"a.{c}" for c in key], "a.pos",
+            .select(*[f"a.{c}" for c in key], "a.run", "a.pos",
                     (F.col("a.s1") + F.col("b.b1")).cast("decimal(38,0)").alias("p1"),
                     (F.col("a.s2") + F.col("b.b2")).cast("decimal(38,0)").alias("p2")))
 
@@ -88,12 +87,12 @@ def render(conversations: DataFrame, open_: str = OPEN, middle: str = MIDDLE, cl
             .dropDuplicates(["conv_id", "pos"]))
     full = s.save(full.withColumn("size", F.length("segment").cast("long")), "full")
     inside = Window.partitionBy("conv_id", "run").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.partitionBy("conv_id").orderBy(F.col("run").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("conv_id").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     sizes = s.save(full.groupBy("conv_id", "run").agg(F.sum("size").alias("t"))
                    .withColumn("base", F.coalesce(F.sum("t").over(before), F.lit(0))).drop("t"), "run-sizes")
-    s.drop("p-placed", "p-runs", "p-local", "p-totals", "inner", "ends", "sizes", "kept", "keep", "prefixes")
+    s.drop("p-distinct", "p-local", "p-totals", "inner", "ends", "sizes", "kept", "keep", "prefixes")
     return (full.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0))).alias("a")
-            .join(sizes.alias("b"), F.expr("a.conv_id <=> b.conv_id AND a.run <=> b.run"))
+            .join(sizes.alias("b"), F.expr("a.conv_id <=> b.conv_id AND a.run = b.run"))
             .select("a.conv_id", "a.n_turns", F.col("a.pos").alias("position"), "a.turn", "a.role",
                     (F.col("a.within") + F.col("b.base")).alias("start"), "a.segment"))
 

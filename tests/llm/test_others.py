@@ -45,6 +45,34 @@ def test_long_conversations_are_split_into_runs(spark):
     assert set(got) == {1, 3} and got[1].count("<|im_start|>") == 700
 
 
+@pytest.mark.parametrize("number", [None, 7])
+def test_many_turns_of_one_number_are_split_by_rank(spark, number):
+    """Rows without conv_id and with equal or null turns are one conversation, cut into runs all the same."""
+    rows = [(None, number, "user", f"text {k}", 1, "x") for k in range(3000)] + conversation(5, ["a", "b"])
+    df = spark.createDataFrame(rows, SCHEMA)
+    prefixes = chat.prefix_hashes(chat.turns_of(df), Scratch(spark, "equal-turns"), "p")
+    runs = [r["count"] for r in prefixes.filter("conv_id IS NULL").groupBy("run").count().collect()]
+    assert sum(runs) == 3000 and len(runs) > 6 and max(runs) <= 2 * chat.RUN
+    out = chat.render(df).persist()
+    assert rendered(out)[5].count("<|im_start|>") == 2
+    found = sorted(out.filter("conv_id IS NULL").collect(), key=lambda r: r["position"])
+    assert [r["position"] for r in found] == list(range(1, 3001)) and {r["n_turns"] for r in found} == {3000}
+    assert sorted(r["segment"] for r in found) == sorted(f"<|im_start|>user\ntext {k}<|im_end|>\n" for k in range(3000))
+    # a snapshot of its first thousand turns collapses into it; one that goes on otherwise stays
+    head = [(8, number, "user", r["segment"][17:-11], 1, "x") for r in found[:1000]]
+    other = [(9, *r[1:]) for r in head] + [(9, 8, "user", "another end", 1, "x")]
+    again = chat.render(spark.createDataFrame(rows + head + other, SCHEMA))
+    assert {r["conv_id"] for r in again.select("conv_id").distinct().collect()} == {None, 5, 9}
+    out.unpersist()
+
+
+def test_rendered_files_hold_whole_texts_in_order(spark, tmp_path):
+    df = spark.createDataFrame(conversation(1, ["a", "b", "c"]) + conversation(2, ["x"]), SCHEMA)
+    chat.write_rendered(chat.render(df), str(tmp_path / "out"))
+    rows = [(r["conv_id"], r["position"]) for r in spark.read.parquet(str(tmp_path / "out")).coalesce(1).collect()]
+    assert rows == [(1, 1), (1, 2), (1, 3), (2, 1)]
+
+
 def test_urls_rules_and_parts(spark):
     cases = [("https://A.B.Example.NET/en/x?y#z", "a.b.example.net", "/en/x", "example.net/en/", "allow"),
              ("http://example.net/de/", "example.net", "/de/", "net/", "block"), ("http://badexample.net", "badexample.net", "", None, "allow"),
