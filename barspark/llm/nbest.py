@@ -11,10 +11,12 @@ falls apart into words (with the spaces before them), line breaks and closing
 spaces. Per word, a forward Viterbi pass gives the best score up to every position; a
 backward A-star search with these scores as exact heuristic pops the N best
 segmentations in order. Only the best N open hypotheses matter, as each completes with
-exactly its estimate, so the agenda has N entries. Words of up to 63 characters are searched
-together, array by array; longer ones one by one. The N best of the whole text are the N
-smallest sums of the words' losses against their best. A bounded cache keeps the words a
-task has met.
+exactly its estimate, so the agenda has N entries. A word of more than 63 characters (scripts without
+spaces) is first cut wherever no piece of the vocabulary lies across, as the lattice falls
+apart there too. Words of up to 63 characters are searched together, array by array; what is
+longer even then one by one, over arcs that are found as arrays. The N best of the whole
+text are the N smallest sums of the words' losses against their best. A cache of bounded bytes keeps
+the words of up to 63 characters that a task has met.
 
 Defined results: a null or empty text has no pieces, one segmentation with score 0, and
 decodes to the empty text; of equal scores, the order is fixed but arbitrary
@@ -38,7 +40,8 @@ from barspark.llm.encoding import vocabulary_path
 
 MODEL = "piece_bpe_32k.model"
 N_BEST = 4
-CACHE_WORDS = 1_000_000
+CACHE_BYTES = 350 << 20     # of a worker; passed by the words of one batch at most
+WORD_BYTES = 320            # of a cached word besides its characters and ids
 ZIPF_SHIFT = 2.7
 BYTE_PENALTY = 10.0
 LONGEST = 63
@@ -49,11 +52,11 @@ _RANDOM = np.random.Generator(np.random.PCG64(31)).integers(1, 2**63, 2, dtype=n
 class PieceLattice:
     """Pieces, their scores, and the N-best search."""
 
-    def __init__(self, path: str, n: int = N_BEST, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, n: int = N_BEST, cache_bytes: int = CACHE_BYTES):
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = model.get_piece_size()
-        self.n, self.cache_words = n, cache_words
+        self.n, self.cache_bytes = n, cache_bytes
         self.byte_id = {int(model.id_to_piece(i)[1:-1], 16): i for i in range(size) if model.is_byte(i)}
         own = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
         self.ids = {model.id_to_piece(i).replace("▁", " "): i for i in own}
@@ -68,7 +71,8 @@ class PieceLattice:
         self.raw = {i: bytes([b]) for b, i in self.byte_id.items()}
         self.raw.update({i: p.encode() for p, i in self.ids.items()})
         names = list(self.ids)
-        length = max(self.width, LONGEST) + 1
+        self.window = max(2 * self.width, LONGEST)
+        length = self.window + 1
         self.up, self.down = T.power_table(length + 1)
         by_hash = np.array([int(self._hashes(_points(p)[None, :], 0, len(p))[0]) for p in names], np.uint64)
         size_of, ids_of = np.array(list(map(len, names))), np.array(list(self.ids.values()), np.int64)
@@ -81,6 +85,8 @@ class PieceLattice:
 
     def _forget(self, room: int = 0) -> None:
         """An empty cache with room for ``room`` words."""
+        self.size = 0
+        self.kept = 0                                   # words before this place are short and stay
         self.index: dict[str, int] = {}
         self.words: list[str] = []
         self.first: list[bytes] = []                    # ids of the best segmentation
@@ -197,11 +203,52 @@ class PieceLattice:
     def _cuts(word: str, mask: int) -> list[int]:
         return [*(p for p in range(len(word)) if mask >> p & 1), len(word)]
 
+    def _long_arcs(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """End, length and score of the arcs of words of any length, by end and length, in blocks;
+        ends count the characters of the words before."""
+        step = self.window - self.width + 1
+        size = np.array([len(w) for w in words])
+        base = np.cumsum(size) - size
+        rows = 1 + np.maximum(0, -(-(size - self.window) // step))
+        word = np.repeat(np.arange(len(words)), rows)
+        begin = step * (np.arange(len(word)) - np.repeat(np.cumsum(rows) - rows, rows))
+        points = np.concatenate([_points("".join(words)), np.zeros(self.window, np.uint32)])
+        for lo in range(0, len(word), 1024):
+            own, at = word[lo:lo + 1024], begin[lo:lo + 1024]
+            start = base[own] + at
+            arcs, _ = self._arcs(points[start[:, None] + np.arange(self.window)[None, :]],
+                                 np.minimum(size[own] - at, self.window))
+            there = np.isfinite(arcs)
+            there[at > 0, :self.width] = False              # those ends are the row's before
+            row, end, k = np.nonzero(there)
+            yield start[row] + end, k + 1, arcs[row, end, k]
+
+    def apart(self, words: list[str]) -> list[list[str]]:
+        """The words, each cut wherever no piece lies across."""
+        text = "".join(words)
+        across = np.zeros(len(text) + 1, np.int64)
+        for end, k, _ in self._long_arcs(words):
+            wide = k > 1
+            lo, hi = max(int(end[0]) - self.width, 0), int(end[-1]) + 1
+            across[lo:hi] += np.bincount((end - k + 1)[wide] - lo, minlength=hi - lo)
+            across[lo:hi] -= np.bincount(end[wide] - lo, minlength=hi - lo)
+        cuts = np.flatnonzero(np.cumsum(across) == 0).tolist()       # holds every word's both ends
+        parts = [text[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        at = np.searchsorted(cuts, np.cumsum([0, *map(len, words)])).tolist()
+        return [parts[a:b] for a, b in zip(at[:-1], at[1:])]
+
     def search_long(self, word: str) -> list[tuple[float, bytes]]:
         """The same for one word of any length: agenda of at most N open hypotheses."""
-        forward = [0.0]
-        for j in range(1, len(word) + 1):
-            forward.append(max(forward[i] + s for i, s in self._ending(word, j)))
+        forward = [0.0] + [-np.inf] * len(word)
+        blocks = []
+        for end, k, s in self._long_arcs([word]):
+            for j, size, score in zip(end.tolist(), k.tolist(), s.tolist()):
+                total = forward[j - size] + score
+                if total > forward[j]:
+                    forward[j] = total
+            blocks.append((end, k.astype(np.uint8 if self.width < 256 else np.int64), s))
+        ends, sizes, scores = map(np.concatenate, zip(*blocks))
+        first = np.searchsorted(ends, np.arange(len(word) + 2))
         agenda, out = [(-forward[-1], len(word), 0.0, None)], []
         while agenda and len(out) < self.n:
             agenda.sort(key=lambda a: (a[0], a[1]))
@@ -213,16 +260,13 @@ class PieceLattice:
                     tail = tail[1]
                 out.append((g, self._ids(word, [*cuts, len(word)])))
                 continue
-            agenda += [(-(forward[i] + g + s), i, g + s, (i, tail)) for i, s in self._ending(word, j)]
+            arcs = slice(first[j], first[j + 1])
+            for size, score in zip(sizes[arcs].tolist(), scores[arcs].tolist()):
+                i = j - size
+                agenda.append((-(forward[i] + g + score), i, g + score, (i, tail)))
             agenda = heapq.nsmallest(self.n - len(out), agenda, key=lambda a: (a[0], a[1]))
         return out
 
-    def _ending(self, word: str, j: int) -> list[tuple[int, float]]:
-        out = [(i, self.score[word[i:j]]) for i in range(max(0, j - self.width), j) if word[i:j] in self.score]
-        if word[j - 1] not in self.score:
-            out.append((j - 1, len(word[j - 1].encode()) * self.byte_score))
-        return out
-
     def _ids(self, word: str, cuts: list[int]) -> bytes:
         """Little-endian unsigned 32-bit ids of the pieces between the cuts."""
         ids: list[int] = []
@@ -263,6 +307,15 @@ class PieceLattice:
             self.loss[k, :len(found) - 1] = [found[0][0] - x for x, _ in found[1:]]
             self.first.append(found[0][1])
             self.long_paths[k] = [ids for _, ids in found]
+        self.kept = base + len(short)
+        self.size += sum(WORD_BYTES + 2 * len(w) + len(ids)
+                         for w, ids in zip(short, self.first[base:self.kept]))
+
+    def _drop_long(self) -> None:
+        for w in self.words[self.kept:]:
+            del self.index[w]
+        del self.words[self.kept:], self.first[self.kept:]
+        self.long_paths.clear()
 
     def _path(self, k: int, alternative: int) -> bytes:
         if k in self.long_paths:
@@ -271,29 +324,36 @@ class PieceLattice:
 
     def segment(self, texts: list[str | None]) -> Iterator[list[tuple[float, bytes]]]:
         """The N best (score, ids) of each text, best first."""
+        if self.size > self.cache_bytes:
+            self._forget(len(self.best))
         split = [_SPLIT.findall(" " + t) if t else [] for t in texts]
-        new = {w for words in split for w in words if w not in self.index}
-        if len(self.index) + len(new) > self.cache_words:
-            new = {w for words in split for w in words}
-            self._forget(self.cache_words)
-        self._learn(sorted(new))
-        for words in split:
-            if not words:
-                yield [(0.0, b"")]
-                continue
-            places = [self.index[w] for w in words]
-            at = np.array(places)
-            total = float(self.best[at].sum())
-            best = [self.first[k] for k in places]
-            out = []
-            for lost, choice in self._cheapest(self.loss[at]):
-                ids = best
-                if choice:
-                    ids = best.copy()
-                    for word, k in choice:
-                        ids[word] = self._path(places[word], k)
-                out.append((total - lost, b"".join(ids)))
-            yield out
+        long = list({w for words in split for w in words if len(w) > LONGEST})
+        if long:
+            parts = dict(zip(long, self.apart(long)))
+            split = [[part for w in words for part in parts.get(w, (w,))] for words in split]
+        self._learn(sorted({w for words in split for w in words if w not in self.index}))
+        try:
+            yield from map(self._text, split)
+        finally:
+            self._drop_long()
+
+    def _text(self, words: list[str]) -> list[tuple[float, bytes]]:
+        """The N best of a text of known words."""
+        if not words:
+            return [(0.0, b"")]
+        places = [self.index[w] for w in words]
+        at = np.array(places)
+        total = float(self.best[at].sum())
+        best = [self.first[k] for k in places]
+        out = []
+        for lost, choice in self._cheapest(self.loss[at]):
+            ids = best
+            if choice:
+                ids = best.copy()
+                for word, k in choice:
+                    ids[word] = self._path(places[word], k)
+            out.append((total - lost, b"".join(ids)))
+        return out
 
     def _cheapest(self, loss: np.ndarray) -> list[tuple[float, tuple]]:
         """The N smallest sums of losses, each with its choices (word, alternative). Only the

@@ -157,12 +157,16 @@ def test_encoder_equals_the_tokenizer(tokenizer):
                 assert ids[at[k]:at[k + 1]].tolist() == tokenizer.encode(texts[lo + k], add_special_tokens=False).ids
 
 
-def every_segmentation(lattice, text):
-    word = " " + text
-
-    def upto(j):
-        return [0.0] if j == 0 else [g + s for i, s in lattice._ending(word, j) for g in upto(i)]
-    return sorted(upto(len(word)), reverse=True)[:lattice.n]
+def n_best_scores(lattice, text):
+    """The N largest scores of all segmentations, position by position."""
+    word, best = " " + text, [[0.0]]
+    for j in range(1, len(word) + 1):
+        pieces = [i for i in range(max(0, j - lattice.width), j) if word[i:j] in lattice.score]
+        ways = [(i, lattice.score[word[i:j]]) for i in pieces]
+        if word[j - 1] not in lattice.score:
+            ways.append((j - 1, len(word[j - 1].encode()) * lattice.byte_score))
+        best.append(sorted((g + s for i, s in ways for g in best[i]), reverse=True)[:lattice.n])
+    return best[-1]
 
 
 def test_n_best_against_every_segmentation():
@@ -172,11 +176,40 @@ def test_n_best_against_every_segmentation():
     for _ in range(150):
         text = "".join(r.choice(["a", "b", "he", "in", "é", "漢", " ", "\n", "the", "🙂", "▁", "."]) for _ in range(r.randint(1, 6)))
         got = next(lattice.segment([text]))
-        np.testing.assert_allclose([s for s, _ in got], every_segmentation(lattice, text))
+        np.testing.assert_allclose([s for s, _ in got], n_best_scores(lattice, text))
         assert all(lattice.decode(ids) == text for _, ids in got)
         assert len({ids for _, ids in got}) == len(got)
 
 
+def test_n_best_of_words_without_spaces():
+    import random
+    r = random.Random(7)
+    lattice = nbest.PieceLattice(encoding.vocabulary_path(nbest.MODEL), 4)
+    han = [chr(0x4e00 + i) for i in range(2000)] + ["数据", "获取", "🙂", "é"]
+    code = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    texts = ["".join(r.choices(han, k=k)) for k in (62, 63, 64, 111, 112, 700)]
+    texts += ["".join(r.choices(code, k=k)) for k in (64, 500)]
+    texts += ["a" * 64, "the" * 900, "x" + " " * 300 + "y", "a" * 130 + "漢字" * 90 + "international" * 30]
+    texts += [texts[0] + "\n" + texts[5] + " " + texts[5], "".join(r.choices(code[:26], k=20_000))]
+    for text, got in zip(texts, lattice.segment(texts)):
+        np.testing.assert_allclose([s for s, _ in got], n_best_scores(lattice, text), rtol=1e-12)
+        assert all(lattice.decode(ids) == text for _, ids in got) and len({ids for _, ids in got}) == len(got)
+    assert max(map(len, lattice.index)) <= nbest.LONGEST and not lattice.long_paths
+    assert len(lattice.words) == len(lattice.first) == len(lattice.index)
+
+
+def test_n_best_cache_is_bounded_by_bytes():
+    path = encoding.vocabulary_path(nbest.MODEL)
+    small, large = nbest.PieceLattice(path, 4, cache_bytes=20_000), nbest.PieceLattice(path, 4)
+    batches = [[f"word{i}x{k} 漢字{i}" * 3 for i in range(10)] for k in range(12)]
+    sizes = []
+    for batch in batches:
+        assert list(small.segment(batch)) == list(large.segment(batch))
+        sizes.append(small.size)
+    assert max(sizes) < 20_000 + sizes[0] * 1.5 and large.size > max(sizes)
+    assert small.size == sum(nbest.WORD_BYTES + 2 * len(w) + len(i) for w, i in zip(small.words, small.first))
+
+
 def test_n_best_long_words_and_edges(edge_docs, no_docs):
     lattice = nbest.PieceLattice(encoding.vocabulary_path(nbest.MODEL), 4)
     word = "international" * 4
