@@ -52,45 +52,86 @@ def file_issues(spark: SparkSession, path: str, schema: T.StructType,
     return compare(reader.format(kind).load(path), schema)
 
 
-# A binary cell of the JVM holds less than 2 GiB; longer files are hashed as streams.
-CELL_LIMIT = 2**31 - 1024
-HEADER_BYTES = 1 << 16
+# Suffixes that Spark's text reader would decompress, and the byte order mark it drops.
+CODED = r"\.(gz|bz2|deflate|snappy|lz4|zst|zstd)$"
+BYTE_ORDER_MARK = b"\xef\xbb\xbf"
 
 
-def landing_files(spark: SparkSession, paths, cell_limit: int = CELL_LIMIT) -> DataFrame:
+def landing_files(spark: SparkSession, paths) -> DataFrame:
     """Path, length, source_hash (SHA-256 of the bytes) and header (first line) per file.
 
-    The binary-file source hashes files in the JVM, one task per file or more files; a
-    file that does not fit a cell is read in blocks by a task through pyarrow's
-    filesystem of its URI. The filter on ``length`` is pushed to the listing, so no
-    file is read twice."""
+    A file of any size, on any path Spark reads, goes the same way: its lines (cut at line feeds only)
+    are read as splits, shuffled once by path, sorted by their place, and hashed batch by
+    batch by one task, as the hash is sequential; no cell holds more than a line. The bytes
+    hashed are checked against the file's length. Compressed files, whose bytes the
+    text reader doesn't give, are hashed as cells of the binary-file source (below 2 GiB).
+    Files without a byte are not listed by Spark's file sources and give no row."""
+    load = list(dict.fromkeys(paths)) if isinstance(paths, (list, tuple)) else [paths]
     # named like the rows that readers take from a file (its path column does not encode blanks and brackets)
-    every = (spark.read.format("binaryFile").load(paths if isinstance(paths, (list, tuple)) else [paths])
-             .withColumn("path", F.col("_metadata.file_path")))
-    head = F.substring_index(F.substring("content", 1, HEADER_BYTES).cast("string"), "\n", 1)
-    small = every.filter(F.col("length") < cell_limit).select("path", "length", F.sha2("content", 256).alias("source_hash"),
-                                                              head.alias("header"))
-
-    def streamed(batches):
+    place = F.col("_metadata.file_path")
+    every = spark.read.format("binaryFile").load(load)
+    coded = (every.filter(place.rlike(CODED))
+             .select(place.alias("path"), "length", F.sha2("content", 256).alias("source_hash"),
+                     F.substring_index(F.col("content").cast("string"), "\n", 1).alias("header")))
+    lines = (spark.read.option("lineSep", "\n").text(load).filter(~place.rlike(CODED))
+             .select(place.alias("path"), F.col("_metadata.file_size").alias("length"),
+                     F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line"),
+                     F.concat(F.col("value").cast("binary"), F.lit(b"\n")).alias("content"))
+             .repartition("path").sortWithinPartitions("path", "split", "line"))
+    mark = BYTE_ORDER_MARK
+
+    def digests(batches):
         import hashlib
 
-        import pandas as pd
-        from pyarrow import fs
+        import numpy as np
+        import pyarrow as pa
+
+        names = ["path", "length", "source_hash", "header"]
+
+        def finished(path, length, plain, marked, read, header):
+            # read counts a line feed after every line; the last may lack it, and the mark is not among the lines
+            had_mark, last = {0: (False, b"\n"), -1: (False, b""), 3: (True, b"\n"), 2: (True, b"")}.get(length - read, (None, None))
+            if had_mark is None:
+                raise ValueError(f"{path}: {read} bytes in lines, {length} in the listing; it changed or a line is too long")
+            digest = marked if had_mark else plain
+            digest.update(last)
+            text = (mark * had_mark + header).decode("utf-8", "replace")
+            return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([length], pa.int64()),
+                                               pa.array([digest.hexdigest()]), pa.array([text])], names=names)
+
+        path = None
         for batch in batches:
-            rows = []
-            for path, length in zip(batch["path"], batch["length"]):
-                store, inner = fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
-                digest, first = hashlib.sha256(), b""
-                with store.open_input_stream(inner) as stream:
-                    while block := stream.read(8 << 20):
-                        first = first or block[:HEADER_BYTES]
-                        digest.update(block)
-                rows.append((path, length, digest.hexdigest(), first.split(b"\n")[0].decode("utf-8", "replace")))
-            yield pd.DataFrame(rows, columns=["path", "length", "source_hash", "header"])
-
-    large = (every.filter(F.col("length") >= cell_limit).select("path", "length")
-             .mapInPandas(streamed, "path string, length long, source_hash string, header string"))
-    return small.union(large)
+            if not batch.num_rows:
+                continue
+            of = batch.column("path").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            starts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+            content = batch.column("content").cast(pa.large_binary())
+            offsets = np.frombuffer(content.buffers()[1], np.int64)[content.offset:]
+            data = memoryview(content.buffers()[2])
+            for a, b in zip(starts[:-1], starts[1:]):
+                own = data[offsets[a]:offsets[b]]
+                if path != batch.column("path")[a].as_py():
+                    if path is not None:
+                        yield finished(path, length, plain, marked, read, header)
+                    path, length = batch.column("path")[a].as_py(), batch.column("length")[a].as_py()
+                    header = bytes(data[offsets[a]:offsets[a + 1] - 1])
+                    plain, marked, read = hashlib.sha256(), hashlib.sha256(mark), 0
+                elif read:
+                    plain.update(b"\n")
+                    marked.update(b"\n")
+                plain.update(own[:-1])          # the last line feed waits until more follows
+                marked.update(own[:-1])
+                read += len(own)
+        if path is not None:
+            yield finished(path, length, plain, marked, read, header)
+
+    hashed = lines.mapInArrow(digests, "path string, length long, source_hash string, header string")
+    without = F.lit(mark)       # a file that has no line
+    rest = (every.filter(~place.rlike(CODED)).select(place.alias("path"), "length")
+             .join(hashed.drop("length"), "path", "left")
+             .select("path", "length", F.coalesce("source_hash", F.sha2(without, 256)).alias("source_hash"),
+                     F.coalesce("header", without.cast("string")).alias("header")))
+    return rest.unionByName(coded)
 
 
 def source_hashes(spark: SparkSession, paths) -> DataFrame:

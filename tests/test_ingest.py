@@ -129,10 +129,34 @@ def test_a_damaged_ledger_is_not_a_new_one(spark, tmpdir_path):
     assert "ingestion_failed" in {e["event"] for e in _events(tmpdir_path)}
 
 
-def test_streamed_hash_equals_the_cell_hash(spark, tmpdir_path):
-    _file(tmpdir_path, "a.csv", _rows(4))
-    a, b = (sio.landing_files(spark, f"{tmpdir_path}/land/*.csv", limit).first() for limit in (sio.CELL_LIMIT, 10))
-    assert a == b and a.header == HEAD.strip()
+def test_hashes_of_files_of_every_shape(spark, tmpdir_path):
+    import gzip
+    import hashlib
+    import random
+    from urllib.parse import unquote
+    r, mark = random.Random(3), b"\xef\xbb\xbf"
+    files = {"empty.csv": b"", "mark.csv": mark, "feed.csv": b"\n", "feeds.csv": b"\n\n\n", "marked_feed.csv": mark + b"\n",
+             "marked.csv": mark + b"a,b\n1,2", "marked_end.csv": mark + b"a,b\n1,2\n", "two_marks.csv": mark * 2 + b"x",
+             "open.csv": b"a,b\n1,2", "crlf.csv": b"a,b\r\n1,2\r\n", "cr.csv": b"a\rb\r", "bytes.csv": bytes(range(256)) * 9,
+             "long.csv": b"h" * 100_000 + b"\nx\n", "one_line.csv": b"z" * 3_000_000, "odd [n] {a}.csv": b"odd\n" * 7,
+             "rows.csv": b"".join(b"%d,%s\n" % (i, b"v" * r.randrange(60)) for i in range(60_000)),
+             "noise.csv": r.randbytes(2_000_000), "packed.csv.gz": gzip.compress(b"a,b\n1,2\n")}
+    os.makedirs(f"{tmpdir_path}/shapes")
+    for name, content in files.items():
+        with open(f"{tmpdir_path}/shapes/{name}", "wb") as f:
+            f.write(content)
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("100000", split):          # many splits a file, and one
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = {unquote(os.path.basename(x.path)): x for x in sio.landing_files(spark, f"{tmpdir_path}/shapes").collect()}
+            assert "empty.csv" not in got
+            assert {n: (x.length, x.source_hash) for n, x in got.items()} == {
+                n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in files.items() if c}
+            assert {n: x.header for n, x in got.items() if "packed" not in n} == {
+                n: c.split(b"\n")[0].decode("utf-8", "replace") for n, c in files.items() if c and "packed" not in n}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
 
 
 def test_file_issues(spark, tmpdir_path):
