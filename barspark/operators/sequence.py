@@ -7,8 +7,10 @@ of the job in a single task. Instead every key with more than ``target_rows``
 rows is cut by *rank* into buckets of about that many rows, so a burst, or one
 instant with many rows, is split like any other stretch:
 
-1. Rows are counted per key. With no key above the target the plain per-key
-   windows are already bounded, and are used.
+1. Rows are counted per key, unless the caller knows a bound (``Size``). With no
+   key above the target the plain per-key windows are already bounded, and are
+   used. Rows are shuffled into as many tasks as ``PART_ROWS`` asks for, so a
+   task's windows hold as many rows at every size of the input.
 2. Bounds: a row's place is (time, tie-break, hash of the row). A mergeable
    sample keeps the places whose hash falls under ``OVERSAMPLE`` in
    ``target_rows``; every ``OVERSAMPLE``-th of a key's sorted sample is a bound.
@@ -34,9 +36,9 @@ collects data or loops on the driver.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
-from typing import Sequence
+from typing import NamedTuple, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,6 +50,14 @@ RN, BKT, OWN, BO, GK = "_rn", "_bkt", "_own", "_bo", "_gk"
 DEFAULT_TARGET_ROWS = 1_000_000
 OVERSAMPLE = 64         # sampled places per target_rows
 MAX_BUCKETS = 200_000   # bounds over all keys: beyond, buckets grow with the input
+PART_ROWS = 1 << 18     # rows per task of the windows, about
+
+
+class Size(NamedTuple):
+    """Rows of the largest key and of all keys, or bounds of them (a frame made of some of the rows)."""
+
+    most: int
+    rows: int
 
 
 @dataclass
@@ -58,6 +68,7 @@ class Sequenced:
     buckets: DataFrame  # keys, _bkt, _bo (bucket ordinal), _n, _off
     keys: list[str]
     split: DataFrame | None = None  # the buckets of keys with several; None: plain per-key windows
+    rows: int = 0                   # at most so many rows
 
     @property
     def single(self) -> bool:
@@ -71,6 +82,23 @@ class Sequenced:
         return Window.partitionBy(*self.part).orderBy(RN)
 
 
+def size_of(df: DataFrame, keys: Sequence[str]) -> Size:
+    return _largest(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn")))
+
+
+def _largest(counts: DataFrame) -> Size:
+    top = counts.agg(F.max("_kn").alias("most"), F.sum("_kn").alias("rows")).first()
+    return Size(top["most"] or 0, top["rows"] or 0)
+
+
+def spread(df: DataFrame, by: Sequence[str], rows: int) -> DataFrame:
+    """``df`` shuffled by ``by`` into tasks of about ``PART_ROWS`` rows, however many there are (Spark's own
+    number of shuffle partitions is fixed). Small frames are left to Spark."""
+    if rows <= PART_ROWS or list(by) == [GK]:
+        return df
+    return df.repartition(max(-(-rows // PART_ROWS), df.sparkSession.sparkContext.defaultParallelism), *by)
+
+
 def with_small(df: DataFrame, small: DataFrame, cols: Sequence[str], how: str = "left") -> DataFrame:
     """Join with a table of at most about ``MAX_BUCKETS`` rows: broadcast, nulls equal nulls."""
     right = small
@@ -115,9 +143,12 @@ def _bucket(cuts: str, place: Column, most: int) -> Column:
 
 def index_sequence(df: DataFrame, keys: Sequence[str], time_col: str,
                    order: Sequence[str | Column] | None = None,
-                   target_rows: int = DEFAULT_TARGET_ROWS) -> Sequenced:
+                   target_rows: int = DEFAULT_TARGET_ROWS, size: Size | None = None) -> Sequenced:
     """Add ``_bkt`` (bucket id within key) and ``_rn`` (0-based row index within
-    key, ordered by ``time_col`` then ``order``, both ascending, as tie-break)."""
+    key, ordered by ``time_col`` then ``order``, both ascending, as tie-break).
+
+    ``df`` is read once for its counts (not where ``size`` tells that no key exceeds the target)
+    and once for the rows; where keys are cut, twice more."""
     keys = list(keys)
     if not keys:  # one global sequence
         df, keys = df.withColumn(GK, F.lit(0)), [GK]
@@ -125,12 +156,13 @@ def index_sequence(df: DataFrame, keys: Sequence[str], time_col: str,
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
     zero = F.lit(0).cast("long")
     whole = counts.select(*keys, zero.alias(BKT), zero.alias(BO), F.col("_kn").alias("_n"), zero.alias("_off"))
-    top = counts.agg(F.max("_kn").alias("most"), F.sum("_kn").alias("rows")).first()
-    if top["most"] is None or top["most"] <= target_rows:
+    if size is None or size.most > target_rows:
+        size = _largest(counts)
+    if size.most <= target_rows:
         w = Window.partitionBy(*keys).orderBy(F.col(time_col), *(F.col(o) if isinstance(o, str) else o for o in order))
-        frame = df.withColumn(BKT, zero).withColumn(RN, (F.row_number().over(w) - 1).cast("long"))
-        return Sequenced(frame, whole, keys)
-    target = max(target_rows, -(-top["rows"] // MAX_BUCKETS))
+        frame = spread(df, keys, size.rows).withColumn(BKT, zero).withColumn(RN, (F.row_number().over(w) - 1).cast("long"))
+        return Sequenced(frame, whole, keys, rows=size.rows)
+    target = max(target_rows, -(-size.rows // MAX_BUCKETS))
     place = _places(df, time_col, order)
     large = counts.where(F.col("_kn") > target).select(*keys)
     cuts = materialize(rank_bounds(df, keys, place, large, target), "cuts")
@@ -142,11 +174,11 @@ def index_sequence(df: DataFrame, keys: Sequence[str], time_col: str,
         .withColumn(BO, (F.row_number().over(wk) - 1).cast("long"))
         .withColumn("_off", F.coalesce(F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), zero))
         .select(*keys, BKT, BO, "_n", "_off"), "buckets")
-    joined = with_small(based.drop("_cuts"), split.select(*keys, BKT, "_off"), [*keys, BKT])
+    joined = spread(with_small(based.drop("_cuts"), split.select(*keys, BKT, "_off"), [*keys, BKT]), [*keys, BKT], size.rows)
     w = Window.partitionBy(*keys, BKT).orderBy(place)
     frame = (joined.withColumn(RN, (F.coalesce("_off", zero) + F.row_number().over(w) - 1).cast("long")).drop("_off"))
     rest = with_small(whole, cuts.select(*keys), keys, "left_anti")
-    return Sequenced(frame, rest.unionByName(split), keys, split)
+    return Sequenced(frame, rest.unionByName(split), keys, split, size.rows)
 
 
 def forward_fill(seq: Sequenced, column: str, out: str) -> Sequenced:
@@ -159,7 +191,7 @@ def forward_fill(seq: Sequenced, column: str, out: str) -> Sequenced:
     local = F.last(column, ignorenulls=True).over(
         seq.window().rowsBetween(Window.unboundedPreceding, 0))
     if seq.single:
-        return Sequenced(seq.frame.withColumn(out, local), seq.buckets, keys)
+        return replace(seq, frame=seq.frame.withColumn(out, local))
     slots = seq.split.select(*keys, BKT)
     per_bucket = (with_small(seq.frame.where(F.col(column).isNotNull()).select(*keys, BKT, RN, column), slots, [*keys, BKT], "inner")
                   .groupBy(*keys, BKT)
@@ -169,7 +201,7 @@ def forward_fill(seq: Sequenced, column: str, out: str) -> Sequenced:
              .withColumn("_carry", F.last("_lastv", ignorenulls=True).over(wk)).select(*keys, BKT, "_carry"))
     frame = (with_small(seq.frame, carry, [*keys, BKT])
              .withColumn(out, F.coalesce(local, F.col("_carry"))).drop("_carry"))
-    return Sequenced(frame, seq.buckets, keys, seq.split)
+    return replace(seq, frame=frame)
 
 
 def with_halo(seq: Sequenced, lookback: int, lookahead: int = 0) -> DataFrame:
@@ -219,8 +251,9 @@ def with_halo(seq: Sequenced, lookback: int, lookahead: int = 0) -> DataFrame:
         targets = F.concat(targets, F.coalesce(fwd, empty))
     if lookahead > 0:
         targets = F.concat(targets, F.coalesce(bwd, empty))
-    return (x.select(*cols, F.explode(targets).alias("_t"))
-             .select(*cols, F.col("_t.t").alias(BKT), F.col("_t.own").alias(OWN)))
+    copied = (x.select(*cols, F.explode(targets).alias("_t"))
+               .select(*cols, F.col("_t.t").alias(BKT), F.col("_t.own").alias(OWN)))
+    return spread(copied, seq.part, seq.rows)
 
 
 def finish(df: DataFrame, keep_index: bool = False) -> DataFrame:
