@@ -128,13 +128,20 @@ def regression_metrics(df: DataFrame, y_true: str, y_pred: str, group_by: Sequen
         F.when(vol > SHARPE_EPS, F.col("avg_strategy_return") / vol).otherwise(F.lit(0.0)).alias("strategy_sharpe"))
 
 
-def cv_metrics_from_folds(tagged: DataFrame, y_true: str, y_pred: str) -> DataFrame:
+def trained_folds(df: DataFrame, folds: DataFrame, timestamp_column: str = "timestamp") -> DataFrame:
+    """(window, fold) of the folds that have training rows: found by instants, as a row lies in many folds."""
+    instants = df.select(timestamp_column).distinct()
+    return fold_rows(instants, folds, timestamp_column).where(F.col("role") == "train").select("window", "fold").distinct()
+
+
+def cv_metrics_from_folds(tagged: DataFrame, y_true: str, y_pred: str, trained: DataFrame | None = None) -> DataFrame:
     """A10: metrics per (window, fold) on validation rows of folds whose
     train and validation sides are both non-empty, then the mean per window,
-    keyed ``cv_{window}_{metric}``. Windows without a valid fold vanish. One
-    aggregate by (window, fold, role) gives sizes and metrics together."""
+    keyed ``cv_{window}_{metric}``. Windows without a valid fold vanish. ``trained``
+    (``trained_folds``) spares the pass over the training rows."""
     each = regression_metrics(tagged, y_true, y_pred, ["window", "fold", "role"])
-    trained = each.where(F.col("role") == "train").select("window", "fold")
+    if trained is None:
+        trained = each.where(F.col("role") == "train").select("window", "fold")
     return _mean_per_window(each.where(F.col("role") == "validation").join(trained, ["window", "fold"], "left_semi"))
 
 
@@ -251,7 +258,8 @@ def walk_forward_linear(df: DataFrame, folds: DataFrame, features: Sequence[str]
     rows = df.select(timestamp_column, *features, target)
     held = fold_rows(rows, folds, timestamp_column).where(F.col("role") == "validation")
     terms = [F.col("coefficients")[0], *(F.col("coefficients")[i] * F.col(c).cast("double") for i, c in enumerate(features, 1))]
-    scored = (held.join(linear_folds(df, folds, features, target, timestamp_column), ["window", "fold"])
+    # a row per fold: a broadcast whose size follows the calendar, not the rows
+    scored = (held.join(F.broadcast(linear_folds(df, folds, features, target, timestamp_column)), ["window", "fold"])
               .withColumn("prediction", reduce(lambda a, b: a + b, terms)))
     return mean_fold_metrics(scored, target, "prediction")
 
