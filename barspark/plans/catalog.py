@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import features as feat
-from ..session import Scratch
+from ..operators import sequence as sqn
+from ..session import Scratch, materialize
 from ..sources import io as sio
 from ..sources import fixtures as fx
 from .config import DEFAULT_CONFIG
@@ -53,9 +54,16 @@ def rsig(*names: str, digits: int = 10):
     return out
 
 
+def _bars(spark, sf):
+    """The bar columns that features read, written once as their keys are counted before the rows
+    are ordered, and their size."""
+    bars = materialize(fx.bars(spark, sf).select("symbol", "timestamp", "close", "volume"), "bars")
+    return bars, sqn.size_of(bars, ["symbol"])
+
+
 def _features(spark, sf, defs, target=None):
-    out, names, tname = feat.engineer_features(fx.bars(spark, sf), defs, ["symbol"], "timestamp",
-                                               target=target)
+    bars, size = _bars(spark, sf)
+    out, names, tname = feat.engineer_features(bars, defs, ["symbol"], "timestamp", target=target, size=size)
     return out, names, tname
 
 
@@ -113,9 +121,10 @@ def q_feat_ema(spark, sf):
 @query
 def q_feat_ema_nulls(spark, sf):
     """EMA over a series with NULL closes: they neither decay nor count."""
-    bars = fx.bars(spark, sf).withColumn("close", F.when(F.col("volume") % 4 != 0, F.col("close")))
+    bars, size = _bars(spark, sf)
+    bars = bars.withColumn("close", F.when(F.col("volume") % 4 != 0, F.col("close")))
     out, _, _ = feat.engineer_features(bars, [{"kind": "ema", "source": "close", "span": 12, "rename": "ema_close_12"}],
-                                       ["symbol"], "timestamp")
+                                       ["symbol"], "timestamp", size=size)
     return out.select("symbol", "timestamp", *r6_off_half("ema_close_12"))
 
 
@@ -143,7 +152,8 @@ def q_feature_frame(spark, sf):
 
 @query
 def q_supervised_rows(spark, sf):
-    out, names, tname = feat.prepare_supervised(fx.bars(spark, sf), DEFAULT_CONFIG, "basic_price")
+    bars, size = _bars(spark, sf)
+    out, names, tname = feat.prepare_supervised(bars, DEFAULT_CONFIG, "basic_price", size=size)
     return out.select("symbol", "timestamp", *r6(*names, tname))
 
 
@@ -506,7 +516,6 @@ def q_exec_prices(spark, sf):
 # ---- splits, folds, metrics (M4, W15, J8, A9, A10) ------------------------
 from ..operators import validation as va  # noqa: E402
 from ..operators import rewards as rw  # noqa: E402
-from ..operators import sequence as sqn  # noqa: E402
 
 SPLITS = {"early": {"train_start": "1995-01-01", "train_end": "1998-12-31",
                     "validation_start": "1999-01-01", "validation_end": "1999-06-30"},
@@ -517,7 +526,15 @@ CV_WINDOWS = [dict(w, min_train_date="1994-01-01") for w in DEFAULT_CONFIG["cros
 
 
 def _supervised(spark, sf):
-    return feat.prepare_supervised(fx.bars(spark, sf), DEFAULT_CONFIG, "basic_price")
+    bars, size = _bars(spark, sf)
+    return (*feat.prepare_supervised(bars, DEFAULT_CONFIG, "basic_price", size=size), size)
+
+
+def _supervised_once(spark, sf):
+    """The supervised columns that folds and their metrics read, written once: the bounds of the folds are
+    taken from the rows that the folds then select."""
+    sup, _, tname, _ = _supervised(spark, sf)
+    return materialize(sup.select("timestamp", "return_1d", tname), "supervised"), tname
 
 
 def _folds(df):
@@ -556,21 +573,22 @@ def q_cv_fold_rows(spark, sf):
 
 @query
 def q_regression_metrics(spark, sf):
-    sup, _, tname = _supervised(spark, sf)
+    sup, _, tname, _ = _supervised(spark, sf)
     m = va.regression_metrics(sup, tname, "return_1d", ["symbol"])
     return m.select("symbol", "n", *r6(*va.METRICS))
 
 
 @query
 def q_cv_metrics(spark, sf):
-    sup, _, tname = _supervised(spark, sf)
-    tagged = va.fold_rows(sup, _folds(sup))
-    return va.cv_metrics_from_folds(tagged, tname, "return_1d").select("key", *r6("value"))
+    sup, tname = _supervised_once(spark, sf)
+    folds = _folds(sup)
+    tagged = va.fold_rows(sup, folds)
+    return va.cv_metrics_from_folds(tagged, tname, "return_1d", va.trained_folds(sup, folds)).select("key", *r6("value"))
 
 
 @query
 def q_cv_linear(spark, sf):
-    sup, _, tname = _supervised(spark, sf)
+    sup, tname = _supervised_once(spark, sf)
     return va.walk_forward_linear(sup, _folds(sup), ["return_1d"], tname).select("key", *r6("value"))
 
 
@@ -582,12 +600,13 @@ GAMMA = 0.95
 
 
 def _policy_rows(spark, sf):
-    sup, names, tname = _supervised(spark, sf)
-    seq = sqn.index_sequence(sup, ["symbol"], "timestamp")
-    rows = seq.frame.drop(sqn.BKT)
-    rows = rows.withColumn("signal", rw.feature_signal(names))
+    sup, names, tname, size = _supervised(spark, sf)
+    rows = sup.withColumn("signal", rw.feature_signal(names))
     rows = rows.withColumn("action", rw.action_policy(F.col("signal"), F.lit(LR), None))
-    rows = rw.with_previous(rows, ["symbol"], sqn.RN, "action", "prev_action")
+    rows = rows.select("symbol", "timestamp", "signal", "action", tname)
+    if size.most > sqn.DEFAULT_TARGET_ROWS:     # keys that are cut: the rows are read several times
+        rows = materialize(rows, "policy")
+    rows, _ = rw.indexed_rows(rows, size=size, previous={"action": "prev_action"})
     return rows, tname
 
 
@@ -635,13 +654,13 @@ EPISODES, EP_LEN, STRIDE = RL["evaluation_episodes"], RL["episode_length"], 97
 
 
 def _episodes(spark, sf):
-    sup, names, tname = _supervised(spark, sf)
-    rows, counts = rw.indexed_rows(sup)
-    rows = rows.withColumn("signal", rw.feature_signal(names)) \
-               .withColumn("action", rw.action_policy(F.col("signal"), F.lit(LR), None))
+    rows, tname = _policy_rows(spark, sf)
+    rows = materialize(rows.select("symbol", "timestamp", sqn.RN, "action", "prev_action", tname), "episodes")
+    counts = rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows"))
     starts = rw.episode_starts(counts, EPISODES, EP_LEN, 42, stride=STRIDE)
     ep = rw.episode_rows(rows, starts, EP_LEN)
-    ep = rw.with_previous(ep, ["symbol", "episode"], "step", "action", "prev_action")
+    # an episode's rows follow each other, so the action before is the previous row's but at its first step
+    ep = ep.withColumn("prev_action", F.when(F.col("step") > 0, F.col("prev_action")).otherwise(F.lit(0.0)))
     ep = ep.withColumn("reward", rw.reward(RL["reward_definitions"][0], "action", tname, "prev_action"))
     return ep, tname
 
