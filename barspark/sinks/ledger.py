@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import sequence as sq
+from ..session import materialize
 
 LEDGER_COLUMNS = ["id", "source_path", "destination_path", "source_hash", "row_count", "status",
                   "created_at", "completed_at"]
@@ -64,8 +65,9 @@ def already_ingested(candidates: DataFrame, ledger: DataFrame) -> DataFrame:
 def one_per_hash(runs: DataFrame) -> DataFrame:
     """The latest run of each hash in a batch (greatest path among equals)."""
     cols = [c for c in LEDGER_COLUMNS if c != "id"]
-    return (runs.groupBy("source_hash").agg(F.max_by(F.struct(*cols), F.struct("completed_at", "source_path")).alias("r"))
-                .select("r.*"))
+    order = ["completed_at", "source_path"]
+    row = F.struct(*order, *(c for c in cols if c not in (*order, "source_hash")))     # each value once: the row is shuffled
+    return runs.groupBy("source_hash").agg(F.max(row).alias("r")).select("source_hash", "r.*").select(*cols)
 
 
 def numbered(runs: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -148,5 +150,6 @@ def upsert(ledger: DataFrame, runs: DataFrame) -> DataFrame:
     merged = j.select(F.col("o_id").alias("id"), *[
         F.coalesce(*([f"o_{c}", f"n_{c}"] if c in (*FIRST, "source_hash") else [f"n_{c}", f"o_{c}"])).alias(c)
         for c in LEDGER_COLUMNS if c != "id"])
+    merged = materialize(merged, "merged")      # read for the known rows and, several times, to number the new ones
     fresh = numbered(merged.where(F.col("id").isNull()).drop("id"), ledger)
     return merged.where(F.col("id").isNotNull()).select(*LEDGER_COLUMNS).unionByName(fresh)

@@ -10,6 +10,7 @@ from barspark.operators import sequence as sq
 from barspark.operators import validation as va
 from barspark.plans.catalog import QUERIES
 from barspark.plans.config import DEFAULT_CONFIG
+from barspark.sinks import ledger as lg
 
 
 def rows_of(spark, keys=20, n=50):
@@ -80,3 +81,21 @@ def test_trained_folds_by_instants(spark):
     assert trained.count() == tagged.where("role = 'train'").select("window", "fold").distinct().count() < folds.count()
     one, two = (m.toPandas().sort_values("key", ignore_index=True) for m in (va.cv_metrics_from_folds(tagged, "y", "p"), va.cv_metrics_from_folds(tagged, "y", "p", trained)))
     pd.testing.assert_frame_equal(one, two)
+
+
+def test_upsert_reads_its_batch_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    at = "timestamp_ntz'2024-01-01'"
+    ledger = spark.range(1, 6).selectExpr("id", "concat('p', id) source_path", "'old' destination_path", "concat('h', id) source_hash",
+                                          "id row_count", "'completed' status", f"{at} created_at", f"{at} completed_at")
+    runs = spark.range(4, 13).selectExpr("concat('q', id) source_path", "'new' destination_path", "concat('h', id % 10) source_hash", "id row_count",
+                                         "'completed' status", f"{at} created_at", f"{at} + make_dt_interval(id) completed_at")
+
+    def each(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+    out = lg.upsert(ledger, runs.mapInPandas(each, runs.schema)).toPandas().set_index("source_hash")
+    assert seen.value == 9
+    assert out["id"].to_dict() == {"h1": 1, "h2": 2, "h3": 3, "h4": 4, "h5": 5, "h6": 6, "h7": 7, "h8": 8, "h9": 9, "h0": 10}
+    assert out.loc["h2", ["source_path", "row_count"]].tolist() == ["p2", 12]       # the later of two runs
