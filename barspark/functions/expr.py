@@ -79,6 +79,8 @@ def epoch_us(c) -> Column:
 # a zone after a time of day: Z, an offset with or without minutes, or a zone name
 _ZONED_RE = r"(?i)([0-9]:[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]+)?)?|T[0-9]{1,2})\s*(Z|[+-][0-9]{1,2}(:?[0-9]{2})?|[a-z][a-z_]*(/[a-z_+0-9-]+)*)$"
 _HOURS_RE = r"([+-])([0-9]{1,2})$"
+# date and time of day and nothing else: the usual text, told apart without the costlier search above
+_PLAIN_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9:.]*)?$"
 
 
 def local_to_utc(c, dtype: T.DataType, zone: str = "Asia/Kolkata") -> Column:
@@ -102,7 +104,7 @@ def local_to_utc(c, dtype: T.DataType, zone: str = "Asia/Kolkata") -> Column:
     full = F.when(s.rlike(r"[:T][0-9.]+\s*[+-][0-9]{1,2}$"),
                   F.concat(F.regexp_replace(s, _HOURS_RE, ""), F.regexp_extract(s, _HOURS_RE, 1),
                            F.lpad(F.regexp_extract(s, _HOURS_RE, 2), 2, "0"), F.lit(":00"))).otherwise(s)
-    return (F.when(s.rlike(_ZONED_RE), full.try_cast("timestamp"))
+    return (F.when(~s.rlike(_PLAIN_RE) & s.rlike(_ZONED_RE), full.try_cast("timestamp"))
              .otherwise(F.to_utc_timestamp(s.try_cast("timestamp_ntz").cast("timestamp"), zone)))
 
 

@@ -8,6 +8,8 @@ from barspark.operators import features as feat
 from barspark.operators import rewards as rw
 from barspark.operators import sequence as sq
 from barspark.operators import validation as va
+from barspark.operators import schema as sc
+from barspark.plans import ingest as ig
 from barspark.plans.catalog import QUERIES
 from barspark.plans.config import DEFAULT_CONFIG
 from barspark.sinks import ledger as lg
@@ -99,3 +101,17 @@ def test_upsert_reads_its_batch_once(spark):
     assert seen.value == 9
     assert out["id"].to_dict() == {"h1": 1, "h2": 2, "h3": 3, "h4": 4, "h5": 5, "h6": 6, "h7": 7, "h8": 8, "h9": 9, "h0": 10}
     assert out.loc["h2", ["source_path", "row_count"]].tolist() == ["p2", 12]       # the later of two runs
+
+
+def test_ingest_converts_each_text_once(spark):
+    names = sc.contract("market_data").names
+    text = spark.createDataFrame([("2024-01-01 09:15:00", "A", *["1.5"] * 4, "1", "x"), ("2024-01-01 09:15:00+0530", "A", *["2.5"] * 4, "2", "3")],
+                                 ", ".join(f"{c} string" for c in ("timestamp", "symbol", "open", "high", "low", "close", "volume", "trade_count")))
+    cfg = ig.IngestConfig(source=[], destination="", run_id="t")
+    typed = ig.typed_rows(text.withColumn(ig.SRC, F.lit("f")), cfg)
+    assert typed._jdf.queryExecution().optimizedPlan().toString().count("to_utc_timestamp(") == 1
+    assert typed.columns == [*names, ig.BAD, ig.SRC]
+    rows = typed.orderBy("close").collect()
+    assert [r[ig.BAD] for r in rows] == [["trade_count"], []] and rows[0]["timestamp"] == rows[1]["timestamp"]
+    kept = ig.keep_last(typed.withColumn(ig.POS, F.col("volume")), cfg).collect()
+    assert len(kept) == 1 and kept[0]["close"] == 2.5 and kept[0][ig.TIMES] == 2
