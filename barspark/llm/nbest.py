@@ -8,14 +8,16 @@ decoding gives the text back exactly.
 
 No piece holds a space after another character, or a line break, so the lattice of a text
 falls apart into words (with the spaces before them), line breaks and closing
-spaces. Per word, a forward Viterbi pass gives the best score up to every position; a
-backward A-star search with these scores as exact heuristic pops the N best
-segmentations in order. Only the best N open hypotheses matter, as each completes with
+spaces. The N best of a text are the N smallest sums of its words' losses against their best, and
+only the N - 1 words whose second best loses least can be in one of them. So every word gets a
+forward pass for its best and second-best score at every position, and the best segmentation is
+read back from it; the N best are searched for those N - 1 words of each text, and for words with
+two equal best. That search is a backward A-star with the forward scores as exact heuristic, which
+pops the N best segmentations in order. Only the best N open hypotheses matter, as each completes with
 exactly its estimate, so the agenda has N entries. A word of more than 63 characters (scripts without
 spaces) is first cut wherever no piece of the vocabulary lies across, as the lattice falls
-apart there too. Words of up to 63 characters are searched together, array by array; what is
-longer even then one by one, over arcs that are found as arrays. The N best of the whole
-text are the N smallest sums of the words' losses against their best. A cache of bounded bytes keeps
+apart there too. Words of up to 63 characters are passed and searched together, array by array; what is
+longer even then one by one, over arcs that are found as arrays. A cache of bounded bytes keeps
 the words of up to 63 characters that a task has met.
 
 Defined results: a null or empty text has no pieces, one segmentation with score 0, and
@@ -29,6 +31,7 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +48,9 @@ WORD_BYTES = 320            # of a cached word besides its characters and ids
 ZIPF_SHIFT = 2.7
 BYTE_PENALTY = 10.0
 LONGEST = 63
+BLOCK = 4096                # words passed together
+NEAR = 1e-6                 # far above the rounding of a word's scores
+SIEVE_BITS = 20
 _SPLIT = re.compile(r" *[^ \n]+| +|\n")
 _RANDOM = np.random.Generator(np.random.PCG64(31)).integers(1, 2**63, 2, dtype=np.uint64)
 
@@ -68,19 +74,24 @@ class PieceLattice:
         self.score = dict(zip(self.ids, score.tolist()))
         self.byte_score = float(score.min()) - BYTE_PENALTY
         self.width = max(map(len, self.ids))
-        self.raw = {i: bytes([b]) for b, i in self.byte_id.items()}
-        self.raw.update({i: p.encode() for p, i in self.ids.items()})
+        self.raw = np.full(size, None, object)
+        for b, i in self.byte_id.items():
+            self.raw[i] = bytes([b])
+        for p, i in self.ids.items():
+            self.raw[i] = p.encode()
         names = list(self.ids)
         self.window = max(2 * self.width, LONGEST)
         length = self.window + 1
         self.up, self.down = T.power_table(length + 1)
-        by_hash = np.array([int(self._hashes(_points(p)[None, :], 0, len(p))[0]) for p in names], np.uint64)
         size_of, ids_of = np.array(list(map(len, names))), np.array(list(self.ids.values()), np.int64)
         self.tables = {}            # per piece length: sorted hashes, their scores and ids
+        self.sieve = np.zeros(1 << SIEVE_BITS, bool)        # by their first bits: whether a piece may have a hash
         for k in np.unique(size_of).tolist():
             own = np.flatnonzero(size_of == k)
-            own = own[np.argsort(by_hash[own])]
-            self.tables[k] = by_hash[own], score[own], ids_of[own]
+            by_hash = self._hashes(_points("".join([names[i] for i in own.tolist()])).reshape(-1, k))
+            order = np.argsort(by_hash)
+            self.tables[k] = by_hash[order], score[own[order]], ids_of[own[order]]
+            self.sieve[_sieved(by_hash)] = True
         self._forget()
 
     def _forget(self, room: int = 0) -> None:
@@ -93,62 +104,101 @@ class PieceLattice:
         self.long_paths: dict[int, list[bytes]] = {}
         room = max(room, 1024)
         self.best = np.zeros(room)
+        self.gap = np.zeros(room)                       # to the second best, but for rounding
+        self.searched = np.zeros(room, bool)            # the rest is known of these words only
         self.loss = np.full((room, self.n - 1), np.inf)
         self.masks = np.zeros((room, self.n), np.uint64)
 
     # forward scores and search, many words at once
 
-    def _hashes(self, points: np.ndarray, i: int, j: int) -> np.ndarray:
-        """Hash of characters i to j of every row."""
-        coded = T.mix(points[:, i:j].astype(np.uint64) + _RANDOM[0]) * self.up[None, :j - i]
-        return T.mix(coded.sum(axis=1, dtype=np.uint64) + np.uint64(j - i))
+    def _hashes(self, points: np.ndarray) -> np.ndarray:
+        """Hash of the characters of every row."""
+        size = points.shape[1]
+        coded = T.mix(points.astype(np.uint64) + _RANDOM[0]) * self.up[None, :size]
+        return T.mix(coded.sum(axis=1, dtype=np.uint64) + np.uint64(size))
 
     def _arcs(self, points: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(words, end, length - 1): score and id of the piece of that length that ends there;
-        id -1 is a character's bytes."""
-        w, length = points.shape
-        width = min(self.width, length)
-        out = np.full((w, length + 1, width), -np.inf)
-        ids = np.full((w, length + 1, width), -1, np.int32)
-        coded = T.mix(points.astype(np.uint64) + _RANDOM[0]) * self.up[None, :length]
-        sums = np.zeros((w, length + 1), np.uint64)
-        np.cumsum(coded, axis=1, out=sums[:, 1:])
+        """(length - 1, end, word): score and id of the piece of that length that ends there;
+        id -1 is a character's bytes. ``points`` holds a word per column."""
+        length, w = points.shape
+        coded = T.mix(points.astype(np.uint64) + _RANDOM[0]) * self.up[:length, None]
+        sums = np.zeros((length + 1, w), np.uint64)
+        np.cumsum(coded, axis=0, out=sums[1:])
+        found, longest = [], 1
+        for k, (hashes, piece_score, piece_id) in self.tables.items():
+            if k > length:
+                break
+            h = T.mix((sums[k:] - sums[:-k]) * self.down[:length - k + 1, None] + np.uint64(k)).ravel()
+            at = np.flatnonzero(self.sieve[_sieved(h)])
+            h = h[at]
+            near = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            begin, word = np.divmod(at, w)
+            hit = np.flatnonzero((hashes[near] == h) & (begin + k <= size[word]))
+            if len(hit):
+                near, longest = near[hit], k
+                found.append((k, begin[hit] + k, word[hit], piece_score[near], piece_id[near]))
+        out = np.full((longest, length + 1, w), -np.inf)
+        ids = np.full((longest, length + 1, w), -1, np.int32)
+        for k, end, word, score, piece in found:
+            out[k - 1, end, word] = score
+            ids[k - 1, end, word] = piece
         wide = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
-        for k in range(1, width + 1):
-            h = T.mix((sums[:, k:] - sums[:, :-k]) * self.down[None, :length - k + 1] + np.uint64(k))
-            if k not in self.tables:
-                continue
-            hashes, piece_score, piece_id = self.tables[k]
-            at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            hit = hashes[at] == h
-            found = np.where(hit, piece_score[at], -np.inf)
-            ids[:, k:, k - 1] = np.where(hit, piece_id[at], -1)
-            out[:, k:, k - 1] = np.where(np.arange(k, length + 1)[None, :] <= size[:, None], found, -np.inf)
-        single = out[:, 1:, 0]
-        out[:, 1:, 0] = np.where(np.isinf(single) & (np.arange(length)[None, :] < size[:, None]),
-                                 wide * self.byte_score, single)
-        longest = int(np.flatnonzero(np.isfinite(out).any(axis=(0, 1)))[-1]) + 1
-        return out[:, :, :longest], ids
+        single = out[0, 1:]
+        out[0, 1:] = np.where(np.isinf(single) & (np.arange(length)[:, None] < size[None, :]),
+                              wide * self.byte_score, single)
+        return out, ids
+
+    @staticmethod
+    def _forward(arcs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(end, word): scores of the best and of the second-best way there."""
+        width, ends, w = arcs.shape
+        there = arcs.max(axis=2) > -np.inf
+        first, second = np.full((2, ends, w), -np.inf)
+        first[0] = 0.0
+        for j in range(1, ends):
+            best, next_best = first[j], second[j]
+            for k in (np.flatnonzero(there[:j, j]) + 1).tolist():
+                arc = arcs[k - 1, j]
+                way = first[j - k] + arc
+                np.maximum(next_best, np.minimum(best, way), out=next_best)
+                np.maximum(next_best, second[j - k] + arc, out=next_best)
+                np.maximum(best, way, out=best)
+        return first, second
+
+    def best_two(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """Scores and cut masks of the best segmentation of words of 1 to LONGEST characters, its
+        distance from the second best (inf: there is none), and its ids. Up to rounding, and of
+        equal ones any is the best."""
+        points, size = _columns(words)
+        arcs, ids = self._arcs(points, size)
+        first, second = self._forward(arcs)
+        w, steps = len(words), np.arange(1, len(arcs) + 1)[:, None]
+        every = np.arange(w)
+        gap = first[size, every] - second[size, every]
+        score, mask, place = np.zeros(w), np.zeros(w, np.uint64), size.copy()
+        rows = every
+        while len(rows):
+            p = place[rows]
+            at = np.maximum(p[None, :] - steps, 0)
+            new = score[rows][None, :] + arcs[:, p, rows]
+            pick = (first[at, rows[None, :]] + new).argmax(axis=0), np.arange(len(rows))
+            score[rows], place[rows] = new[pick], at[pick]
+            mask[rows] |= np.uint64(1) << at[pick].astype(np.uint64)
+            rows = rows[at[pick] > 0]
+        return score, mask, gap, self._best_ids(words, size, mask, ids)
 
     def search(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Scores and cut masks of the N best segmentations of words of 1 to LONGEST characters
         (-inf where a word has fewer; bit p of a mask is a cut before character p), and the
         ids of the best."""
         n, w = self.n, len(words)
-        size = np.array([len(x) for x in words])
-        points = np.zeros((w, int(size.max())), np.uint32)
-        for i, x in enumerate(words):
-            points[i, :len(x)] = _points(x)
+        points, size = _columns(words)
         arcs, ids = self._arcs(points, size)
-        length, width = points.shape[1], arcs.shape[2]
-        forward = np.full((w, length + 1), -np.inf)
-        forward[:, 0] = 0.0
-        for j in range(1, length + 1):
-            k = min(j, width)
-            forward[:, j] = (forward[:, j - k:j][:, ::-1] + arcs[:, j, :k]).max(axis=1)
+        length, width = len(points), len(arcs)
+        forward, _ = self._forward(arcs)
 
         estimate = np.full((w, n), -np.inf)
-        estimate[:, 0] = forward[np.arange(w), size]
+        estimate[:, 0] = forward[size, np.arange(w)]
         so_far = np.zeros((w, n))
         place = np.zeros((w, n), np.int64)
         place[:, 0] = size
@@ -175,8 +225,8 @@ class PieceLattice:
             before = p[:, None] - steps[None, :]
             fits = before >= 0
             at = np.maximum(before, 0)
-            new_g = g[:, None] + np.where(fits, arcs[rows, p], -np.inf)
-            all_e = np.concatenate([estimate[rows], forward[rows[:, None], at] + new_g], axis=1)
+            new_g = g[:, None] + np.where(fits, arcs[:, p, rows].T, -np.inf)
+            all_e = np.concatenate([estimate[rows], forward[at, rows[:, None]] + new_g], axis=1)
             keep = np.argsort(-all_e, axis=1, kind="stable")[:, :n]
             take = lambda a: np.take_along_axis(a, keep, axis=1)
             estimate[rows] = take(all_e)
@@ -191,7 +241,7 @@ class PieceLattice:
         row, place = np.nonzero(cut)
         inner = row[1:] == row[:-1]
         row, end = row[1:][inner], place[1:][inner]
-        found = ids[row, end, end - place[:-1][inner] - 1]
+        found = ids[end - place[:-1][inner] - 1, end, row]
         raw = found.astype("<u4").tobytes()
         at = (4 * np.searchsorted(row, np.arange(len(words) + 1))).tolist()
         out = [raw[a:b] for a, b in zip(at[:-1], at[1:])]
@@ -216,8 +266,9 @@ class PieceLattice:
         for lo in range(0, len(word), 1024):
             own, at = word[lo:lo + 1024], begin[lo:lo + 1024]
             start = base[own] + at
-            arcs, _ = self._arcs(points[start[:, None] + np.arange(self.window)[None, :]],
+            arcs, _ = self._arcs(points[start[None, :] + np.arange(self.window)[:, None]],
                                  np.minimum(size[own] - at, self.window))
+            arcs = np.ascontiguousarray(arcs.transpose(2, 1, 0))
             there = np.isfinite(arcs)
             there[at > 0, :self.width] = False              # those ends are the row's before
             row, end, k = np.nonzero(there)
@@ -287,30 +338,48 @@ class PieceLattice:
         if need > len(self.best):
             grow = max(need, 2 * len(self.best)) - len(self.best)
             self.best = np.concatenate([self.best, np.zeros(grow)])
+            self.gap = np.concatenate([self.gap, np.zeros(grow)])
+            self.searched = np.concatenate([self.searched, np.zeros(grow, bool)])
             self.loss = np.concatenate([self.loss, np.full((grow, self.n - 1), np.inf)])
             self.masks = np.concatenate([self.masks, np.zeros((grow, self.n), np.uint64)])
         words = sorted(words, key=len)
         self.index.update(zip(words, range(base, need)))
         self.words.extend(words)
         short = [w for w in words if len(w) <= LONGEST]
-        for lo in range(0, len(short), 4096):
-            part = short[lo:lo + 4096]
-            scores, masks, ids = self.search(part)
+        for lo in range(0, len(short), BLOCK):
+            part = short[lo:lo + BLOCK]
             at = slice(base + lo, base + lo + len(part))
-            self.best[at], self.masks[at] = scores[:, 0], masks
-            self.loss[at] = scores[:, :1] - scores[:, 1:]
+            self.best[at], self.masks[at, 0], self.gap[at], ids = self.best_two(part)
             self.first.extend(ids)
+        self.searched[base:need] = False
         for k in range(base + len(short), need):
             found = self.search_long(self.words[k])
             self.best[k] = found[0][0]
             self.loss[k] = np.inf
             self.loss[k, :len(found) - 1] = [found[0][0] - x for x, _ in found[1:]]
+            self.gap[k] = self.loss[k, 0] if self.n > 1 else np.inf
+            self.searched[k] = True
             self.first.append(found[0][1])
             self.long_paths[k] = [ids for _, ids in found]
+        self._complete(base + np.flatnonzero(self.gap[base:need] < NEAR))
         self.kept = base + len(short)
         self.size += sum(WORD_BYTES + 2 * len(w) + len(ids)
                          for w, ids in zip(short, self.first[base:self.kept]))
 
+    def _complete(self, places: np.ndarray) -> None:
+        """Search the N best of these words of the cache."""
+        places = places[~self.searched[places]]
+        places = places[np.argsort([len(self.words[k]) for k in places.tolist()], kind="stable")]
+        for lo in range(0, len(places), BLOCK):
+            at = places[lo:lo + BLOCK]
+            scores, self.masks[at], ids = self.search([self.words[k] for k in at.tolist()])
+            self.best[at] = scores[:, 0]
+            self.loss[at] = scores[:, :1] - scores[:, 1:]
+            for k, own in zip(at.tolist(), ids):
+                self.size += len(own) - len(self.first[k]) if k < self.kept else 0
+                self.first[k] = own
+        self.searched[places] = True
+
     def _drop_long(self) -> None:
         for w in self.words[self.kept:]:
             del self.index[w]
@@ -331,27 +400,39 @@ class PieceLattice:
         if long:
             parts = dict(zip(long, self.apart(long)))
             split = [[part for w in words for part in parts.get(w, (w,))] for words in split]
-        self._learn(sorted({w for words in split for w in words if w not in self.index}))
+        self._learn(list(set().union(*split).difference(self.index)))
         try:
-            yield from map(self._text, split)
+            places = [np.fromiter(map(self.index.__getitem__, words), np.int64, len(words)) for words in split]
+            close = [self._closest(at) for at in places]
+            if places:
+                self._complete(np.unique(np.concatenate([at[own] for at, own in zip(places, close)])))
+            yield from map(self._text, places, close)
         finally:
             self._drop_long()
 
-    def _text(self, words: list[str]) -> list[tuple[float, bytes]]:
-        """The N best of a text of known words."""
-        if not words:
+    def _closest(self, at: np.ndarray) -> np.ndarray:
+        """The words of a text, by place, among which are the N - 1 with the smallest first losses."""
+        if self.n == 1:
+            return np.zeros(0, np.int64)
+        gap = self.gap[at]
+        most = np.partition(gap, self.n - 2)[self.n - 2] + NEAR if len(gap) >= self.n else np.inf
+        return np.flatnonzero((gap <= most) & (gap < np.inf))
+
+    def _text(self, at: np.ndarray, close: np.ndarray) -> list[tuple[float, bytes]]:
+        """The N best of a text of known words, of which those in ``close`` are searched."""
+        if not len(at):
             return [(0.0, b"")]
-        places = [self.index[w] for w in words]
-        at = np.array(places)
         total = float(self.best[at].sum())
-        best = [self.first[k] for k in places]
+        best = [self.first[k] for k in at.tolist()]
+        cheapest = self._cheapest(self.loss[at[close]])
+        other = sorted({word for _, choice in cheapest for word, _ in choice})
+        cuts = [0, *(c for word in other for c in (int(close[word]), int(close[word]) + 1)), len(best)]
+        parts = [b"".join(best[a:b]) for a, b in pairwise(cuts)]
         out = []
-        for lost, choice in self._cheapest(self.loss[at]):
-            ids = best
-            if choice:
-                ids = best.copy()
-                for word, k in choice:
-                    ids[word] = self._path(places[word], k)
+        for lost, choice in cheapest:
+            ids = parts.copy()
+            for word, k in choice:
+                ids[2 * other.index(word) + 1] = self._path(int(at[close[word]]), k)
             out.append((total - lost, b"".join(ids)))
         return out
 
@@ -371,7 +452,7 @@ class PieceLattice:
 
     def decode(self, ids: bytes) -> str:
         """The text of a segmentation."""
-        text = b"".join([self.raw[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode()
+        text = b"".join(self.raw[np.frombuffer(ids, "<u4")].tolist()).decode()
         return text[1:]
 
 
@@ -379,6 +460,18 @@ def _points(word: str) -> np.ndarray:
     return np.frombuffer(word.encode("utf-32-le"), "<u4")
 
 
+def _columns(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of the words, a word per column, and the words' sizes."""
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    points = np.zeros((len(words), int(size.max())), np.uint32)
+    points[np.arange(points.shape[1])[None, :] < size[:, None]] = _points("".join(words))
+    return np.ascontiguousarray(points.T), size
+
+
+def _sieved(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SIEVE_BITS)).view(np.int64)
+
+
 _lattices: dict[tuple, PieceLattice] = {}
 
 

@@ -198,6 +198,43 @@ def test_n_best_of_words_without_spaces():
     assert len(lattice.words) == len(lattice.first) == len(lattice.index)
 
 
+def test_n_best_searches_only_words_that_lose_least(monkeypatch):
+    import random
+    r = random.Random(11)
+    lattice = nbest.PieceLattice(encoding.vocabulary_path(nbest.MODEL), 4)
+    words = ["".join(r.choices("abcdefghinorst", k=r.randint(3, 11))) for _ in range(1500)]
+    texts = [" ".join(r.choices(words, k=200)) for _ in range(12)]
+    searched, search = [], lattice.search
+    monkeypatch.setattr(lattice, "search", lambda words: searched.extend(words) or search(words))
+    got = list(lattice.segment(texts))
+    known = lattice.words
+    ties = sum(np.diff(scores)[0] > -1e-6 for scores in search(known)[0])
+    assert len(searched) == len(set(searched)) <= 3 * len(texts) + ties < len(known) / 2
+    for text, found in zip(texts, got):
+        np.testing.assert_allclose([s for s, _ in found], n_best_scores(lattice, text), rtol=1e-12)
+        assert all(lattice.decode(ids) == text for _, ids in found) and len({ids for _, ids in found}) == 4
+    assert list(lattice.segment(texts)) == got and list(lattice.segment([])) == []
+
+
+def test_n_best_passes_find_what_the_search_finds():
+    import random
+    r = random.Random(12)
+    lattice = nbest.PieceLattice(encoding.vocabulary_path(nbest.MODEL), 4)
+    parts = ["a", "e", "the", "ing", "é", "漢", "🙂", "-", "=", "s", "XY", "0", "\x00"]
+    words = sorted({" " * r.randint(0, 2) + "".join(r.choices(parts, k=r.randint(1, 12))) for _ in range(600)}) + ["\n", "q" * 63]
+    scores, masks, ids = lattice.search(words)
+    best, mask, gap, best_ids = lattice.best_two(words)
+    np.testing.assert_allclose(gap, scores[:, 0] - scores[:, 1], atol=1e-9)
+    sure = gap > nbest.NEAR
+    assert (best[sure] == scores[sure, 0]).all() and (mask[sure] == masks[sure, 0]).all() and 0 < sure.sum() < len(words)
+    assert [a for a, s in zip(best_ids, sure) if s] == [b for b, s in zip(ids, sure) if s]
+    for n in (1, 2):
+        fewer = nbest.PieceLattice(encoding.vocabulary_path(nbest.MODEL), n)
+        texts = ["".join(words[k::20])[1:] for k in range(20)]
+        for text, got in zip(texts, fewer.segment(texts)):
+            np.testing.assert_allclose([s for s, _ in got], n_best_scores(fewer, text), rtol=1e-12)
+
+
 def test_n_best_cache_is_bounded_by_bytes():
     path = encoding.vocabulary_path(nbest.MODEL)
     small, large = nbest.PieceLattice(path, 4, cache_bytes=20_000), nbest.PieceLattice(path, 4)
